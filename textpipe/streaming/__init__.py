@@ -1,0 +1 @@
+"""Empty on purpose: the work this library reproduces is batch only."""
