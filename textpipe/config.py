@@ -26,6 +26,16 @@ class PipelineConfig:
     models_dir: str = "models"
     reports_dir: str = "reports"
 
+    raw_name: str = "corpus"
+    raw_format: str = "parquet"
+    split_name: str = "split.parquet"
+    vectorizer_name: str = "vectorizer"
+    vocabulary_name: str = "vocabulary.parquet"
+    model_name: str = "classifier"
+    metrics_name: str = "metrics.txt"
+    metrics_table_name: str = "metrics.parquet"
+    runs_name: str = "runs.parquet"
+
     max_features: int = 5000
     stop_words: str | tuple[str, ...] | None = "english"
     test_size: float = 0.2
@@ -38,7 +48,6 @@ class PipelineConfig:
     min_train_rows: int = 10
     min_test_rows: int = 5
 
-    raw_format: str = "parquet"
     label_names: Mapping[int, str] = field(default_factory=lambda: LABEL_NAMES)
 
     def _path(self, *parts: str) -> str:
@@ -46,32 +55,32 @@ class PipelineConfig:
 
     @property
     def raw_path(self) -> str:
-        return self._path(self.raw_dir, f"corpus.{self.raw_format}")
+        return self._path(self.raw_dir, f"{self.raw_name}.{self.raw_format}")
 
     @property
     def split_path(self) -> str:
-        return self._path(self.processed_dir, "split.parquet")
+        return self._path(self.processed_dir, self.split_name)
 
     @property
     def vectorizer_path(self) -> str:
-        return self._path(self.models_dir, "vectorizer")
+        return self._path(self.models_dir, self.vectorizer_name)
 
     @property
     def vocabulary_path(self) -> str:
-        return self._path(self.models_dir, "vocabulary.parquet")
+        return self._path(self.models_dir, self.vocabulary_name)
 
     @property
     def model_path(self) -> str:
-        return self._path(self.models_dir, "classifier")
+        return self._path(self.models_dir, self.model_name)
 
     @property
     def metrics_path(self) -> str:
-        return self._path(self.reports_dir, "metrics.txt")
+        return self._path(self.reports_dir, self.metrics_name)
 
     @property
     def metrics_table_path(self) -> str:
-        return self._path(self.reports_dir, "metrics.parquet")
+        return self._path(self.reports_dir, self.metrics_table_name)
 
     @property
     def runs_path(self) -> str:
-        return self._path(self.reports_dir, "runs.parquet")
+        return self._path(self.reports_dir, self.runs_name)

@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from textpipe.sources.local import local_table
+
 PREFIX_DIGITS = 3
 HASH_DIGITS = 32
 # Rows of one class that a single task may rank.
@@ -159,7 +161,6 @@ def _check_classes(rows: list) -> None:
 
 def _inside(hashed: DataFrame, cuts: dict[object, _Boundary]) -> DataFrame:
     """Only the rows whose hash starts with the open prefix of their class."""
-    spark = hashed.sparkSession
     schema = T.StructType(
         [
             hashed.schema["label"],
@@ -167,7 +168,8 @@ def _inside(hashed: DataFrame, cuts: dict[object, _Boundary]) -> DataFrame:
             T.StructField("rank", T.LongType()),
         ]
     )
-    prefixes = spark.createDataFrame([(k, b.prefix, b.rank) for k, b in cuts.items()], schema)
+    rows = [(label, cut.prefix, cut.rank) for label, cut in cuts.items()]
+    prefixes = local_table(hashed.sparkSession, rows, schema)
     # One row per class: classes are few by the nature of a label.
     return hashed.join(F.broadcast(prefixes), "label").filter(
         F.startswith(F.col("hash"), F.col("open_prefix"))
@@ -222,21 +224,19 @@ def assign_split(
     schema = T.StructType(
         [
             T.StructField("cut_label", df.schema[label].dataType),
-            T.StructField("cut", T.StructType([
-                T.StructField("hash", T.StringType()),
-                T.StructField("key", df.schema[key].dataType),
-            ])),
+            T.StructField("cut_hash", T.StringType()),
+            T.StructField("cut_key", df.schema[key].dataType),
         ]
-    )
-    rows = [(c.label, (c.cut_hash, c.cut_key)) for c in cuts if c.cut_hash is not None]
-    table = F.broadcast(df.sparkSession.createDataFrame(rows, schema))
-    place = F.struct(split_hash(key, seed).alias("hash"), F.col(key).alias("key"))
-    # A class without a cut has no train rows; its comparison is null.
-    side = F.when(place <= F.col("cut"), "train").otherwise("test")
+    )
+    rows = [(c.label, c.cut_hash, c.cut_key) for c in cuts if c.cut_hash is not None]
+    table = F.broadcast(local_table(df.sparkSession, rows, schema))
+    place, cut = F.struct(split_hash(key, seed), F.col(key)), F.struct("cut_hash", "cut_key")
+    # A class without a cut has no train rows.
+    side = F.when(F.col("cut_hash").isNotNull() & (place <= cut), "train").otherwise("test")
     return (
         df.join(table, df[label] == table["cut_label"], "left")
         .withColumn("split", side)
-        .drop("cut_label", "cut")
+        .drop(*schema.names)
     )
 
 

@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from textpipe.functions.text import is_blank
@@ -37,23 +37,37 @@ def validate_table(df: DataFrame, required_columns: Sequence[str], min_rows: int
     return True
 
 
-def profile(df: DataFrame, text_column: str = "text") -> DataFrame:
-    """One row with the number of rows, null texts and blank texts, in a single pass."""
+def _quality(text_column: str) -> list[Column]:
     text = F.col(text_column)
-    return df.agg(
+    return [
         F.count(F.lit(1)).alias("n_rows"),
         F.count_if(text.isNull()).alias("n_null"),
         F.count_if(is_blank(text)).alias("n_blank"),
-    )
+    ]
 
 
-def validate_text(df: DataFrame, text_column: str = "text") -> bool:
+def profile(df: DataFrame, text_column: str = "text") -> DataFrame:
+    """One row with the number of rows, null texts and blank texts, in a single pass."""
+    return df.agg(*_quality(text_column))
+
+
+def observe_text(df: DataFrame, text_column: str = "text") -> tuple[DataFrame, Observation]:
+    """Take the profile along with whatever reads the table next, without a pass of its own."""
+    observation = Observation("text quality")
+    return df.observe(observation, *_quality(text_column)), observation
+
+
+def warn_about_text(found: Mapping[str, int], text_column: str = "text") -> None:
     """Warn about null and blank texts. They are reported and kept."""
-    found = profile(df, text_column).first()
-    if found.n_null:
+    if found["n_null"]:
         logger.warning("Found null values in %s column", text_column)
-    if found.n_blank:
-        logger.warning("Found %d empty text entries", found.n_blank)
+    if found["n_blank"]:
+        logger.warning("Found %d empty text entries", found["n_blank"])
+
+
+def validate_text(df: DataFrame, text_column: str = "text") -> bool:
+    """Profile the texts and warn."""
+    warn_about_text(profile(df, text_column).first().asDict(), text_column)
     return True
 
 

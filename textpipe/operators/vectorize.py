@@ -19,10 +19,10 @@ from textpipe.functions.stopwords import resolve
 from textpipe.functions.text import TOKEN_PATTERN
 from textpipe.operators.terms import index_terms, term_statistics, top_terms
 from textpipe.operators.validate import require_text
+from textpipe.sources.local import local_table
 
 FEATURES = "features"
 _STEPS = ("_tokens", "_tf", "_weighted")
-VOCABULARY_SCHEMA = "term string, idx int, corpus_tf bigint, df bigint, idf double"
 
 
 @dataclass(frozen=True)
@@ -70,10 +70,11 @@ def fit_vocabulary(
     require_text(train, text)
     n_docs = train.count() if n_docs is None else n_docs
     statistics = term_statistics(train, resolve(stop_words), text)
-    rows = weigh_terms(top_terms(statistics, max_features), n_docs).collect()
+    vocabulary = weigh_terms(top_terms(statistics, max_features), n_docs)
+    rows = vocabulary.collect()
     if not rows:
         raise ValueError("Empty vocabulary: the documents hold only stop words or no tokens")
-    return train.sparkSession.createDataFrame(rows, VOCABULARY_SCHEMA)
+    return local_table(train.sparkSession, rows, vocabulary.schema)
 
 
 def build_vectorizer(vocabulary: DataFrame, text: str = "text") -> Vectorizer:

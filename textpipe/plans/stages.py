@@ -16,7 +16,12 @@ from textpipe.config import PipelineConfig
 from textpipe.functions.labels import label_name
 from textpipe.operators import classify, metrics
 from textpipe.operators.split import assign_split, find_cuts
-from textpipe.operators.validate import require_text, validate_table, validate_text
+from textpipe.operators.validate import (
+    observe_text,
+    require_text,
+    validate_table,
+    warn_about_text,
+)
 from textpipe.operators.vectorize import Vectorizer, fit_vectorizer
 from textpipe.sources.corpus import land_corpus, read_split, scan_corpus, spread, write_split
 
@@ -35,10 +40,12 @@ def prepare(spark: SparkSession, cfg: PipelineConfig, raw_path: str | None = Non
     """Validate the raw table, split it and write train and test."""
     raw = scan_corpus(spark, raw_path or cfg.raw_path, cfg.raw_format)
     validate_table(raw, REQUIRED, cfg.min_raw_rows)
-    validate_text(raw)
     cuts = find_cuts(raw, test_size=cfg.test_size, seed=cfg.seed)
     assigned = assign_split(spread(raw), cuts, seed=cfg.seed)
-    write_split(assigned.select("doc_id", "text", "label", "split"), cfg.split_path)
+    # The text check only warns, so it rides on the pass that writes the texts.
+    observed, quality = observe_text(assigned.select("doc_id", "text", "label", "split"))
+    write_split(observed, cfg.split_path)
+    warn_about_text(quality.get)
     logger.info("Train and test written to %s", cfg.split_path)
     return cfg.split_path
 

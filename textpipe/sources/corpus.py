@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textpipe.functions.text import null_if_na
@@ -27,6 +27,15 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet", **options)
         raise
 
 
+def strict_cast(cell: Column, data_type: str) -> Column:
+    """Cast that fails on a bad value, whatever ``spark.sql.ansi.enabled`` says."""
+    if data_type == "string":
+        return cell
+    value = cell.try_cast(data_type)
+    message = F.concat(F.lit(f"Not a valid {data_type}: "), cell)
+    return F.when(cell.isNotNull() & value.isNull(), F.raise_error(message)).otherwise(value)
+
+
 def scan_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """Scan CSV by header name; the empty string and the NA tokens become null.
 
@@ -41,7 +50,7 @@ def scan_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFra
     )
     return cells.select(
         *(
-            null_if_na(F.col(f"`{name}`")).cast(COLUMN_TYPES.get(name, "string")).alias(name)
+            strict_cast(null_if_na(F.col(f"`{name}`")), COLUMN_TYPES.get(name, "string")).alias(name)
             for name in cells.columns
         )
     )
