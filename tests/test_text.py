@@ -1,0 +1,86 @@
+"""Tokens, blanks, stop words and label names against plain Python."""
+
+from __future__ import annotations
+
+import re
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from textpipe.config import PipelineConfig
+from textpipe.functions.labels import label_name
+from textpipe.functions.stopwords import ENGLISH, resolve
+from textpipe.functions.text import is_blank, null_if_na, strip, tokens, without_stop_words
+
+SAMPLES = [
+    "Don't stop: it's 3.14 x_y a1 É été Straße naïve",
+    "日本語 テキスト и кириллица ΑΒΓ",
+    "a b c",
+    "",
+    "foo_bar  42 7 İstanbul",
+    "tab\tnew\nline\r\nend",
+    "no\u00a0break\u2003space",
+]
+WHITE = [chr(c) for c in range(0x3001) if chr(c).isspace()]
+
+
+def python_tokens(text):
+    return re.findall(r"(?u)\b\w\w+\b", text.lower())
+
+
+def test_tokens_match_python(spark):
+    # The dotted capital I is left out: lower-casing makes a combining mark of its dot.
+    samples = [s.replace("İ", "I") for s in SAMPLES]
+    rows = spark.createDataFrame([(s,) for s in samples], "text string").select("text", tokens("text"))
+    assert {r[0]: r[1] for r in rows.collect()} == {s: python_tokens(s) for s in samples}
+
+
+def test_tokens_of_null_are_null(spark):
+    assert spark.sql("SELECT CAST(NULL AS STRING) AS text").select(tokens("text")).first()[0] is None
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.text(alphabet="aBc_9 .,-'é\u00a0ßж\n", max_size=30), min_size=20, max_size=40))
+def test_tokens_property(spark, texts):
+    got = spark.createDataFrame(list(enumerate(texts)), "i int, text string").select("i", tokens("text"))
+    assert dict(map(tuple, got.collect())) == {i: python_tokens(t) for i, t in enumerate(texts)}
+
+
+def test_blank_and_strip_know_all_white_space(spark):
+    assert len(WHITE) == 29
+    texts = ["", *WHITE, "".join(WHITE), " x ", "\u200b", None]
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, text string").select(
+        "i", is_blank("text").alias("blank"), strip("text").alias("stripped")
+    )
+    got = {r.i: (r.blank, r.stripped) for r in rows.collect()}
+    for i, text in enumerate(texts):
+        expected = (False, None) if text is None else (not text.strip(), text.strip())
+        assert got[i] == expected, repr(text)
+
+
+def test_stop_words(spark):
+    assert len(ENGLISH) == len(set(ENGLISH)) == 318
+    assert resolve("english") == ENGLISH and resolve(None) == [] and resolve(["b", "a", "b"]) == ["a", "b"]
+    df = spark.createDataFrame([("the cat and the hat sat, the cat",)], "text string")
+    kept = df.select(without_stop_words(tokens("text"), ENGLISH)).first()[0]
+    assert kept == ["cat", "hat", "sat", "cat"]
+
+
+def test_na_tokens(spark):
+    cells = ["NA", "n/a", "null", "", " NA", "na", "none", "None", "text"]
+    df = spark.createDataFrame([(c,) for c in cells], "cell string").select(null_if_na("cell"))
+    assert [r[0] for r in df.collect()] == [None, None, None, None, " NA", "na", "none", None, "text"]
+
+
+def test_label_names(spark):
+    df = spark.createDataFrame([(0,), (1,), (2,), (3,), (4,), (-1,), (None,)], "label int")
+    names = [r[0] for r in df.select(label_name(F.col("label"))).collect()]
+    assert names == ["World", "Sports", "Business", "Sci/Tech", None, None, None]
+
+
+def test_paths_need_no_file_system():
+    cfg = PipelineConfig(base="s3a://bucket/x/", reports_dir="out", metrics_name="m.txt")
+    assert cfg.raw_path == "s3a://bucket/x/data/raw/corpus.parquet"
+    assert cfg.metrics_path == "s3a://bucket/x/out/m.txt"
+    assert (cfg.max_features, cfg.test_size, cfg.seed) == (5000, 0.2, 42)

@@ -28,7 +28,8 @@ RANK_LIMIT = 100_000
 def split_hash(key: Column | str, seed: int = 42) -> Column:
     """The seeded place of a row inside its class."""
     key = F.col(key) if isinstance(key, str) else key
-    return F.md5(F.concat(F.lit(f"{seed}:"), key.cast("string")))
+    text = F.coalesce(key.cast("string"), F.raise_error(F.lit("A null key has no place in the split")))
+    return F.md5(F.concat(F.lit(f"{seed}:"), text))
 
 
 def class_counts(df: DataFrame, label: str = "label") -> DataFrame:
