@@ -28,6 +28,7 @@ class PipelineConfig:
 
     raw_name: str = "corpus"
     raw_format: str = "parquet"
+    keyed_name: str = "keyed.parquet"
     split_name: str = "split.parquet"
     vectorizer_name: str = "vectorizer"
     vocabulary_name: str = "vocabulary.parquet"
@@ -57,6 +58,10 @@ class PipelineConfig:
     def raw_path(self) -> str:
         return self._path(self.raw_dir, f"{self.raw_name}.{self.raw_format}")
 
+    @property
+    def keyed_path(self) -> str:
+        return self._path(self.processed_dir, self.keyed_name)
+
     @property
     def split_path(self) -> str:
         return self._path(self.processed_dir, self.split_name)

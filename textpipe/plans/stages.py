@@ -40,6 +40,11 @@ def prepare(spark: SparkSession, cfg: PipelineConfig, raw_path: str | None = Non
     """Validate the raw table, split it and write train and test."""
     raw = scan_corpus(spark, raw_path or cfg.raw_path, cfg.raw_format)
     validate_table(raw, REQUIRED, cfg.min_raw_rows)
+    if cfg.raw_format != "parquet" or "doc_id" not in raw.columns:
+        # The search for the cuts scans keys and labels a few times: give it a table of columns,
+        # and ids that stay the same.
+        land_corpus(raw, cfg.keyed_path)
+        raw = scan_corpus(spark, cfg.keyed_path)
     cuts = find_cuts(raw, test_size=cfg.test_size, seed=cfg.seed)
     assigned = assign_split(spread(raw), cuts, seed=cfg.seed)
     # The text check only warns, so it rides on the pass that writes the texts.
