@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from textpipe import PipelineConfig, run
+from textpipe.__main__ import main
 from textpipe.operators import classify
 from textpipe.plans import stages
 from textpipe.plans.run import resume
@@ -155,3 +156,19 @@ def test_failing_stage_is_logged_and_raised(spark, tmp_path, caplog, monkeypatch
     with caplog.at_level(logging.ERROR), pytest.raises(RuntimeError, match="no model today"):
         run(spark, news(spark), PipelineConfig(base=str(tmp_path)))
     assert "Run failed in stage train" in caplog.messages
+
+
+def test_stages_from_the_command_line(spark, tmp_path, capsys):
+    write_csv(news(spark).select("label", "text"), str(tmp_path / "corpus"))
+    base = ["--base", str(tmp_path / "zones")]
+    source = ["--corpus", str(tmp_path / "corpus"), "--format", "csv"]
+    main(["land", *base, *source])
+    for stage in ("prepare", "featurize", "train", "evaluate"):
+        main([stage, *base])
+    by_stages = capsys.readouterr().out
+    assert by_stages.startswith("Accuracy: 1.0000\n")
+    main(["run", *base, *source])
+    assert capsys.readouterr().out == by_stages
+    assert spark.read.parquet(PipelineConfig(base=base[1]).runs_path).count() == 2
+    with pytest.raises(SystemExit):
+        main(["run", *base])

@@ -38,9 +38,10 @@ def train_classifier(
     densely in ascending order, since the solver makes a class of every integer up to the
     largest.
     """
-    # The class counts below fill the cache; the solver then takes its statistics and its
-    # blocks from it and the texts are not cut again.
-    vectors = vectors.select(label, features).persist(StorageLevel.MEMORY_AND_DISK)
+    # The class counts below store the vectors; the solver then reads them twice, for its
+    # statistics and for the blocks it caches itself, and the texts are not cut again. Storing
+    # them on disk leaves the memory to those blocks, which every iteration reads.
+    vectors = vectors.select(label, features).persist(StorageLevel.DISK_ONLY)
     try:
         classes = vectors.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()
         labels = _check_classes([row[label] for row in classes])

@@ -6,7 +6,9 @@ take any table with a label and a prediction column, whatever made the predictio
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Iterable
+
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 ACCURACY, MACRO, WEIGHTED = "accuracy", "macro avg", "weighted avg"
@@ -98,35 +100,34 @@ def class_report(confusion: DataFrame) -> DataFrame:
     )
 
 
-def report_lines(report: DataFrame, digits: int = 2) -> list[str]:
-    """The report as text. Fetches one row per class and the three summary rows."""
-    rows = report.orderBy("place", "label").collect()
+def report_lines(rows: list[Row], digits: int = 2) -> list[str]:
+    """The rows of a report, in order, as lines of text."""
     # The first column fits the longest row name.
     width = max(len(row.row_name) for row in rows)
 
-    def line(name: str, cells: list[str]) -> str:
+    def line(name: str, cells: Iterable[str]) -> str:
         return f"{name:>{width}}  " + " ".join(f"{cell:>9}" for cell in cells)
 
-    def cell(value: float | None) -> str:
+    def number(value: float | None) -> str:
         return "" if value is None else f"{value:.{digits}f}"
 
-    classes = [row for row in rows if row.place == 0]
-    totals = [row for row in rows if row.place > 0]
-
-    def lines(part: list) -> list[str]:
-        return [
-            line(r.row_name, [cell(r.precision), cell(r.recall), cell(r.f1_score), str(r.support)])
-            for r in part
-        ]
+    def row_line(row: Row) -> str:
+        shares = map(number, (row.precision, row.recall, row.f1_score))
+        return line(row.row_name, [*shares, str(row.support)])
 
-    return [line("", list(REPORT_HEADINGS)), "", *lines(classes), "", *lines(totals)]
+    classes = [row_line(row) for row in rows if row.place == 0]
+    totals = [row_line(row) for row in rows if row.place > 0]
+    return [line("", REPORT_HEADINGS), "", *classes, "", *totals]
 
 
 def metrics_lines(report: DataFrame) -> list[str]:
-    """The metrics file: accuracy with four digits, a blank line and the report."""
-    report_text = report_lines(report)
-    share = report.filter(F.col("row_name") == ACCURACY).first().f1_score
-    return [f"Accuracy: {share:.4f}", "", "Classification Report:", *report_text]
+    """The metrics file: accuracy with four digits, a blank line and the report.
+
+    Fetches the report, one row per class and the three summary rows.
+    """
+    rows = report.orderBy("place", "label").collect()
+    share = next(row.f1_score for row in rows if row.row_name == ACCURACY)
+    return [f"Accuracy: {share:.4f}", "", "Classification Report:", *report_lines(rows)]
 
 
 def write_metrics_text(report: DataFrame, path: str) -> None:

@@ -9,7 +9,7 @@ from __future__ import annotations
 import logging
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from textpipe.config import PipelineConfig
@@ -31,8 +31,13 @@ REQUIRED = ("text", "label")
 
 def land(corpus: DataFrame, cfg: PipelineConfig) -> str:
     """Write the labelled corpus to the raw zone."""
-    land_corpus(corpus, cfg.raw_path, cfg.raw_format)
-    logger.info("Raw corpus written to %s", cfg.raw_path)
+    size = Observation("corpus size")
+    counted = corpus.observe(size, F.count(F.lit(1)).alias("n_rows"))
+    land_corpus(counted, cfg.raw_path, cfg.raw_format)
+    logger.info(
+        "Raw corpus with %d rows and %d columns written to %s",
+        size.get["n_rows"], len(corpus.columns), cfg.raw_path,
+    )
     return cfg.raw_path
 
 
