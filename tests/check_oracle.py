@@ -1,4 +1,4 @@
-"""Run every query next to its SQL and compare names, types' families, counts and values.
+"""Run every query next to its SQL and compare column names, row counts and values.
 
 Usage: python tests/check_oracle.py SF_DIR [QUERY ...]
 """

@@ -68,6 +68,17 @@ def test_csv_with_another_header_in_a_later_file_fails(spark, tmp_path):
         scan_csv(spark, str(tmp_path)).collect()
 
 
+def test_json_corpus(spark, tmp_path):
+    path = tmp_path / "raw.json"
+    path.write_text('{"label": 1, "text": "a\\nb", "more": 0}\n{"text": null, "label": 2}\n', encoding="utf-8")
+    assert sorted(map(tuple, scan_corpus(spark, str(path), "json").collect()), key=str) == [
+        ("a\nb", 1), (None, 2)
+    ]
+    path.write_text('{"label": "x", "text": "a"}\n', encoding="utf-8")
+    with pytest.raises(Exception, match="MALFORMED|malformed"):
+        scan_corpus(spark, str(path), "json").collect()
+
+
 def test_missing_path(spark, tmp_path):
     for fmt in ("csv", "parquet", "json"):
         with pytest.raises(FileNotFoundError, match="File not found: .*nowhere"):
@@ -80,7 +91,8 @@ def test_landing_adds_unique_ids_and_replaces(spark, tmp_path, fmt):
     for n in (50, 20):
         rows = spark.createDataFrame([("same text", i % 2) for i in range(n)], "text string, label int")
         land_corpus(rows.repartition(4), path, fmt)
-        back = scan_corpus(spark, path, fmt)
+        back = scan_corpus(spark, path, fmt, columns=("doc_id", "text", "label"))
+        assert dict(back.dtypes) == {"doc_id": "bigint", "text": "string", "label": "int"}
         assert back.count() == n == back.select("doc_id").distinct().count()
 
 

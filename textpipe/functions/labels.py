@@ -14,4 +14,4 @@ def label_name(label: Column | str, names: Mapping[int, str] = LABEL_NAMES) -> C
     """Name of a label; a label without a name gives null."""
     label = F.col(label) if isinstance(label, str) else label
     pairs = [F.lit(part) for pair in names.items() for part in pair]
-    return F.try_element_at(F.create_map(*pairs), label)
+    return F.try_element_at(F.create_map(*pairs), label.try_cast("int"))

@@ -43,7 +43,7 @@ LANGUAGE_LABEL = "CASE lang WHEN 'en' THEN 0 WHEN 'fr' THEN 1 WHEN 'de' THEN 2 W
 RULE = "CASE WHEN n_chars > 500 THEN 1 WHEN n_chars < 60 THEN 2 ELSE 0 END"
 # Texts that a quality check has to find: short ones become null, others only white space
 # (no-break space, space, tab, em space, file separator).
-GAP_BLANK = "  \t \u001c"
+GAP_BLANK = "\u00a0 \t\u2003\u001c"
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

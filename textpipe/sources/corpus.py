@@ -17,10 +17,13 @@ CSV_AS_WRITTEN = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace":
 COLUMN_TYPES = {"doc_id": "bigint", "text": "string", "label": "int"}
 
 
-def read_table(spark: SparkSession, path: str, fmt: str = "parquet", **options) -> DataFrame:
+def read_table(
+    spark: SparkSession, path: str, fmt: str = "parquet", schema: str | None = None, **options
+) -> DataFrame:
     """``spark.read`` with the error a missing file deserves."""
+    reader = spark.read.format(fmt).options(**options)
     try:
-        return spark.read.format(fmt).options(**options).load(path)
+        return (reader.schema(schema) if schema else reader).load(path)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             raise FileNotFoundError(f"File not found: {path}") from error
@@ -61,10 +64,23 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").options(**CSV_QUOTING, **CSV_AS_WRITTEN, quoteAll=True).csv(path)
 
 
-def scan_corpus(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """Scan a corpus kept as Parquet, JSON or CSV files."""
+def scan_json(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
+    """Scan JSON lines with given columns: inferring them would read all files once more."""
+    schema = ", ".join(f"{name} {COLUMN_TYPES.get(name, 'string')}" for name in columns)
+    return read_table(spark, path, "json", schema, mode="FAILFAST")
+
+
+def scan_corpus(
+    spark: SparkSession,
+    path: str,
+    fmt: str = "parquet",
+    columns: Sequence[str] = ("text", "label"),
+) -> DataFrame:
+    """Scan a corpus kept as CSV, JSON or any typed format; ``columns`` are those of JSON."""
     if fmt == "csv":
         return scan_csv(spark, path)
+    if fmt == "json":
+        return scan_json(spark, path, columns)
     return read_table(spark, path, fmt)
 
 
