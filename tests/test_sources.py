@@ -5,8 +5,10 @@ from __future__ import annotations
 from types import SimpleNamespace
 
 import pytest
+from pyspark.sql import functions as F
 
 from textpipe.sources.corpus import (
+    cells_span_lines,
     land_corpus,
     read_split,
     scan_corpus,
@@ -48,6 +50,26 @@ def test_csv_binds_by_name_and_reads_na(spark, tmp_path):
     ]
 
 
+def test_csv_is_divided_if_no_cell_spans_lines(spark, tmp_path):
+    rows = [(i, f'cell "{i}", plain', i % 4) for i in range(2000)]
+    flat, spanning = str(tmp_path / "flat"), str(tmp_path / "spanning")
+    table = spark.createDataFrame(rows, "doc_id long, text string, label int").coalesce(1)
+    write_csv(table, flat)
+    write_csv(table.withColumn("text", F.concat("text", F.lit("\n"), "text")), spanning)
+    assert not cells_span_lines(spark, flat) and cells_span_lines(spark, spanning)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        divided, whole = scan_csv(spark, flat), scan_csv(spark, spanning)
+        assert divided.rdd.getNumPartitions() > 8 and whole.rdd.getNumPartitions() == 1
+        assert scan_csv(spark, flat, multi_line=True).rdd.getNumPartitions() == 1
+        assert sorted(map(tuple, divided.collect())) == rows
+        assert sorted(map(tuple, whole.collect())) == [(i, f"{t}\n{t}", c) for i, t, c in rows]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
 @pytest.mark.parametrize("ansi", ["true", "false"])
 def test_csv_bad_number_fails(spark, tmp_path, ansi):
     path = tmp_path / "raw.csv"

@@ -39,18 +39,20 @@ def strict_cast(cell: Column, data_type: str) -> Column:
     return F.when(cell.isNotNull() & value.isNull(), F.raise_error(message)).otherwise(value)
 
 
-def scan_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+def scan_csv(spark: SparkSession, path: str, multi_line: bool | None = None) -> DataFrame:
     """Scan CSV by header name; the empty string and the NA tokens become null.
 
     All cells are read as strings first and then cast, so a bad number fails the query and
-    never turns into a null. Every file must have the header of the first. Files with line
-    breaks inside cells cannot be divided between tasks: write such a corpus as many files
-    (the sink below does), or pass ``multi_line=False`` if no cell holds a line break.
+    never turns into a null. Every file must have the header of the first.
+
+    A file with line breaks inside cells is read whole, by one task. ``multi_line`` says whether
+    there are any; without it, files that are too few to keep the cores busy are looked through
+    first, and divided between tasks if no cell goes over the end of its line.
     """
-    cells = read_table(
-        spark, path, "csv", **CSV_QUOTING, **CSV_AS_WRITTEN,
-        multiLine=multi_line, mode="FAILFAST", enforceSchema=False,
-    )
+    cells = _read_csv(spark, path, multi_line is not False)
+    if multi_line is None and _splits(cells) < spark.sparkContext.defaultParallelism:
+        if not cells_span_lines(spark, path):
+            cells = _read_csv(spark, path, multi_line=False)
     return cells.select(
         *(
             strict_cast(null_if_na(F.col(f"`{name}`")), COLUMN_TYPES.get(name, "string")).alias(name)
@@ -59,6 +61,27 @@ def scan_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFra
     )
 
 
+def _read_csv(spark: SparkSession, path: str, multi_line: bool) -> DataFrame:
+    return read_table(
+        spark, path, "csv", **CSV_QUOTING, **CSV_AS_WRITTEN,
+        multiLine=multi_line, mode="FAILFAST", enforceSchema=False,
+    )
+
+
+def _splits(scan: DataFrame) -> int:
+    return scan.rdd.getNumPartitions()
+
+
+def cells_span_lines(spark: SparkSession, path: str) -> bool:
+    """Whether a quoted cell may hold a line break.
+
+    A cell that goes over the end of a line leaves an odd number of quotes on that line.
+    """
+    line = F.col("value")
+    quotes = F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))
+    return not read_table(spark, path, "text").filter(quotes % 2 == 1).isEmpty()
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     """Write CSV that ``scan_csv`` reads back unchanged."""
     df.write.mode("overwrite").options(**CSV_QUOTING, **CSV_AS_WRITTEN, quoteAll=True).csv(path)
@@ -115,6 +138,6 @@ def spread(scan: DataFrame, keys: Sequence[str] = ("doc_id",)) -> DataFrame:
     texts on a few cores. A larger scan is returned as it is.
     """
     cores = scan.sparkSession.sparkContext.defaultParallelism
-    if scan.rdd.getNumPartitions() >= cores:
+    if _splits(scan) >= cores:
         return scan
     return scan.repartition(cores, *keys)
