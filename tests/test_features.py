@@ -26,28 +26,27 @@ from textpipe.operators.vectorize import (
 )
 
 TRAIN = [
-    "business news about stocks and markets",
-    "sports news about football game results",
-    "technology news about artificial intelligence",
-    "world news about international politics",
-    "business report on company earnings",
-    "sports update on basketball tournament",
-    "tech news about quantum computing",
-    "world update on climate change",
-    "business analysis of market trends",
-    "sports coverage of tennis match",
-    "technology review of latest gadgets",
-    "world report on political developments",
+    "the striker scored and scored again before half time",
+    "a keeper saved the penalty in extra time",
+    "the goalkeeper, the striker and the referee argued",
+    "bond yields rose while shares fell",
+    "shares of the bank fell after weak earnings",
+    "weak earnings and weak guidance: yields rose",
+    "engineers taught the robot to fold laundry",
+    "a robot and 2 engineers landed the probe on Mars",
+    "the probe sent laundry_list.txt back, twice",
+    "ministers met at the border to sign a treaty",
+    "the treaty ended talks between ministers",
+    "border talks ended; ministers signed",
 ]
 TEST = [
-    "business analysis of market trends",
-    "sports coverage of tennis match",
-    "tech article about cybersecurity",
-    "world news about humanitarian crisis",
-    "business update on company stocks",
-    "sports news about tournament results",
-    "the of and about",
+    "ministers signed the treaty",
+    "the striker met the robot",
+    "earnings of the goalkeeper rose and rose",
+    "volcano erupted near an unknown village",
+    "talks about laundry",
     "",
+    "the of and about",
 ]
 
 
@@ -120,9 +119,8 @@ def test_vocabulary_ties_are_cut_alphabetically(spark, k):
 def test_lookup_drops_unknown_terms_in_a_broadcast_join(spark):
     vocabulary = fit_vocabulary(docs(spark, TRAIN))
     joined = lookup_terms(term_frequency(docs(spark, TEST), ENGLISH), vocabulary)
-    assert {"article", "cybersecurity", "humanitarian", "crisis"}.isdisjoint(
-        r.term for r in joined.collect()
-    )
+    found = {r.term for r in joined.collect()}
+    assert found.isdisjoint({"volcano", "erupted", "village"}) and "striker" in found
     plan = joined._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
 
@@ -148,7 +146,7 @@ def test_vectors_have_unit_or_zero_length_and_equal_width(spark):
     assert {r.features.size for r in rows} == {fitted.n_features}
     for r in rows:
         assert r.features.norm(2) == pytest.approx(1.0) or r.features.numNonzeros() == 0
-    assert sum(r.features.numNonzeros() == 0 for r in rows) == 2
+    assert sum(r.features.numNonzeros() == 0 for r in rows) == 3
 
 
 def test_transform_adds_only_the_features(spark):

@@ -91,7 +91,7 @@ def test_runs_are_summarized(spark, tmp_path):
 
 def test_degenerate_corpus(spark, tmp_path):
     """All texts have the same tokens, so every prediction is one class."""
-    rows = [(f"sample text {i % 4 + 1}", i % 4) for i in range(120)]
+    rows = [(f"equal words {i % 4 + 1}", i % 4) for i in range(120)]
     cfg = PipelineConfig(base=str(tmp_path))
     report = run(spark, spark.createDataFrame(rows, "text string, label int"), cfg)
     rows = {r.row_name: r for r in report.collect()}
@@ -143,7 +143,7 @@ def test_stages_check_their_input(spark, tmp_path):
     stages.land(news(spark).limit(99), cfg)
     with pytest.raises(ValueError, match="DataFrame has 99 rows, minimum required: 100"):
         stages.prepare(spark, cfg)
-    stages.land(spark.createDataFrame([("Some text", 0)], "content string, category int"), cfg)
+    stages.land(spark.createDataFrame([("a note", 0)], "body string, topic int"), cfg)
     with pytest.raises(ValueError):
         stages.prepare(spark, cfg)
 

@@ -84,8 +84,8 @@ def test_text_keys(spark):
     assert sides(stratified_split(table(spark, rows, "string"))) == python_split(rows)
 
 
-def test_reference_sizes(spark):
-    labels = [2, 1, 3, 0, 2, 1, 3, 0, 2, 1] * 15
+def test_sizes_of_150_rows(spark):
+    labels = [0] * 30 + [1] * 45 + [2] * 45 + [3] * 30
     df = table(spark, list(enumerate(labels)))
     counts = {c: labels.count(c) for c in range(4)}
     got = allocate(spark.createDataFrame(list(counts.items()), "label int, n_rows long")).collect()

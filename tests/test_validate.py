@@ -26,10 +26,10 @@ def test_valid_table(spark):
     ("rows", "schema", "min_rows", "message"),
     [
         ([], "text string, label int", 1, "DataFrame is empty"),
-        ([], "content string", 100, "DataFrame is empty"),
+        ([], "body string", 100, "DataFrame is empty"),
         ([("a", 0)], "text string, label int", 5, "DataFrame has 1 rows, minimum required: 5"),
-        ([("a", 0)], "content string, category int", 100, "DataFrame has 1 rows, minimum required: 100"),
-        ([("a", 0), ("b", 1)], "text string, wrong_column int", 1, r"Missing required columns: \['label'\]"),
+        ([("a", 0)], "body string, topic int", 100, "DataFrame has 1 rows, minimum required: 100"),
+        ([("a", 0), ("b", 1)], "text string, topic int", 1, r"Missing required columns: \['label'\]"),
         ([("a", 0)], "x string, y int", 1, r"Missing required columns: \['text', 'label'\]"),
         ([("a", 0)], "text string, label int", 5000, "DataFrame has 1 rows, minimum required: 5000"),
     ],
@@ -52,7 +52,7 @@ def test_text_warnings(spark, caplog):
 
 def test_clean_text_and_other_column(spark, caplog):
     with caplog.at_level(logging.WARNING):
-        assert validate_text(texts(spark, "a", "b", "c", column="content"), "content") is True
+        assert validate_text(texts(spark, "a", "b", "c", column="body"), "body") is True
     assert caplog.messages == []
 
 

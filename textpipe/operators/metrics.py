@@ -11,8 +11,11 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
+# Row names, headings and titles of the report.
 ACCURACY, MACRO, WEIGHTED = "accuracy", "macro avg", "weighted avg"
 REPORT_HEADINGS = ("precision", "recall", "f1-score", "support")
+ACCURACY_LINE = "Accuracy: {:.4f}"
+REPORT_TITLE = "Classification Report:"
 
 
 def confusion_counts(
@@ -127,7 +130,7 @@ def metrics_lines(report: DataFrame) -> list[str]:
     """
     rows = report.orderBy("place", "label").collect()
     share = next(row.f1_score for row in rows if row.row_name == ACCURACY)
-    return [f"Accuracy: {share:.4f}", "", "Classification Report:", *report_lines(rows)]
+    return [ACCURACY_LINE.format(share), "", REPORT_TITLE, *report_lines(rows)]
 
 
 def write_metrics_text(report: DataFrame, path: str) -> None:

@@ -12,6 +12,13 @@ from textpipe.functions.text import is_blank
 
 logger = logging.getLogger(__name__)
 
+# The wording of errors and warnings.
+EMPTY = "DataFrame is empty"
+TOO_FEW_ROWS = "DataFrame has {found} rows, minimum required: {minimum}"
+MISSING_COLUMNS = "Missing required columns: {missing}"
+NULL_TEXTS = "Found null values in %s column"
+BLANK_TEXTS = "Found %d empty text entries"
+
 
 # Up to this many rows, stopping at the first splits that hold them beats a full count.
 TAKE_LIMIT = 1000
@@ -28,12 +35,12 @@ def validate_table(df: DataFrame, required_columns: Sequence[str], min_rows: int
     """Raise ``ValueError`` for an empty or short table, or one without the columns."""
     found = count_up_to(df, max(min_rows, 1)) if df.columns else 0
     if found == 0:
-        raise ValueError("DataFrame is empty")
+        raise ValueError(EMPTY)
     if found < min_rows:
-        raise ValueError(f"DataFrame has {found} rows, minimum required: {min_rows}")
+        raise ValueError(TOO_FEW_ROWS.format(found=found, minimum=min_rows))
     missing = [name for name in required_columns if name not in df.columns]
     if missing:
-        raise ValueError(f"Missing required columns: {missing}")
+        raise ValueError(MISSING_COLUMNS.format(missing=missing))
     return True
 
 
@@ -60,9 +67,9 @@ def observe_text(df: DataFrame, text_column: str = "text") -> tuple[DataFrame, O
 def warn_about_text(found: Mapping[str, int], text_column: str = "text") -> None:
     """Warn about null and blank texts. They are reported and kept."""
     if found["n_null"]:
-        logger.warning("Found null values in %s column", text_column)
+        logger.warning(NULL_TEXTS, text_column)
     if found["n_blank"]:
-        logger.warning("Found %d empty text entries", found["n_blank"])
+        logger.warning(BLANK_TEXTS, found["n_blank"])
 
 
 def validate_text(df: DataFrame, text_column: str = "text") -> bool:
