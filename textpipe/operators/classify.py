@@ -20,7 +20,7 @@ _PREDICTED_INDEX = "_predicted_index"
 
 
 # Rows worth a partition of their own while iterating.
-ROWS_PER_PARTITION = 2500
+ROWS_PER_PARTITION = 10_000
 
 
 def train_classifier(

@@ -1,7 +1,7 @@
 """The queries again as SQL for DuckDB, to check results against.
 
-``train_predict``, ``score_from_artifacts``, ``end_to_end_run`` and ``run_summary`` depend on
-a trained model and have none.
+``train_predict``, ``end_to_end_run`` and ``run_summary`` give what a trained model predicts and
+have none. The two queries on reloaded models tell whether they predict the same.
 """
 
 from __future__ import annotations
@@ -84,6 +84,9 @@ report AS (
            sum(re * support) / sum(support), sum(f1 * support) / sum(support), sum(support)
     FROM per_class)"""
 
+_SAME_PREDICTIONS = f"""WITH {_SPLIT}
+SELECT doc_id, label, TRUE AS same_prediction FROM sides WHERE split = 'test'"""
+
 _NA_CELLS = f"WHEN source = 'src{len(NA_TOKENS)}' THEN md5('   ')"
 
 ORACLE: dict[str, str] = {
@@ -169,6 +172,6 @@ ORACLE: dict[str, str] = {
     "class_report": f"""WITH {_REPORT} SELECT row_name, round("precision", 6) AS "precision",
         round(recall, 6) AS recall, round(f1_score, 6) AS f1_score,
         CAST(support AS BIGINT) AS support FROM report""",
-    "model_reload_predict": f"""WITH {_SPLIT}
-        SELECT doc_id, label, TRUE AS same_prediction FROM sides WHERE split = 'test'""",
+    "model_reload_predict": _SAME_PREDICTIONS,
+    "score_from_artifacts": _SAME_PREDICTIONS,
 }

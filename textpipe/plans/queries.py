@@ -377,9 +377,16 @@ def _finished_run(spark: SparkSession, sf_dir: str) -> tuple[PipelineConfig, Dat
 
 
 def score_from_artifacts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Test predictions from the stored split, vectorizer and classifier of a run."""
-    cfg, _ = _finished_run(spark, sf_dir)
-    return stages.score(spark, cfg).select("doc_id", "label", "prediction")
+    """Score the stored test side with the stored vectorizer and classifier, and tell for each
+    document whether the process that fitted them predicts the same."""
+    cfg = PipelineConfig(base=scratch_path(spark, "run"))
+    stages.land(corpus(spark, sf_dir), cfg)
+    stages.prepare(spark, cfg)
+    _, train, test = stages.featurize(spark, cfg)
+    fitted = classify.predict(stages.train(train, cfg), test)
+    fitted = fitted.select("doc_id", F.col("prediction").alias("fitted"))
+    same = (F.col("prediction") == F.col("fitted")).alias("same_prediction")
+    return stages.score(spark, cfg).join(fitted, "doc_id").select("doc_id", "label", same)
 
 
 def end_to_end_run(spark: SparkSession, sf_dir: str) -> DataFrame:
