@@ -6,7 +6,9 @@ from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
+from textpipe.sources import local
 from textpipe.sources.corpus import (
     cells_span_lines,
     land_corpus,
@@ -138,6 +140,21 @@ def test_spread_moves_only_small_scans(spark, tmp_path):
     assert spread(wide) is wide
 
 
+def test_broadcast_is_behind_a_check_of_the_size(spark, monkeypatch):
+    monkeypatch.setattr(local, "BROADCAST_ROWS", 10)
+    schema = StructType([StructField("id", LongType()), StructField("name", StringType())])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for n, node in ((10, "BroadcastHashJoin"), (11, "SortMergeJoin")):
+            table = local.local_table(spark, [(i, str(i)) for i in range(n)], schema)
+            joined = spark.range(20).join(local.broadcast_if_small(table), "id")
+            plan = joined._jdf.queryExecution().executedPlan().toString()
+            assert node in plan and "LocalTableScan" in plan and joined.count() == n
+        assert local.local_table(spark, [], schema).count() == 0
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def session(shared=None, checkpoint_dir=None, master="local[2]"):
     conf = SimpleNamespace(get=lambda name, default: shared or default)
     context = SimpleNamespace(getCheckpointDir=lambda: checkpoint_dir, master=master)

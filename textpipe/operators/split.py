@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from textpipe.sources.local import local_table
+from textpipe.sources.local import broadcast_if_small, local_table
 
 PREFIX_DIGITS = 3
 HASH_DIGITS = 32
@@ -171,8 +171,7 @@ def _inside(hashed: DataFrame, cuts: dict[object, _Boundary]) -> DataFrame:
     )
     rows = [(label, cut.prefix, cut.rank) for label, cut in cuts.items()]
     prefixes = local_table(hashed.sparkSession, rows, schema)
-    # One row per class: classes are few by the nature of a label.
-    return hashed.join(F.broadcast(prefixes), "label").filter(
+    return hashed.join(broadcast_if_small(prefixes), "label").filter(
         F.startswith(F.col("hash"), F.col("open_prefix"))
     )
 
@@ -230,7 +229,7 @@ def assign_split(
         ]
     )
     rows = [(c.label, c.cut_hash, c.cut_key) for c in cuts if c.cut_hash is not None]
-    table = F.broadcast(local_table(df.sparkSession, rows, schema))
+    table = broadcast_if_small(local_table(df.sparkSession, rows, schema))
     place, cut = F.struct(split_hash(key, seed), F.col(key)), F.struct("cut_hash", "cut_key")
     # A class without a cut has no train rows.
     side = F.when(F.col("cut_hash").isNotNull() & (place <= cut), "train").otherwise("test")

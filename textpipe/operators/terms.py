@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from textpipe.functions.text import tokens
+from textpipe.sources.local import broadcast_if_small
 
 
 def _sorted_tokens(docs: DataFrame, text: str, *keep: str) -> DataFrame:
@@ -87,8 +88,5 @@ def index_terms(vocabulary: DataFrame) -> DataFrame:
 
 
 def lookup_terms(frequencies: DataFrame, vocabulary: DataFrame) -> DataFrame:
-    """Replace terms by vocabulary entries; terms outside the vocabulary are dropped.
-
-    The vocabulary is broadcast: it has at most ``max_features`` rows.
-    """
-    return frequencies.join(F.broadcast(vocabulary), "term")
+    """Replace terms by vocabulary entries; terms outside the vocabulary are dropped."""
+    return frequencies.join(broadcast_if_small(vocabulary), "term")

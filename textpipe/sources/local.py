@@ -1,4 +1,4 @@
-"""Small driver-side tables."""
+"""Small driver-side tables and their broadcast."""
 
 from __future__ import annotations
 
@@ -6,9 +6,24 @@ from collections.abc import Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
+# Rows that are small enough to be sent to every executor without asking Catalyst.
+BROADCAST_ROWS = 100_000
+
+
+def broadcast_if_small(table: DataFrame) -> DataFrame:
+    """Hint a broadcast after a look at the number of rows.
+
+    A longer table gets no hint: Catalyst then joins by its size, and adaptive execution splits
+    skewed partitions.
+    """
+    if table.limit(BROADCAST_ROWS + 1).count() > BROADCAST_ROWS:
+        return table
+    return F.broadcast(table)
+
 
 def local_table(spark: SparkSession, rows: Sequence[tuple], schema: StructType) -> DataFrame:
     """A few rows as a local relation.
