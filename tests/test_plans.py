@@ -79,6 +79,21 @@ def test_prepare_any_raw_path_without_ids(spark, tmp_path):
     assert split.count() == 120 == split.select("doc_id").distinct().count()
 
 
+@pytest.mark.parametrize("raw_format", ["parquet", "csv"])
+def test_repeated_ids_are_replaced(spark, tmp_path, caplog, raw_format):
+    """A third of the rows, and all of one class, share an id."""
+    cfg = PipelineConfig(base=str(tmp_path), raw_format=raw_format)
+    rows = [(text, label, i if label else 0) for i, (text, label) in enumerate(map(tuple, news(spark).collect()))]
+    stages.land(spark.createDataFrame(rows, "text string, label int, doc_id long"), cfg)
+    with caplog.at_level(logging.WARNING, logger="textpipe"):
+        stages.prepare(spark, cfg)
+    assert len(caplog.messages) == 1 and "doc_id repeats its values" in caplog.messages[0]
+    split = spark.read.parquet(cfg.split_path)
+    assert split.select("doc_id").distinct().count() == 120
+    sizes = {(r.split, r.label): r["count"] for r in split.groupBy("split", "label").count().collect()}
+    assert sizes == {(s, c): n for s, n in (("train", 24), ("test", 6)) for c in range(4)}
+
+
 def test_runs_are_summarized(spark, tmp_path):
     cfg = PipelineConfig(base=str(tmp_path))
     report = run(spark, news(spark), cfg)

@@ -25,6 +25,13 @@ HASH_DIGITS = 32
 RANK_LIMIT = 100_000
 
 
+class RepeatedKeys(ValueError):
+    """Rows with the same key would have to go to different sides."""
+
+    def __init__(self, key: str):
+        super().__init__(f"Column {key} repeats its values; the split needs one key per row")
+
+
 def split_hash(key: Column | str, seed: int = 42) -> Column:
     """The seeded place of a row inside its class."""
     key = F.col(key) if isinstance(key, str) else key
@@ -132,10 +139,10 @@ def find_cuts(
         digits = min(digits + PREFIX_DIGITS, HASH_DIGITS)
         open_cuts = _follow(hashed, open_cuts, digits)
     if any(b.n_rows > rank_limit for b in open_cuts.values()):
-        raise ValueError(f"Column {key} repeats its values; the split needs one key per row")
+        raise RepeatedKeys(key)
     last = _last_train_rows(hashed, open_cuts)
     if last.keys() != open_cuts.keys():
-        raise ValueError(f"Column {key} repeats its values; the split needs one key per row")
+        raise RepeatedKeys(key)
     return [
         ClassCut(row.label, row.n_rows, row.n_train, *last.get(row.label, (None, None)))
         for row in rows

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from textpipe.config import PipelineConfig
 from textpipe.functions.labels import label_name
 from textpipe.operators import classify, metrics
-from textpipe.operators.split import assign_split, find_cuts
+from textpipe.operators.split import RepeatedKeys, assign_split, find_cuts
 from textpipe.operators.validate import (
     observe_text,
     require_text,
@@ -48,9 +48,14 @@ def prepare(spark: SparkSession, cfg: PipelineConfig, raw_path: str | None = Non
     if cfg.raw_format != "parquet" or "doc_id" not in raw.columns:
         # The search for the cuts scans keys and labels a few times: give it a table of columns,
         # and ids that stay the same.
-        land_corpus(raw, cfg.keyed_path)
-        raw = scan_corpus(spark, cfg.keyed_path)
-    cuts = find_cuts(raw, test_size=cfg.test_size, seed=cfg.seed)
+        raw = _store_keyed(raw, cfg)
+    try:
+        cuts = find_cuts(raw, test_size=cfg.test_size, seed=cfg.seed)
+    except RepeatedKeys as error:
+        logger.warning("%s: making new ids", error)
+        raw = scan_corpus(spark, raw_path or cfg.raw_path, cfg.raw_format).drop("doc_id")
+        raw = _store_keyed(raw, cfg)
+        cuts = find_cuts(raw, test_size=cfg.test_size, seed=cfg.seed)
     assigned = assign_split(spread(raw), cuts, seed=cfg.seed)
     # The text check only warns, so it rides on the pass that writes the texts.
     observed, quality = observe_text(assigned.select("doc_id", "text", "label", "split"))
@@ -60,6 +65,11 @@ def prepare(spark: SparkSession, cfg: PipelineConfig, raw_path: str | None = Non
     return cfg.split_path
 
 
+def _store_keyed(raw: DataFrame, cfg: PipelineConfig) -> DataFrame:
+    land_corpus(raw, cfg.keyed_path)
+    return scan_corpus(raw.sparkSession, cfg.keyed_path)
+
+
 def named_labels(split: DataFrame, cfg: PipelineConfig) -> DataFrame:
     """The table with the topic name of each label."""
     return split.withColumn("label_name", label_name("label", cfg.label_names))
