@@ -5,9 +5,12 @@ from __future__ import annotations
 from types import SimpleNamespace
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
+from textpipe.functions.text import NA_TOKENS
 from textpipe.sources import local
 from textpipe.sources.corpus import (
     cells_span_lines,
@@ -43,6 +46,16 @@ def test_csv_round_trip(spark, tmp_path):
     assert sorted(map(tuple, back.collect())) == rows
 
 
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.text(alphabet="aN\",\n\r \\\t'é\u00a0#", min_size=1, max_size=12), min_size=20, max_size=60))
+def test_csv_round_trip_property(spark, texts):
+    rows = [(i, text, i % 4) for i, text in enumerate(texts)]
+    path = scratch_path(spark, "csv")
+    write_csv(spark.createDataFrame(rows, "doc_id long, text string, label int"), path)
+    expected = [(i, None if text in NA_TOKENS else text, label) for i, text, label in rows]
+    assert sorted(map(tuple, scan_csv(spark, path).collect())) == expected
+
+
 def test_csv_binds_by_name_and_reads_na(spark, tmp_path):
     path = tmp_path / "raw.csv"
     path.write_text('label,text\n0,NA\n1,""\n2,\n3,"a ""b"", c\nd"\n,"   "\n', encoding="utf-8")
