@@ -62,9 +62,13 @@ def test_pairs_share_a_key():
     rng = np.random.default_rng(3)
     masks = simhash.blocks(4)
     assert sum(masks) == 2**64 - 1 and len(masks) == 6
-    for _ in range(200):
-        flipped = sum(1 << int(b) for b in rng.choice(64, 4, replace=False))
-        assert sum(not flipped & m for m in masks) >= 2
+    one = rng.integers(1 << 63, size=500, dtype=np.uint64)
+    flips = [sum(1 << int(b) for b in rng.choice(64, 4, replace=False)) for _ in one]
+    assert all(sum(not f & m for m in masks) >= 2 for f in flips)
+    left = simhash.coordinate_keys(one)
+    right = simhash.coordinate_keys(one ^ np.array(flips, dtype=np.uint64))
+    assert (left == right).any(axis=1).all()
+    assert len(np.unique(left)) > 0.99 * left.size
 
 
 def test_odd_rows(spark, odd):

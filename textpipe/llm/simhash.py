@@ -19,7 +19,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
@@ -82,19 +82,36 @@ def pivots(n: int = PIVOTS) -> list[int]:
     return [xxh64_intdigest(b"%d" % k, SEED) for k in range(n)]
 
 
-def _signed(x: int) -> int:
-    return x - (1 << 64) if x >> 63 else x
+def coordinate_keys(fps: np.ndarray, max_bits: int = MAX_BITS, n_pivots: int = PIVOTS) -> np.ndarray:
+    """For each fingerprint a row with one number for each pair of blocks.
 
-
-def coordinate_keys(fp: Column, max_bits: int = MAX_BITS, n_pivots: int = PIVOTS) -> Column:
-    """One number per pair of blocks: equal wherever the coordinates of both blocks are."""
+    It is equal wherever the coordinates of both blocks are: the distances within the block to
+    every pivot, summed up with odd multipliers.
+    """
+    reference = np.array(pivots(n_pivots), dtype=np.uint64)
+    weights = np.array([xxh64_intdigest(b"weight %d" % k, SEED) | 1 for k in range(n_pivots)], np.uint64)
     rows = []
-    for mask in blocks(max_bits):
-        part = fp.bitwiseAND(F.lit(_signed(mask)))
-        distances = [F.bit_count(part.bitwiseXOR(F.lit(_signed(p & mask)))) for p in pivots(n_pivots)]
-        rows.append(F.xxhash64(*distances))
-    pairs = combinations(range(len(rows)), 2)
-    return F.array(*[F.xxhash64(F.lit(k), rows[a], rows[b]) for k, (a, b) in enumerate(pairs)])
+    for mask in map(np.uint64, blocks(max_bits)):
+        distances = np.bitwise_count((fps & mask)[:, None] ^ (reference & mask)[None, :])
+        rows.append((distances.astype(np.uint64) * weights).sum(axis=1, dtype=np.uint64))
+    keys = [
+        (rows[a] * np.uint64(2 * k + 3) ^ (rows[b] >> np.uint64(7)) ^ (rows[b] << np.uint64(57)))
+        * np.uint64(xxh64_intdigest(b"pair %d" % k, SEED) | 1)
+        for k, (a, b) in enumerate(combinations(range(len(rows)), 2))
+    ]
+    return np.stack(keys, axis=1).view(np.int64)
+
+
+def _keyed(max_bits: int, n_pivots: int):
+    def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in rows:
+            fps = np.array(batch.column("fp").to_numpy(zero_copy_only=False), dtype=np.int64)
+            keys = coordinate_keys(fps.view(np.uint64), max_bits, n_pivots)
+            yield pa.record_batch(
+                {"fp": pa.array(np.repeat(fps, keys.shape[1])), "key": pa.array(keys.ravel())}
+            )
+
+    return batches
 
 
 def _roots(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
@@ -174,7 +191,7 @@ def _links(max_bits: int, n_pivots: int):
 def links(nodes: DataFrame, max_bits: int = MAX_BITS, n_pivots: int = PIVOTS) -> DataFrame:
     """Pairs ``x``, ``y`` that connect all fingerprints ``fp`` at most ``max_bits`` bits apart."""
     met = materialize(
-        nodes.select("fp", F.explode(coordinate_keys(F.col("fp"), max_bits, n_pivots)).alias("key")),
+        nodes.select("fp").mapInArrow(_keyed(max_bits, n_pivots), "fp bigint, key bigint"),
         "keys",
     )
     size = met.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
