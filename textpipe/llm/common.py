@@ -92,3 +92,14 @@ def code_points(texts: Sequence[str], gap: int) -> tuple[np.ndarray, np.ndarray,
     at = np.flatnonzero(kept)
     out[at + shift] = kept[at]
     return out, begin, lengths
+
+
+BROADCAST_BYTES = 32 << 20
+
+
+def broadcast_if(written: DataFrame, row_bytes: int) -> DataFrame:
+    """A written table of numbers with a broadcast hint, if its rows are few enough for one.
+
+    Its size is known from the number of rows. A longer table is joined by shuffle.
+    """
+    return F.broadcast(written) if written.count() * row_bytes <= BROADCAST_BYTES else written
