@@ -1,0 +1,134 @@
+"""Decontamination against brute force, recall under edits, odd rows."""
+
+from __future__ import annotations
+
+import random
+import re
+
+import numpy as np
+from conftest_llm import SF
+
+from textpipe.llm import decontaminate
+from textpipe.llm.decontaminate import Index, Search, myers, search
+from textpipe.llm.queries import QUERIES
+
+
+def normal(text: str) -> str:
+    return " ".join(re.findall(r"[^\W_]+", (text or "").lower()))
+
+
+def substring_distance(pattern: str, text: str) -> int:
+    """Least edit distance to any substring, by the whole matrix."""
+    row = np.arange(len(pattern) + 1)
+    symbols = np.array([ord(c) for c in pattern])
+    best = row[-1]
+    steps = np.arange(len(pattern) + 1)
+    for c in text:
+        change = np.concatenate(([0], np.minimum(row[:-1] + (symbols != ord(c)), row[1:] + 1)))
+        row = np.minimum.accumulate(change - steps) + steps
+        best = min(best, row[-1])
+    return int(best)
+
+
+def edited(text: str, n: int, rng: random.Random) -> str:
+    letters = list(text)
+    for _ in range(n):
+        at = rng.randrange(len(letters))
+        kind = rng.randrange(3)
+        if kind == 0:
+            letters[at] = rng.choice("etaoin")
+        elif kind == 1:
+            del letters[at]
+        else:
+            letters.insert(at, rng.choice("etaoin "))
+    return "".join(letters)
+
+
+def test_edit_distance():
+    rng = random.Random(1)
+    for _ in range(60):
+        pattern = "".join(rng.choice("abc ") for _ in range(rng.randrange(1, 90)))
+        text = "".join(rng.choice("abc ") for _ in range(rng.randrange(0, 120)))
+        codes = [np.array([ord(c) for c in s], dtype=np.uint32) for s in (pattern, text)]
+        assert myers(*codes)[0] == substring_distance(pattern, text)
+
+
+def test_query_against_brute_force(spark):
+    """No item is reported that is not there, and all that are whole or nearly so are."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").collect()
+    items = spark.read.parquet(f"{SF}/benchmark.parquet").collect()
+    got = {(r.doc_id, r.item_id): r.distance for r in QUERIES["op2_decontamination"](spark, SF).collect()}
+    texts = {d.doc_id: normal(d.text) for d in docs}
+    wanted = {i.item_id: normal(i.text) for i in items}
+    exact = {(d, i) for d, t in texts.items() for i, w in wanted.items() if w in t}
+    assert exact and {pair for pair, n in got.items() if n == 0} == exact
+    for (d, i), n in got.items():
+        assert n == substring_distance(wanted[i], texts[d]) <= 0.1 * len(wanted[i])
+    # Brute force over the contaminated documents and a share of the others.
+    for d in sorted({d for d, _ in exact})[:6] + [k for k in texts if len(texts[k]) < 900][:12]:
+        for i, w in wanted.items():
+            assert (substring_distance(w, texts[d]) <= int(0.1 * len(w))) == ((d, i) in got)
+
+
+def test_recall_under_edits(spark):
+    """Items at half of the allowed distance and more, hidden in prose."""
+    rng = random.Random(5)
+    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    prose = [r.text for r in spark.read.parquet(f"{SF}/documents.parquet").limit(200).collect()]
+    index = Index(items, Search())
+    texts, truth = [], []
+    for k in range(200):
+        item, text = items[k % len(items)]
+        size = len(normal(text))
+        hidden = edited(text, rng.randrange(size // 20, size // 10), rng)
+        host = prose[k].split(" ")
+        at = rng.randrange(len(host))
+        texts.append(" ".join([*host[:at], hidden, *host[at:]]))
+        truth.append((k, item, substring_distance(normal(text), normal(texts[-1])) <= int(0.1 * size)))
+    found = {(k, item) for k, item, _, _ in search(index, texts)}
+    near = [(k, item) for k, item, held in truth if held]
+    assert len(near) > 150
+    recall = sum(pair in found for pair in near) / len(near)
+    assert recall >= 0.9, recall
+
+
+def test_short_items_and_blocks(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "BLOCK_CHARACTERS", 60)
+    items = spark.createDataFrame(
+        [
+            (1, "Tiny item"),
+            (2, "tiny ITEM!"),
+            (3, "a medium one of just about fifty characters, no more"),
+            (4, None),
+            (None, "no id"),
+            (5, "..."),
+        ],
+        "item_id int, text string",
+    )
+    docs = spark.createDataFrame(
+        [
+            (10, "there is a tiny, item here"),
+            (11, "destiny items"),
+            (12, "this is a medium one of just abuot fifty characters no more words"),
+            (13, None),
+        ],
+        "doc_id bigint, text string",
+    )
+    got = {(r.doc_id, r.item_id) for r in decontaminate.matches(docs, items).collect()}
+    assert got == {(10, 1), (10, 2), (12, 3)}
+    kept = decontaminate.clean(docs, items)
+    assert sorted(r.doc_id for r in kept.collect()) == [11, 13]
+    assert decontaminate.matches(docs, items.limit(0)).count() == 0
+    assert decontaminate.clean(docs, items.limit(0)).count() == 4
+
+
+def test_odd_rows(spark, odd):
+    items = spark.createDataFrame(
+        [(1, "word5 word6 word7 word8 word9 word10 word11 word12 word13 word14 word15")], "item_id bigint, text string"
+    )
+    got = decontaminate.matches(odd, items).collect()
+    assert sorted(r.doc_id for r in got) == [5, 6] and {r.distance for r in got} == {0}
+    kept = decontaminate.clean(odd, items)
+    assert kept.columns == odd.columns and kept.count() == odd.count() - 2
+    assert decontaminate.matches(odd.limit(0), items).count() == 0
+    assert decontaminate.clean(odd.limit(0), items).count() == 0

@@ -1,0 +1,108 @@
+"""The toxicity classifier: features against plain Python, held-out accuracy, odd rows."""
+
+from __future__ import annotations
+
+import math
+
+import numpy as np
+import pytest
+from conftest_llm import SF
+
+from textpipe.llm import toxicity
+from textpipe.llm.queries import QUERIES
+
+MEDIUM = "/root/testdata/sf0.1"
+
+
+def plain_buckets(text: str) -> set[int]:
+    """Buckets of a text, one n-gram at a time."""
+    import re
+
+    words = re.findall(r"[^\W_]+", text.lower())
+    codes = [ord(c) for c in " ".join(words)]
+    lead = re.match(r"[\W_]+(?=[^\W_])", text)
+    assert not lead
+    padded = codes + [0] * toxicity.LONGEST
+    found = set()
+    mask = (1 << 32) - 1
+    for start in range(len(codes)):
+        rolled = padded[start]
+        for n in range(2, toxicity.LONGEST + 1):
+            rolled = (rolled * 0x9E3779B1 + padded[start + n - 1]) & mask
+            if n >= toxicity.SHORTEST:
+                mixed = ((rolled ^ (rolled >> 15)) * 0x9E3779B1 + n) & mask
+                found.add(((mixed * 0x9E3779B1) & mask) >> (32 - toxicity.BUCKET_BITS))
+    return found
+
+
+def test_features_of_whole_texts():
+    texts = ["You are a Clown!", "", "naïve -- Ünïcode 12", "ab", "x" * 5000 + " tail end", "last one"]
+    got: dict[int, set[int]] = {k: set() for k in range(len(texts))}
+    for rows, buckets in toxicity.present(texts):
+        for row, bucket in zip(rows.tolist(), buckets.tolist()):
+            assert bucket not in got[row]
+            got[row].add(bucket)
+    assert got == {k: plain_buckets(t) for k, t in enumerate(texts)}
+
+
+def test_log_count_ratios():
+    import pandas as pd
+
+    counts = pd.DataFrame({"bucket": [1, 2, 3], "clean": [90, 10, 50], "toxic": [0, 40, 25]})
+    buckets, ratios = toxicity._clearest(counts, 100, 50)
+    expected = {
+        b: math.log(((t + 1) / (65 + 3)) / ((c + 1) / (150 + 3)))
+        for b, c, t in zip((1, 2, 3), (90, 10, 50), (0, 40, 25))
+    }
+    assert dict(zip(buckets.tolist(), ratios.tolist())) == pytest.approx(expected)
+    assert buckets[-1] == 3
+
+
+def test_held_out_accuracy(spark):
+    got = QUERIES["op1_toxicity"](spark, MEDIUM)
+    assert got.columns == ["doc_id", "held_out", "score", "predicted"]
+    labels = spark.read.parquet(f"{MEDIUM}/labels.parquet")
+    frame = got.join(labels, "doc_id").toPandas()
+    assert got.count() == 10_000
+    import zlib
+
+    assert (frame.held_out == [zlib.crc32(str(i).encode()) % 5 == 0 for i in frame.doc_id]).all()
+    held = frame[frame.held_out]
+    assert frame.score.between(0, 1).all() and ((frame.score >= 0.5) == (frame.predicted == 1)).all()
+    # A fifth of the toxic labels belong to texts without a toxic word.
+    assert (held.predicted == held.toxic).mean() > 0.96
+    clean = held[held.toxic == 0]
+    assert clean.predicted.mean() < 0.01
+    ranks = held.score.rank()
+    n1, n0 = (held.toxic == 1).sum(), (held.toxic == 0).sum()
+    auc = (ranks[held.toxic == 1].sum() - n1 * (n1 + 1) / 2) / (n1 * n0)
+    assert auc > 0.85
+
+
+def test_scores_do_not_see_other_columns(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    model = toxicity.fit(docs, labels)
+    one = docs.limit(1).select("text")
+    from pyspark.sql import functions as F
+
+    other = one.select("text", F.lit(-7).alias("doc_id"), F.lit("xx").alias("lang"))
+    scores = [d.select(model.score()).first()[0] for d in (one, other)]
+    assert scores[0] == scores[1]
+
+
+def test_odd_rows(spark, odd):
+    labels = spark.createDataFrame(
+        [(1, 1), (1, 0), (5, 0), (6, 0), (8, None), (None, 1), (77, 1), (9, 3)], "doc_id bigint, toxic int"
+    )
+    model = toxicity.fit(odd, labels)
+    scores = [r[0] for r in odd.select(model.score()).collect()]
+    assert len(scores) == odd.count() and all(0 <= s <= 1 for s in scores)
+    # Null, empty and blank texts have no n-gram.
+    empty = 1 / (1 + math.exp(-model.intercept))
+    assert np.isclose(scores, empty).sum() >= 4
+    one_class = toxicity.fit(odd, labels.filter("toxic = 0"))
+    assert len(one_class.buckets) == 0 and one_class.intercept < 0
+    nothing = toxicity.fit(odd.limit(0), labels.limit(0))
+    assert odd.filter(nothing.score() < 0.5).count() == odd.count()
+    assert odd.limit(0).filter(model.score() < 0.5).count() == 0

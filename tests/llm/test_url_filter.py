@@ -1,0 +1,104 @@
+"""URL filters: parts and rules against plain Python, the tree on planted hosts, odd rows."""
+
+from __future__ import annotations
+
+from conftest_llm import SF
+
+from textpipe.llm import url_filter
+from textpipe.llm.queries import QUERIES, URL_RULES
+from textpipe.llm.url_filter import Tree, filter_urls, judged
+
+
+def plain_parts(url: str | None) -> tuple[str, str]:
+    if url is None or "://" not in url:
+        return "", ""
+    rest = url.split("://", 1)[1]
+    end = min([rest.find(c) for c in "/?#" if c in rest], default=len(rest))
+    host = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in rest[:end])
+    path = rest[end:]
+    return host, path[: min([path.find(c) for c in "?#" if c in path], default=len(path))]
+
+
+def plain_rule(host: str, path: str) -> tuple[str, str] | None:
+    fits = [r for r in URL_RULES if (host == r[0] or host.endswith("." + r[0])) and path.startswith(r[1])]
+    best = max(fits, key=lambda r: len(r[0] + r[1]), default=None)
+    return best and (best[0] + best[1], best[2])
+
+
+URLS = [
+    None, "", "no scheme/org/", "http://", "HTTP://Example.ORG/en/1x?a://b", "https://a.example.org", "x://org/",
+    "x://org?/", "x://notorg/", "x://a.com/de", "x://a.com/de/", "x://a.com/fr/#/de/", "x://É.Com/fr/",
+    "x://a.com?x=/fr/", "a\nb://line.org/\nx", "x://example.org/es/1", "x://sub.example.org/es/", "x://y.org//", "://org/a",
+]
+
+
+def test_parts_and_rules(spark):
+    pages = spark.createDataFrame(list(enumerate(URLS)), "page_id bigint, url string")
+    got = filter_urls(pages, URL_RULES).collect()
+    assert len(got) == len(URLS)
+    for r in got:
+        host, path = plain_parts(URLS[r.page_id])
+        assert (r.host, r.path) == (host, path)
+        rule = plain_rule(host, path)
+        assert r.rule == (rule and rule[0])
+        assert r.verdict == rule[1] if rule else r.verdict in ("allow", "block")
+
+
+def test_query(spark):
+    pages = {r.page_id: r.url for r in spark.read.parquet(f"{SF}/pages.parquet").collect()}
+    got = QUERIES["op3_url_filter"](spark, SF)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert not any(x in plan for x in ("Python", "Pandas", "Arrow", "Cartesian"))
+    rows = got.collect()
+    assert {r.page_id for r in rows} == set(pages) and len(rows) == len(pages)
+    for r in rows:
+        assert (r.host, r.path) == plain_parts(pages[r.page_id])
+        rule = plain_rule(r.host, r.path)
+        assert r.rule == (rule and rule[0])
+        if rule:
+            assert r.verdict == rule[1]
+
+
+def test_tree(spark):
+    rows = []
+    for k in range(200):
+        # Under /shop all is blocked, under /news nothing; ids vary; /mix is half and half.
+        rows += [("h.net", f"/shop/{k}", True), ("h.net", f"/news/{k}/full", False)]
+        rows += [("h.net", f"/mix/a{k % 2}/{k}", k % 4 < 2), ("h.net", f"/open/{k}", None)]
+    rows += [("h.net", "/shop/new", None), ("h.net", "/shop/", None), ("h.net", "/rare", None), ("other.net", "/shop/1", None)]
+    urls = spark.createDataFrame(rows, "host string, path string, blocked boolean")
+    got = {(r.host, r.path): r for r in judged(urls).collect()}
+    assert got["h.net", "/shop/new"].template == "h.net/shop/*"
+    assert got["h.net", "/shop/new"].purity > 0.98
+    assert got["h.net", "/shop/"].template == "h.net/shop"
+    assert got["h.net", "/news/3/full"].template == "h.net/news/*/full"
+    assert got["h.net", "/news/3/full"].purity < 0.02
+    # Branches without labels take what is known above, and so do other hosts.
+    assert 0.2 < got["h.net", "/open/3"].purity < 0.8
+    assert got["h.net", "/rare"].template == "h.net/*"
+    assert 0.2 < got["other.net", "/shop/1"].purity < 0.8
+    # a0 and a1 do not differ in their shares: both have that of all of them.
+    assert got["h.net", "/mix/a0/0"].template.startswith("h.net/mix/a0")
+    assert abs(got["h.net", "/mix/a0/0"].purity - got["h.net", "/mix/a1/1"].purity) < 1e-9
+
+
+def test_similar_branches_are_pooled(spark):
+    rows = [("h.net", f"/a/{k}", k % 3 == 0) for k in range(90)]
+    rows += [("h.net", f"/b/{k}", k % 3 == 0 and k > 5) for k in range(90)]
+    rows += [("h.net", f"/c/{k}", True) for k in range(90)]
+    urls = spark.createDataFrame(rows, "host string, path string, blocked boolean")
+    got = {r.path: r.purity for r in judged(urls, Tree(depth=1)).collect()}
+    assert got["/a/1"] == got["/b/1"] < 0.4 < 0.95 < got["/c/1"]
+
+
+def test_odd_rows(spark):
+    pages = spark.createDataFrame(
+        [(1, None, 1, "a"), (1, None, 1, "a"), (None, "http://a.org/" + "x/" * 20_000, 2, "b"), (2, "http://B.net", 3, None)],
+        "page_id bigint, url string, verdict int, node string",
+    )
+    got = filter_urls(pages, URL_RULES)
+    assert got.columns == ["page_id", "host", "path", "rule", "verdict", "template", "purity"]
+    rows = got.collect()
+    assert len(rows) == 4 and {r.host for r in rows} == {"", "a.org", "b.net"}
+    assert filter_urls(pages.limit(0), URL_RULES).count() == 0
+    assert {r.verdict for r in filter_urls(pages, []).collect()} == {"allow"}

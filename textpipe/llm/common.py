@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import sys
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from functools import cache
 
 import numpy as np
@@ -62,6 +62,37 @@ def _letters() -> tuple[np.ndarray, np.ndarray]:
     )
 
 
+@cache
+def spaces() -> np.ndarray:
+    """For each code point whether it is white space."""
+    return np.fromiter((chr(i).isspace() for i in range(sys.maxunicode + 1)), bool, sys.maxunicode + 1)
+
+
+@cache
+def symbol_numbers(seed: int) -> np.ndarray:
+    """A random number for each code point, the same for both cases of a letter."""
+    lower, _ = _letters()
+    return np.random.default_rng(seed).integers(1 << 64, size=sys.maxunicode + 1, dtype=np.uint64)[lower]
+
+
+def finished(x: np.ndarray) -> np.ndarray:
+    """Mix the bits of sums of products, whose low bits depend on little."""
+    x = (x ^ (x >> np.uint64(31))) * np.uint64(0x7FB5D329728EA185)
+    return (x ^ (x >> np.uint64(27))) * np.uint64(0x81DADEF4BC2DD44D)
+
+
+def chunks(texts: list[str], characters: int) -> Iterator[tuple[int, list[str]]]:
+    """Some texts at a time, so that memory does not follow the size of a batch."""
+    start, size = 0, 0
+    for k, text in enumerate(texts):
+        if size and size + len(text) > characters:
+            yield start, texts[start:k]
+            start, size = k, 0
+        size += len(text)
+    if texts:
+        yield start, texts[start:]
+
+
 def code_points(texts: Sequence[str], gap: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Lower-case words of the texts, one space between two, as one array of code points.
 

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from textpipe.llm.common import code_points, documents_of
+from textpipe.llm.common import chunks, code_points, documents_of
 
 BLOCK_CHARACTERS = 2_000_000
 _CHARACTERS_AT_ONCE = 1 << 21
@@ -236,15 +236,9 @@ def _search(index: Index, texts: list[str]) -> Iterator[tuple[int, int, int, int
 
 def search(index: Index, texts: list[str]) -> Iterator[tuple[int, int, int, int]]:
     """(text, item_id, distance, place of the end), some texts at a time."""
-    start, size = 0, 0
-    for k in range(len(texts) + 1):
-        if k == len(texts) or (size and size + len(texts[k]) > _CHARACTERS_AT_ONCE):
-            if k > start:
-                for owner, item, distance, end in _search(index, texts[start:k]):
-                    yield start + owner, index.ids[item], distance, end
-            start, size = k, 0
-        if k < len(texts):
-            size += len(texts[k])
+    for first, part in chunks(texts, _CHARACTERS_AT_ONCE):
+        for owner, item, distance, end in _search(index, part):
+            yield first + owner, index.ids[item], distance, end
 
 
 _built: dict[str, Index] = {}

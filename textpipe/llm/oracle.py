@@ -1,3 +1,166 @@
-"""DuckDB SQL for the queries that SQL can express."""
+"""DuckDB SQL for the queries that SQL can express.
 
-ORACLE: dict[str, str] = {}
+Without SQL are what a classifier has learned (1, 4), what is hashed, embedded or permuted by
+functions that DuckDB lacks (2, 6, 9, 10), and what tokenizers and a genetic algorithm make (8).
+Tests hold these against brute force.
+"""
+
+from __future__ import annotations
+
+from textpipe.llm.line_dedup import Rule
+from textpipe.llm.queries import URL_RULES
+from textpipe.llm.url_filter import Tree
+from textpipe.llm.warc import LEAST_BYTES
+
+WARC = f"""
+WITH pages_read AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
+digests AS (
+    SELECT page_id, strlen(payload) AS payload_bytes, sha1(payload) AS payload_digest,
+        max(page_id) OVER (PARTITION BY sha1(payload)) AS original
+    FROM pages_read
+), resolved AS (
+    SELECT *, payload_bytes >= {LEAST_BYTES} AND page_id IS DISTINCT FROM original
+        AND original IS NOT NULL AS repeats
+    FROM digests
+)
+SELECT page_id, payload_bytes, payload_digest,
+    CASE WHEN repeats THEN 'revisit' ELSE 'response' END AS record_type,
+    CASE WHEN repeats THEN original END AS refers_to
+FROM resolved
+"""
+
+
+def line_dedup_sql(rule: Rule = Rule()) -> str:
+    """All pairs of different lines whose lengths are near, by edit distance.
+
+    DuckDB's distance counts bytes, so the letters beyond ASCII are first replaced by control
+    characters.
+    """
+    return f"""
+WITH split AS (
+    SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
+        generate_subscripts(string_split(text, chr(10)), 1) - 1 AS pos
+    FROM documents
+), lines AS (
+    SELECT doc_id, line, pos::INTEGER AS pos FROM split WHERE length(line) >= {rule.least}
+), odd AS (
+    SELECT DISTINCT unnest(regexp_extract_all(line, '[^\\x00-\\x7F]')) AS letter FROM lines
+), numbered AS (
+    SELECT letter, row_number() OVER (ORDER BY letter)::INTEGER AS k FROM odd
+), letters AS (
+    SELECT coalesce(string_agg(letter, '' ORDER BY letter), '') AS old,
+        coalesce(string_agg(chr(CASE WHEN k <= 8 THEN k ELSE k + 5 END), '' ORDER BY letter), '') AS new
+    FROM numbered
+), classes AS (
+    SELECT line, length(line) AS size, translate(line, any_value(old), any_value(new)) AS plain,
+        min({{'doc': doc_id, 'pos': pos}}) AS first
+    FROM lines, letters GROUP BY line
+), near AS (
+    SELECT *, unnest(range(size - {rule.max_edits}, size + {rule.max_edits + 1})) AS other_size FROM classes
+), links AS (
+    SELECT a.line, count(*) AS n_links, min(b.first) AS earliest
+    FROM near a JOIN classes b ON b.size = a.other_size
+    WHERE a.line <> b.line AND levenshtein(a.plain, b.plain) <= {rule.max_edits}
+    GROUP BY a.line
+)
+SELECT doc_id, pos AS line, c.first.doc AS first_doc, c.first.pos AS first_line,
+    coalesce(n_links, 0) AS n_links,
+    c.first = {{'doc': doc_id, 'pos': pos}} AND (earliest IS NULL OR earliest > c.first) AS kept
+FROM lines l JOIN classes c ON c.line = l.line LEFT JOIN links k ON k.line = l.line
+"""
+
+
+def url_filter_sql(rules: list[tuple[str, str, str]], how: Tree = Tree()) -> str:
+    """The tree of templates, one group of tables for each level."""
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    said, found = ["CASE"], ["CASE"]
+    for host, path, verdict in sorted(rules, key=lambda r: -len(r[0] + r[1])):
+        fits = f"(host = '{host}' OR ends_with(host, '.{host}')) AND starts_with(path, '{path}')"
+        found.append(f"WHEN {fits} THEN '{host}{path}'")
+        said.append(f"WHEN {fits} THEN '{verdict}'")
+    s = how.smoothing
+    parts = [
+        f"""
+parts AS (
+    SELECT page_id, translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''),
+            '{upper}', '{upper.lower()}') AS host,
+        coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path
+    FROM pages
+), ruled AS (
+    SELECT *, {" ".join(found)} END AS rule, {" ".join(said)} END AS said FROM parts
+), urls AS (
+    SELECT *, said = 'block' AS blocked, list_filter(string_split(path, '/'), lambda x: x <> '') AS segments
+    FROM ruled
+), prior AS (
+    SELECT CASE WHEN count(blocked) > 0 THEN count_if(blocked) / count(blocked) ELSE 0 END AS p FROM urls
+), nodes0 AS (
+    SELECT host AS node, (count_if(blocked) + {s} * any_value(p)) / (count(blocked) + {s}) AS purity
+    FROM urls, prior GROUP BY host
+), at0 AS (
+    SELECT urls.*, host AS node, purity FROM urls JOIN nodes0 ON node = host
+)"""
+    ]
+    for k in range(how.depth):
+        parts.append(
+            f"""
+counts{k} AS (
+    SELECT node, segments[{k + 1}] AS segment, count(*) AS urls, count(blocked) AS n,
+        count_if(blocked) AS block
+    FROM at{k} WHERE len(segments) > {k} GROUP BY ALL
+), shares{k} AS (
+    SELECT *, sum(urls) OVER (PARTITION BY node) AS total FROM counts{k}
+), grouped{k} AS (
+    SELECT node, CASE WHEN urls >= {how.support} AND urls >= {how.share} * total THEN segment END AS segment,
+        sum(n) AS n, sum(block) AS block
+    FROM shares{k} GROUP BY ALL
+), judged{k} AS (
+    SELECT *, segment IS NOT NULL AND n > 0 AS judged,
+        CASE WHEN segment IS NOT NULL AND n > 0 THEN block / n END AS rate
+    FROM grouped{k}
+), lagged{k} AS (
+    SELECT *, lag(rate) OVER w AS last_rate, lag(n) OVER w AS last_n
+    FROM judged{k} WINDOW w AS (PARTITION BY node, judged ORDER BY rate, segment)
+), pooled{k} AS (
+    SELECT *, (rate * n + last_rate * last_n) / (n + last_n) AS pool FROM lagged{k}
+), apart{k} AS (
+    SELECT *, CASE WHEN judged AND rate - last_rate
+            > {how.similar} * sqrt(pool * (1 - pool) * (1 / n + 1 / last_n)) THEN 1 ELSE 0 END AS apart
+    FROM pooled{k}
+), sets{k} AS (
+    SELECT *, sum(apart) OVER (PARTITION BY node, judged ORDER BY rate, segment) AS number FROM apart{k}
+), branches{k} AS (
+    SELECT b.node, segment, b.node || '/' || coalesce(segment, '*') AS child,
+        ((CASE WHEN judged THEN sum(block) OVER (PARTITION BY b.node, judged, number) ELSE block END)
+            + {s} * purity)
+        / ((CASE WHEN judged THEN sum(n) OVER (PARTITION BY b.node, judged, number) ELSE n END) + {s})
+            AS child_purity
+    FROM sets{k} b JOIN nodes{k} USING (node)
+), nodes{k + 1} AS (
+    SELECT child AS node, child_purity AS purity FROM branches{k}
+), at{k + 1} AS (
+    SELECT a.* EXCLUDE (node, purity),
+        CASE WHEN len(segments) <= {k} THEN a.node ELSE coalesce(l.child, w.child) END AS node,
+        CASE WHEN len(segments) <= {k} THEN a.purity ELSE coalesce(l.child_purity, w.child_purity) END
+            AS purity
+    FROM at{k} a
+    LEFT JOIN branches{k} l ON l.node = a.node AND l.segment = a.segments[{k + 1}]
+    LEFT JOIN branches{k} w ON w.node = a.node AND w.segment IS NULL
+)"""
+        )
+    return (
+        "WITH "
+        + ",".join(parts)
+        + f"""
+SELECT page_id, host, path, rule,
+    coalesce(said, CASE WHEN purity >= {how.reject} THEN 'block' ELSE 'allow' END) AS verdict,
+    node AS template, round(purity, 6) AS purity
+FROM at{how.depth}
+"""
+    )
+
+
+ORACLE: dict[str, str] = {
+    "op3_url_filter": url_filter_sql(URL_RULES),
+    "op5_line_dedup": line_dedup_sql(),
+    "op7_warc": WARC,
+}

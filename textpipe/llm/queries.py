@@ -12,8 +12,10 @@ from textpipe.llm import (
     decontaminate,
     line_dedup,
     packing,
+    pii,
     quality_rules,
     simhash,
+    substring_dedup,
     toxicity,
     url_filter,
     warc,
@@ -34,6 +36,10 @@ URL_RULES = [
 ]
 
 
+# The key of the query; a user keeps their own.
+PII_KEY = b"key of the test tables"
+
+
 def vocabulary() -> str:
     """The file of the public byte-level vocabulary."""
     return public_tokenizers.path("byte_bpe_50k.json")
@@ -52,7 +58,8 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return url_filter.filter_urls(table(spark, sf_dir, "pages"), URL_RULES)
+    found = url_filter.filter_urls(table(spark, sf_dir, "pages"), URL_RULES)
+    return found.withColumn("purity", F.round("purity", 6))
 
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,6 +79,11 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substring_dedup.deduplicate(docs)
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "warc")
     return warc.deduplicate(table(spark, sf_dir, "pages"), path).select(
@@ -87,6 +99,10 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary())
 
 
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pseudonymize(table(spark, sf_dir, "documents").select("doc_id", "text"), PII_KEY)
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents")).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
@@ -101,8 +117,10 @@ QUERIES: dict[str, Query] = {
         op3_url_filter,
         op4_quality_rules,
         op5_line_dedup,
+        op6_substring_dedup,
         op7_warc,
         op8_packing,
+        op9_pii,
         op10_simhash,
     )
 }

@@ -24,7 +24,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textpipe.llm.common import code_points, materialize
+from textpipe.llm.common import chunks, code_points, materialize
 
 SHORTEST, LONGEST = 3, 5
 BUCKET_BITS = 18
@@ -38,18 +38,6 @@ _MULTIPLIER = np.uint32(0x9E3779B1)
 _CHARACTERS_AT_ONCE = 1 << 21
 
 
-def _chunks(texts: list[str]) -> Iterator[tuple[int, list[str]]]:
-    """Some texts at a time, so that memory does not follow the size of a batch."""
-    start, size = 0, 0
-    for k, text in enumerate(texts):
-        if size and size + len(text) > _CHARACTERS_AT_ONCE:
-            yield start, texts[start:k]
-            start, size = k, 0
-        size += len(text)
-    if texts:
-        yield start, texts[start:]
-
-
 def _buckets(codes: np.ndarray) -> Iterator[np.ndarray]:
     """The bucket of the n-gram that begins at each place, for every length."""
     shift = np.uint32(32 - BUCKET_BITS)
@@ -63,7 +51,7 @@ def _buckets(codes: np.ndarray) -> Iterator[np.ndarray]:
 
 def present(texts: list[str], wanted: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Pairs (place of the text, bucket), each once; only ``wanted`` buckets where given."""
-    for first, part in _chunks(texts):
+    for first, part in chunks(texts, _CHARACTERS_AT_ONCE):
         codes, begin, lengths = code_points(part, LONGEST)
         ends = begin + lengths
         found = []
