@@ -89,7 +89,7 @@ def test_clean(spark, odd):
     rows = [
         (3, "the first line of the page\nshort\nand another line of text here"),
         (1, "the first line of the page\nsome other line that stays\nshort"),
-        (2, "the first line of teh page\r\nand another line of text here.\n\nshort"),
+        (2, "the first line of te page\r\nand another line of text here.\n\nshort"),
         (None, "some other line that stays\nonly without an id it comes"),
         (4, None),
         (5, ""),
