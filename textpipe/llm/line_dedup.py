@@ -9,10 +9,10 @@ is one table of numbers, dealt by hash and sorted; equal lines are one before it
 
 Only lines that share a key with another line go on. The lines of a key are cut into tiles, and
 tiles are compared two by two inside a row: what leaves a tile pair is a count for each line, never
-a row for each pair. A pair is first held against a finer partition (all but ``max_edits`` of its
-segments must occur), and survivors are verified by a banded bit-parallel edit distance, which
-keeps one diagonal band of the matrix in the bits of a number. A pair that meets under several keys
-counts under its smallest one.
+a row for each pair. A pair that meets under several keys is looked at under its smallest one. Two
+numbers tell most pairs apart (the kinds of characters that occur an odd number of times), and the
+survivors are verified by a banded bit-parallel edit distance, which keeps one diagonal band of the
+matrix in the bits of a number.
 
 Everything is made of DataFrame functions.
 """
@@ -78,17 +78,21 @@ def segment_keys(line: Column, max_edits: int) -> list[Column]:
     return own + probes
 
 
-def _mostly_there(short: Column, long: Column, max_edits: int) -> Column:
-    """Whether all but ``max_edits`` of finer segments of one line occur near in the other."""
-    n = 3 * max_edits + 3
-    length = F.char_length(short)
-    found = F.lit(0)
-    for k in range(n):
-        begin, size = _segment(length, n, k)
-        low = F.greatest(begin - max_edits, F.lit(1))
-        near = F.substr(long, low, size + 2 * max_edits)
-        found = found + F.contains(near, F.substr(short, begin, size)).cast("int")
-    return found >= n - max_edits
+def parity(line: Column) -> Column:
+    """A bit for each kind of character that occurs an odd number of times.
+
+    An edit takes away one character, adds one, or both, so it changes two bits at most.
+    """
+    one = F.lit(1).cast("bigint")
+
+    def flip(bits: Column, c: Column) -> Column:
+        return bits.bitwiseXOR(F.call_function("shiftleft", one, F.pmod(F.hash(c), F.lit(64))))
+
+    return F.aggregate(_characters(line), F.lit(0).cast("bigint"), flip)
+
+
+def _characters(line: Column) -> Column:
+    return F.regexp_extract_all(line, F.lit("(?s)."), F.lit(0))
 
 
 def banded_distance(short: Column, long: Column, band: int) -> Column:
@@ -139,15 +143,16 @@ def banded_distance(short: Column, long: Column, band: int) -> Column:
 
 
 def _linked(x: Column, y: Column, max_edits: int) -> Column:
-    """Whether two lines (structs with line, size and characters) are near, cheap tests first."""
+    """Whether two lines (structs with line, size and parity) are near, cheap tests first."""
     swap = x["size"] > y["size"]
     short, long = F.when(swap, y["line"]).otherwise(x["line"]), F.when(swap, x["line"]).otherwise(y["line"])
-    few = F.when(swap, y["chars"]).otherwise(x["chars"])
-    many = F.when(swap, x["chars"]).otherwise(y["chars"])
+    both = F.struct(_characters(short).alias("short"), _characters(long).alias("long"))
+    # An array of one keeps the characters from being cut again at every step.
+    distance = F.transform(F.array(both), lambda p: banded_distance(p["short"], p["long"], max_edits))[0]
     return (
         (F.abs(x["size"] - y["size"]) <= max_edits)
-        & _mostly_there(short, long, max_edits)
-        & (banded_distance(few, many, max_edits) <= max_edits)
+        & (F.bit_count(x["parity"].bitwiseXOR(y["parity"])) <= 2 * max_edits)
+        & (distance <= max_edits)
     )
 
 
@@ -190,7 +195,7 @@ def line_links(docs: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
         "b",
         "line",
         F.char_length("line").alias("size"),
-        F.regexp_extract_all("line", F.lit("(?s)."), F.lit(0)).alias("chars"),
+        parity(F.col("line")).alias("parity"),
         "first",
         keys.alias("keys"),
     )
@@ -211,7 +216,7 @@ def line_links(docs: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
         def near(y: Column) -> Column:
             other = (x["a"] != y["a"]) | (x["b"] != y["b"])
             smallest = F.array_min(F.array_intersect(x["keys"], y["keys"])) == F.col("key")
-            return other & _linked(x, y, rule.max_edits) & smallest
+            return other & smallest & _linked(x, y, rule.max_edits)
 
         return F.struct(
             x["a"].alias("a"),
