@@ -92,9 +92,9 @@ parts AS (
     SELECT *, said = 'block' AS blocked, list_filter(string_split(path, '/'), lambda x: x <> '') AS segments
     FROM ruled
 ), prior AS (
-    SELECT CASE WHEN count(blocked) > 0 THEN count_if(blocked) / count(blocked) ELSE 0 END AS p FROM urls
+    SELECT CASE WHEN count(blocked) > 0 THEN count(*) FILTER (blocked) / count(blocked) ELSE 0 END AS p FROM urls
 ), nodes0 AS (
-    SELECT host AS node, (count_if(blocked) + {s} * any_value(p)) / (count(blocked) + {s}) AS purity
+    SELECT host AS node, (count(*) FILTER (blocked) + {s} * any_value(p)) / (count(blocked) + {s}) AS purity
     FROM urls, prior GROUP BY host
 ), at0 AS (
     SELECT urls.*, host AS node, purity FROM urls JOIN nodes0 ON node = host
@@ -105,7 +105,7 @@ parts AS (
             f"""
 counts{k} AS (
     SELECT node, segments[{k + 1}] AS segment, count(*) AS urls, count(blocked) AS n,
-        count_if(blocked) AS block
+        count(*) FILTER (blocked) AS block
     FROM at{k} WHERE len(segments) > {k} GROUP BY ALL
 ), shares{k} AS (
     SELECT *, sum(urls) OVER (PARTITION BY node) AS total FROM counts{k}
