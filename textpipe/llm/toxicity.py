@@ -29,7 +29,7 @@ from textpipe.llm.common import chunks, code_points, materialize
 SHORTEST, LONGEST = 3, 5
 BUCKET_BITS = 18
 MAX_ROWS = 6_000
-MAX_FEATURES = 8_192
+MAX_FEATURES = 1_024
 LEAST_COUNT = 5
 SMOOTHING = 1.0
 PENALTY = 1e-3
