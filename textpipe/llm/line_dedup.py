@@ -142,18 +142,21 @@ def banded_distance(short: Column, long: Column, band: int) -> Column:
     return F.when(n == 0, m).otherwise(F.aggregate(F.sequence(F.lit(1), n), start, step)["d"])
 
 
+def _maybe(x: Column, y: Column, max_edits: int) -> Column:
+    """What two near lines (structs with size and parity) have in common, for next to no work."""
+    return (F.abs(x["size"] - y["size"]) <= max_edits) & (
+        F.bit_count(x["parity"].bitwiseXOR(y["parity"])) <= 2 * max_edits
+    )
+
+
 def _linked(x: Column, y: Column, max_edits: int) -> Column:
-    """Whether two lines (structs with line, size and parity) are near, cheap tests first."""
+    """Whether two lines are near, by their distance."""
     swap = x["size"] > y["size"]
     short, long = F.when(swap, y["line"]).otherwise(x["line"]), F.when(swap, x["line"]).otherwise(y["line"])
     both = F.struct(_characters(short).alias("short"), _characters(long).alias("long"))
     # An array of one keeps the characters from being cut again at every step.
     distance = F.transform(F.array(both), lambda p: banded_distance(p["short"], p["long"], max_edits))[0]
-    return (
-        (F.abs(x["size"] - y["size"]) <= max_edits)
-        & (F.bit_count(x["parity"].bitwiseXOR(y["parity"])) <= 2 * max_edits)
-        & (distance <= max_edits)
-    )
+    return distance <= max_edits
 
 
 def _classes(docs: DataFrame, rule: Rule) -> DataFrame:
@@ -216,7 +219,7 @@ def line_links(docs: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
         def near(y: Column) -> Column:
             other = (x["a"] != y["a"]) | (x["b"] != y["b"])
             smallest = F.array_min(F.array_intersect(x["keys"], y["keys"])) == F.col("key")
-            return other & smallest & _linked(x, y, rule.max_edits)
+            return _maybe(x, y, rule.max_edits) & other & smallest & _linked(x, y, rule.max_edits)
 
         return F.struct(
             x["a"].alias("a"),
