@@ -2,12 +2,17 @@ from __future__ import annotations
 
 import os
 import sys
+import tempfile
+from collections.abc import Iterator
+from pathlib import Path
 
 import pytest
 from pyspark.sql import SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+from textpipe.sources.scratch import delete_scratch  # noqa: E402
+
 
 def build_session() -> SparkSession:
     spark = (
@@ -18,6 +23,7 @@ def build_session() -> SparkSession:
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
+        .config("spark.checkpoint.dir", Path(tempfile.mkdtemp(prefix="textpipe-tests-")).as_uri())
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -25,5 +31,7 @@ def build_session() -> SparkSession:
 
 
 @pytest.fixture(scope="session")
-def spark() -> SparkSession:
-    return build_session()
+def spark() -> Iterator[SparkSession]:
+    session = build_session()
+    yield session
+    delete_scratch(session)

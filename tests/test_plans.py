@@ -8,8 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from textpipe import PipelineConfig, run
-from textpipe.__main__ import main
+from textpipe.__main__ import main, read_settings
 from textpipe.operators import classify
+from textpipe.operators.split import assign_split, find_cuts
 from textpipe.plans import stages
 from textpipe.plans.run import resume
 from textpipe.sources.corpus import write_csv
@@ -79,9 +80,26 @@ def test_prepare_any_raw_path_without_ids(spark, tmp_path):
     assert split.count() == 120 == split.select("doc_id").distinct().count()
 
 
-@pytest.mark.parametrize("raw_format", ["parquet", "csv"])
-def test_repeated_ids_are_replaced(spark, tmp_path, caplog, raw_format):
-    """A third of the rows, and all of one class, share an id."""
+def test_json_raw_zone_keeps_ids(spark, tmp_path):
+    cfg = PipelineConfig(base=str(tmp_path), raw_format="json")
+    rows = [(text, label, 1_000_000 + i) for i, (text, label) in enumerate(map(tuple, news(spark).collect()))]
+    report = run(spark, spark.createDataFrame(rows, "text string, label int, doc_id long"), cfg)
+    assert accuracy(report) == 1.0
+    split = spark.read.parquet(cfg.split_path)
+    assert sorted(r.doc_id for r in split.collect()) == list(range(1_000_000, 1_000_120))
+    assert dict(split.dtypes)["label"] == "int"
+
+
+def test_json_without_a_column_says_so(spark, tmp_path):
+    cfg = PipelineConfig(base=str(tmp_path), raw_format="json")
+    stages.land(news(spark).drop("label"), cfg)
+    with pytest.raises(ValueError, match=r"Missing required columns: \['label'\]"):
+        stages.prepare(spark, cfg)
+
+
+@pytest.mark.parametrize("raw_format", ["parquet", "csv", "json"])
+def test_repeated_ids_are_kept(spark, tmp_path, caplog, raw_format):
+    """A quarter of the rows, and all of one class, share an id."""
     cfg = PipelineConfig(base=str(tmp_path), raw_format=raw_format)
     rows = [(text, label, i if label else 0) for i, (text, label) in enumerate(map(tuple, news(spark).collect()))]
     stages.land(spark.createDataFrame(rows, "text string, label int, doc_id long"), cfg)
@@ -89,11 +107,21 @@ def test_repeated_ids_are_replaced(spark, tmp_path, caplog, raw_format):
         stages.prepare(spark, cfg)
     assert len(caplog.messages) == 1 and "doc_id repeats its values" in caplog.messages[0]
     split = spark.read.parquet(cfg.split_path)
-    assert split.select("doc_id").distinct().count() == 120
+    got = sorted((r.text, r.label, int(r.doc_id)) for r in split.collect())
+    assert got == sorted(rows)
     sizes = {(r.split, r.label): r["count"] for r in split.groupBy("split", "label").count().collect()}
     assert sizes == {(s, c): n for s, n in (("train", 24), ("test", 6)) for c in range(4)}
 
 
+def test_writing_the_split_shuffles_no_text(spark, tmp_path):
+    cfg = PipelineConfig(base=str(tmp_path))
+    stages.land(news(spark), cfg)
+    raw = spark.read.parquet(cfg.raw_path)
+    assigned = assign_split(raw, find_cuts(raw))
+    plan = assigned.select("doc_id", "text", "label", "split")._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan.replace("BroadcastExchange", "")
+
+
 def test_runs_are_summarized(spark, tmp_path):
     cfg = PipelineConfig(base=str(tmp_path))
     report = run(spark, news(spark), cfg)
@@ -151,10 +179,13 @@ def test_labels_without_a_name_still_train(spark, tmp_path):
 
 def test_stages_check_their_input(spark, tmp_path):
     cfg = PipelineConfig(base=str(tmp_path))
-    with pytest.raises(FileNotFoundError):
-        stages.prepare(spark, cfg)
-    with pytest.raises(FileNotFoundError):
-        stages.featurize(spark, cfg)
+    for stage in (stages.prepare, stages.featurize, stages.score):
+        with pytest.raises(FileNotFoundError, match="File not found"):
+            stage(spark, cfg)
+    stages.land(news(spark), cfg)
+    stages.prepare(spark, cfg)
+    with pytest.raises(FileNotFoundError, match="vectorizer"):
+        stages.load_vectors(spark, cfg, "train")
     stages.land(news(spark).limit(99), cfg)
     with pytest.raises(ValueError, match="DataFrame has 99 rows, minimum required: 100"):
         stages.prepare(spark, cfg)
@@ -185,5 +216,36 @@ def test_stages_from_the_command_line(spark, tmp_path, capsys):
     main(["run", *base, *source])
     assert capsys.readouterr().out == by_stages
     assert spark.read.parquet(PipelineConfig(base=base[1]).runs_path).count() == 2
-    with pytest.raises(SystemExit):
-        main(["run", *base])
+    for wrong in ([], ["--set", "max_feature=3"], ["--set", "seed"]):
+        with pytest.raises(SystemExit):
+            main(["run", *base, *source[:2 * bool(wrong)], *wrong])
+
+
+def test_settings_from_the_command_line(spark, tmp_path, capsys):
+    """A CSV raw zone, another vocabulary and another seed, stage by stage and resumed."""
+    write_csv(news(spark).select("label", "text"), str(tmp_path / "corpus"))
+    (tmp_path / "settings.json").write_text('{"raw_format": "csv", "max_features": 9, "seed": 1}')
+    base = ["--base", str(tmp_path / "zones"), "--settings", str(tmp_path / "settings.json")]
+    changed = ["--set", "seed=7", "--set", "stop_words=null", "--set", "vocabulary_name=words.parquet"]
+    source = ["--corpus", str(tmp_path / "corpus"), "--format", "csv"]
+    main(["land", *base, *source])
+    main(["prepare", *base, *changed, "--raw", str(tmp_path / "zones/data/raw/corpus.csv")])
+    for stage in ("featurize", "train", "evaluate"):
+        main([stage, *base, *changed])
+    assert capsys.readouterr().out.startswith("Accuracy: ")
+    cfg = PipelineConfig(base=base[1], raw_format="csv", max_features=9, seed=7, stop_words=None,
+                         vocabulary_name="words.parquet")
+    assert cfg == read_settings(base[1], base[3], changed[1::2])
+    assert spark.read.parquet(cfg.vocabulary_path).count() == 9
+    whole = assign_split(spark.read.parquet(cfg.keyed_path), find_cuts(spark.read.parquet(cfg.keyed_path), seed=7), seed=7)
+    split = spark.read.parquet(cfg.split_path).select("doc_id", "split")
+    assert whole.select("doc_id", "split").exceptAll(split).isEmpty()
+
+
+def test_sizes_and_results_are_logged(spark, tmp_path, caplog):
+    with caplog.at_level(logging.INFO, logger="textpipe"):
+        run(spark, news(spark), PipelineConfig(base=str(tmp_path)))
+    log = "\n".join(caplog.messages)
+    assert "Train with 96 rows and test with 24 rows" in log
+    assert "Train matrix 96 x " in log and "test matrix 24 x " in log
+    assert "Trained on 96 rows x " in log and "Accuracy: 1.0000" in log

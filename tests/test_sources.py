@@ -11,14 +11,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from textpipe.functions.text import NA_TOKENS
-from textpipe.sources import local
+from textpipe.sources import local, scratch
 from textpipe.sources.corpus import (
-    cells_span_lines,
     land_corpus,
     read_split,
     scan_corpus,
     scan_csv,
-    spread,
     write_csv,
     write_split,
 )
@@ -42,8 +40,16 @@ def test_csv_round_trip(spark, tmp_path):
     rows = [(i, text, i % 4) for i, text in enumerate(TRICKY)]
     write_csv(spark.createDataFrame(rows, "doc_id long, text string, label int"), str(tmp_path / "c"))
     back = scan_csv(spark, str(tmp_path / "c"))
-    assert back.dtypes == [("doc_id", "bigint"), ("text", "string"), ("label", "int")]
-    assert sorted(map(tuple, back.collect())) == rows
+    assert back.dtypes == [("doc_id", "string"), ("text", "string"), ("label", "int")]
+    typed = scan_csv(spark, str(tmp_path / "c"), types={"doc_id": "bigint", "label": "int"})
+    assert typed.dtypes == [("doc_id", "bigint"), ("text", "string"), ("label", "int")]
+    assert sorted(map(tuple, typed.collect())) == rows
+
+
+def test_csv_with_text_ids(spark, tmp_path):
+    rows = [(f"abc-{i}", "a text", i % 4) for i in range(8)]
+    write_csv(spark.createDataFrame(rows, "doc_id string, text string, label int"), str(tmp_path / "c"))
+    assert sorted(map(tuple, scan_csv(spark, str(tmp_path / "c")).collect())) == rows
 
 
 @settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -53,7 +59,8 @@ def test_csv_round_trip_property(spark, texts):
     path = scratch_path(spark, "csv")
     write_csv(spark.createDataFrame(rows, "doc_id long, text string, label int"), path)
     expected = [(i, None if text in NA_TOKENS else text, label) for i, text, label in rows]
-    assert sorted(map(tuple, scan_csv(spark, path).collect())) == expected
+    typed = scan_csv(spark, path, types={"doc_id": "bigint", "label": "int"})
+    assert sorted(map(tuple, typed.collect())) == expected
 
 
 def test_csv_binds_by_name_and_reads_na(spark, tmp_path):
@@ -65,26 +72,31 @@ def test_csv_binds_by_name_and_reads_na(spark, tmp_path):
     ]
 
 
-def test_csv_is_divided_if_no_cell_spans_lines(spark, tmp_path):
+def test_csv_is_divided_if_the_caller_says_so(spark, tmp_path):
     rows = [(i, f'cell "{i}", plain', i % 4) for i in range(2000)]
-    flat, spanning = str(tmp_path / "flat"), str(tmp_path / "spanning")
-    table = spark.createDataFrame(rows, "doc_id long, text string, label int").coalesce(1)
-    write_csv(table, flat)
-    write_csv(table.withColumn("text", F.concat("text", F.lit("\n"), "text")), spanning)
-    assert not cells_span_lines(spark, flat) and cells_span_lines(spark, spanning)
+    flat, types = str(tmp_path / "flat"), {"doc_id": "bigint", "label": "int"}
+    write_csv(spark.createDataFrame(rows, "doc_id long, text string, label int").coalesce(1), flat)
     spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
     spark.conf.set("spark.sql.files.openCostInBytes", "0")
     try:
-        divided, whole = scan_csv(spark, flat), scan_csv(spark, spanning)
+        divided, whole = (scan_csv(spark, flat, m, types) for m in (False, True))
         assert divided.rdd.getNumPartitions() > 8 and whole.rdd.getNumPartitions() == 1
-        assert scan_csv(spark, flat, multi_line=True).rdd.getNumPartitions() == 1
-        assert sorted(map(tuple, divided.collect())) == rows
-        assert sorted(map(tuple, whole.collect())) == [(i, f"{t}\n{t}", c) for i, t, c in rows]
+        assert sorted(map(tuple, divided.collect())) == sorted(map(tuple, whole.collect())) == rows
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
         spark.conf.unset("spark.sql.files.openCostInBytes")
 
 
+@pytest.mark.parametrize("n_files", [1, 20])
+def test_csv_is_read_alike_however_many_files(spark, tmp_path, n_files):
+    """A cell over two lines, and a lone quote in an unquoted cell on each of them."""
+    for k in range(n_files):
+        text = 'size,text,more,label\n5" pipe,"line one\nline two",6" pipe,1\n'
+        (tmp_path / f"{k}.csv").write_text(text, encoding="utf-8")
+    got = scan_csv(spark, str(tmp_path)).collect()
+    assert [tuple(r) for r in got] == [('5" pipe', "line one\nline two", '6" pipe', 1)] * n_files
+
+
 @pytest.mark.parametrize("ansi", ["true", "false"])
 def test_csv_bad_number_fails(spark, tmp_path, ansi):
     path = tmp_path / "raw.csv"
@@ -108,12 +120,17 @@ def test_csv_with_another_header_in_a_later_file_fails(spark, tmp_path):
 def test_json_corpus(spark, tmp_path):
     path = tmp_path / "raw.json"
     path.write_text('{"label": 1, "text": "a\\nb", "more": 0}\n{"text": null, "label": 2}\n', encoding="utf-8")
-    assert sorted(map(tuple, scan_corpus(spark, str(path), "json").collect()), key=str) == [
-        ("a\nb", 1), (None, 2)
-    ]
+    found = scan_corpus(spark, str(path), "json")
+    assert found.dtypes == [("label", "int"), ("more", "bigint"), ("text", "string")]
+    rows = [(None, 2), ("a\nb", 1)]
+    assert sorted(map(tuple, found.select("text", "label").collect()), key=str) == sorted(rows, key=str)
+    given = scan_corpus(spark, str(path), "json", "text string, label int")
+    assert sorted(map(tuple, given.collect()), key=str) == sorted(rows, key=str)
     path.write_text('{"label": "x", "text": "a"}\n', encoding="utf-8")
-    with pytest.raises(Exception, match="MALFORMED|malformed"):
+    with pytest.raises(Exception, match="Not a valid int: x"):
         scan_corpus(spark, str(path), "json").collect()
+    with pytest.raises(Exception, match="MALFORMED|malformed"):
+        scan_corpus(spark, str(path), "json", "text string, label int").collect()
 
 
 def test_missing_path(spark, tmp_path):
@@ -128,8 +145,9 @@ def test_landing_adds_unique_ids_and_replaces(spark, tmp_path, fmt):
     for n in (50, 20):
         rows = spark.createDataFrame([("same text", i % 2) for i in range(n)], "text string, label int")
         land_corpus(rows.repartition(4), path, fmt)
-        back = scan_corpus(spark, path, fmt, columns=("doc_id", "text", "label"))
-        assert dict(back.dtypes) == {"doc_id": "bigint", "text": "string", "label": "int"}
+        back = scan_corpus(spark, path, fmt)
+        id_type = "string" if fmt == "csv" else "bigint"
+        assert dict(back.dtypes) == {"doc_id": id_type, "text": "string", "label": "int"}
         assert back.count() == n == back.select("doc_id").distinct().count()
 
 
@@ -143,27 +161,23 @@ def test_split_table_prunes_partitions(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(split" in plan
 
 
-def test_spread_moves_only_small_scans(spark, tmp_path):
-    path = str(tmp_path / "one")
-    spark.range(100).withColumnRenamed("id", "doc_id").coalesce(1).write.parquet(path)
-    scan = spark.read.parquet(path)
-    cores = spark.sparkContext.defaultParallelism
-    assert spread(scan).rdd.getNumPartitions() == cores
-    wide = spark.range(0, 100, 1, cores + 1).withColumnRenamed("id", "doc_id")
-    assert spread(wide) is wide
-
-
-def test_broadcast_is_behind_a_check_of_the_size(spark, monkeypatch):
-    monkeypatch.setattr(local, "BROADCAST_ROWS", 10)
+def test_broadcast_is_behind_a_check_of_the_bytes(spark, monkeypatch):
+    """Few rows with long terms are too much, more rows with short ones are not."""
+    monkeypatch.setattr(local, "BROADCAST_BYTES", 1000)
     schema = StructType([StructField("id", LongType()), StructField("name", StringType())])
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        for n, node in ((10, "BroadcastHashJoin"), (11, "SortMergeJoin")):
-            table = local.local_table(spark, [(i, str(i)) for i in range(n)], schema)
-            joined = spark.range(20).join(local.broadcast_if_small(table), "id")
+        for n, name, node in ((20, "x", "BroadcastHashJoin"), (3, "x" * 500, "SortMergeJoin")):
+            rows = [(i, name) for i in range(n)]
+            joined = spark.range(30).join(local.small_table(spark, rows, schema), "id")
             plan = joined._jdf.queryExecution().executedPlan().toString()
             assert node in plan and "LocalTableScan" in plan and joined.count() == n
+            table = spark.createDataFrame(rows, schema)
+            size = local.measured_bytes(table)
+            assert size == n * (8 + len(name))
+            assert (local.broadcast_if_small(table, size) is table) == (size > 1000)
         assert local.local_table(spark, [], schema).count() == 0
+        assert local.measured_bytes(local.local_table(spark, [], schema)) == 0
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
@@ -179,5 +193,17 @@ def test_scratch_follows_the_session(spark):
     on_yarn = {"master": "yarn"}
     assert scratch_path(session("hdfs:/shared/", **on_yarn), "x").startswith("hdfs:/shared/x-")
     assert scratch_path(session(None, "hdfs:/c/1", **on_yarn), "x").startswith("hdfs:/c/1/x-")
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        scratch_path(session(**on_yarn), "x")
+    for master in ("yarn", "local-cluster[2,1,512]"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            scratch_path(session(master=master), "x")
+    assert scratch_path(session(), "x").startswith("file:///")
+
+
+def test_scratch_is_deleted_where_it_is(spark, monkeypatch):
+    monkeypatch.setattr(scratch, "_made", [])
+    path = scratch_path(spark, "gone")
+    spark.range(3).write.parquet(path)
+    assert spark.read.parquet(path).count() == 3
+    scratch.delete_scratch(spark)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)

@@ -139,6 +139,19 @@ def test_many_copies_of_a_key_are_noticed_while_following(spark):
         find_cuts(table(spark, [(7, 0)] * 30), rank_limit=5)
 
 
+def test_a_run_of_one_key_is_cut_alike_for_any_limit(spark):
+    """Class 0 has eight rows of one key, and the cut right behind them."""
+    by_hash = sorted(range(100), key=lambda k: hashlib.md5(f"42:{k}".encode()).hexdigest())
+    first, *later = by_hash
+    rows = [(first, 0)] * 8 + [(k, 0) for k in later[:2]] + [(k, 1) for k in later[2:12]]
+    cuts = [{c.label: c for c in find_cuts(table(spark, rows), rank_limit=n)} for n in (3, 100)]
+    assert cuts[0] == cuts[1] and cuts[0][0].n_train == 8 and cuts[0][0].cut_key == first
+    divided = [(first, 0)] * 9 + [(later[0], 0)] + rows[10:]
+    for n in (3, 100):
+        with pytest.raises(ValueError, match="repeats its values"):
+            find_cuts(table(spark, divided), rank_limit=n)
+
+
 def test_null_key_fails(spark):
     with pytest.raises(Exception, match="null key"):
         find_cuts(table(spark, [(None, 0), (1, 0), (2, 0), (3, 0)]))

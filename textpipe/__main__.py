@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import argparse
+import json
 import logging
+from dataclasses import fields
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from textpipe.config import PipelineConfig
 from textpipe.operators.metrics import metrics_lines
@@ -16,27 +18,67 @@ from textpipe.sources.corpus import scan_corpus
 STAGES = ("run", "land", "prepare", "featurize", "train", "evaluate")
 
 
+def read_settings(base: str, path: str | None, pairs: list[str]) -> PipelineConfig:
+    """Settings from a JSON file and from ``NAME=VALUE`` pairs, which come after it."""
+    found: dict = {}
+    if path:
+        with open(path, encoding="utf-8") as file:
+            found.update(json.load(file))
+    for pair in pairs:
+        name, given, value = pair.partition("=")
+        if not given:
+            raise ValueError(f"Not NAME=VALUE: {pair}")
+        try:
+            found[name] = json.loads(value)
+        except json.JSONDecodeError:
+            found[name] = value
+    known = {field.name for field in fields(PipelineConfig)} - {"base"}
+    if unknown := sorted(found.keys() - known):
+        raise ValueError(f"Unknown settings: {', '.join(unknown)}")
+    if isinstance(found.get("stop_words"), list):
+        found["stop_words"] = tuple(found["stop_words"])
+    if "label_names" in found:
+        found["label_names"] = {int(label): name for label, name in found["label_names"].items()}
+    return PipelineConfig(base=base, **found)
+
+
+def _corpus(spark: SparkSession, args: argparse.Namespace, cfg: PipelineConfig) -> DataFrame:
+    return scan_corpus(spark, args.corpus, args.format, cfg.raw_schema, cfg.raw_multi_line)
+
+
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="textpipe", description=__doc__)
     parser.add_argument("stage", choices=STAGES)
     parser.add_argument("--base", required=True, help="folder or URI of the zones")
     parser.add_argument("--corpus", help="labelled corpus, for run and land")
     parser.add_argument("--format", default="parquet", help="format of the corpus files")
+    parser.add_argument("--raw", help="raw table for prepare, instead of the one of the raw zone")
+    parser.add_argument("--settings", help="JSON file with settings of the run")
+    parser.add_argument(
+        "--set",
+        action="append",
+        default=[],
+        metavar="NAME=VALUE",
+        help="one setting, as JSON or as a plain word; names are those of PipelineConfig",
+    )
     args = parser.parse_args(argv)
     if args.stage in ("run", "land") and not args.corpus:
         parser.error(f"{args.stage} needs --corpus")
 
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(name)s %(levelname)s %(message)s")
+    try:
+        cfg = read_settings(args.base, args.settings, args.set)
+    except ValueError as error:
+        parser.error(str(error))
     spark = SparkSession.builder.appName("textpipe").getOrCreate()
-    cfg = PipelineConfig(base=args.base)
     if args.stage == "run":
-        report = run(spark, scan_corpus(spark, args.corpus, args.format), cfg)
+        report = run(spark, _corpus(spark, args, cfg), cfg)
         stages.summarize(spark, report, cfg)
         print("\n".join(metrics_lines(report)))
     elif args.stage == "land":
-        stages.land(scan_corpus(spark, args.corpus, args.format), cfg)
+        stages.land(_corpus(spark, args, cfg), cfg)
     elif args.stage == "prepare":
-        stages.prepare(spark, cfg)
+        stages.prepare(spark, cfg, args.raw)
     elif args.stage == "featurize":
         stages.featurize(spark, cfg)
     elif args.stage == "train":

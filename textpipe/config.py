@@ -21,6 +21,7 @@ class PipelineConfig:
     """
 
     base: str = "."
+    # The folders of the four zones.
     raw_dir: str = "data/raw"
     processed_dir: str = "data/processed"
     models_dir: str = "models"
@@ -28,11 +29,18 @@ class PipelineConfig:
 
     raw_name: str = "corpus"
     raw_format: str = "parquet"
+    # Whether cells of a CSV corpus may hold line breaks; without, its files are divided.
+    raw_multi_line: bool = True
+    # DDL of a JSON corpus; without, its files are read once more to find it.
+    raw_schema: str | None = None
     keyed_name: str = "keyed.parquet"
+    numbered_name: str = "numbered.parquet"
     split_name: str = "split.parquet"
+    vectors_name: str = "vectors.parquet"
     vectorizer_name: str = "vectorizer"
     vocabulary_name: str = "vocabulary.parquet"
     model_name: str = "classifier"
+    # Fixed value: the name of the text report.
     metrics_name: str = "metrics.txt"
     metrics_table_name: str = "metrics.parquet"
     runs_name: str = "runs.parquet"
@@ -62,10 +70,18 @@ class PipelineConfig:
     def keyed_path(self) -> str:
         return self._path(self.processed_dir, self.keyed_name)
 
+    @property
+    def numbered_path(self) -> str:
+        return self._path(self.processed_dir, self.numbered_name)
+
     @property
     def split_path(self) -> str:
         return self._path(self.processed_dir, self.split_name)
 
+    @property
+    def vectors_path(self) -> str:
+        return self._path(self.processed_dir, self.vectors_name)
+
     @property
     def vectorizer_path(self) -> str:
         return self._path(self.models_dir, self.vectorizer_name)

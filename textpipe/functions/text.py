@@ -23,13 +23,8 @@ NA_TOKENS = (
 )
 
 
-def strip(text: Column | str) -> Column:
-    """Remove white space at both ends, in the Unicode sense."""
-    return F.regexp_replace(text, f"^{WHITESPACE}+|{WHITESPACE}+$", "")
-
-
 def is_blank(text: Column | str) -> Column:
-    """True for an empty or white-space-only text, false for a null."""
+    """True for a text of which nothing is left without its outer white space, false for a null."""
     text = F.col(text) if isinstance(text, str) else text
     return F.coalesce(F.rlike(text, F.lit(f"^{WHITESPACE}*$")), F.lit(False))
 

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
+import logging
 import math
 
-from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import SQLTransformer
@@ -14,13 +14,17 @@ from pyspark.sql.types import DataType
 
 from textpipe.operators.vectorize import FEATURES
 
+logger = logging.getLogger(__name__)
 PREDICTION = "prediction"
 _INDEX = "_label_index"
 _PREDICTED_INDEX = "_predicted_index"
 
 
-# Rows worth a partition of their own while iterating.
-ROWS_PER_PARTITION = 10_000
+# Bytes of stored vectors for which one task iterates at most, and for which a core is worth it.
+MOST_BYTES = 512 << 20
+LEAST_BYTES = 4 << 20
+# Partial gradients that one task adds up.
+GRADIENTS = 64
 
 
 def train_classifier(
@@ -36,34 +40,36 @@ def train_classifier(
     The objective is the mean log loss plus ``|W|^2 / (2 C n)`` with a free intercept: hence
     ``regParam = 1 / (C n)``, no elastic net and no standardization. The labels are numbered
     densely in ascending order, since the solver makes a class of every integer up to the
-    largest.
+    largest. ``vectors`` should be a stored table: it is read three times.
     """
-    # The class counts below store the vectors; the solver then reads them twice, for its
-    # statistics and for the blocks it caches itself, and the texts are not cut again. Storing
-    # them on disk leaves the memory to those blocks, which every iteration reads.
-    vectors = vectors.select(label, features).persist(StorageLevel.DISK_ONLY)
-    try:
-        classes = vectors.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()
-        labels = _check_classes([row[label] for row in classes])
-        n_rows = sum(row.n for row in classes)
-        index = F.array_position(F.lit(labels), F.col(label)) - 1
-        # The number of classes as column metadata saves the solver a pass to find it.
-        metadata = {"ml_attr": {"type": "nominal", "name": _INDEX, "num_vals": len(labels)}}
-        numbered = vectors.select(features, index.cast("double").alias(_INDEX, metadata=metadata))
-        model = LogisticRegression(
-            featuresCol=features,
-            labelCol=_INDEX,
-            predictionCol=_PREDICTED_INDEX,
-            family="auto",
-            regParam=1.0 / (inverse_regularization * n_rows),
-            elasticNetParam=0.0,
-            standardization=False,
-            fitIntercept=True,
-            maxIter=max_iter,
-            tol=tol,
-        ).fit(numbered.coalesce(_solver_partitions(vectors, n_rows)))
-    finally:
-        vectors.unpersist()
+    # Each iteration reads the solver's own blocks, which it caches in memory and, where these do
+    # not fit, on the disks of the executors; what is lost is read from the table again.
+    vectors = vectors.select(label, features)
+    classes = vectors.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()
+    labels = _check_classes([row[label] for row in classes])
+    n_rows = sum(row.n for row in classes)
+    index = F.array_position(F.lit(labels), F.col(label)) - 1
+    # The number of classes as column metadata saves the solver a pass to find it.
+    metadata = {"ml_attr": {"type": "nominal", "name": _INDEX, "num_vals": len(labels)}}
+    numbered = vectors.select(features, index.cast("double").alias(_INDEX, metadata=metadata))
+    partitions = _solver_partitions(vectors)
+    model = LogisticRegression(
+        featuresCol=features,
+        labelCol=_INDEX,
+        predictionCol=_PREDICTED_INDEX,
+        family="auto",
+        regParam=1.0 / (inverse_regularization * n_rows),
+        elasticNetParam=0.0,
+        standardization=False,
+        fitIntercept=True,
+        maxIter=max_iter,
+        tol=tol,
+        aggregationDepth=max(2, math.ceil(math.log(partitions, GRADIENTS))),
+    ).fit(numbered.coalesce(partitions))
+    logger.info(
+        "Trained on %d rows x %d features in %d iterations",
+        n_rows, model.numFeatures, model.summary.totalIterations,
+    )
     # Scores and probabilities are not asked for, so they are not computed.
     model = model.setRawPredictionCol("").setProbabilityCol("")
     return PipelineModel([model, _label_namer(labels, vectors.schema[label].dataType)])
@@ -79,12 +85,16 @@ def _check_classes(found: list) -> list:
     return sorted(found)
 
 
-def _solver_partitions(vectors: DataFrame, n_rows: int) -> int:
-    """Each iteration runs a task and returns a gradient per partition, so a corpus read in
-    many small splits is iterated in a few partitions per core. Coalescing moves no data
-    through a shuffle."""
+def _solver_partitions(vectors: DataFrame) -> int:
+    """Partitions to iterate over, from the bytes of the stored vectors.
+
+    Each iteration runs a task and returns a gradient for each, so many small splits are coalesced,
+    which moves no data through a shuffle; but no task gets more than fits an executor.
+    """
+    n_bytes = int(vectors._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
     cores = vectors.sparkSession.sparkContext.defaultParallelism
-    return max(1, min(4 * cores, math.ceil(n_rows / ROWS_PER_PARTITION)))
+    wanted = max(1, math.ceil(n_bytes / MOST_BYTES), min(cores, math.ceil(n_bytes / LEAST_BYTES)))
+    return min(wanted, max(1, vectors.rdd.getNumPartitions()))
 
 
 def _label_namer(labels: list, label_type: DataType) -> SQLTransformer:

@@ -4,8 +4,11 @@ Rows are ordered inside their class by ``md5('<seed>:<key>')`` and the first ``n
 each class go to train. Ranking all rows would put each class into one task, so only the
 *cut*, the last key of a class that still goes to train, is looked up: rows are counted by
 hash prefix, the one prefix that holds the cut is followed to longer prefixes until few rows
-share it, and those few are ranked. Given the cuts (one row per class), the side of any row
-follows from the row alone, without a shuffle.
+share it, and the keys under it are ranked with the number of rows of each. Given the cuts (one
+row per class), the side of any row follows from the row alone, without a shuffle.
+
+Rows of one key stay together. A run of them, however long, is one row of that last ranking, and
+only a run that the cut would divide is an error.
 """
 
 from __future__ import annotations
@@ -17,11 +20,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from textpipe.sources.local import broadcast_if_small, local_table
+from textpipe.sources.local import small_table
 
 PREFIX_DIGITS = 3
 HASH_DIGITS = 32
-# Rows of one class that a single task may rank.
+# Rows of one class under a prefix below which it is not followed further. The outcome is the same
+# for any limit: it only sets how many keys a single task ranks.
 RANK_LIMIT = 100_000
 
 
@@ -138,8 +142,6 @@ def find_cuts(
     while digits < HASH_DIGITS and any(b.n_rows > rank_limit for b in open_cuts.values()):
         digits = min(digits + PREFIX_DIGITS, HASH_DIGITS)
         open_cuts = _follow(hashed, open_cuts, digits)
-    if any(b.n_rows > rank_limit for b in open_cuts.values()):
-        raise RepeatedKeys(key)
     last = _last_train_rows(hashed, open_cuts)
     if last.keys() != open_cuts.keys():
         raise RepeatedKeys(key)
@@ -177,8 +179,8 @@ def _inside(hashed: DataFrame, cuts: dict[object, _Boundary]) -> DataFrame:
         ]
     )
     rows = [(label, cut.prefix, cut.rank) for label, cut in cuts.items()]
-    prefixes = local_table(hashed.sparkSession, rows, schema)
-    return hashed.join(broadcast_if_small(prefixes), "label").filter(
+    prefixes = small_table(hashed.sparkSession, rows, schema)
+    return hashed.join(prefixes, "label").filter(
         F.startswith(F.col("hash"), F.col("open_prefix"))
     )
 
@@ -206,17 +208,22 @@ def _follow(
 def _last_train_rows(
     hashed: DataFrame, cuts: dict[object, _Boundary]
 ) -> dict[object, tuple[str, object]]:
-    """Rank the rows under the open prefixes and pick the cut row of each class.
+    """Rank the keys under the open prefixes and pick the one that ends each class's train side.
 
-    The frame counts rows with equal ``(hash, key)`` together, so a repeated key at the cut
-    yields no row at that rank and is noticed.
+    Rows of one key are counted before they are ranked. A key whose rows lie on both sides of the
+    cut ends at no rank that is asked for, so its class is missing from the result.
     """
-    upto = F.count(F.lit(1)).over(
+    keys = (
+        _inside(hashed, cuts)
+        .groupBy("label", "rank", "hash", "key")
+        .agg(F.count(F.lit(1)).alias("n_rows"))
+    )
+    upto = F.sum("n_rows").over(
         Window.partitionBy("label")
         .orderBy("hash", "key")
-        .rangeBetween(Window.unboundedPreceding, Window.currentRow)
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    rows = _inside(hashed, cuts).withColumn("upto", upto).filter("upto = rank").collect()
+    rows = keys.withColumn("upto", upto).filter("upto = rank").collect()
     return {row.label: (row.hash, row.key) for row in rows}
 
 
@@ -236,7 +243,7 @@ def assign_split(
         ]
     )
     rows = [(c.label, c.cut_hash, c.cut_key) for c in cuts if c.cut_hash is not None]
-    table = broadcast_if_small(local_table(df.sparkSession, rows, schema))
+    table = small_table(df.sparkSession, rows, schema)
     place, cut = F.struct(split_hash(key, seed), F.col(key)), F.struct("cut_hash", "cut_key")
     # A class without a cut has no train rows.
     side = F.when(F.col("cut_hash").isNotNull() & (place <= cut), "train").otherwise("test")

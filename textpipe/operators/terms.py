@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from textpipe.functions.text import tokens
-from textpipe.sources.local import broadcast_if_small
+from textpipe.sources.local import broadcast_if_small, measured_bytes
 
 
 def _sorted_tokens(docs: DataFrame, text: str, *keep: str) -> DataFrame:
@@ -89,4 +89,5 @@ def index_terms(vocabulary: DataFrame) -> DataFrame:
 
 def lookup_terms(frequencies: DataFrame, vocabulary: DataFrame) -> DataFrame:
     """Replace terms by vocabulary entries; terms outside the vocabulary are dropped."""
-    return frequencies.join(broadcast_if_small(vocabulary), "term")
+    small = broadcast_if_small(vocabulary, measured_bytes(vocabulary))
+    return frequencies.join(small, "term")

@@ -19,7 +19,7 @@ from textpipe.functions.stopwords import resolve
 from textpipe.functions.text import TOKEN_PATTERN
 from textpipe.operators.terms import index_terms, term_statistics, top_terms
 from textpipe.operators.validate import require_text
-from textpipe.sources.local import broadcast_if_small, local_table
+from textpipe.sources.local import broadcast_if_small, local_table, measured_bytes
 
 FEATURES = "features"
 _STEPS = ("_tokens", "_tf", "_weighted")
@@ -118,6 +118,6 @@ def weights_table(vectors: DataFrame, vocabulary: DataFrame, key: str = "doc_id"
             F.arrays_zip(F.col("vector.indices").alias("idx"), F.col("vector.values").alias("tfidf"))
         ),
     )
-    return entries.join(broadcast_if_small(vocabulary.select("idx", "term")), "idx").select(
-        key, "term", "idx", "tfidf"
-    )
+    named = vocabulary.select("idx", "term")
+    small = broadcast_if_small(named, measured_bytes(named))
+    return entries.join(small, "idx").select(key, "term", "idx", "tfidf")

@@ -1,7 +1,8 @@
 """The queries again as SQL for DuckDB, to check results against.
 
-``train_predict``, ``end_to_end_run`` and ``run_summary`` give what a trained model predicts and
-have none. The two queries on reloaded models tell whether they predict the same.
+``train_predict`` and ``end_to_end_run`` give what a trained model predicts and have none. That the
+model is the optimum is checked by ``train_class_mass`` and ``train_gradient``: a solver with other
+settings misses them. The two queries on reloaded models tell whether they predict the same.
 """
 
 from __future__ import annotations
@@ -129,7 +130,26 @@ ORACLE: dict[str, str] = {
             FROM documents
         UNION ALL SELECT 'too few rows', 'DataFrame has ' || CAST(count(*) AS VARCHAR)
             || ' rows, minimum required: 1000000000000' FROM documents
-        UNION ALL SELECT 'missing columns', 'Missing required columns: [''topic'', ''title'']'""",
+        UNION ALL SELECT 'missing columns', 'Missing required columns: [''topic'', ''title'']'
+        UNION ALL SELECT 'empty', 'DataFrame is empty'""",
+    "failure_cases": """SELECT * FROM (VALUES
+        ('no such file', 'FileNotFoundError', 'File not found: /no_such_table.parquet'),
+        ('no such model', 'FileNotFoundError', 'File not found: /no_such_run/models/classifier'),
+        ('empty table', 'ValueError', 'DataFrame is empty'),
+        ('small class', 'ValueError', 'Classes with fewer than 2 rows cannot be stratified: [0]'),
+        ('null labels', 'ValueError', 'Null labels cannot be stratified'),
+        ('repeated keys', 'RepeatedKeys',
+            'Column doc_id repeats its values; the split needs one key per row'),
+        ('null text', 'ValueError', 'Null documents in text column cannot be vectorized'),
+        ('no terms', 'ValueError',
+            'Empty vocabulary: the documents hold only stop words or no tokens'),
+        ('nothing to train on', 'ValueError', 'Cannot train on an empty table'),
+        ('training null labels', 'ValueError', 'Cannot train with null labels'),
+        ('training one class', 'ValueError', 'Cannot train with a single class')
+        ) AS cases(case_name, error, message)
+        WHERE (SELECT count(*) FROM documents) > 0""",
+    "json_round_trip": f"""SELECT doc_id, md5(text) AS text_md5, {LANGUAGE_LABEL} AS label
+        FROM documents""",
     "text_quality": f"""SELECT CAST(count(*) AS BIGINT) AS n_rows,
             CAST(count(*) FILTER (body IS NULL) AS BIGINT) AS n_null,
             CAST(count(*) FILTER (regexp_full_match(body, '{WHITESPACE}*')) AS BIGINT) AS n_blank
@@ -172,6 +192,18 @@ ORACLE: dict[str, str] = {
     "class_report": f"""WITH {_REPORT} SELECT row_name, round("precision", 6) AS "precision",
         round(recall, 6) AS recall, round(f1_score, 6) AS f1_score,
         CAST(support AS BIGINT) AS support FROM report""",
+    "predicted_rows": f"""WITH {_SPLIT}
+        SELECT doc_id, label, TRUE AS known_label FROM sides WHERE split = 'test'""",
+    "train_class_mass": f"WITH {_ALLOCATION} SELECT label, n_train FROM allocation",
+    "train_gradient": f"""WITH {_TERMS}
+        SELECT label, idx, CAST(0 AS DOUBLE) AS gradient FROM vocabulary CROSS JOIN classes""",
+    "pipeline_end_to_end": f"""WITH {_ALLOCATION}
+        SELECT CAST(label AS VARCHAR) AS row_name, n_rows - n_train AS support, TRUE AS consistent
+        FROM allocation
+        UNION ALL SELECT row_name, (SELECT CAST(sum(n_rows - n_train) AS BIGINT) FROM allocation), TRUE
+        FROM (VALUES ('accuracy'), ('macro avg'), ('weighted avg')) AS totals(row_name)""",
+    "run_summary": """SELECT 'success' AS status, 'metrics.txt' AS metrics_name,
+        TRUE AS accuracy_is_stored FROM documents LIMIT 1""",
     "model_reload_predict": _SAME_PREDICTIONS,
     "score_from_artifacts": _SAME_PREDICTIONS,
 }

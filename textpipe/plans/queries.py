@@ -9,15 +9,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.ml.functions import array_to_vector
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from textpipe.config import PipelineConfig
 from textpipe.functions.labels import label_name
 from textpipe.functions.stopwords import ENGLISH
 from textpipe.functions.text import NA_TOKENS, tokens, without_stop_words
 from textpipe.operators import classify, metrics, terms, validate
-from textpipe.operators.split import allocate, class_counts, stratified_split
+from textpipe.operators.split import allocate, assign_split, class_counts, find_cuts, stratified_split
 from textpipe.operators.vectorize import (
     Vectorizer,
     fit_vectorizer,
@@ -27,13 +29,15 @@ from textpipe.operators.vectorize import (
 from textpipe.plans import stages
 from textpipe.plans.run import run
 from textpipe.sources.corpus import (
+    COLUMN_TYPES,
+    land_corpus,
     read_split,
     scan_corpus,
     scan_csv,
-    spread,
     write_csv,
     write_split,
 )
+from textpipe.sources.local import small_table
 from textpipe.sources.scratch import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -54,15 +58,41 @@ def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents(spark, sf_dir).select("doc_id", "text", F.expr(LANGUAGE_LABEL).alias("label"))
 
 
+# A test table is one row group, and so one task. Up to this size its rows are dealt to the cores;
+# a larger table is read as its files are divided.
+SPREAD_BYTES = 64 << 20
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    n_bytes = int(scan._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    if n_bytes > SPREAD_BYTES:
+        return scan
+    return scan.repartition(scan.sparkSession.sparkContext.defaultParallelism, "doc_id")
+
+
 def split_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corpus with its split, spread out for work on the texts."""
-    return stratified_split(spread(corpus(spark, sf_dir)))
+    return _split_and_size(spark, sf_dir)[0]
+
+
+def _split_and_size(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, int]:
+    """The split corpus and the number of train rows, which the search for the cuts knows."""
+    docs = corpus(spark, sf_dir)
+    cuts = find_cuts(docs)
+    return assign_split(spread(docs), cuts), sum(c.n_train for c in cuts)
 
 
 def side(spark: SparkSession, sf_dir: str, split: str) -> DataFrame:
     return split_corpus(spark, sf_dir).filter(F.col("split") == split)
 
 
+def _fitted(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Vectorizer]:
+    """The split corpus and the vectorizer of its train side."""
+    assigned, n_train = _split_and_size(spark, sf_dir)
+    train = assigned.filter("split = 'train'")
+    return assigned, fit_vectorizer(train, MAX_FEATURES, n_docs=n_train)
+
+
 def ruled(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labels and predictions that both engines can compute."""
     labels = scan_corpus(spark, f"{sf_dir}/labels.parquet")
@@ -89,7 +119,8 @@ def corpus_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "csv")
     write_csv(spread(corpus(spark, sf_dir)), path)
-    return scan_csv(spark, path).select("doc_id", F.md5("text").alias("text_md5"), "label")
+    types = {"doc_id": "bigint", **COLUMN_TYPES}
+    return scan_csv(spark, path, types=types).select("doc_id", F.md5("text").alias("text_md5"), "label")
 
 
 def csv_scan_na_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -104,7 +135,16 @@ def csv_scan_na_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
         ),
         path,
     )
-    return scan_csv(spark, path).select("doc_id", F.md5("text").alias("text_md5"), "label")
+    types = {"doc_id": "bigint", **COLUMN_TYPES}
+    return scan_csv(spark, path, types=types).select("doc_id", F.md5("text").alias("text_md5"), "label")
+
+
+def json_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The corpus landed as JSON, with all its columns."""
+    path = scratch_path(spark, "json")
+    land_corpus(spread(corpus(spark, sf_dir)), path, "json")
+    found = scan_corpus(spark, path, "json")
+    return found.select("doc_id", F.md5("text").alias("text_md5"), "label")
 
 
 def split_write_read(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -118,8 +158,7 @@ def split_write_read(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def vectorizer_reload_tfidf(spark: SparkSession, sf_dir: str) -> DataFrame:
-    assigned = split_corpus(spark, sf_dir)
-    fitted = fit_vectorizer(assigned.filter("split = 'train'"), MAX_FEATURES)
+    assigned, fitted = _fitted(spark, sf_dir)
     paths = scratch_path(spark, "vectorizer"), scratch_path(spark, "vocabulary")
     fitted.save(*paths)
     return _tfidf(Vectorizer.load(spark, *paths), assigned.filter("split = 'test'"))
@@ -180,17 +219,50 @@ def validate_table(spark: SparkSession, sf_dir: str) -> DataFrame:
         "valid": (["text", "label"], 100),
         "too few rows": (["text", "label"], 1_000_000_000_000),
         "missing columns": (["text", "topic", "title"], 100),
+        "empty": (["text", "label"], 1),
     }
     found = []
     for name, (columns, min_rows) in checks.items():
         try:
-            validate.validate_table(docs, columns, min_rows)
+            table = docs.filter("doc_id < 0") if name == "empty" else docs
+            validate.validate_table(table, columns, min_rows)
             found.append((name, "ok"))
         except ValueError as error:
             found.append((name, str(error)))
     return spark.createDataFrame(found, "name string, outcome string")
 
 
+def failure_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is raised for inputs that a stage must not take; rows of ``documents`` make them."""
+    docs = corpus(spark, sf_dir)
+    french, unlabelled = F.col("label") == 1, F.when(F.col("label") != 1, F.col("label"))
+    one_english = F.col("doc_id") == docs.filter("label = 0").agg(F.min("doc_id")).first()[0]
+    short = F.when(F.char_length("text") >= 60, F.col("text"))
+    length = array_to_vector(F.array(F.char_length("text").cast("double")))
+    vectors = docs.select("label", length.alias("features"))
+    cases: dict[str, Callable[[], object]] = {
+        "no such file": lambda: scan_corpus(spark, f"{sf_dir}/no_such_table.parquet"),
+        "no such model": lambda: stages.score(spark, PipelineConfig(base=f"{sf_dir}/no_such_run")),
+        "empty table": lambda: validate.validate_table(docs.filter("doc_id < 0"), ["text"]),
+        "small class": lambda: find_cuts(docs.filter(french | one_english)),
+        "null labels": lambda: find_cuts(docs.withColumn("label", unlabelled)),
+        "repeated keys": lambda: find_cuts(docs.withColumn("doc_id", F.lit(7))),
+        "null text": lambda: fit_vocabulary(docs.withColumn("text", short)),
+        "no terms": lambda: fit_vocabulary(docs.withColumn("text", F.lit("and the of"))),
+        "nothing to train on": lambda: classify.train_classifier(vectors.filter("label < 0")),
+        "training null labels": lambda: classify.train_classifier(vectors.withColumn("label", unlabelled)),
+        "training one class": lambda: classify.train_classifier(vectors.filter(french)),
+    }
+    found = []
+    for name, attempt in cases.items():
+        try:
+            attempt()
+            found.append((name, "none", ""))
+        except (ValueError, FileNotFoundError) as error:
+            found.append((name, type(error).__name__, str(error).replace(sf_dir, "")))
+    return spark.createDataFrame(found, "case_name string, error string, message string")
+
+
 def text_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = (
         F.when(F.col("n_chars") < 60, F.lit(None))
@@ -226,25 +298,27 @@ def split_is_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of the stored sides that are not in the corpus, and the other way round."""
     path = scratch_path(spark, "split")
     write_split(split_corpus(spark, sf_dir), path)
-    columns = ["doc_id", "label", F.md5("text").alias("text_md5")]
-    whole = corpus(spark, sf_dir).select(*columns)
-    train = read_split(spark, path, "train").select(*columns)
-    test = read_split(spark, path, "test").select(*columns)
-    both = train.unionByName(test)
-    parts = {
-        "missing": whole.exceptAll(both),
-        "added": both.exceptAll(whole),
-        "train": train,
-        "test": test,
-    }
-    counted = [
-        part.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("part"), "n_rows")
-        for name, part in parts.items()
-    ]
-    first, *rest = counted
-    for table in rest:
-        first = first.unionByName(table)
-    return first
+    def weighted(docs: DataFrame, part: str, n: int) -> DataFrame:
+        return docs.select(
+            "doc_id", "label", F.md5("text").alias("text_md5"), F.lit(part).alias("part"), F.lit(n).alias("n")
+        )
+
+    sides = [weighted(read_split(spark, path, name), name, 1) for name in ("train", "test")]
+    rows = weighted(corpus(spark, sf_dir), "corpus", -1).unionByName(sides[0]).unionByName(sides[1])
+    # Rows that agree meet once; what does not cancel out is missing or added.
+    rest = rows.groupBy("doc_id", "label", "text_md5").agg(
+        F.sum("n").alias("n"),
+        *[F.count_if(F.col("part") == name).alias(name) for name in ("train", "test")],
+    )
+    counted = rest.agg(
+        F.sum(F.greatest(-F.col("n"), F.lit(0))).alias("missing"),
+        F.sum(F.greatest("n", F.lit(0))).alias("added"),
+        F.sum("train").alias("train"),
+        F.sum("test").alias("test"),
+    )
+    names = ("missing", "added", "train", "test")
+    parts = F.array(*[F.struct(F.lit(n).alias("part"), F.col(n).alias("n_rows")) for n in names])
+    return counted.select(F.inline(parts))
 
 
 # Terms
@@ -292,24 +366,24 @@ def _tfidf(vectorizer: Vectorizer, docs: DataFrame) -> DataFrame:
 
 
 def idf_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vocabulary = fit_vocabulary(side(spark, sf_dir, "train"), MAX_FEATURES)
+    assigned, n_train = _split_and_size(spark, sf_dir)
+    train = assigned.filter("split = 'train'")
+    vocabulary = fit_vocabulary(train, MAX_FEATURES, n_docs=n_train)
     return vocabulary.select("term", "idx", "df", _rounded("idf"))
 
 
 def tfidf_train(spark: SparkSession, sf_dir: str) -> DataFrame:
-    train = side(spark, sf_dir, "train")
-    return _tfidf(fit_vectorizer(train, MAX_FEATURES), train)
+    assigned, fitted = _fitted(spark, sf_dir)
+    return _tfidf(fitted, assigned.filter("split = 'train'"))
 
 
 def tfidf_test(spark: SparkSession, sf_dir: str) -> DataFrame:
-    assigned = split_corpus(spark, sf_dir)
-    fitted = fit_vectorizer(assigned.filter("split = 'train'"), MAX_FEATURES)
+    assigned, fitted = _fitted(spark, sf_dir)
     return _tfidf(fitted, assigned.filter("split = 'test'"))
 
 
 def feature_shape(spark: SparkSession, sf_dir: str) -> DataFrame:
-    assigned = split_corpus(spark, sf_dir)
-    fitted = fit_vectorizer(assigned.filter("split = 'train'"), MAX_FEATURES)
+    assigned, fitted = _fitted(spark, sf_dir)
     return (
         fitted.transform(assigned)
         .groupBy("split")
@@ -346,10 +420,12 @@ def class_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _vectors(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    assigned = split_corpus(spark, sf_dir)
-    fitted = fit_vectorizer(assigned.filter("split = 'train'"), MAX_FEATURES)
-    vectors = fitted.transform(assigned).select("doc_id", "label", "split", "features")
-    return vectors.filter("split = 'train'"), vectors.filter("split = 'test'")
+    assigned, fitted = _fitted(spark, sf_dir)
+    path = scratch_path(spark, "vectors")
+    fitted.transform(assigned).select("doc_id", "label", "split", "features").write.partitionBy(
+        "split"
+    ).parquet(path)
+    return read_split(spark, path, "train"), read_split(spark, path, "test")
 
 
 def train_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -358,6 +434,69 @@ def train_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify.predict(model, test).select("doc_id", "label", "prediction")
 
 
+def predicted_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every test document has a prediction, and it is one of the labels."""
+    predictions = train_predict(spark, sf_dir)
+    known = F.coalesce(F.col("prediction").isin([0, 1, 2, 3]), F.lit(False))
+    return predictions.select("doc_id", "label", known.alias("known_label"))
+
+
+def _residuals(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame, int]:
+    """What tells whether a trained model is the optimum, worked out from its coefficients.
+
+    Coefficients ``(class, idx, w)``, entries ``(doc_id, idx, x)`` of the train vectors, and for each
+    document and class ``p`` and ``p - y``; the number of documents.
+    """
+    train, _ = _vectors(spark, sf_dir)
+    model = classify.train_classifier(train).stages[0]
+    n_docs = train.count()
+    matrix = model.coefficientMatrix.toArray().tolist()
+    weights = [(c, i, float(w)) for c, row in enumerate(matrix) for i, w in enumerate(row) if w]
+    # At most classes times max_features rows.
+    coefficients = small_table(
+        spark, weights, T.StructType().add("class", "integer").add("idx", "integer").add("w", "double")
+    )
+    intercepts = F.lit([float(b) for b in model.interceptVector])
+    vector = F.unwrap_udt("features")
+    pairs = F.arrays_zip(vector["indices"].alias("idx"), vector["values"].alias("x"))
+    entries = train.select("doc_id", F.inline(pairs))
+    sums = entries.join(coefficients, "idx").groupBy("doc_id", "class").agg(F.sum(F.col("w") * F.col("x")).alias("m"))
+    classes = train.select("doc_id", "label", F.explode(F.lit(list(range(len(matrix))))).alias("class"))
+    margins = classes.join(sums, ["doc_id", "class"], "left").select(
+        "doc_id", "label", "class", (F.coalesce("m", F.lit(0.0)) + F.get(intercepts, F.col("class"))).alias("m")
+    )
+    document = Window.partitionBy("doc_id")
+    odds = F.exp(F.col("m") - F.max("m").over(document))
+    p = (odds / F.sum(odds).over(document)).alias("p")
+    scored = margins.select("doc_id", "label", "class", p)
+    rest = F.col("p") - (F.col("label") == F.col("class")).cast("int")
+    return coefficients, entries, scored.withColumn("rest", rest), n_docs
+
+
+def train_class_mass(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """With a free intercept, the probabilities of a class add up to its train rows."""
+    _, _, scored, _ = _residuals(spark, sf_dir)
+    mass = scored.groupBy(F.col("class").alias("label")).agg(F.sum("p").alias("mass"))
+    return mass.select("label", F.round("mass").cast("bigint").alias("n_train"))
+
+
+def train_gradient(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The objective is flat at its optimum: the mean gradient of every weight is nothing."""
+    coefficients, entries, scored, n_docs = _residuals(spark, sf_dir)
+    losses = (
+        entries.join(scored.select("doc_id", "class", "rest"), "doc_id")
+        .groupBy("class", "idx")
+        .agg(F.sum(F.col("rest") * F.col("x")).alias("loss"))
+    )
+    c = PipelineConfig().inverse_regularization
+    whole = losses.join(coefficients, ["class", "idx"], "full").select(
+        F.col("class").alias("label"),
+        "idx",
+        ((F.coalesce("loss", F.lit(0.0)) + F.coalesce("w", F.lit(0.0)) / c) / n_docs).alias("g"),
+    )
+    return whole.select("label", "idx", F.round(F.abs("g"), 4).alias("gradient"))
+
+
 def model_reload_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whether the reloaded model predicts what the fitted one does, for each test document."""
     train, test = _vectors(spark, sf_dir)
@@ -394,9 +533,30 @@ def end_to_end_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.select("row_name", "precision", "recall", "f1_score", "support")
 
 
+def pipeline_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and supports of the report of a run, and whether its totals follow from its classes."""
+    _, report = _finished_run(spark, sf_dir)
+    rows = report.select("row_name", "place", "recall", "f1_score", "support")
+    classes = rows.filter("place = 0")
+    share = F.sum(F.col("recall") * F.col("support")) / F.sum("support")
+    weighted_recall = classes.agg(share.alias("share")).first()["share"]
+    right = F.when(
+        F.col("row_name") == metrics.ACCURACY, F.abs(F.col("f1_score") - weighted_recall) < 1e-9
+    ).otherwise(F.coalesce(F.col("recall").between(0, 1), F.lit(False)))
+    return rows.select("row_name", "support", right.alias("consistent"))
+
+
 def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The row about a run: its status, its file of metrics, and that its accuracy is the stored one."""
     cfg, report = _finished_run(spark, sf_dir)
-    return stages.summarize(spark, report, cfg)
+    done = stages.summarize(spark, report, cfg)
+    stored = spark.read.parquet(cfg.metrics_table_path).filter(F.col("row_name") == metrics.ACCURACY)
+    accuracy = stored.first()["f1_score"]
+    return done.select(
+        "status",
+        F.element_at(F.split("metrics_path", "/"), -1).alias("metrics_name"),
+        (F.col("accuracy") == accuracy).alias("accuracy_is_stored"),
+    )
 
 
 QUERIES: dict[str, Query] = {
@@ -431,7 +591,13 @@ QUERIES: dict[str, Query] = {
     "accuracy": accuracy,
     "class_report": class_report,
     "metrics_report_text": metrics_report_text,
+    "failure_cases": failure_cases,
+    "json_round_trip": json_round_trip,
     "train_predict": train_predict,
+    "predicted_rows": predicted_rows,
+    "train_class_mass": train_class_mass,
+    "train_gradient": train_gradient,
+    "pipeline_end_to_end": pipeline_end_to_end,
     "model_reload_predict": model_reload_predict,
     "score_from_artifacts": score_from_artifacts,
     "end_to_end_run": end_to_end_run,

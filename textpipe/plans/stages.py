@@ -23,7 +23,7 @@ from textpipe.operators.validate import (
     warn_about_text,
 )
 from textpipe.operators.vectorize import Vectorizer, fit_vectorizer
-from textpipe.sources.corpus import land_corpus, read_split, scan_corpus, spread, write_split
+from textpipe.sources.corpus import land_corpus, read_split, read_table, scan_corpus, write_split
 
 logger = logging.getLogger(__name__)
 REQUIRED = ("text", "label")
@@ -42,32 +42,50 @@ def land(corpus: DataFrame, cfg: PipelineConfig) -> str:
 
 
 def prepare(spark: SparkSession, cfg: PipelineConfig, raw_path: str | None = None) -> str:
-    """Validate the raw table, split it and write train and test."""
-    raw = scan_corpus(spark, raw_path or cfg.raw_path, cfg.raw_format)
+    """Validate the raw table, split it and write train and test.
+
+    Ids that repeat stay as they are. Where the cut would divide rows of one id, the rows are
+    split by a number of their own, made once and stored.
+    """
+    raw = scan_corpus(
+        spark, raw_path or cfg.raw_path, cfg.raw_format, cfg.raw_schema, cfg.raw_multi_line
+    )
     validate_table(raw, REQUIRED, cfg.min_raw_rows)
     if cfg.raw_format != "parquet" or "doc_id" not in raw.columns:
         # The search for the cuts scans keys and labels a few times: give it a table of columns,
         # and ids that stay the same.
-        raw = _store_keyed(raw, cfg)
+        raw = _store_keyed(raw, cfg.keyed_path, "doc_id")
+    key = "doc_id"
     try:
         cuts = find_cuts(raw, test_size=cfg.test_size, seed=cfg.seed)
     except RepeatedKeys as error:
-        logger.warning("%s: making new ids", error)
-        raw = scan_corpus(spark, raw_path or cfg.raw_path, cfg.raw_format).drop("doc_id")
-        raw = _store_keyed(raw, cfg)
-        cuts = find_cuts(raw, test_size=cfg.test_size, seed=cfg.seed)
-    assigned = assign_split(spread(raw), cuts, seed=cfg.seed)
+        logger.warning("%s: splitting by row", error)
+        key = free_name(raw, "row_id")
+        raw = _store_keyed(raw, cfg.numbered_path, key)
+        cuts = find_cuts(raw, key, test_size=cfg.test_size, seed=cfg.seed)
+    assigned = assign_split(raw, cuts, key, seed=cfg.seed)
     # The text check only warns, so it rides on the pass that writes the texts.
     observed, quality = observe_text(assigned.select("doc_id", "text", "label", "split"))
     write_split(observed, cfg.split_path)
     warn_about_text(quality.get)
-    logger.info("Train and test written to %s", cfg.split_path)
+    n_train = sum(c.n_train for c in cuts)
+    logger.info(
+        "Train with %d rows and test with %d rows written to %s",
+        n_train, sum(c.n_rows for c in cuts) - n_train, cfg.split_path,
+    )
     return cfg.split_path
 
 
-def _store_keyed(raw: DataFrame, cfg: PipelineConfig) -> DataFrame:
-    land_corpus(raw, cfg.keyed_path)
-    return scan_corpus(raw.sparkSession, cfg.keyed_path)
+def _store_keyed(raw: DataFrame, path: str, key: str) -> DataFrame:
+    land_corpus(raw, path, key=key)
+    return scan_corpus(raw.sparkSession, path)
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """The name, with ``_`` in front as long as a column has it."""
+    while name.lower() in {c.lower() for c in df.columns}:
+        name = f"_{name}"
+    return name
 
 
 def named_labels(split: DataFrame, cfg: PipelineConfig) -> DataFrame:
@@ -82,9 +100,15 @@ def featurize(spark: SparkSession, cfg: PipelineConfig) -> tuple[Vectorizer, Dat
     validate_table(train, REQUIRED, cfg.min_train_rows)
     validate_table(test, REQUIRED, cfg.min_test_rows)
     require_text(test)
-    vectorizer = fit_vectorizer(train, cfg.max_features, cfg.stop_words)
+    # Counting the rows of a stored table reads the footers of its files.
+    n_train, n_test = train.count(), test.count()
+    vectorizer = fit_vectorizer(train, cfg.max_features, cfg.stop_words, n_docs=n_train)
     vectorizer.save(cfg.vectorizer_path, cfg.vocabulary_path)
-    logger.info("Vectorizer with %d terms saved", vectorizer.n_features)
+    n_terms = vectorizer.n_features
+    logger.info(
+        "Train matrix %d x %d, test matrix %d x %d; vectorizer saved to %s",
+        n_train, n_terms, n_test, n_terms, cfg.vectorizer_path,
+    )
     return vectorizer, _vectors(vectorizer, train), _vectors(vectorizer, test)
 
 
@@ -92,17 +116,33 @@ def _vectors(vectorizer: Vectorizer, docs: DataFrame) -> DataFrame:
     return vectorizer.transform(docs).select("doc_id", "label", "features")
 
 
+def require_artifact(spark: SparkSession, path: str) -> None:
+    """Raise ``FileNotFoundError`` where a saved stage or table is missing."""
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    if not at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at):
+        raise FileNotFoundError(f"File not found: {path}")
+
+
 def load_vectors(spark: SparkSession, cfg: PipelineConfig, split: str) -> DataFrame:
     """Vectors of one side, from the stored split and the saved vectorizer."""
     docs = read_split(spark, cfg.split_path, split)
+    for path in (cfg.vectorizer_path, cfg.vocabulary_path):
+        require_artifact(spark, path)
     require_text(docs)
     return _vectors(Vectorizer.load(spark, cfg.vectorizer_path, cfg.vocabulary_path), docs)
 
 
 def train(vectors: DataFrame, cfg: PipelineConfig) -> PipelineModel:
-    """Train the classifier on vectors and save it."""
+    """Train the classifier on vectors and save it.
+
+    The vectors are written to the processed zone first: the solver reads them more than once, and
+    a lost executor then costs a few files read again, not texts cut again.
+    """
+    vectors.write.mode("overwrite").parquet(cfg.vectors_path)
+    stored = read_table(vectors.sparkSession, cfg.vectors_path)
     model = classify.train_classifier(
-        vectors,
+        stored,
         inverse_regularization=cfg.inverse_regularization,
         max_iter=cfg.max_iter,
         tol=cfg.tol,
@@ -121,12 +161,14 @@ def evaluate(predictions: DataFrame, cfg: PipelineConfig) -> DataFrame:
     report.coalesce(1).write.mode("overwrite").parquet(cfg.metrics_table_path)
     stored = predictions.sparkSession.read.parquet(cfg.metrics_table_path)
     metrics.write_metrics_text(stored, cfg.metrics_path)
-    logger.info("Metrics written to %s", cfg.metrics_path)
+    lines = metrics.metrics_lines(stored)
+    logger.info("Metrics written to %s:\n%s", cfg.metrics_path, "\n".join(lines))
     return stored
 
 
 def score(spark: SparkSession, cfg: PipelineConfig, split: str = "test") -> DataFrame:
     """Predictions for one side, from saved artifacts alone."""
+    require_artifact(spark, cfg.model_path)
     model = classify.load_classifier(cfg.model_path)
     return classify.predict(model, load_vectors(spark, cfg, split)).drop("features")
 

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from types import MappingProxyType
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,7 +15,8 @@ from textpipe.functions.text import null_if_na
 CSV_QUOTING = {"header": True, "quote": '"', "escape": '"'}
 CSV_AS_WRITTEN = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 
-COLUMN_TYPES = {"doc_id": "bigint", "text": "string", "label": "int"}
+# Types of columns that CSV cells are cast to; other columns are strings. Ids may be texts.
+COLUMN_TYPES: Mapping[str, str] = MappingProxyType({"label": "int"})
 
 
 def read_table(
@@ -35,61 +37,48 @@ def strict_cast(cell: Column, data_type: str) -> Column:
     if data_type == "string":
         return cell
     value = cell.try_cast(data_type)
-    message = F.concat(F.lit(f"Not a valid {data_type}: "), cell)
+    message = F.concat(F.lit(f"Not a valid {data_type}: "), cell.cast("string"))
     return F.when(cell.isNotNull() & value.isNull(), F.raise_error(message)).otherwise(value)
 
 
-def scan_csv(spark: SparkSession, path: str, multi_line: bool | None = None) -> DataFrame:
+def scan_csv(
+    spark: SparkSession,
+    path: str,
+    multi_line: bool = True,
+    types: Mapping[str, str] = COLUMN_TYPES,
+) -> DataFrame:
     """Scan CSV by header name; the empty string and the NA tokens become null.
 
-    All cells are read as strings first and then cast, so a bad number fails the query and
-    never turns into a null. Every file must have the header of the first.
+    All cells are read as strings first and then cast to ``types``, so a bad number fails the
+    query and never turns into a null. Every file must have the header of the first.
 
-    A file with line breaks inside cells is read whole, by one task. ``multi_line`` says whether
-    there are any; without it, files that are too few to keep the cores busy are looked through
-    first, and divided between tasks if no cell goes over the end of its line.
+    Cells may hold line breaks, and so a file is read whole, by one task. ``multi_line=False``
+    says that no cell does: files are then divided between tasks. Nothing else decides on it, so
+    the same files are read alike by every cluster.
     """
-    cells = _read_csv(spark, path, multi_line is not False)
-    if multi_line is None and _splits(cells) < spark.sparkContext.defaultParallelism:
-        if not cells_span_lines(spark, path):
-            cells = _read_csv(spark, path, multi_line=False)
+    cells = read_table(
+        spark, path, "csv", **CSV_QUOTING, **CSV_AS_WRITTEN,
+        multiLine=multi_line, mode="FAILFAST", enforceSchema=False,
+    )
     return cells.select(
         *(
-            strict_cast(null_if_na(F.col(f"`{name}`")), COLUMN_TYPES.get(name, "string")).alias(name)
+            strict_cast(null_if_na(F.col(f"`{name}`")), types.get(name, "string")).alias(name)
             for name in cells.columns
         )
     )
 
 
-def _read_csv(spark: SparkSession, path: str, multi_line: bool) -> DataFrame:
-    return read_table(
-        spark, path, "csv", **CSV_QUOTING, **CSV_AS_WRITTEN,
-        multiLine=multi_line, mode="FAILFAST", enforceSchema=False,
-    )
-
-
-def _splits(scan: DataFrame) -> int:
-    return scan.rdd.getNumPartitions()
-
-
-def cells_span_lines(spark: SparkSession, path: str) -> bool:
-    """Whether a quoted cell may hold a line break.
-
-    A cell that goes over the end of a line leaves an odd number of quotes on that line.
-    """
-    line = F.col("value")
-    quotes = F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))
-    return not read_table(spark, path, "text").filter(quotes % 2 == 1).isEmpty()
-
-
 def write_csv(df: DataFrame, path: str) -> None:
     """Write CSV that ``scan_csv`` reads back unchanged."""
     df.write.mode("overwrite").options(**CSV_QUOTING, **CSV_AS_WRITTEN, quoteAll=True).csv(path)
 
 
-def scan_json(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
-    """Scan JSON lines with given columns: inferring them would read all files once more."""
-    schema = ", ".join(f"{name} {COLUMN_TYPES.get(name, 'string')}" for name in columns)
+def scan_json(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
+    """Scan JSON lines with all their columns.
+
+    Without a ``schema`` the files are read once more to find keys and types. Whole numbers are
+    ``bigint`` then.
+    """
     return read_table(spark, path, "json", schema, mode="FAILFAST")
 
 
@@ -97,24 +86,32 @@ def scan_corpus(
     spark: SparkSession,
     path: str,
     fmt: str = "parquet",
-    columns: Sequence[str] = ("text", "label"),
+    schema: str | None = None,
+    multi_line: bool = True,
 ) -> DataFrame:
-    """Scan a corpus kept as CSV, JSON or any typed format; ``columns`` are those of JSON."""
+    """Scan a corpus kept as CSV, JSON or any typed format.
+
+    ``schema`` is that of JSON, ``multi_line`` is about cells of CSV. Labels are cast to ``int``
+    where the files do not say it.
+    """
     if fmt == "csv":
-        return scan_csv(spark, path)
+        return scan_csv(spark, path, multi_line)
     if fmt == "json":
-        return scan_json(spark, path, columns)
+        found = scan_json(spark, path, schema)
+        if schema or "label" not in found.columns:
+            return found
+        return found.withColumn("label", strict_cast(F.col("label"), COLUMN_TYPES["label"]))
     return read_table(spark, path, fmt)
 
 
-def land_corpus(corpus: DataFrame, path: str, fmt: str = "parquet") -> None:
+def land_corpus(corpus: DataFrame, path: str, fmt: str = "parquet", key: str = "doc_id") -> None:
     """Write the raw table, replacing an older one.
 
-    A corpus without a ``doc_id`` gets one here. The id is made once and stored, so all
-    later stages see the same ids, also when tasks are repeated.
+    A corpus without the ``key`` gets one here. The key is made once and stored, so all
+    later stages see the same keys, also when tasks are repeated.
     """
-    if "doc_id" not in corpus.columns:
-        corpus = corpus.withColumn("doc_id", F.monotonically_increasing_id())
+    if key not in corpus.columns:
+        corpus = corpus.withColumn(key, F.monotonically_increasing_id())
     if fmt == "csv":
         write_csv(corpus, path)
     else:
@@ -129,15 +126,3 @@ def write_split(assigned: DataFrame, path: str) -> None:
 def read_split(spark: SparkSession, path: str, split: str) -> DataFrame:
     """Scan one side of the split; the other side's files are not opened."""
     return read_table(spark, path).filter(F.col("split") == split).drop("split")
-
-
-def spread(scan: DataFrame, keys: Sequence[str] = ("doc_id",)) -> DataFrame:
-    """Give every core a share of a scan that has fewer splits than there are cores.
-
-    Such a scan is at most a few splits long, so moving it costs little next to cutting its
-    texts on a few cores. A larger scan is returned as it is.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    if _splits(scan) >= cores:
-        return scan
-    return scan.repartition(cores, *keys)
