@@ -25,8 +25,8 @@ from pyspark.sql import functions as F
 # How byte-level BPE divides a text before it merges (fixed value of the vocabulary).
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 END = 0
-_CHARACTERS_AT_ONCE = 1 << 22
-_REMEMBERED = 200_000
+_CHARACTERS_AT_ONCE = 1 << 21
+_REMEMBERED = 100_000
 
 
 def byte_characters() -> dict[str, int]:
