@@ -36,8 +36,8 @@ class Breeding:
     district: int = 2048
     islands: int = 3
     epochs: int = 2
-    population: int = 6
-    offspring: int = 10
+    population: int = 16
+    offspring: int = 100
     well_filled: float = 0.99
     levels: int = 3
 
@@ -107,6 +107,8 @@ class District:
             bins, free = np.zeros(len(self.sizes), dtype=np.int64), []
             best_fit(self.sizes, self.limit, np.argsort(-shaken, kind="stable"), bins, free)
             found.append(bins)
+            if len(free) <= self.least:
+                break
         return found
 
     def cross(self, host: np.ndarray, donor: np.ndarray) -> np.ndarray:
@@ -130,15 +132,20 @@ class District:
 
     def evolve(self, population: list[np.ndarray]) -> list[np.ndarray]:
         """One epoch; the best solution is the first of the result."""
-        ranked = sorted(population, key=self.fitness, reverse=True)[: self.how.population]
+        held = {self.fitness(x): x for x in population}
         for _ in range(self.how.offspring):
-            if ranked[0].max() + 1 <= self.least:
+            ranked = sorted(held, reverse=True)[: self.how.population]
+            held = {f: held[f] for f in ranked}
+            if held[ranked[0]].max() + 1 <= self.least:
                 break
             # The better a parent, the likelier; squared uniform numbers are mostly small.
-            a, b = (int(len(ranked) * x * x) for x in self.rng.random(2))
-            child = self.cross(ranked[a], ranked[b]) if a != b else self.mutate(ranked[a])
-            ranked = sorted([*ranked, child], key=self.fitness, reverse=True)[: self.how.population]
-        return ranked
+            a, b = (held[ranked[int(len(ranked) * x * x)]] for x in self.rng.random(2))
+            child = a if a is b else self.cross(a, b)
+            if a is b or self.rng.random() < 0.3:
+                child = self.mutate(child)
+            # Solutions of one fitness are taken for the same, which keeps the others alive.
+            held.setdefault(self.fitness(child), child)
+        return [held[f] for f in sorted(held, reverse=True)[: self.how.population]]
 
 
 def _bred(limit: int, how: Breeding, epoch: int):
