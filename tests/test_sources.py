@@ -188,7 +188,8 @@ def session(shared=None, checkpoint_dir=None, master="local[2]"):
     return SimpleNamespace(conf=conf, sparkContext=context)
 
 
-def test_scratch_follows_the_session(spark):
+def test_scratch_follows_the_session(spark, monkeypatch):
+    monkeypatch.setattr(scratch, "_made", [])
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
     on_yarn = {"master": "yarn"}
     assert scratch_path(session("hdfs:/shared/", **on_yarn), "x").startswith("hdfs:/shared/x-")
