@@ -35,6 +35,23 @@ def test_ids_of_odd_texts(tokenizer):
     assert got == [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
 
 
+def test_added_tokens(spark):
+    """The ids are those of the tokenizer as loaded, where texts hold the literal of an added token."""
+    loaded = Tokenizer.from_file(VOCABULARY)
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>y", "a  <|endoftext|>\n b", "<|endoftext|", "plain text"]
+    texts += [f"word {k} " * 900 + "<|endoftext|> and more" for k in range(3)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    expected = {}
+    for d, text in enumerate(texts):
+        ids = np.array([*loaded.encode(text, add_special_tokens=False).ids, 0], dtype="<u4")
+        cuts = [0, *range((len(ids) - 1) % 2048 + 1, len(ids) + 1, 2048)]
+        for k, (a, b) in enumerate(zip(cuts, cuts[1:])):
+            expected[d, k] = (a, b - a, zlib.crc32(ids[a:b].tobytes()))
+    rows = pack(df, VOCABULARY).collect()
+    assert {(r.doc_id, r.piece): (r.start, r.length, r.ids_crc32) for r in rows} == expected
+    assert next(Encoder(VOCABULARY, added=True)(texts[:1])).tolist() == [64, 220, 50256, 275]
+
+
 def check_sequences(rows: list) -> int:
     by_sequence: dict[int, list] = {}
     for r in rows:
