@@ -92,6 +92,30 @@ def test_recall_under_edits(spark):
     assert recall >= 0.9, recall
 
 
+def test_recall_by_item_length(spark):
+    """Items of each length with all the edits they are allowed, in one block with the others."""
+    rng = random.Random(7)
+    prose = [r.text for r in spark.read.parquet(f"{SF}/documents.parquet").limit(400).collect() if r.text]
+    sizes = (12, 20, 35, 50, 65, 80, 100, 120, 150, 250)
+    items, texts, truth = [], [], []
+    for k in range(50 * len(sizes)):
+        size = sizes[k % len(sizes)]
+        words = normal(prose[k % len(prose)]).split(" ")
+        text = " ".join(words[rng.randrange(len(words) // 2) :])[:size].strip()
+        limit = len(text) // 10
+        host = prose[(k + 31) % len(prose)][:800].split(" ")
+        at = rng.randrange(len(host))
+        texts.append(" ".join([*host[:at], edited(text, limit, rng), *host[at:]]))
+        items.append((k, text))
+        if substring_distance(text, normal(texts[-1])) <= limit:
+            truth.append((k, size))
+    found = {(k, item) for k, item, _, _ in search(Index(items, Search()), texts)}
+    missed = [size for k, size in truth if (k, k) not in found]
+    assert len(truth) > 400
+    assert not [size for size in missed if size < 100], missed
+    assert len(missed) <= 0.01 * len(truth), missed
+
+
 def test_short_items_and_blocks(spark, monkeypatch):
     monkeypatch.setattr(decontaminate, "BLOCK_CHARACTERS", 60)
     items = spark.createDataFrame(

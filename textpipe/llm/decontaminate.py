@@ -7,10 +7,14 @@ hash of the characters written at a few sampled steps is an LSH for that distanc
 
 A walk reads a window from its start, so windows of all item sizes that begin at one place share
 it: the embedding of a shorter one begins like that of a longer one. Steps are sampled from the
-part that they share. Every word of an item begins a window of the index, and every ``stride``-th
-word of a document one of the search. So an item that a document contains is met at several
-places, and an edit can only spoil the windows that begin shortly before it. Each walk and sample is one
-repetition; ``repetitions`` and ``samples`` set the recall.
+part that they share. Every word of an item begins a window of the index, and every word of a
+document one of the search. So an item that a document contains is met at several places, and an
+edit can only spoil the windows that begin shortly before it. Each walk and sample is one
+repetition; ``repetitions`` and ``samples`` set the recall. A window of the search is given up as
+soon as no window of the index begins with what it has written.
+
+Items with few windows would often lose all of them to edits. They are cut into one segment more
+than the edits they are allowed, so that one at least is in the document as it is: none is lost.
 
 A hit places the item at a stretch of the document, and the least edit distance between the item
 and any substring there is computed exactly.
@@ -41,18 +45,26 @@ BLOCK_CHARACTERS = 2_000_000
 _CHARACTERS_AT_ONCE = 1 << 20
 _WINDOWS_AT_ONCE = 1 << 16
 _FILTER_BITS = 22
+# After how many samples a window of the search may be given up, and bits of these filters.
+_SIEVES = (4, 6, 8)
+_SIEVE_BITS = 18
+_GRAM = 5
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
 
 @dataclass(frozen=True)
 class Search:
-    """``rate``: edits allowed for each character of an item; the others set recall and work."""
+    """``rate``: edits allowed for each character of an item; the others set recall and work.
+
+    Items of fewer than ``short`` characters or ``windows`` windows are met by exact segments.
+    """
 
     rate: float = 0.1
     repetitions: int = 4
     samples: int = 12
     steps: int = 40
-    stride: int = 5
+    short: int = 100
+    windows: int = 8
     seed: int = 42
 
 
@@ -86,15 +98,27 @@ def myers(pattern: np.ndarray, text: np.ndarray) -> tuple[int, int]:
     return best, where
 
 
-def word_starts(codes: np.ndarray, begin: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Where words begin, and the number of each within its text."""
+def word_starts(codes: np.ndarray) -> np.ndarray:
+    """Where words begin."""
     inside = (codes != 0) & (codes != 32)
     starts = inside.copy()
     starts[1:] &= ~inside[:-1]
-    at = np.flatnonzero(starts)
-    owner = np.searchsorted(begin, at, side="right") - 1
-    first = np.searchsorted(at, begin)
-    return at, np.arange(len(at)) - first[owner]
+    return np.flatnonzero(starts)
+
+
+def _grams(codes: np.ndarray) -> np.ndarray:
+    """A number of 16 bits for every ``_GRAM`` characters in a row; equal ones have the same."""
+    symbols = _symbols(codes).astype(np.uint32)
+    n = max(len(symbols) - _GRAM + 1, 0)
+    out = np.zeros(n, dtype=np.uint32)
+    for k in range(_GRAM):
+        out = (out ^ symbols[k : k + n]) * np.uint32(0x85EBCA6B)
+        out ^= out >> np.uint32(15)
+    return out >> np.uint32(16)
+
+
+# Repetition, number of samples, hashes: whether each window goes on.
+Sieve = Callable[[int, int, np.ndarray], np.ndarray]
 
 
 class Walks:
@@ -108,22 +132,35 @@ class Walks:
             np.sort(rng.choice(how.steps, how.samples, replace=False)) for _ in range(how.repetitions)
         ]
 
-    def keys(self, symbols: np.ndarray, starts: np.ndarray, repetition: int) -> np.ndarray:
-        """One hash for the window at each start."""
-        out = np.empty(len(starts), dtype=np.uint64)
+    def keys(
+        self, symbols: np.ndarray, starts: np.ndarray, repetition: int, sieve: Sieve
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """One hash for the window at each start, and the numbers of the starts that are left.
+
+        ``sieve`` is given the hashes after some of the samples, and says which windows go on.
+        """
         sampled = set(self.sampled[repetition].tolist())
         last = max(sampled)
+        out, kept = [np.empty(0, dtype=np.uint64)], [np.empty(0, dtype=np.int64)]
         for k in range(0, len(starts), _WINDOWS_AT_ONCE):
             cursor = starts[k : k + _WINDOWS_AT_ONCE].astype(np.int64)
+            number = np.arange(k, k + len(cursor))
             key = np.full(len(cursor), repetition + 1, dtype=np.uint64)
+            taken = 0
             for step in range(last + 1):
                 written = symbols[cursor]
                 if step in sampled:
                     key = (key ^ written) * _GOLD
                     key ^= key >> np.uint64(29)
+                    taken += 1
+                    if taken in _SIEVES:
+                        left = np.flatnonzero(sieve(repetition, taken, key))
+                        if len(left) < len(key):
+                            cursor, number, key, written = cursor[left], number[left], key[left], written[left]
                 cursor += self.moves[repetition, step][written]
-            out[k : k + _WINDOWS_AT_ONCE] = key
-        return out
+            out.append(key)
+            kept.append(number)
+        return np.concatenate(out), np.concatenate(kept)
 
 
 def _symbols(codes: np.ndarray) -> np.ndarray:
@@ -140,18 +177,22 @@ class Index:
         self.ids = [i for i, _ in items]
         self.texts = [codes[b : b + n] for b, n in zip(begin, lengths)]
         self.limits = [int(how.rate * n) for n in lengths]
+        self.grams = [_grams(t) for t in self.texts]
+        # An edit spoils so many of them at most.
+        self.needed = [len(g) - _GRAM * n for g, n in zip(self.grams, self.limits)]
         symbols = _symbols(codes)
-        at, _ = word_starts(codes, begin, lengths)
+        at = word_starts(codes)
         owner = np.searchsorted(begin, at, side="right") - 1
         # A window must not run out of its item.
         inside = at + how.steps <= (begin + lengths)[owner]
         at, owner = at[inside], owner[inside]
         windows = np.bincount(owner, minlength=len(items))
-        # Every stretch of words as long as the stride has a window of the search. An item whose
-        # windows begin at fewer words needs one at every word.
-        self.stride = how.stride if (windows[windows > 0] >= how.stride).all() else 1
-        self.tiny = self._words([k for k, n in enumerate(lengths) if n and not windows[k]])
-        keys = np.concatenate([self.walks.keys(symbols, at, r) for r in range(how.repetitions)])
+        few = (lengths < how.short) | (windows < how.windows)
+        self.tiny = self._words([k for k, n in enumerate(lengths) if n and few[k] and not self.limits[k]])
+        self.segments = self._segments([k for k in np.flatnonzero(few).tolist() if self.limits[k]])
+        at, owner = at[~few[owner]], owner[~few[owner]]
+        self.begun: dict[tuple[int, int], np.ndarray] = {}
+        keys = np.concatenate([self.walks.keys(symbols, at, r, self._begin)[0] for r in range(how.repetitions)])
         entry = np.tile(np.arange(len(at)), how.repetitions)
         order = np.argsort(keys, kind="stable")
         self.keys, entry = keys[order], entry[order]
@@ -159,8 +200,18 @@ class Index:
         self.filter = np.zeros(1 << _FILTER_BITS, dtype=bool)
         self.filter[self.keys >> np.uint64(64 - _FILTER_BITS)] = True
 
+    def _begin(self, repetition: int, taken: int, keys: np.ndarray) -> np.ndarray:
+        """Note how windows of the index begin; all of them go on."""
+        begun = self.begun.setdefault((repetition, taken), np.zeros(1 << _SIEVE_BITS, dtype=bool))
+        begun[keys >> np.uint64(64 - _SIEVE_BITS)] = True
+        return np.ones(len(keys), dtype=bool)
+
+    def _begins(self, repetition: int, taken: int, keys: np.ndarray) -> np.ndarray:
+        """Whether a window of the index may begin like this."""
+        return self.begun[repetition, taken][keys >> np.uint64(64 - _SIEVE_BITS)]
+
     def _words(self, items: list[int]) -> ahocorasick.Automaton | None:
-        """Items without a window are searched as whole words, without edits."""
+        """Items that are allowed no edit are searched as whole words."""
         if not items:
             return None
         found = ahocorasick.Automaton()
@@ -170,14 +221,34 @@ class Index:
         found.make_automaton()
         return found
 
+    def _segments(self, items: list[int]) -> ahocorasick.Automaton | None:
+        """Segments of items, one more than their edits: (item, place in it, length)."""
+        if not items:
+            return None
+        found = ahocorasick.Automaton()
+        for k in items:
+            text, n = _text(self.texts[k]), self.limits[k] + 1
+            cuts = [len(text) * i // n for i in range(n + 1)]
+            for a, b in zip(cuts, cuts[1:]):
+                found.add_word(text[a:b], [*found.get(text[a:b], []), (k, a, b - a)])
+        found.make_automaton()
+        return found
+
+    def met(self, text: str) -> Iterator[tuple[int, int]]:
+        """(item, where it would begin in the text) of the segments that the text holds."""
+        for end, held in self.segments.iter(text) if self.segments else ():
+            for item, offset, size in held:
+                yield item, end + 1 - size - offset
+
     def hits(self, symbols: np.ndarray, starts: np.ndarray) -> Iterator[tuple[int, int, int]]:
         """(window, item, where the item would begin), each item and place once."""
         seen: dict[tuple[int, int], int] = {}
         for r in range(self.how.repetitions if len(self.keys) else 0):
-            keys = self.walks.keys(symbols, starts, r)
+            keys, number = self.walks.keys(symbols, starts, r, self._begins)
             maybe = np.flatnonzero(self.filter[keys >> np.uint64(64 - _FILTER_BITS)])
-            left = np.searchsorted(self.keys, keys[maybe], side="left")
-            n = np.searchsorted(self.keys, keys[maybe], side="right") - left
+            keys, maybe = keys[maybe], number[maybe]
+            left = np.searchsorted(self.keys, keys, side="left")
+            n = np.searchsorted(self.keys, keys, side="right") - left
             entry = np.repeat(left, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
             window = np.repeat(starts[maybe], n)
             where = window - self.offset[entry]
@@ -202,6 +273,10 @@ class Index:
                 low, high = max(first, place - limit), min(last, place + len(text) + 2 * limit)
                 if high > done:  # else the stretch before has covered this one
                     done = min(last, high + limit)
+                    there = np.zeros(1 << 16, dtype=bool)
+                    there[_grams(codes[low:done])] = True
+                    if np.count_nonzero(there[self.grams[item]]) < self.needed[item]:
+                        continue
                     distance, end = myers(text, codes[low:done])
                     best = min(best, (distance, low + end - first))
             if best[0] <= limit:
@@ -215,11 +290,14 @@ def _text(codes: np.ndarray) -> str:
 def _search(index: Index, texts: list[str]) -> Iterator[tuple[int, int, int, int]]:
     """(text, item, distance, place of the end) for some texts."""
     codes, begin, lengths = code_points(texts, index.how.steps + 1)
-    at, number = word_starts(codes, begin, lengths)
     guesses: dict[int, dict[int, list[int]]] = {}
-    for window, item, where in index.hits(_symbols(codes), at[number % index.stride == 0]):
+    for window, item, where in index.hits(_symbols(codes), word_starts(codes)):
         owner = int(np.searchsorted(begin, window, side="right")) - 1
         guesses.setdefault(owner, {}).setdefault(item, []).append(where)
+    for owner in range(len(texts)) if index.segments else ():
+        first = int(begin[owner])
+        for item, where in index.met(_text(codes[first : first + lengths[owner]])):
+            guesses.setdefault(owner, {}).setdefault(item, []).append(first + where)
     for owner, places in guesses.items():
         first = int(begin[owner])
         for item, distance, end in index.verified(codes, first, first + int(lengths[owner]), places):
@@ -269,7 +347,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, how: Search = Search()) -> Da
     Compared are lower-cased words of letters and digits with one space between two. An item is
     contained if a substring of the document is at most ``rate`` edits for each of its characters
     away; ``distance`` is the least of those found and ``end_char`` counts to the end of that
-    substring. Items too short for a window are searched as whole words without edits. Null texts
+    substring. Items of so few characters that no edit is allowed are searched as whole words. Null texts
     contain nothing, items with a null id or text or without words are skipped, items with one
     id and different texts may give a row each, and repeated rows of ``docs`` give repeated rows.
     """
