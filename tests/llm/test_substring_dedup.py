@@ -45,6 +45,31 @@ def test_long_sentences_are_cut_alike_everywhere():
     assert len(set(one.tolist()) & set(two.tolist())) >= 4
 
 
+def test_passages_are_found_in_differing_contexts(spark):
+    """Passages of 51 words inside other text share a run; also with few different words."""
+    rng = random.Random(4)
+    prose = [r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect() if r.text]
+    prose = [t.split() for t in prose if len(t.split()) > 120]
+    few = [[rng.choice("abcdefghijkl") * 2 for _ in range(120)] for _ in range(200)]
+    periodic = [(["ab", "cd", "ef"][: 1 + k % 3] * 120)[:120] for k in range(6)]
+    for texts in (prose, few, periodic):
+        missed = 0
+        for _ in range(1500):
+            words, other, third = (rng.choice(texts) for _ in range(3))
+            at = rng.randrange(len(words) - 51)
+            passage = words[at : at + 51]
+            # Three sentences of one or two words are no run, by the rule of ten words.
+            if sum(x[-1] in ".!?" for x in passage) > 10:
+                continue
+            contexts = [" ".join([*c[:n], *passage, *c[n : n + 30]]) for c, n in ((other, rng.randrange(30)), (third, rng.randrange(30)))]
+            # Runs of the passage itself, so that what the contexts share does not count.
+            inside = set(runs([" ".join(passage)])[2].tolist())
+            missed += not inside.intersection(*(runs([c])[2].tolist() for c in contexts))
+        assert missed == 0, missed
+    s = sentences([" ".join(w) for w in prose + few])
+    assert s.words.max() <= Spans().within + 3
+
+
 def test_case_and_space_do_not_matter():
     a, b = (runs([t], Spans(least=1))[2].tolist() for t in ("A b c. D e.  F g.", "a B c. d e.\nf  G."))
     assert a == b and len(a) == 1

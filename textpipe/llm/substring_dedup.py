@@ -1,7 +1,8 @@
 """Substring deduplication by sliding spans of sentences.
 
-A text is cut into sentences; a long one is cut again before words that a hash picks, so that a
-passage is cut alike wherever it stands. Every run of ``span`` sentences has a 128-bit hash of its
+A text is cut into sentences; a long one is cut again before the word of the least hash of every
+few words in a row. So no piece is long, and a passage is cut alike wherever it stands: from the
+least of its first few words to the least of its last. Every run of ``span`` sentences has a 128-bit hash of its
 lower-case words. A run that occurs in several documents is kept in the one with the smallest id;
 within a document its first place counts. Sentences that any other occurrence covers are removed.
 
@@ -34,17 +35,18 @@ from textpipe.llm.common import (
 
 _ENDS = [ord(c) for c in ".!?"]
 _CHARACTERS_AT_ONCE = 1 << 20
+_APART = 4
 
 
 @dataclass(frozen=True)
 class Spans:
     """Runs of ``span`` sentences with ``least`` words or more; a sentence of more than ``longest``
-    words is cut before every ``one_in``-th word or so."""
+    words is cut before the word of the least hash of every ``within`` words in a row."""
 
     span: int = 3
     least: int = 10
     longest: int = 12
-    one_in: int = 6
+    within: int = 10
 
 
 @dataclass
@@ -76,6 +78,31 @@ def _summed(values: np.ndarray, starts: np.ndarray, place: np.ndarray, seed: int
     return finished(np.add.reduceat(values * powers[place], starts))
 
 
+def _picked(hashes: np.ndarray, left: np.ndarray, within: int) -> np.ndarray:
+    """Words that have the least hash of any ``within`` words of their sentence in a row.
+
+    ``left`` counts the words from each one to the end of its sentence. The last of equal ones is
+    picked. A word is hashed with the next, so that few different words still differ.
+    """
+    after = np.append(hashes[1:], np.uint64(0))
+    after[left == 1] = 0
+    pairs = finished(hashes + after * np.uint64(0x9E3779B97F4A7C15))
+    start = np.flatnonzero(left >= within)
+    least, where = pairs[start], start.copy()
+    for k in range(1, within):
+        other = pairs[start + k]
+        lower = other <= least
+        least = np.where(lower, other, least)
+        where = np.where(lower, start + k, where)
+    where = np.unique(where)
+    # Words that repeat with a period of a few would be cut into pieces too short for a run of them:
+    # of equal ones close together, only those at least ``_APART`` words on are picked.
+    gap = np.diff(where, prepend=-_APART)
+    again = (gap < _APART) & (np.diff(pairs[where], prepend=np.uint64(0)) == 0)
+    number = _places(np.flatnonzero(~again), len(where))
+    return where[number % -(-_APART // gap) == 0]
+
+
 def sentences(texts: list[str], how: Spans = Spans()) -> Sentences:
     """Cut texts after ``.``, ``!`` or ``?`` before white space, and at line breaks.
 
@@ -103,8 +130,9 @@ def sentences(texts: list[str], how: Spans = Spans()) -> Sentences:
     opens = np.append(True, closes[:-1])
     whole = np.flatnonzero(opens)
     size = np.diff(np.append(whole, len(starts)))
-    long = np.repeat(size > how.longest, size)
-    opens |= long & (halves[0] % np.uint64(how.one_in) == 0)
+    left = np.repeat(whole + size, size) - np.arange(len(starts))
+    left[np.repeat(size <= how.longest, size)] = 0
+    opens[_picked(halves[0], left, how.within)] = True
     first = np.flatnonzero(opens)
     number = _places(first, len(starts))
     hashes = [_summed(h, first, number, k + 3) for k, h in enumerate(halves)]
