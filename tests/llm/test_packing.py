@@ -31,7 +31,8 @@ def test_ids_of_odd_texts(tokenizer):
     texts = ["", " ", "  ", "a", " a", "a ", "a  b", "a \n b", "\n", "a\n\nb c", "<|endoftext|> x", "it's we'll", "é😀 ñ ",
              "tab\t tab", "\u00a0 x\u2003 y", "12 345 6,7", "x" * 300, "... --- !!!", "\x1c a", "a\u0085 b", "  lead", "trail  "]
     texts += ["".join(rng.choice(" \n\tab'.1é\u00a0") for _ in range(rng.randrange(40))) for _ in range(400)]
-    got = [ids.tolist() for ids in Encoder(VOCABULARY)(texts)]
+    encode = Encoder(VOCABULARY)
+    got = [encode(text).tolist() for text in texts]
     assert got == [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
 
 
@@ -49,7 +50,7 @@ def test_added_tokens(spark):
             expected[d, k] = (a, b - a, zlib.crc32(ids[a:b].tobytes()))
     rows = pack(df, VOCABULARY).collect()
     assert {(r.doc_id, r.piece): (r.start, r.length, r.ids_crc32) for r in rows} == expected
-    assert next(Encoder(VOCABULARY, added=True)(texts[:1])).tolist() == [64, 220, 50256, 275]
+    assert Encoder(VOCABULARY, added=True)(texts[0]).tolist() == [64, 220, 50256, 275]
 
 
 def check_sequences(rows: list) -> int:
@@ -112,6 +113,35 @@ def test_breeding_beats_best_fit():
     assert after < before
 
 
+def least_bins(sizes: list[int], limit: int) -> int:
+    """The fewest bins, by trying all places of each size."""
+    best = len(sizes)
+
+    def place(k: int, fills: list[int]) -> None:
+        nonlocal best
+        if len(fills) >= best:
+            return
+        if k == len(sizes):
+            best = len(fills)
+            return
+        for b in range(len(fills)):
+            if fills[b] + sizes[k] <= limit:
+                place(k + 1, [*fills[:b], fills[b] + sizes[k], *fills[b + 1 :]])
+        place(k + 1, [*fills, sizes[k]])
+
+    place(0, [])
+    return best
+
+
+def test_fewest_bins_of_small_districts():
+    for seed in range(25):
+        rng = np.random.default_rng(seed)
+        sizes = np.sort(rng.integers(15, 70, 9))[::-1].copy()
+        place = District(sizes, 100, Breeding(), [seed])
+        bred = place.evolve(place.first())[0]
+        assert bred.max() + 1 == least_bins(sizes.tolist(), 100), seed
+
+
 def test_best_fit():
     sizes = np.array([5, 3, 4, 2, 6])
     bins, free = np.zeros(5, dtype=np.int64), []
