@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import unicodedata
 
 from conftest_llm import SF
 from hypothesis import given, settings
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 from textpipe.llm import quality_rules
 from textpipe.llm.quality_rules import Condition, Learning, learn, statistics, text_counts, verdict
 from textpipe.llm.queries import QUERIES
+from textpipe.llm.toxicity import trained_on
 
 MEDIUM = "/root/testdata/sf0.1"
 
@@ -71,6 +73,54 @@ def test_random_texts(spark):
     assert got == {k: plain_counts(t) for k, t in enumerate(drawn)}
 
 
+# Different windows of each meet in 36 bits of the hash, one between two equal ones.
+MEETING = [
+    "a357190 b357190 c357190 x1 a594392 b594392 c594392 x2 a357190 b357190 c357190",
+    "a357190 b357190 c357190 x1 a594392 b594392 c594392 x2 a594392 b594392 c594392",
+    "a594392 b594392 c594392 a357190 b357190 c357190 a594392 b594392 c594392 a357190 b357190 c357190",
+]
+
+
+def test_windows_that_meet_in_the_hash(spark):
+    docs = spark.createDataFrame(list(enumerate(MEETING)), "doc_id bigint, text string")
+    got = {r.doc_id: r.n_repeat_words for r in text_counts(docs).collect()}
+    assert got[0] == got[1] == 6
+    assert got == {k: plain_counts(t)[4] for k, t in enumerate(MEETING)}
+
+
+def test_few_bits_of_the_hash(spark):
+    import random
+
+    rng = random.Random(3)
+    texts = [" ".join(rng.choice("abcdefgh") for _ in range(rng.randrange(60))) for _ in range(200)]
+    texts += [" ".join(str(rng.randrange(40)) for _ in range(300)) for _ in range(20)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    for bits in (1, 3, 8, 36):
+        got = {r.doc_id: tuple(r[c] for c in quality_rules.BASE) for r in text_counts(docs, bits).collect()}
+        assert got == {k: plain_counts(t) for k, t in enumerate(texts)}, bits
+
+
+def test_verdicts_from_the_learned_list(spark):
+    """``kept`` of every document, worked out in plain Python from the texts and the rules."""
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    _, rules = quality_rules.learned(docs, labels, trained_on())
+    assert rules
+    kept = {r.doc_id: r.kept for r in QUERIES["op4_quality_rules"](spark, SF).collect()}
+    for r in docs.collect():
+        words, chars, symbols, dup, repeats = plain_counts(r.text)
+        lines = sum(bool(re.search(r"[^\x20\x09-\x0D]", x)) for x in (r.text or "").split("\n"))
+        capitals = sum(unicodedata.category(c) == "Lu" for c in r.text or "")
+        n = max(words, 1)
+        values = {
+            "words": words, "word_length": chars / n, "symbols": symbols / n,
+            "capitals": capitals / max(chars, 1), "line_repeats": dup / max(lines, 1), "repeats": repeats / n,
+        }
+        caught = any(
+            all((values[c.statistic] > c.threshold) == c.above for c in rule) for rule in rules
+        )
+        assert kept[r.doc_id] == (not (words < 50 or 2 * repeats > words) and not caught), r.doc_id
+
+
 def _labelled(spark, rule):
     names = list(statistics())
     rows = spark.range(4000).select(

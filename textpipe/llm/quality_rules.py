@@ -68,44 +68,69 @@ def statistics() -> dict[str, Column]:
     }
 
 
-def _windows(words: Column) -> Column:
+def _place(key: Column) -> Column:
+    return key.bitwiseAND(F.lit(_POSITION).cast("bigint"))
+
+
+def _windows(words: Column, hash_bits: int) -> Column:
     """Sorted numbers, one for each window of three words: bits of its hash, then its place."""
-    place = F.lit(_POSITION).cast("bigint")
-    high = F.lit(~_POSITION).cast("bigint")
+    high = F.lit(-(1 << (64 - hash_bits))).cast("bigint")
 
     def key(i: Column) -> Column:
         hashed = F.xxhash64(F.get(words, i), F.get(words, i + 1), F.get(words, i + 2))
-        return hashed.bitwiseAND(high).bitwiseOR(i.cast("bigint").bitwiseAND(place))
+        return hashed.bitwiseAND(high).bitwiseOR(_place(i.cast("bigint")))
 
     some = F.transform(F.sequence(F.lit(0), F.size(words) - 3), key)
     return F.when(F.size(words) >= 3, F.sort_array(some)).otherwise(F.array().cast("array<bigint>"))
 
 
-def _repeated(keys: Column, words: Column) -> Column:
-    """Places of the windows that equal a neighbour in the sorted keys, by their words."""
-    place = F.lit(_POSITION).cast("bigint")
-    high = F.lit(~_POSITION).cast("bigint")
+def _same_hash(x: Column, y: Column) -> Column:
+    return F.coalesce(F.shiftright(x, 28) == F.shiftright(y, 28), F.lit(False))
+
+
+def _shared(keys: Column) -> Column:
+    """The sorted keys whose bits of the hash another key has; equal ones stay side by side."""
+    return F.filter(keys, lambda x, at: _same_hash(x, F.get(keys, at - 1)) | _same_hash(x, F.get(keys, at + 1)))
 
-    def same(x: Column, y: Column) -> Column:
-        i, j = x.bitwiseAND(place).cast("int"), y.bitwiseAND(place).cast("int")
-        equal = x.bitwiseAND(high) == y.bitwiseAND(high)
-        for k in range(3):
-            equal = equal & (F.get(words, i + k) == F.get(words, j + k))
-        return F.coalesce(equal, F.lit(False))
 
-    def met(x: Column, at: Column) -> Column:
-        return same(x, F.get(keys, at - 1)) | same(x, F.get(keys, at + 1))
+def _repeated(shared: Column, words: Column) -> Column:
+    """Places of the windows whose three words another window has.
+
+    Where neighbours with equal bits have equal words all along, each run of equal bits is one
+    window. Where they have not, two windows have met in a hash, and the words themselves are sorted.
+    """
+
+    def window(x: Column) -> Column:
+        i = _place(x).cast("int")
+        return F.struct(*[F.get(words, i + k).alias(f"w{k}") for k in range(3)])
 
-    return F.sort_array(F.transform(F.filter(keys, met), lambda x: x.bitwiseAND(place)))
+    def differs(x: Column, at: Column) -> Column:
+        before = F.get(shared, at - 1)
+        return F.when(_same_hash(x, before), window(x) != window(before)).otherwise(False)
 
+    spelled = F.sort_array(F.transform(shared, lambda x: F.struct(window(x).alias("w"), _place(x).alias("at"))))
 
-def text_counts(docs: DataFrame) -> DataFrame:
+    def met(x: Column, at: Column, every: Column) -> Column:
+        return F.coalesce(x["w"] == F.get(every, at - 1)["w"], F.lit(False)) | F.coalesce(
+            x["w"] == F.get(every, at + 1)["w"], F.lit(False)
+        )
+
+    # An array of one keeps the sorted windows from being made again for each of them.
+    exact = F.transform(
+        F.array(spelled), lambda every: F.filter(every, lambda x, at: met(x, at, every))["at"]
+    )[0]
+    collided = F.exists(F.transform(shared, differs), lambda x: x)
+    return F.sort_array(F.when(collided, exact).otherwise(F.transform(shared, _place)))
+
+
+def text_counts(docs: DataFrame, hash_bits: int = 36) -> DataFrame:
     """``doc_id`` and counts of each whole text (null: empty), as long numbers.
 
     Words are runs without ASCII white space; ``word_chars`` their characters; ``n_symbols`` the
     characters that are one of ``#*$%&|<>``; ``n_lines`` the lines with a word and ``n_dup_lines``
     those that equal an earlier one; ``n_repeat_words`` the words within windows of three words
-    that the text has twice or more; ``n_capitals`` the upper-case letters.
+    that the text has twice or more; ``n_capitals`` the upper-case letters. ``hash_bits`` (36 at
+    most) of a window's hash are compared before its words; the counts do not depend on them.
     """
     text = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     trimmed = F.btrim("text", F.lit(" \t\n\x0b\x0c\r"))
@@ -113,8 +138,9 @@ def text_counts(docs: DataFrame) -> DataFrame:
     lines = F.filter(F.split("text", "\n"), lambda x: F.btrim(x, F.lit(" \t\n\x0b\x0c\r")) != "")
     # Each step is a projection of its own, so that no array is made twice.
     cut = text.select("doc_id", "text", words.alias("words"), lines.alias("lines"))
-    keyed = cut.withColumn("keys", _windows(F.col("words")))
-    placed = keyed.withColumn("at", _repeated(F.col("keys"), F.col("words")))
+    keyed = cut.withColumn("keys", _windows(F.col("words"), hash_bits))
+    shared = keyed.withColumn("shared", _shared(F.col("keys")))
+    placed = shared.withColumn("at", _repeated(F.col("shared"), F.col("words")))
     # A repeated window covers three words, or fewer if the next one begins within them.
     covered = F.transform("at", lambda x, i: F.coalesce(F.least(F.lit(3), F.get("at", i + 1) - x), F.lit(3)))
     total = F.aggregate(covered, F.lit(0).cast("bigint"), lambda a, x: a + x)
@@ -250,6 +276,19 @@ def verdict(rules: list[Rule]) -> Column:
     return found.otherwise(True)
 
 
+def learned(
+    docs: DataFrame, labels: DataFrame, used: Column | None = None, how: Learning = Learning()
+) -> tuple[DataFrame, list[Rule]]:
+    """The written counts and statistics of each document, and the decision list."""
+    counts = materialize(text_counts(docs).withColumns(statistics()), "counts")
+    known = labels.filter("doc_id is not null and quality in (0, 1)").groupBy("doc_id").agg(
+        (F.min("quality") == 0).alias("bad")
+    )
+    labelled = counts.join(known if used is None else known.filter(used), "doc_id")
+    # What fails the base is gone in any case: the rules are for the others.
+    return counts, learn(labelled.filter(~base_failed()), how)
+
+
 def judged(docs: DataFrame, labels: DataFrame, used: Column | None = None, how: Learning = Learning()) -> DataFrame:
     """Counts and statistics of each document, ``base_failed`` and ``kept``.
 
@@ -258,13 +297,7 @@ def judged(docs: DataFrame, labels: DataFrame, used: Column | None = None, how:
     labels counts as bad. Null texts are empty, and empty texts fail the base; repeated rows are
     judged each; null ids are judged but not learned from. An empty table gives no rows.
     """
-    counts = materialize(text_counts(docs).withColumns(statistics()), "counts")
-    known = labels.filter("doc_id is not null and quality in (0, 1)").groupBy("doc_id").agg(
-        (F.min("quality") == 0).alias("bad")
-    )
-    labelled = counts.join(known if used is None else known.filter(used), "doc_id")
-    # What fails the base is gone in any case: the rules are for the others.
-    rules = learn(labelled.filter(~base_failed()), how)
+    counts, rules = learned(docs, labels, used, how)
     return counts.select("*", base_failed().alias("base_failed")).withColumn(
         "kept", F.when(F.col("base_failed"), False).otherwise(verdict(rules))
     )
