@@ -15,7 +15,7 @@ from textpipe.llm.queries import QUERIES, vocabulary
 
 def test_registered():
     names = contract.queries()
-    assert all(sum(n.startswith(f"op{k}_") for n in names) == 1 for k in range(1, 11))
+    assert all(sum(n.startswith(f"op{k}_") for n in names) == 1 for k in range(1, 14))
     assert "pipeline" in names and ORACLE.items() <= contract.oracle_sql().items()
 
 

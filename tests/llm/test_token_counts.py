@@ -1,0 +1,93 @@
+"""Token counts against the tokenizers library, the proofs, odd rows."""
+
+from __future__ import annotations
+
+import random
+
+import public_tokenizers
+import pytest
+from conftest_llm import SF
+from tokenizers import Tokenizer
+
+from textpipe.llm import token_counts
+from textpipe.llm.queries import QUERIES
+from textpipe.llm.token_counts import Counter, count_tokens, drops_space, plain_characters, proved
+
+WORDS = public_tokenizers.path("word_bpe_49k.json")
+BYTES = public_tokenizers.path("byte_bpe_50k.json")
+
+
+@pytest.fixture(scope="module")
+def library():
+    return {path: Tokenizer.from_file(path) for path in (WORDS, BYTES)}
+
+
+def counts(library, path, texts):
+    return [len(library[path].encode(t or "", add_special_tokens=False).ids) for t in texts]
+
+
+def test_query(spark, library):
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    got = QUERIES["op12_token_counts"](spark, SF)
+    assert got.dtypes == [("doc_id", "bigint"), ("n_bytes", "bigint"), ("n_tokens", "bigint"), ("over_limit", "boolean")]
+    rows = got.collect()
+    assert len(rows) == len(texts)
+    expected = dict(zip(texts, counts(library, WORDS, texts.values())))
+    for r in rows:
+        assert (r.n_bytes, r.n_tokens) == (len(texts[r.doc_id].encode()), expected[r.doc_id])
+        assert r.over_limit == (r.n_tokens > 2048)
+
+
+def test_proofs(library):
+    """Each proved spelling is one token, and hardly any word of the vocabulary is not proved."""
+    proofs = proved(WORDS)
+    spellings = [raw.decode() for raw in proofs.values() if raw]
+    assert all(n == 1 for n in counts(library, WORDS, spellings))
+    assert len(spellings) > 30_000
+    assert drops_space(WORDS) and not drops_space(BYTES)
+    plain = plain_characters(WORDS)
+    assert {"a", "Z", "é", "Ñ", "9", "'", "«"} <= plain and not {"İ", "中", " ", "́"} & plain
+    assert plain_characters(BYTES) == frozenset()
+
+
+@pytest.mark.parametrize("path", [WORDS, BYTES])
+def test_random_texts(spark, library, path):
+    rng = random.Random(2)
+    letters = "aAbZ'sté ǘ̧   \x1c\x85\t\n  Σσ ςİ中😀9٣.,!ﬁǅßＡ½²"
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randrange(30))) for _ in range(3000)]
+    texts += ["it's we'll THEY'RE o'clock's", "x" * 5000, "ab1 2c 12 345", "…—“q”", "가 가", "é É ä"]
+    texts += ["a <|endoftext|> b", "<|startoftext|>x<|endoftext|>", "<|ENDOFTEXT|>", "<|endoftext |>", "a<|endoftext|>'s"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r.doc_id: r.n_tokens for r in count_tokens(df, path).collect()}
+    assert [got[k] for k in range(len(texts))] == counts(library, path, texts)
+
+
+def test_bounded_memory(library, monkeypatch):
+    monkeypatch.setattr(token_counts, "REMEMBERED", 50)
+    known = Counter(WORDS, proved(WORDS))
+    words = [f"Word{k % 300}x{k}" for k in range(1000)]
+    got = [known[w.encode()] for w in words]
+    assert got == counts(library, WORDS, words)
+    assert len(known) <= len(proved(WORDS)) + 51
+
+
+def test_limit(spark):
+    df = spark.createDataFrame([(1, "word " * 2048), (2, "word " * 2049)], "doc_id int, text string")
+    assert {r.doc_id: r.over_limit for r in count_tokens(df, WORDS).collect()} == {1: False, 2: True}
+
+
+def test_other_vocabularies(tmp_path):
+    other = Tokenizer.from_str('{"version":"1.0","added_tokens":[],"model":{"type":"WordLevel","vocab":{"a":0},"unk_token":"a"}}')
+    other.save(str(tmp_path / "other.json"))
+    with pytest.raises(ValueError, match="Not a BPE vocabulary"):
+        proved(str(tmp_path / "other.json"))
+
+
+def test_odd_rows(spark, odd, library):
+    rows = count_tokens(odd, WORDS).collect()
+    texts = [r.text for r in odd.collect()]
+    expected = sorted((len((t or "").encode()), n) for t, n in zip(texts, counts(library, WORDS, texts)))
+    assert sorted((r.n_bytes, r.n_tokens) for r in rows) == expected
+    assert count_tokens(odd.limit(0), WORDS).count() == 0
+    text_ids = odd.selectExpr("cast(doc_id as string) doc_id", "text")
+    assert count_tokens(text_ids, WORDS).schema["doc_id"].dataType.simpleString() == "string"

@@ -11,11 +11,13 @@ from pyspark.sql import functions as F
 from textpipe.llm import (
     decontaminate,
     line_dedup,
+    merkle,
     packing,
     pii,
     quality_rules,
     simhash,
     substring_dedup,
+    token_counts,
     toxicity,
     url_filter,
     warc,
@@ -109,6 +111,17 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(7)) == 0
+    shown = F.when(tampered, F.col("n_chars") + 1).otherwise(F.col("n_chars"))
+    return merkle.manifest(table(spark, sf_dir, "documents"), shown={"n_chars": shown})
+
+
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = public_tokenizers.path("word_bpe_49k.json")
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), words)
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
@@ -122,5 +135,7 @@ QUERIES: dict[str, Query] = {
         op8_packing,
         op9_pii,
         op10_simhash,
+        op11_merkle,
+        op12_token_counts,
     )
 }
