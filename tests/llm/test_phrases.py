@@ -1,0 +1,145 @@
+"""Phrase mining against plain Python and SQL, border failures, odd rows."""
+
+from __future__ import annotations
+
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from textpipe.llm import phrases
+from textpipe.llm.phrases import Filter, Mining, Words, collocations, filter_of, mined
+
+
+def lower(text: str) -> str:
+    return re.sub("[A-Z]", lambda m: m[0].lower(), text)
+
+
+def counts(rows: list[tuple], longest: int = 5) -> tuple[dict, Counter]:
+    """``rows``: lang, text. Counts by (lang, words), and of all words by lang."""
+    f, n = Counter(), Counter()
+    for lang, text in rows:
+        lang = "und" if lang is None else lang
+        for piece in re.split("[.,;:!?\x0a-\x0d]", lower(text or "")):
+            words = re.findall("[^\x20\x09]+", piece)
+            n[lang] += len(words)
+            for k in range(1, longest + 1):
+                for i in range(len(words) - k + 1):
+                    f[lang, tuple(words[i : i + k])] += 1
+    return f, n
+
+
+def brute(rows: list[tuple], how: Mining) -> list[tuple]:
+    f, n = counts(rows, how.longest)
+    often = {x: a for x, a in f.items() if a >= how.least}
+    out: dict[str, list] = {}
+    for (lang, words), a in often.items():
+        if len(words) < 2:
+            continue
+        inside = any(
+            len(longer) > len(words) and l2 == lang and 100 * b >= 100 * a
+            and any(longer[i : i + len(words)] == words for i in range(len(longer)))
+            for (l2, longer), b in often.items()
+        )
+        if inside:
+            continue
+        cuts = []
+        for k in range(1, len(words)):
+            left, right = f[lang, words[:k]], f[lang, words[k:]]
+            cuts.append((1000 * a * n[lang] // (left * right), k, left, right))
+        score, _, left, right = min(cuts)
+        out.setdefault(lang, []).append((-score, -a, " ".join(words).encode(), left, right))
+    return [
+        (lang, rank, phrase.decode(), -a, left, right, n[lang], -score)
+        for lang in sorted(out)
+        for rank, (score, a, phrase, left, right) in enumerate(sorted(out[lang])[: how.top], 1)
+    ]
+
+
+def got_of(spark, rows, how):
+    docs = spark.createDataFrame(rows, "lang string, text string")
+    return sorted(tuple(r) for r in collocations(docs, how).collect())
+
+
+def corpus(seed: int, n: int = 120) -> list[tuple]:
+    rng = random.Random(seed)
+    words = ["a", "B", "b", "cé", "D", "the", "x", "😀", "don't", "Ä"]
+    ends = [" ", " ", " ", "  ", "\t", ". ", ",", "\n", "\x0b", " ! ", " ", "\x0e"]
+    text = lambda: "".join(rng.choice(words) + rng.choice(ends) for _ in range(rng.randrange(40)))
+    planted = ["one two three four five six", "THE end", "one two"]
+    return [(rng.choice(["en", "en", None, "und", "fr"]), text() + rng.choice(planted) + rng.choice(ends) + text()) for _ in range(n)]
+
+
+@pytest.mark.parametrize("sample, lowered", [(0.0, 0.5), (0.3, 0.5), (1.0, 1.0), (0.5, 4.0)])
+def test_against_plain_python(spark, sample, lowered):
+    """Whatever the sample proposes: nothing, too much, or too little."""
+    rows = corpus(3)
+    how = Mining(least=5, sample=sample, lowered=lowered, top=40)
+    assert got_of(spark, rows, how) == brute(rows, how)
+
+
+@pytest.mark.parametrize("longest", [2, 3, 4])
+def test_shorter_phrases(spark, longest):
+    rows = corpus(longest)
+    how = Mining(least=4, longest=longest, sample=0.2)
+    assert got_of(spark, rows, how) == brute(rows, how)
+
+
+def test_counts(spark):
+    rows = corpus(9, 60)
+    docs = spark.createDataFrame(rows, "lang string, text string")
+    f, n = counts(rows)
+    got = {(r.lang, r.phrase): r.f for r in mined(docs, Mining(least=3)).collect()}
+    expected = {(lang, " ".join(w)): a for (lang, w), a in f.items() if a >= 3}
+    assert got == expected | {(lang, None): a for lang, a in n.items()}
+
+
+def test_hot_phrase(spark):
+    """One passage that makes up most of the words, ties, and words repeated within a phrase."""
+    rows = [("en", "alpha beta gamma delta epsilon. " * 30 + f"w{k % 7} w{k % 5}") for k in range(300)]
+    rows += [("en", "go go go go go go"), ("de", "go go")] * 60
+    how = Mining(least=50)
+    assert got_of(spark, rows, how) == brute(rows, how)
+
+
+def test_products_beyond_64_bits(spark):
+    rows = [("en", "a b", 2, 3 * 10**15), ("en", "a", 1, 4 * 10**15), ("en", "b", 1, 3 * 10**15 + 1), ("en", None, 0, 9 * 10**15)]
+    got = phrases.scored(spark.createDataFrame(rows, "lang string, phrase string, words int, f bigint")).collect()
+    a, left, right, n = 3 * 10**15, 4 * 10**15, 3 * 10**15 + 1, 9 * 10**15
+    assert [(r.score, r.k) for r in got] == [(1000 * a * n // (left * right), 1)]
+
+
+def test_long_texts_are_cut_at_pieces():
+    rng = random.Random(1)
+    text = "".join(rng.choice(["word ", "w. ", "long"]) for _ in range(900_000)).encode()
+    parts = list(phrases._stretches(text))
+    assert len(parts) > 1 and b"".join(parts) == text
+    assert all(p[-1:] in (b".",) for p in parts[:-1])
+    assert list(phrases._stretches(b"x " * 900_000)) == [b"x " * 900_000]
+
+
+def test_words():
+    texts = ["One  two\tthree. four", "", "two ONE"]
+    words = Words([t.encode() for t in texts], np.array([0, 0, 1]), np.array([5, 6], dtype=np.uint64))
+    assert [words.spelled(k, 1) for k in range(len(words))] == ["one", "two", "three", "four", "two", "one"]
+    assert words.hashes[0] == words.hashes[5] and words.first[0] != words.first[5]
+    assert words.candidates(np.ones(6, dtype=bool), 2).tolist() == [0, 1, 4]
+    assert words.spelled(0, 3) == "one two three"
+
+
+def test_filter(spark):
+    keys = np.random.default_rng(1).integers(1 << 64, size=200_000, dtype=np.uint64)
+    some = [(int(k),) for k in keys[:20_000].view(np.int64)]
+    found = filter_of(spark.createDataFrame(some, "key bigint"))
+    assert isinstance(found, Filter) and found(keys[:20_000]).all()
+    assert found(keys[20_000:]).mean() < 0.02
+    assert not filter_of(spark.createDataFrame([], "key bigint"))(keys).any()
+
+
+def test_odd_rows(spark, odd):
+    how = Mining(least=2, sample=0.5)
+    got = sorted(tuple(r) for r in collocations(odd, how).collect())
+    assert got == brute([(r.lang, r.text) for r in odd.collect()], how)
+    assert collocations(odd.limit(0)).count() == 0

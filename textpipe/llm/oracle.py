@@ -1,17 +1,21 @@
 """DuckDB SQL for the queries that SQL can express.
 
 Without SQL are what a classifier has learned (1, 4), what is hashed, embedded or permuted by
-functions that DuckDB lacks (2, 6, 9, 10), and what tokenizers and a genetic algorithm make (8).
+functions that DuckDB lacks (2, 6, 9, 10), and what tokenizers and a genetic algorithm make (8, 12).
 Tests hold these against brute force.
 """
 
 from __future__ import annotations
 
 from textpipe.llm.line_dedup import Rule
+from textpipe.llm.merkle import FIELDS
+from textpipe.llm.phrases import Mining
 from textpipe.llm.queries import URL_RULES
 from textpipe.llm.url_filter import Tree
 from textpipe.llm.warc import LEAST_BYTES
 
+UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
 WARC = f"""
 WITH pages_read AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
 digests AS (
@@ -159,8 +163,120 @@ FROM at{how.depth}
     )
 
 
+MERKLE = """
+WITH RECURSIVE rows_of AS (
+    SELECT doc_id, coalesce('+' || lang, '') AS tree,
+        sha256(concat(
+            {leaf})) AS leaf,
+        sha256(concat(
+            {shown})) AS shown
+    FROM (SELECT *, CASE WHEN crc % 7 = 0 THEN n_chars + 1 ELSE n_chars END AS shown_chars
+          FROM (SELECT *, {crc} AS crc FROM documents))
+), numbered AS (
+    SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM rows_of
+), lower_nodes AS (
+    SELECT tree, 0 AS level, pos, leaf AS d, count(*) OVER (PARTITION BY tree) AS n FROM numbered
+    UNION ALL
+    SELECT tree, level + 1, pos // 2, sha256(string_agg(d, '' ORDER BY pos)), (any_value(n) + 1) // 2
+    FROM lower_nodes WHERE n > 1 GROUP BY tree, level, pos // 2
+), subroots AS (
+    SELECT tree, d AS subroot, row_number() OVER (ORDER BY tree) - 1 AS pos, count(*) OVER () AS n
+    FROM lower_nodes WHERE n = 1
+), upper_nodes AS (
+    SELECT 0 AS level, pos, subroot AS d, n FROM subroots
+    UNION ALL
+    SELECT level + 1, pos // 2, sha256(string_agg(d, '' ORDER BY pos)), (any_value(n) + 1) // 2
+    FROM upper_nodes WHERE n > 1 GROUP BY level, pos // 2
+), steps AS (
+    SELECT doc_id, tree, leaf, shown, x.pos AS start, l.level, x.pos >> l.level AS pos, o.d AS sibling
+    FROM numbered x JOIN (SELECT DISTINCT tree, level FROM lower_nodes WHERE n > 1) l USING (tree)
+    LEFT JOIN lower_nodes o ON o.tree = x.tree AND o.level = l.level AND o.pos = xor(x.pos >> l.level, 1)
+), upper_steps AS (
+    SELECT tree, l.level, s.pos >> l.level AS pos, o.d AS sibling
+    FROM subroots s, (SELECT DISTINCT level FROM upper_nodes WHERE n > 1) l
+    LEFT JOIN upper_nodes o ON o.level = l.level AND o.pos = xor(s.pos >> l.level, 1)
+), every AS (
+    SELECT tree, start, level, pos, sibling FROM steps
+    UNION ALL
+    SELECT u.tree, x.pos, 1000 + u.level, u.pos, u.sibling FROM upper_steps u JOIN numbered x USING (tree)
+), ways AS (
+    SELECT tree, start, list({{'pos': pos, 'sibling': sibling}} ORDER BY level) AS way,
+        sha256(coalesce(string_agg(sibling, '' ORDER BY level), '')) AS proof_sha256
+    FROM every GROUP BY tree, start
+), folds AS (
+    SELECT tree, pos AS start, 1 AS k, shown AS d FROM numbered
+    UNION ALL
+    SELECT f.tree, f.start, k + 1, sha256(CASE WHEN way[k].sibling IS NULL THEN d
+        WHEN way[k].pos % 2 = 1 THEN way[k].sibling || d ELSE d || way[k].sibling END)
+    FROM folds f JOIN ways w ON w.tree = f.tree AND w.start = f.start WHERE k <= len(way)
+), last_folds AS (
+    SELECT tree, start, arg_max(d, k) AS folded_root FROM folds GROUP BY tree, start
+)
+SELECT doc_id, leaf, subroot, r.d AS root, coalesce(proof_sha256, sha256('')) AS proof_sha256, folded_root,
+    folded_root = r.d AS verified
+FROM numbered x JOIN subroots s USING (tree) JOIN last_folds l ON l.tree = x.tree AND l.start = x.pos
+LEFT JOIN ways w ON w.tree = x.tree AND w.start = x.pos,
+    (SELECT d FROM upper_nodes WHERE n = 1) r
+"""
+
+
+def merkle_sql(fields: tuple[str, ...] = FIELDS) -> str:
+    """The trees level by level. DuckDB has no CRC-32, so it is worked out bit by bit."""
+
+    def leaf(names: tuple[str, ...]) -> str:
+        parts = [f"coalesce(strlen({n}::VARCHAR)::VARCHAR || ':' || {n}::VARCHAR, '-')" for n in names]
+        return ",\n            ".join(parts)
+
+    bit = "CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END"
+    octet = f"list_reduce([x, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, y: {bit})"
+    codes = "list_transform(string_split(doc_id::VARCHAR, ''), lambda s: ascii(s)::BIGINT)"
+    crc = f"xor(list_reduce(list_prepend(4294967295, {codes}), lambda p, q: {octet.replace('[x,', '[xor(p, q),')}), 4294967295)"
+    shown = tuple("shown_chars" if f == "n_chars" else f for f in fields)
+    return MERKLE.format(leaf=leaf(fields), shown=leaf(shown), crc=crc)
+
+
+PHRASES = f"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang,
+        unnest(string_split_regex(translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}'), '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents
+), cut AS (
+    SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM pieces
+), places AS (
+    SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM cut
+), grams AS (
+    SELECT lang, w[i : i + k - 1] AS words, k FROM places, range(1, {Mining().longest + 1}) AS lengths(k)
+    WHERE i + k - 1 <= len(w)
+), f AS (
+    SELECT lang, array_to_string(words, ' ') AS phrase, any_value(words) AS words, k, count(*) AS f
+    FROM grams GROUP BY lang, array_to_string(words, ' '), k HAVING count(*) >= {Mining().least}
+), totals AS (
+    SELECT lang, sum(len(w))::BIGINT AS n FROM cut GROUP BY lang
+), cuts AS (
+    SELECT c.lang, c.phrase, c.words, c.k, c.f AS a, h.f AS l, t.f AS r, n, x.j,
+        (1000::HUGEINT * c.f * n) // (h.f::HUGEINT * t.f) AS score
+    FROM f c JOIN range(1, {Mining().longest}) AS x(j) ON x.j < c.k
+    JOIN f h ON h.lang = c.lang AND h.phrase = array_to_string(c.words[1 : x.j], ' ')
+    JOIN f t ON t.lang = c.lang AND t.phrase = array_to_string(c.words[x.j + 1 : c.k], ' ')
+    JOIN totals o ON o.lang = c.lang
+), lowest AS (
+    SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1
+), kept AS (
+    SELECT * FROM lowest c WHERE NOT EXISTS (
+        SELECT 1 FROM f b WHERE b.lang = c.lang AND b.k > c.k AND 100 * b.f >= 100 * c.a
+            AND contains(' ' || b.phrase || ' ', ' ' || c.phrase || ' ')
+    )
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept
+)
+SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score FROM ranked WHERE rank <= {Mining().top}
+"""
+
+
 ORACLE: dict[str, str] = {
     "op3_url_filter": url_filter_sql(URL_RULES),
     "op5_line_dedup": line_dedup_sql(),
     "op7_warc": WARC,
+    "op11_merkle": merkle_sql(),
+    "op13_phrases": PHRASES,
 }

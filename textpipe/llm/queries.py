@@ -13,6 +13,7 @@ from textpipe.llm import (
     line_dedup,
     merkle,
     packing,
+    phrases,
     pii,
     quality_rules,
     simhash,
@@ -122,6 +123,10 @@ def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), words)
 
 
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
@@ -137,5 +142,6 @@ QUERIES: dict[str, Query] = {
         op10_simhash,
         op11_merkle,
         op12_token_counts,
+        op13_phrases,
     )
 }
