@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
 import sys
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from functools import cache
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,11 +56,12 @@ def documents_of(df: DataFrame) -> DataFrame:
 @cache
 def _letters() -> tuple[np.ndarray, np.ndarray]:
     """For each code point: its lower case (of one character), and whether a word may hold it."""
-    points = [chr(i) for i in range(sys.maxunicode + 1)]
-    lower = (c.lower() for c in points)
+    n = sys.maxunicode + 1
+    # One character at a time: a list of all would stay in the memory of every worker.
+    lower = (chr(i).lower() for i in range(n))
     return (
-        np.array([ord(x) if len(x) == 1 else i for i, x in enumerate(lower)], dtype=np.uint32),
-        np.fromiter((c.isalnum() for c in points), bool, len(points)),
+        np.fromiter((ord(x) if len(x) == 1 else i for i, x in enumerate(lower)), np.uint32, n),
+        np.fromiter((chr(i).isalnum() for i in range(n)), bool, n),
     )
 
 
@@ -81,16 +84,32 @@ def finished(x: np.ndarray) -> np.ndarray:
     return (x ^ (x >> np.uint64(27))) * np.uint64(0x81DADEF4BC2DD44D)
 
 
-def chunks(texts: list[str], characters: int) -> Iterator[tuple[int, list[str]]]:
-    """Some texts at a time, so that memory does not follow the size of a batch."""
-    start, size = 0, 0
-    for k, text in enumerate(texts):
+def chunks(texts: Iterable, characters: int) -> Iterator[tuple[int, list[str]]]:
+    """Some texts at a time, so that memory does not follow the size of a batch.
+
+    ``texts`` may be an Arrow column, of which no more become Python strings than are needed.
+    """
+    start, size, part = 0, 0, []
+    for text in texts:
+        text = text if isinstance(text, str) else text.as_py()
         if size and size + len(text) > characters:
-            yield start, texts[start:k]
-            start, size = k, 0
+            yield start, part
+            start, size, part = start + len(part), 0, []
+        part.append(text)
         size += len(text)
-    if texts:
-        yield start, texts[start:]
+    if part:
+        yield start, part
+
+
+def give_back() -> None:
+    """Return the memory that a worker has freed to the machine, at the end of a task.
+
+    Workers live on, and what they hold adds up to what the executor holds.
+    """
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
 
 
 def code_points(texts: Sequence[str], gap: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

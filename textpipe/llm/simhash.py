@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from textpipe.llm.common import documents_of, free_names, materialize, text_key
+from textpipe.llm.common import documents_of, free_names, give_back, materialize, text_key
 from textpipe.llm.components import connected_components
 
 SHINGLE_WORDS = 4
@@ -60,11 +60,12 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE_WORDS) -> DataFrame:
 
     def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows:
-            found = [fingerprint(t, shingle) for t in batch.column("text").to_pylist()]
+            found = [fingerprint(t.as_py(), shingle) for t in batch.column("text")]
             yield pa.record_batch(
                 [batch.column("doc_id"), batch.column("text_key"), pa.array(found, pa.int64())],
                 names=["doc_id", "text_key", "fp"],
             )
+        give_back()
 
     rows = documents_of(docs)
     kind = rows.schema["doc_id"].dataType.simpleString()

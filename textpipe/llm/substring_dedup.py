@@ -179,7 +179,7 @@ def _runs(docs: DataFrame, how: Spans) -> DataFrame:
 
     def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows:
-            for first, part in chunks(batch.column("text").to_pylist(), _CHARACTERS_AT_ONCE):
+            for first, part in chunks(batch.column("text"), _CHARACTERS_AT_ONCE):
                 owner, at, a, b, again = runs(part, how)
                 index = pa.array(owner + first)
                 yield pa.record_batch(

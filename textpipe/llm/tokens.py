@@ -21,6 +21,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from textpipe.llm.common import give_back
+
 # How byte-level BPE divides a text before it merges (fixed value of the vocabulary), with repeats
 # that never give back a character, where none has to: the parts are the same, found faster.
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"""
@@ -123,6 +125,7 @@ def pieces(docs: DataFrame, vocabulary: str, limit: int, with_ids: bool = False)
             if with_ids:
                 columns["ids"] = pa.array(held, pa.list_(pa.int32()))
             yield pa.record_batch(columns)
+        give_back()
 
     kind = rows.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint"

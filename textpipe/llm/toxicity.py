@@ -12,11 +12,10 @@ smallest hash of the id); the score of a text is one sum over all of it, in the
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct
@@ -24,7 +23,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textpipe.llm.common import chunks, code_points, materialize
+from textpipe.llm.common import chunks, code_points, give_back, materialize
 
 SHORTEST, LONGEST = 3, 5
 BUCKET_BITS = 18
@@ -35,7 +34,7 @@ SMOOTHING = 1.0
 PENALTY = 1e-3
 ITERATIONS = 60
 _MULTIPLIER = np.uint32(0x9E3779B1)
-_CHARACTERS_AT_ONCE = 1 << 20
+_CHARACTERS_AT_ONCE = 1 << 19
 
 
 def _buckets(codes: np.ndarray) -> Iterator[np.ndarray]:
@@ -49,7 +48,7 @@ def _buckets(codes: np.ndarray) -> Iterator[np.ndarray]:
             yield (mixed * _MULTIPLIER) >> shift
 
 
-def present(texts: list[str], wanted: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def present(texts: Iterable, wanted: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Pairs (place of the text, bucket), each once; only ``wanted`` buckets where given."""
     for first, part in chunks(texts, _CHARACTERS_AT_ONCE):
         codes, begin, lengths = code_points(part, LONGEST)
@@ -76,15 +75,16 @@ class Model:
         """Probability of the label 1, from the whole text. A null text counts as empty."""
         intercept, buckets, weights = self.intercept, self.buckets, self.weights
 
-        @F.pandas_udf("double")
-        def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        @F.arrow_udf("double")
+        def scored(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             weight = np.zeros(1 << BUCKET_BITS)
             weight[buckets] = weights
             for texts in batches:
                 total = np.full(len(texts), intercept)
-                for rows, found in present(texts.tolist(), weight != 0):
+                for rows, found in present(texts, weight != 0):
                     total += np.bincount(rows, weight[found], len(texts))
-                yield pd.Series(1 / (1 + np.exp(-np.clip(total, -60, 60))))
+                yield pa.array(1 / (1 + np.exp(-np.clip(total, -60, 60))))
+            give_back()
 
         return scored(F.coalesce(F.col(text), F.lit("")))
 
@@ -112,9 +112,10 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts = np.zeros(2 * size, dtype=np.int64)
     for batch in batches:
         toxic = batch.column("toxic").to_numpy(zero_copy_only=False).astype(np.int64)
-        for rows, found in present(batch.column("text").to_pylist()):
+        for rows, found in present(batch.column("text")):
             counts += np.bincount(toxic[rows] * size + found, minlength=2 * size)
     at = np.flatnonzero(counts[:size] + counts[size:])
+    give_back()
     yield pa.record_batch(
         [pa.array(at), pa.array(counts[:size][at]), pa.array(counts[size:][at])],
         names=["bucket", "clean", "toxic"],
@@ -171,7 +172,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Model:
 
     def terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            pairs = list(present(batch.column("text").to_pylist(), wanted))
+            pairs = list(present(batch.column("text"), wanted))
             rows = np.concatenate([r for r, _ in pairs])
             found = pa.array(np.concatenate([f for _, f in pairs])).cast(pa.string())
             ends = np.concatenate(([0], np.cumsum(np.bincount(rows, minlength=len(batch)))))
