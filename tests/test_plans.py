@@ -3,6 +3,11 @@
 from __future__ import annotations
 
 import logging
+import os
+import signal
+import subprocess
+import sys
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -12,8 +17,10 @@ from textpipe.__main__ import main, read_settings
 from textpipe.operators import classify
 from textpipe.operators.split import assign_split, find_cuts
 from textpipe.plans import stages
-from textpipe.plans.run import resume
+from textpipe.plans.run import resume, run_stage
+from textpipe.sources import manifest
 from textpipe.sources.corpus import write_csv
+from textpipe.sources.manifest import published
 
 TOPICS = {
     2: ["stock market report", "company earnings rise", "central bank rate", "merger of firms", "oil price falls"],
@@ -40,6 +47,7 @@ def test_run_writes_every_artifact(spark, tmp_path):
     cfg = PipelineConfig(base=str(tmp_path))
     report = run(spark, news(spark), cfg)
     assert accuracy(report) == 1.0
+    cfg = published(spark, cfg)
     split = spark.read.parquet(cfg.split_path)
     sizes = {(r.split, r.label): r["count"] for r in split.groupBy("split", "label").count().collect()}
     assert sizes == {(s, c): n for s, n in (("train", 24), ("test", 6)) for c in range(4)}
@@ -55,6 +63,7 @@ def test_resuming_gives_the_same_metrics(spark, tmp_path):
     cfg = PipelineConfig(base=str(tmp_path))
     first = collected(run(spark, news(spark), cfg))
     assert collected(resume(spark, cfg)) == first
+    cfg = published(spark, cfg)
     report = stages.evaluate(stages.score(spark, cfg), cfg)
     assert collected(report) == first
 
@@ -63,13 +72,13 @@ def test_running_again_replaces_the_artifacts(spark, tmp_path):
     cfg = PipelineConfig(base=str(tmp_path))
     first = collected(run(spark, news(spark), cfg))
     assert collected(run(spark, news(spark), cfg)) == first
-    assert spark.read.parquet(cfg.split_path).count() == 120
+    assert spark.read.parquet(published(spark, cfg).split_path).count() == 120
 
 
 def test_csv_raw_zone(spark, tmp_path):
     cfg = PipelineConfig(base=str(tmp_path), raw_format="csv")
     assert accuracy(run(spark, news(spark), cfg)) == 1.0
-    assert spark.read.option("header", True).csv(cfg.raw_path).columns == ["text", "label", "doc_id"]
+    assert spark.read.option("header", True).csv(published(spark, cfg).raw_path).columns == ["text", "label", "doc_id"]
 
 
 def test_prepare_any_raw_path_without_ids(spark, tmp_path):
@@ -85,7 +94,7 @@ def test_json_raw_zone_keeps_ids(spark, tmp_path):
     rows = [(text, label, 1_000_000 + i) for i, (text, label) in enumerate(map(tuple, news(spark).collect()))]
     report = run(spark, spark.createDataFrame(rows, "text string, label int, doc_id long"), cfg)
     assert accuracy(report) == 1.0
-    split = spark.read.parquet(cfg.split_path)
+    split = spark.read.parquet(published(spark, cfg).split_path)
     assert sorted(r.doc_id for r in split.collect()) == list(range(1_000_000, 1_000_120))
     assert dict(split.dtypes)["label"] == "int"
 
@@ -216,7 +225,11 @@ def test_stages_from_the_command_line(spark, tmp_path, capsys):
     main(["run", *base, *source])
     assert capsys.readouterr().out == by_stages
     assert spark.read.parquet(PipelineConfig(base=base[1]).runs_path).count() == 2
-    for wrong in ([], ["--set", "max_feature=3"], ["--set", "seed"]):
+    main(["resume", *base])
+    assert capsys.readouterr().out == by_stages
+    main(["score", *base, "--out", str(tmp_path / "scored")])
+    assert spark.read.parquet(str(tmp_path / "scored")).filter("label = prediction").count() == 24
+    for wrong in ([], ["--set", "versions={}"], ["--set", "max_feature=3"], ["--set", "seed"]):
         with pytest.raises(SystemExit):
             main(["run", *base, *source[:2 * bool(wrong)], *wrong])
 
@@ -229,19 +242,152 @@ def test_settings_from_the_command_line(spark, tmp_path, capsys):
     changed = ["--set", "seed=7", "--set", "stop_words=null", "--set", "vocabulary_name=words.parquet"]
     source = ["--corpus", str(tmp_path / "corpus"), "--format", "csv"]
     main(["land", *base, *source])
-    main(["prepare", *base, *changed, "--raw", str(tmp_path / "zones/data/raw/corpus.csv")])
+    raw = published(spark, PipelineConfig(base=base[1], raw_format="csv")).raw_path
+    main(["prepare", *base, *changed, "--raw", raw])
     for stage in ("featurize", "train", "evaluate"):
         main([stage, *base, *changed])
     assert capsys.readouterr().out.startswith("Accuracy: ")
     cfg = PipelineConfig(base=base[1], raw_format="csv", max_features=9, seed=7, stop_words=None,
                          vocabulary_name="words.parquet")
     assert cfg == read_settings(base[1], base[3], changed[1::2])
+    cfg = published(spark, cfg)
     assert spark.read.parquet(cfg.vocabulary_path).count() == 9
     whole = assign_split(spark.read.parquet(cfg.keyed_path), find_cuts(spark.read.parquet(cfg.keyed_path), seed=7), seed=7)
     split = spark.read.parquet(cfg.split_path).select("doc_id", "split")
     assert whole.select("doc_id", "split").exceptAll(split).isEmpty()
 
 
+def _calls(monkeypatch) -> list[str]:
+    """The names of the stages that are run from now on."""
+    ran: list[str] = []
+
+    def noted(name, work):
+        def stage(*args, **kwargs):
+            ran.append(name)
+            return work(*args, **kwargs)
+
+        return stage
+
+    for name in ("land", "prepare", "featurize", "train", "evaluate"):
+        monkeypatch.setattr(stages, name, noted(name, getattr(stages, name)))
+    return ran
+
+
+def test_resume_runs_what_is_out_of_date(spark, tmp_path, monkeypatch):
+    cfg = PipelineConfig(base=str(tmp_path))
+    first = collected(run(spark, news(spark), cfg))
+    ran = _calls(monkeypatch)
+    assert collected(resume(spark, cfg)) == first and ran == []
+    resume(spark, replace(cfg, max_iter=20))
+    assert ran == ["train", "evaluate"]
+    ran.clear()
+    resume(spark, replace(cfg, max_iter=20))
+    assert ran == []
+    resume(spark, replace(cfg, max_iter=20, max_features=12))
+    assert ran == ["featurize", "train", "evaluate"]
+    ran.clear()
+    assert collected(resume(spark, cfg)) == first and ran == ["featurize", "train", "evaluate"]
+    ran.clear()
+    resume(spark, replace(cfg, seed=7))
+    assert ran == ["prepare", "featurize", "train", "evaluate"]
+
+
+def test_resume_sees_changed_files(spark, tmp_path, monkeypatch):
+    cfg = PipelineConfig(base=str(tmp_path / "zones"))
+    path = str(tmp_path / "corpus")
+    news(spark).write.parquet(path)
+    corpus = spark.read.parquet(path)
+    ran = _calls(monkeypatch)
+    resume(spark, cfg, corpus)
+    assert ran == ["land", "prepare", "featurize", "train", "evaluate"]
+    ran.clear()
+    resume(spark, cfg, spark.read.parquet(path))
+    assert ran == []
+    news(spark).limit(40).write.mode("append").parquet(path)
+    resume(spark, cfg, spark.read.parquet(path))
+    assert ran == ["land", "prepare", "featurize", "train", "evaluate"]
+    assert spark.read.parquet(published(spark, cfg).split_path).count() == 160
+
+
+@pytest.mark.parametrize("stage", ["land", "prepare", "featurize", "train", "evaluate"])
+def test_a_failed_run_leaves_the_former_one(spark, tmp_path, monkeypatch, stage):
+    """The second run writes some of a stage and stops; then it is resumed."""
+    cfg = PipelineConfig(base=str(tmp_path))
+    first = collected(run(spark, news(spark), cfg))
+    held = published(spark, cfg)
+    split = collected(spark.read.parquet(held.split_path))
+    other = replace(cfg, seed=5)
+    more = news(spark).union(news(spark).limit(20))
+
+    with monkeypatch.context() as patched:
+        work = getattr(stages, stage)
+
+        def stopped(*args, **kwargs):
+            work(*args, **kwargs)
+            raise KeyboardInterrupt
+
+        patched.setattr(stages, stage, stopped)
+        with pytest.raises(KeyboardInterrupt):
+            run(spark, more, other)
+    assert published(spark, cfg) == held
+    assert collected(spark.read.parquet(held.split_path)) == split
+    assert collected(spark.read.parquet(held.metrics_table_path)) == first
+    assert collected(stages.evaluate(stages.score(spark, held), replace(held, reports_dir="again"))) == first
+
+    ran = _calls(monkeypatch)
+    every = ["land", "prepare", "featurize", "train", "evaluate"]
+    resume(spark, other, more)
+    assert ran == (every if stage in ("land", "prepare") else every[every.index(stage) :]) or ran == every
+    assert spark.read.parquet(published(spark, other).split_path).count() == 140
+    # Only this run and the former one are left, and what was stopped is gone.
+    versions = {p.name for zone in ("data/raw", "data/processed", "models", "reports") for p in (tmp_path / zone).iterdir()}
+    known = {f"v-{v}" for c in (held, published(spark, cfg)) for v in c.versions.values()}
+    assert versions <= known and manifest.pending(spark, cfg) is None
+
+
+def test_killed_process(spark, tmp_path):
+    """A process that is killed while it trains leaves the former run, and a run to go on with."""
+    cfg = PipelineConfig(base=str(tmp_path / "zones"))
+    first = collected(run(spark, news(spark), cfg))
+    held = published(spark, cfg)
+    news(spark).write.parquet(str(tmp_path / "corpus"))
+    script = f"""
+import os, signal, sys
+sys.path.insert(0, {os.getcwd()!r})
+from textpipe.__main__ import main
+from textpipe.operators import classify
+classify.train_classifier = lambda *a, **k: os.kill(os.getpid(), signal.SIGKILL)
+main(["run", "--base", {cfg.base!r}, "--corpus", {str(tmp_path / "corpus")!r}, "--set", "seed=9"])
+"""
+    done = subprocess.run([sys.executable, "-c", script], capture_output=True, timeout=300)
+    assert done.returncode == -signal.SIGKILL
+    assert published(spark, cfg) == held and collected(spark.read.parquet(held.metrics_table_path)) == first
+    assert set(manifest.pending(spark, cfg)) == {"land", "prepare", "featurize"}
+    resume(spark, replace(cfg, seed=9))
+    assert published(spark, cfg).versions["prepare"] != held.versions["prepare"]
+
+
+def test_single_stages_count_at_once(spark, tmp_path):
+    cfg = PipelineConfig(base=str(tmp_path))
+    run(spark, news(spark), cfg)
+    before = published(spark, cfg).versions
+    run_stage(spark, replace(cfg, seed=3), "prepare")
+    after = published(spark, cfg).versions
+    assert {s for s in after if after[s] != before[s]} == {"prepare"}
+    # What was made from the former split is out of date.
+    resume(spark, replace(cfg, seed=3))
+    assert {s for s in after if published(spark, cfg).versions[s] != before[s]} == {"prepare", "featurize", "train", "evaluate"}
+
+
+def test_swapped_file(spark, tmp_path):
+    path = str(tmp_path / "m.json")
+    assert manifest.read_json(spark, path) is None
+    for k in range(3):
+        manifest.swap_json(spark, path, {"k": k})
+        assert manifest.read_json(spark, path) == {"k": k}
+    assert [p.name for p in tmp_path.iterdir() if not p.name.startswith(".")] == ["m.json"]
+
+
 def test_sizes_and_results_are_logged(spark, tmp_path, caplog):
     with caplog.at_level(logging.INFO, logger="textpipe"):
         run(spark, news(spark), PipelineConfig(base=str(tmp_path)))

@@ -9,13 +9,14 @@ from dataclasses import fields
 
 from pyspark.sql import DataFrame, SparkSession
 
-from textpipe.config import PipelineConfig
+from textpipe.config import STAGES, PipelineConfig
 from textpipe.operators.metrics import metrics_lines
 from textpipe.plans import stages
-from textpipe.plans.run import run
+from textpipe.plans.run import resume, run, run_stage
 from textpipe.sources.corpus import scan_corpus
+from textpipe.sources.manifest import published
 
-STAGES = ("run", "land", "prepare", "featurize", "train", "evaluate")
+COMMANDS = ("run", "resume", *STAGES, "score")
 
 
 def read_settings(base: str, path: str | None, pairs: list[str]) -> PipelineConfig:
@@ -32,7 +33,7 @@ def read_settings(base: str, path: str | None, pairs: list[str]) -> PipelineConf
             found[name] = json.loads(value)
         except json.JSONDecodeError:
             found[name] = value
-    known = {field.name for field in fields(PipelineConfig)} - {"base"}
+    known = {field.name for field in fields(PipelineConfig)} - {"base", "versions"}
     if unknown := sorted(found.keys() - known):
         raise ValueError(f"Unknown settings: {', '.join(unknown)}")
     if isinstance(found.get("stop_words"), list):
@@ -48,11 +49,13 @@ def _corpus(spark: SparkSession, args: argparse.Namespace, cfg: PipelineConfig)
 
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="textpipe", description=__doc__)
-    parser.add_argument("stage", choices=STAGES)
+    parser.add_argument("stage", choices=COMMANDS)
     parser.add_argument("--base", required=True, help="folder or URI of the zones")
-    parser.add_argument("--corpus", help="labelled corpus, for run and land")
+    parser.add_argument("--corpus", help="labelled corpus, for run, land and resume")
     parser.add_argument("--format", default="parquet", help="format of the corpus files")
     parser.add_argument("--raw", help="raw table for prepare, instead of the one of the raw zone")
+    parser.add_argument("--out", help="table of predictions that score writes")
+    parser.add_argument("--split", default="test", help="side that score predicts")
     parser.add_argument("--settings", help="JSON file with settings of the run")
     parser.add_argument(
         "--set",
@@ -64,6 +67,8 @@ def main(argv: list[str] | None = None) -> None:
     args = parser.parse_args(argv)
     if args.stage in ("run", "land") and not args.corpus:
         parser.error(f"{args.stage} needs --corpus")
+    if args.stage == "score" and not args.out:
+        parser.error("score needs --out")
 
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(name)s %(levelname)s %(message)s")
     try:
@@ -71,21 +76,18 @@ def main(argv: list[str] | None = None) -> None:
     except ValueError as error:
         parser.error(str(error))
     spark = SparkSession.builder.appName("textpipe").getOrCreate()
+    report = None
+    corpus = _corpus(spark, args, cfg) if args.corpus else None
     if args.stage == "run":
-        report = run(spark, _corpus(spark, args, cfg), cfg)
-        stages.summarize(spark, report, cfg)
-        print("\n".join(metrics_lines(report)))
-    elif args.stage == "land":
-        stages.land(_corpus(spark, args, cfg), cfg)
-    elif args.stage == "prepare":
-        stages.prepare(spark, cfg, args.raw)
-    elif args.stage == "featurize":
-        stages.featurize(spark, cfg)
-    elif args.stage == "train":
-        stages.train(stages.load_vectors(spark, cfg, "train"), cfg)
+        report = run(spark, corpus, cfg)
+    elif args.stage == "resume":
+        report = resume(spark, cfg, corpus)
+    elif args.stage == "score":
+        stages.score(spark, published(spark, cfg), args.split).write.mode("errorifexists").parquet(args.out)
     else:
-        report = stages.evaluate(stages.score(spark, cfg), cfg)
-        stages.summarize(spark, report, cfg)
+        report = run_stage(spark, cfg, args.stage, corpus, args.raw)
+    if report is not None:
+        stages.summarize(spark, report, published(spark, cfg))
         print("\n".join(metrics_lines(report)))
 
 

@@ -12,12 +12,32 @@ LABEL_NAMES: Mapping[int, str] = MappingProxyType(
 )
 
 
+# The stages in their order, and the settings that what each writes depends on.
+STAGES = ("land", "prepare", "featurize", "train", "evaluate")
+STAGE_SETTINGS: Mapping[str, tuple[str, ...]] = MappingProxyType(
+    {
+        "land": ("raw_dir", "raw_name", "raw_format"),
+        "prepare": (
+            "raw_format", "raw_schema", "raw_multi_line", "min_raw_rows", "test_size", "seed",
+            "processed_dir", "keyed_name", "numbered_name", "split_name",
+        ),
+        "featurize": (
+            "max_features", "stop_words", "min_train_rows", "min_test_rows",
+            "models_dir", "vectorizer_name", "vocabulary_name",
+        ),
+        "train": ("inverse_regularization", "max_iter", "tol", "models_dir", "model_name", "vectors_name"),
+        "evaluate": ("reports_dir", "metrics_name", "metrics_table_name"),
+    }
+)
+
+
 @dataclass(frozen=True)
 class PipelineConfig:
     """Where a run keeps its tables and how it is parametrised.
 
     ``base`` is any Hadoop URI (``hdfs://``, ``s3a://``, ``file:``); the writers create the
-    directories, so building a config touches no file system.
+    directories, so building a config touches no file system. ``versions`` names the folder that
+    the artifacts of a stage are in; those of a stage without one are in the folder of the zone.
     """
 
     base: str = "."
@@ -58,50 +78,60 @@ class PipelineConfig:
     min_test_rows: int = 5
 
     label_names: Mapping[int, str] = field(default_factory=lambda: LABEL_NAMES)
+    versions: Mapping[str, str] = field(default_factory=dict)
 
     def _path(self, *parts: str) -> str:
         return "/".join((self.base.rstrip("/") or "/", *parts))
 
+    def _of(self, stage: str, *parts: str) -> str:
+        *folder, name = parts
+        version = self.versions.get(stage)
+        return self._path(*folder, *([f"v-{version}"] if version else []), name)
+
     @property
     def raw_path(self) -> str:
-        return self._path(self.raw_dir, f"{self.raw_name}.{self.raw_format}")
+        return self._of("land", self.raw_dir, f"{self.raw_name}.{self.raw_format}")
 
     @property
     def keyed_path(self) -> str:
-        return self._path(self.processed_dir, self.keyed_name)
+        return self._of("prepare", self.processed_dir, self.keyed_name)
 
     @property
     def numbered_path(self) -> str:
-        return self._path(self.processed_dir, self.numbered_name)
+        return self._of("prepare", self.processed_dir, self.numbered_name)
 
     @property
     def split_path(self) -> str:
-        return self._path(self.processed_dir, self.split_name)
+        return self._of("prepare", self.processed_dir, self.split_name)
 
     @property
     def vectors_path(self) -> str:
-        return self._path(self.processed_dir, self.vectors_name)
+        return self._of("train", self.processed_dir, self.vectors_name)
 
     @property
     def vectorizer_path(self) -> str:
-        return self._path(self.models_dir, self.vectorizer_name)
+        return self._of("featurize", self.models_dir, self.vectorizer_name)
 
     @property
     def vocabulary_path(self) -> str:
-        return self._path(self.models_dir, self.vocabulary_name)
+        return self._of("featurize", self.models_dir, self.vocabulary_name)
 
     @property
     def model_path(self) -> str:
-        return self._path(self.models_dir, self.model_name)
+        return self._of("train", self.models_dir, self.model_name)
 
     @property
     def metrics_path(self) -> str:
-        return self._path(self.reports_dir, self.metrics_name)
+        return self._of("evaluate", self.reports_dir, self.metrics_name)
 
     @property
     def metrics_table_path(self) -> str:
-        return self._path(self.reports_dir, self.metrics_table_name)
+        return self._of("evaluate", self.reports_dir, self.metrics_table_name)
 
     @property
     def runs_path(self) -> str:
         return self._path(self.reports_dir, self.runs_name)
+
+    @property
+    def zones(self) -> list[str]:
+        return [self._path(d) for d in (self.raw_dir, self.processed_dir, self.models_dir, self.reports_dir)]

@@ -38,6 +38,7 @@ from textpipe.sources.corpus import (
     write_split,
 )
 from textpipe.sources.local import small_table
+from textpipe.sources.manifest import published
 from textpipe.sources.scratch import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -512,7 +513,8 @@ def model_reload_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _finished_run(spark: SparkSession, sf_dir: str) -> tuple[PipelineConfig, DataFrame]:
     cfg = PipelineConfig(base=scratch_path(spark, "run"))
-    return cfg, run(spark, corpus(spark, sf_dir), cfg)
+    report = run(spark, corpus(spark, sf_dir), cfg)
+    return published(spark, cfg), report
 
 
 def score_from_artifacts(spark: SparkSession, sf_dir: str) -> DataFrame:
