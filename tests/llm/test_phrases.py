@@ -72,9 +72,11 @@ def corpus(seed: int, n: int = 120) -> list[tuple]:
     return [(rng.choice(["en", "en", None, "und", "fr"]), text() + rng.choice(planted) + rng.choice(ends) + text()) for _ in range(n)]
 
 
+@pytest.mark.parametrize("rare", [0, 20])
 @pytest.mark.parametrize("sample, lowered", [(0.0, 0.5), (0.3, 0.5), (1.0, 1.0), (0.5, 4.0)])
-def test_against_plain_python(spark, sample, lowered):
-    """Whatever the sample proposes: nothing, too much, or too little."""
+def test_against_plain_python(spark, monkeypatch, sample, lowered, rare):
+    """Whatever the sample proposes: nothing, too much, or too little; level by level, or at once."""
+    monkeypatch.setattr(phrases, "_RARE", rare)
     rows = corpus(3)
     how = Mining(least=5, sample=sample, lowered=lowered, top=40)
     assert got_of(spark, rows, how) == brute(rows, how)
@@ -91,6 +93,7 @@ def test_counts(spark):
     rows = corpus(9, 60)
     docs = spark.createDataFrame(rows, "lang string, text string")
     f, n = counts(rows)
+    n = Counter({lang: k for lang, k in n.items() if k})
     got = {(r.lang, r.phrase): r.f for r in mined(docs, Mining(least=3)).collect()}
     expected = {(lang, " ".join(w)): a for (lang, w), a in f.items() if a >= 3}
     assert got == expected | {(lang, None): a for lang, a in n.items()}

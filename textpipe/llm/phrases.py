@@ -5,7 +5,9 @@ are too. A sample is mined with a lowered limit; what is frequent there is the p
 counts every phrase whose beginning and end have been proposed: these are the proposal and its
 negative border, as far as it occurs at all. Where a phrase of the border turns out frequent, it joins
 the proposal, and another full pass counts what the border has become, and nothing twice. When no
-pass finds one, every frequent phrase has been counted.
+pass finds one, every frequent phrase has been counted. Where such failures are rare, the pass after
+them takes all that they can be part of for proposed: it counts a little more, and no pass is needed
+after it.
 
 Counting works with 64-bit hashes. A task hashes words and phrases of some texts at once (numpy), adds
 equal ones up and hands them on as a few sorted arrays, one for each bucket of hashes, so the shuffle
@@ -20,25 +22,28 @@ corpus; where it says too much, more is counted, and the result is the same.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 from functools import cache
 from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from textpipe.llm.common import finished, materialize
+from textpipe.llm.common import finished, give_back, materialize
 
 UNKNOWN = "und"
 PIECE_ENDS, WORD_ENDS = b".,;:!?\n\x0b\x0c\r", b" \t"
 _PIECE_END = re.compile(b"[" + re.escape(PIECE_ENDS) + b"]")
 # Bytes that are hashed at once, and hashes that are added up at once.
 _BYTES_AT_ONCE = 1 << 20
-_KEYS_AT_ONCE = 1 << 22
+_KEYS_AT_ONCE = 1 << 21
+_PHRASES_AT_ONCE = 1 << 18
 _BUCKET_KEYS = 1 << 21
+# Failures are rare if they stand at one of so many words at most.
+_RARE = 20
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 # Bits of a Bloom filter: for each member, and in all (32 MB).
 _MEMBER_BITS, _MOST_BITS, _BLOCK_BITS = 32, 28, 20
@@ -196,7 +201,7 @@ def filter_of(keys: DataFrame) -> Filter:
     return Filter(bits, held)
 
 
-def _member(filters: list[Filter]) -> Callable[[np.ndarray], np.ndarray]:
+def _member(filters: Sequence[Filter]) -> Callable[[np.ndarray], np.ndarray]:
     """Whether any of the filters has a hash."""
 
     def found(keys: np.ndarray) -> np.ndarray:
@@ -208,41 +213,53 @@ def _member(filters: list[Filter]) -> Callable[[np.ndarray], np.ndarray]:
     return found
 
 
-def phrase_hashes(words: Words, lengths: range, known: int, now: list[Filter], before: list[Filter]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """For each of the lengths: places and hashes of the candidates that were none ``before``.
+@dataclass(frozen=True)
+class Proposal:
+    """What a pass counts: phrases whose beginning and end are members.
 
-    Phrases of up to ``known`` words are members if a filter has them; longer ones if their
-    beginning and end are. Without filters before, all candidates count.
+    A phrase of up to ``known`` words is a member if a filter of ``now`` has it, a longer one if it
+    is counted. Phrases that were counted with ``before`` as the filters are not counted again;
+    with ``wide`` all that is counted for the first time is a member too.
     """
+
+    known: int
+    now: tuple[Filter, ...] = ()
+    before: tuple[Filter, ...] = ()
+    wide: bool = False
+
+
+def phrase_hashes(words: Words, lengths: range, by: Proposal) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """For each of the lengths: places and hashes of the phrases that are counted."""
     n_words = len(words)
     keys = words.first
-    member, earlier = (
-        _member(f)(keys) if known >= 1 and f else np.full(n_words, known < 1) for f in (now, before)
-    )
-    if 1 in lengths and not before:
+    now, before = _member(by.now), _member(by.before)
+    member = now(keys) if by.known else np.ones(n_words, dtype=bool)
+    earlier = before(keys)
+    if 1 in lengths and not by.before:
         yield 1, np.arange(n_words), keys
     for n in range(2, lengths.stop):
         at = words.candidates(member, n)
         found = words.longer(keys, at, n)
-        old = words.candidates(earlier, n) if before else np.zeros(0, dtype=np.int64)
+        old = words.candidates(earlier, n) if by.before else np.zeros(0, dtype=np.int64)
+        new = np.isin(at, old, assume_unique=True, invert=True) if len(old) else np.ones(len(at), dtype=bool)
         if n in lengths:
-            new = np.isin(at, old, assume_unique=True, invert=True) if len(old) else slice(None)
             yield n, at[new], found[new]
-        keys, member, earlier = np.zeros(n_words, dtype=np.uint64), np.zeros(n_words, dtype=bool), np.zeros(n_words, dtype=bool)
+        keys = np.zeros(n_words, dtype=np.uint64)
         keys[at] = found
-        member[at] = _member(now)(found) if n <= known else True
-        earlier[old] = _member(before)(keys[old]) if n <= known else True
+        member, earlier = np.zeros(n_words, dtype=bool), np.zeros(n_words, dtype=bool)
+        member[at] = now(found) if n <= by.known else True
+        earlier[old] = before(keys[old]) if n <= by.known else True
+        if by.wide:
+            member[at[new]] = True
 
 
 def _texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.coalesce("lang", F.lit(UNKNOWN)).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
 
 
-def _counted(
-    texts: DataFrame, least: int, buckets: int, lengths: range, known: int, now: list[Filter], before: list[Filter]
-) -> DataFrame:
+def _counted(texts: DataFrame, least: int, buckets: int, lengths: range, by: Proposal) -> DataFrame:
     """``key, n, member`` of the phrases that occur ``least`` times, of those that are counted now."""
-    held = texts.sparkSession.sparkContext.broadcast((now, before))
+    held = texts.sparkSession.sparkContext.broadcast(by)
     bits = buckets.bit_length() - 1
 
     def packed(keys: list[np.ndarray]) -> pa.RecordBatch:
@@ -261,10 +278,9 @@ def _counted(
         )
 
     def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, before = held.value
         waiting, size = [], 0
         for words, _ in _batches_of_words(batches):
-            for _, _, keys in phrase_hashes(words, lengths, known, now, before):
+            for _, _, keys in phrase_hashes(words, lengths, held.value):
                 waiting.append(keys)
                 size += len(keys)
             if size >= _KEYS_AT_ONCE:
@@ -272,6 +288,7 @@ def _counted(
                 waiting, size = [], 0
         if size:
             yield packed(waiting)
+        give_back()
 
     def added(_: tuple, rows: pa.Table) -> pa.Table:
         keys = np.concatenate([np.frombuffer(x.as_py(), dtype=np.uint64) for x in rows.column("keys")])
@@ -282,68 +299,92 @@ def _counted(
         total = np.add.reduceat(counts[order].astype(np.int64), first)
         often = total >= least
         found = keys[first][often]
-        member = _member(held.value[0])(found)
+        member = _member(held.value.now)(found)
         return pa.table({"key": found.view(np.int64), "n": total[often], "member": member})
 
     rows = texts.mapInArrow(tasks, "bucket bigint, keys binary, counts binary")
     return rows.groupBy("bucket").applyInArrow(added, "key bigint, n bigint, member boolean")
 
 
-def _spelled(texts: DataFrame, filters: list[Filter], longest: int) -> DataFrame:
-    """``lang, phrase, words, f``: phrases whose hashes the filters have, counted as strings.
-
-    The row without a phrase counts all words of the language.
-    """
-    held = texts.sparkSession.sparkContext.broadcast(filters)
-
-    def rows_of(found: list[tuple], names: list[str]) -> Iterator[tuple]:
-        """Equal phrases of the places that wait, as one row each."""
-        for n in {x[1] for x in found}:
-            parts = [x for x in found if x[1] == n]
-            keys = np.concatenate([x[3] for x in parts])
-            source = np.repeat(np.arange(len(parts)), [len(x[3]) for x in parts])
-            at = np.concatenate([x[2] for x in parts])
-            # The sum of word hashes is a second number for what two phrases of one hash tell apart.
-            check = np.concatenate(
-                [sum((p[0].hashes[p[2] + k] * np.uint64(2 * k + 1) for k in range(n)), np.zeros(len(p[2]), dtype=np.uint64)) for p in parts]
-            )
-            order = np.lexsort((check, keys))
-            keys, check = keys[order], check[order]
-            new = np.concatenate(([True], (keys[1:] != keys[:-1]) | (check[1:] != check[:-1])))
-            first = np.flatnonzero(new)
-            counts = np.diff(np.append(first, len(keys)))
-            for k, count in zip(order[first].tolist(), counts.tolist()):
-                words = parts[source[k]][0]
-                yield names[words.languages[at[k]]], words.spelled(int(at[k]), n), n, count
-
-    def batch_of(rows: Iterator[tuple]) -> pa.RecordBatch:
-        columns = list(zip(*rows)) or [()] * 4
-        kinds = pa.string(), pa.string(), pa.int32(), pa.int64()
-        return pa.record_batch(
-            [pa.array(c, t) for c, t in zip(columns, kinds)], names=["lang", "phrase", "words", "f"]
-        )
+class Spelled:
+    """Counts of phrases that a task has met, with their spelling; bounded by ``_PHRASES_AT_ONCE``."""
+
+    def __init__(self) -> None:
+        self.place: dict[tuple[int, int], int] = {}
+        self.key: list[int] = []
+        self.lang: list[str] = []
+        self.phrase: list[str] = []
+        self.words: list[int] = []
+        self.f: list[int] = []
+
+    def add(self, words: Words, names: list[str], n: int, at: np.ndarray, keys: np.ndarray) -> None:
+        # The weighted sum of word hashes tells phrases apart that meet in one hash.
+        check = np.zeros(len(at), dtype=np.uint64)
+        for k in range(n):
+            check += words.hashes[at + k] * np.uint64(2 * k + 1)
+        order = np.lexsort((check, keys))
+        keys, check = keys[order], check[order]
+        first = np.flatnonzero(np.concatenate(([True], (keys[1:] != keys[:-1]) | (check[1:] != check[:-1]))))
+        counts = np.diff(np.append(first, len(keys))).tolist()
+        places = at[order[first]].tolist()
+        for key, mark, place, count in zip(keys[first].tolist(), check[first].tolist(), places, counts):
+            k = self.place.setdefault((key, mark), len(self.f))
+            if k < len(self.f):
+                self.f[k] += count
+            else:
+                self.key.append(key)
+                self.lang.append(names[words.languages[place]])
+                self.phrase.append(words.spelled(place, n))
+                self.words.append(n)
+                self.f.append(count)
+
+    def packed(self, bits: int) -> pa.RecordBatch:
+        """The counts as one row for each bucket of hashes."""
+        bucket = (np.array(self.key, dtype=np.uint64) >> np.uint64(64 - bits)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        edges = np.flatnonzero(np.diff(bucket[order], prepend=-1))
+        ends = pa.array(np.append(edges, len(order)), pa.int32())
+        columns = {"bucket": pa.array(bucket[order][edges])}
+        for name, kind in (("lang", pa.string()), ("phrase", pa.string()), ("words", pa.int32()), ("f", pa.int64())):
+            values = pa.array(getattr(self, name), kind).take(pa.array(order))
+            columns[name] = pa.ListArray.from_arrays(ends, values)
+        return pa.record_batch(columns)
+
+
+def _spelled(texts: DataFrame, found: Filter, longest: int, buckets: int) -> DataFrame:
+    """``lang, phrase, words, f``: phrases whose hashes the filter has, counted as strings."""
+    held = texts.sparkSession.sparkContext.broadcast(Proposal(longest, (found,)))
+    bits = buckets.bit_length() - 1
 
     def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        member = _member(held.value)
-        every: dict[str, int] = {}
-        waiting, size = [], 0
+        member = _member(held.value.now)
+        counts = Spelled()
         for words, names in _batches_of_words(batches):
-            for place, n in enumerate(np.bincount(words.languages, minlength=len(names)).tolist()):
-                every[names[place]] = every.get(names[place], 0) + n
-            for n, at, keys in phrase_hashes(words, range(1, longest + 1), longest, held.value, []):
+            for n, at, keys in phrase_hashes(words, range(1, longest + 1), held.value):
                 hit = member(keys)
                 if hit.any():
-                    waiting.append((words, n, at[hit], keys[hit]))
-                    size += int(hit.sum())
-            if size >= _KEYS_AT_ONCE // 2:
-                yield batch_of(rows_of(waiting, names))
-                waiting, size = [], 0
-        if waiting:
-            yield batch_of(rows_of(waiting, names))
-        yield batch_of((lang, None, 0, n) for lang, n in every.items())
+                    counts.add(words, names, n, at[hit], keys[hit])
+            if len(counts.f) >= _PHRASES_AT_ONCE:
+                yield counts.packed(bits)
+                counts = Spelled()
+        if counts.f:
+            yield counts.packed(bits)
+        give_back()
+
+    def added(_: tuple, rows: pa.Table) -> pa.Table:
+        each = pa.table({c: rows.column(c).combine_chunks().flatten() for c in ("lang", "phrase", "words", "f")})
+        total = each.group_by(["lang", "phrase", "words"]).aggregate([("f", "sum")])
+        return total.rename_columns(["lang", "phrase", "words", "f"])
+
+    lists = "lang array<string>, phrase array<string>, words array<int>, f array<bigint>"
+    rows = texts.mapInArrow(tasks, f"bucket bigint, {lists}")
+    return rows.groupBy("bucket").applyInArrow(added, "lang string, phrase string, words int, f bigint")
 
-    rows = texts.mapInArrow(tasks, "lang string, phrase string, words int, f bigint")
-    return rows.groupBy("lang", "phrase", "words").agg(F.sum("f").alias("f"))
+
+def _words_of(text: str) -> Column:
+    """The number of words of a text, in the JVM."""
+    ends = "".join(f"\\x{b:02x}" for b in PIECE_ENDS + WORD_ENDS)
+    return F.regexp_count(text, F.lit(f"[^{ends}]+"))
 
 
 def mined(docs: DataFrame, how: Mining = Mining()) -> DataFrame:
@@ -354,34 +395,35 @@ def mined(docs: DataFrame, how: Mining = Mining()) -> DataFrame:
     texts = _texts(docs)
     size = texts.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")).first().n
     # A word takes some six bytes; most counted hashes are of pairs of words.
+    n_words = size // 6
     tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    buckets = 1 << max(tasks.bit_length() + 1, (size // 6 // _BUCKET_KEYS).bit_length())
+    buckets = 1 << max(tasks.bit_length() + 1, (n_words // _BUCKET_KEYS).bit_length())
     rate = F.lit(int(how.sample * (1 << 20)))
     drawn = F.pmod(F.xxhash64("lang", "text", F.monotonically_increasing_id()), F.lit(1 << 20)) < rate
     sample = materialize(texts.filter(drawn), "sample")
     limit = max(2, int(how.least * how.sample * how.lowered))
     most = min(2, how.longest)
-    short = materialize(_counted(sample, limit, buckets, range(1, most + 1), 0, [], []), "proposed")
-    proposed = [filter_of(short)]
+    short = materialize(_counted(sample, limit, buckets, range(1, most + 1), Proposal(0)), "proposed")
+    proposed = (filter_of(short),)
     if how.longest > 3:
-        long = _counted(sample, limit, buckets, range(3, how.longest), 2, proposed, [])
-        proposed = [filter_of(short.unionByName(materialize(long, "proposed")))]
-    found = None
-    before: list[Filter] = []
+        long = materialize(_counted(sample, limit, buckets, range(3, how.longest), Proposal(2, proposed)), "proposed")
+        proposed = (filter_of(short.unionByName(long)),)
+    lengths, known = range(1, how.longest + 1), how.longest - 1
+    found, by = None, Proposal(known, proposed)
     while True:
-        # What occurs often enough, of the proposal and its border; a phrase of the longest kind
-        # borders on nothing more, but counts as found all the same.
-        new = materialize(
-            _counted(texts, how.least, buckets, range(1, how.longest + 1), how.longest - 1, proposed, before), "frequent"
-        )
+        # A frequent phrase of the longest kind borders on nothing more: it may go around once for
+        # nothing.
+        new = materialize(_counted(texts, how.least, buckets, lengths, by), "frequent")
         found = new if found is None else found.unionByName(new)
         failed = new.filter("not member")
-        before = proposed
-        if failed.isEmpty():
+        places = 0 if by.wide else failed.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first().n
+        if not places:
             break
-        proposed = [*proposed, filter_of(failed)]
-    counted = _spelled(texts, [filter_of(found)], how.longest)
-    return materialize(counted.filter((F.col("f") >= how.least) | F.col("phrase").isNull()), "phrases")
+        by = Proposal(known, (*by.now, filter_of(failed)), by.now, wide=places * _RARE <= n_words)
+    counted = _spelled(texts, filter_of(found), how.longest, buckets).filter(F.col("f") >= how.least)
+    every = texts.groupBy("lang").agg(F.sum(_words_of("text")).cast("bigint").alias("f")).filter("f > 0")
+    nothing = F.lit(None).cast("string").alias("phrase")
+    return materialize(counted.unionByName(every.select("lang", nothing, F.lit(0).alias("words"), "f")), "phrases")
 
 
 def scored(counts: DataFrame) -> DataFrame:
