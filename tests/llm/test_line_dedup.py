@@ -61,24 +61,26 @@ def brute(lines: dict[tuple, str], rule: Rule) -> dict[tuple, tuple]:
     for place, line in lines.items():
         near = [
             p for o, p in classes.items()
-            if o != line and abs(len(o) - len(line)) <= rule.max_edits and distance(o, line) <= rule.max_edits
+            if o != line and abs(len(o) - len(line)) <= rule.max_edits
+            and distance(o, line) <= min(rule.max_edits, min(len(o), len(line)) // rule.per_edit)
         ]
         kept = classes[line] == place and all(p > place for p in near)
         out[place] = (classes[line], len(near), kept)
     return out
 
 
-@pytest.mark.parametrize("rule", [Rule(1, 8), Rule(2, 8), Rule(3, 12)])
-def test_edit_join(spark, rule, monkeypatch):
+@pytest.mark.parametrize("rule, crowd", [(Rule(1, 8), 512), (Rule(2, 8), 512), (Rule(2, 8), 9), (Rule(3, 5), 20), (Rule(), 3)])
+def test_edit_join(spark, rule, crowd, monkeypatch):
     monkeypatch.setattr(line_dedup, "TILE", 7)
+    monkeypatch.setattr(line_dedup, "CROWD", crowd)
     rng = random.Random(rule.max_edits)
-    base = ["".join(rng.choice("abcdé ") for _ in range(rng.randrange(8, 40))) for _ in range(12)]
-    lines = [edited(rng.choice(base), rng.randrange(0, 4), rng) for _ in range(260)]
+    base = ["".join(rng.choice("abcdé ") for _ in range(rng.randrange(2, 40))) for _ in range(14)]
+    lines = [edited(rng.choice(base), rng.randrange(0, 4), rng) for _ in range(300)]
     docs, held = [], {}
     for d in range(40):
         text = [lines[(d * 7 + k) % len(lines)] for k in range(7)]
         docs.append((d, "\n".join(text)))
-        held |= {(d, k): x for k, x in enumerate("\n".join(text).split("\n")) if len(x) >= rule.least}
+        held |= {(d, k): x for k, x in enumerate("\n".join(text).split("\n")) if x.strip()}
     got = line_dedup.decide(spark.createDataFrame(docs, "doc_id bigint, text string"), rule).collect()
     found = {(r.doc_id, r.pos): ((r.first.doc_id, r.first.pos), r.n_links, r.kept) for r in got}
     assert found == brute(held, rule)
@@ -87,7 +89,7 @@ def test_edit_join(spark, rule, monkeypatch):
 
 def test_clean(spark, odd):
     rows = [
-        (3, "the first line of the page\nshort\nand another line of text here"),
+        (3, "the first line of the page\nshort\nshirt\nand another line of text here"),
         (1, "the first line of the page\nsome other line that stays\nshort"),
         (2, "the first line of te page\r\nand another line of text here.\n\nshort"),
         (None, "some other line that stays\nonly without an id it comes"),
@@ -99,8 +101,9 @@ def test_clean(spark, odd):
     assert cleaned.columns == docs.columns
     got = {r.doc_id: r.text for r in cleaned.collect()}
     assert got[1] == rows[1][1]
-    assert got[2] == "and another line of text here.\n\nshort"
-    assert got[3] == "short"
+    # Short lines go where they are equal.
+    assert got[2] == "and another line of text here.\n"
+    assert got[3] == "shirt"
     assert got[None] == "only without an id it comes"
     assert got[4] is None and got[5] == ""
     kept = line_dedup.clean(odd)
@@ -112,6 +115,26 @@ def test_clean(spark, odd):
     assert line_dedup.clean(odd.limit(0)).count() == line_dedup.decide(odd.limit(0)).count() == 0
 
 
+def test_repeated_short_lines(spark):
+    docs = spark.createDataFrame([(k, "Read more\n \n- 1 -\nown %d" % k) for k in range(3)], "doc_id int, text string")
+    got = {r.doc_id: r.text for r in line_dedup.clean(docs).collect()}
+    assert got == {0: "Read more\n \n- 1 -\nown 0", 1: " \nown 1", 2: " \nown 2"}
+
+
+def test_many_lines_of_one_template(spark):
+    """All lines share their segments but for one word; each is near to the next one alone."""
+    rng = random.Random(1)
+    words = {"".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(14)) for _ in range(2500)}
+    lines = [f"The article with the title {w} has been moved to the archive" for w in sorted(words)]
+    near = [x.replace(" has", "s has") for x in lines[:100]]
+    docs = [(k, x) for k, x in enumerate([*lines, *near])]
+    got = line_dedup.decide(spark.createDataFrame(docs, "doc_id int, text string"))
+    n = len(lines)
+    links = {r.doc_id: r.n_links for r in got.collect()}
+    assert links == {k: int(k < 100 or k >= n) for k in range(n + 100)}
+    assert {r.doc_id for r in got.filter("not kept").collect()} == set(range(n, n + 100))
+
+
 def test_no_python_in_the_plan(spark, documents):
     for df in (line_dedup.decide(documents), line_dedup.clean(documents)):
         plan = df._jdf.queryExecution().executedPlan().toString()

@@ -7,10 +7,15 @@ lines that are as long or shorter by up to ``max_edits`` characters, at the plac
 of edits to the left and to the right still allows. Key and length meet in one hash, so all of this
 is one table of numbers, dealt by hash and sorted; equal lines are one before it is made.
 
-Only lines that share a key with another line go on. The lines of a key are cut into tiles, and
-tiles are compared two by two inside a row: what leaves a tile pair is a count for each line, never
-a row for each pair. A pair that meets under several keys is looked at under its smallest one. Two
-numbers tell most pairs apart (the kinds of characters that occur an odd number of times), and the
+Short lines are allowed fewer edits, and have fewer and longer segments; of the shortest only equal
+ones are found.
+
+Only lines that share a key with another line go on. Where very many share one, as the lines of a
+template do, they meet under finer keys: an edit changes at most two of the bits that say which
+characters a line has an odd number of times, so two of enough blocks of these bits are the same in
+both lines. The lines of a key are cut into tiles, and tiles are compared two by two inside a row: what
+leaves a tile pair is a count for each line, never a row for each pair. A pair that meets under
+several keys is looked at under its smallest one. The odd characters tell most pairs apart, and the
 survivors are verified by a banded bit-parallel edit distance, which keeps one diagonal band of the
 matrix in the bits of a number.
 
@@ -20,6 +25,7 @@ Everything is made of DataFrame functions.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -27,24 +33,31 @@ from pyspark.sql import functions as F
 from textpipe.llm.common import documents_of, free_names, materialize, text_key
 
 TILE = 128
-# Sixteen bytes a row: up to 32 MB are broadcast, more is joined by shuffle.
+# Lines of one key from which on they meet under finer keys.
+CROWD = 512
+# Eight to sixteen bytes a row: up to 32 MB are broadcast, more is joined by shuffle.
 BROADCAST_IDS = 2_000_000
 
 
 @dataclass(frozen=True)
 class Rule:
-    """Lines of fewer than ``least`` characters, such as headings, are left alone."""
+    """Near lines are at most ``max_edits`` edits apart, and one for every ``per_edit`` characters
+    of the shorter."""
 
     max_edits: int = 2
-    least: int = 20
+    per_edit: int = 10
 
+    def allowed(self, length: Column) -> Column:
+        """The edits that a shorter line of this length is allowed."""
+        return F.least(F.lit(self.max_edits), F.floor(length / self.per_edit).cast("int"))
 
-def lines_of(docs: DataFrame, rule: Rule) -> DataFrame:
+
+def lines_of(docs: DataFrame) -> DataFrame:
     """The lines that take part: ``doc_id, text_key, pos, line`` and two numbers of the line."""
     rows = documents_of(docs).select(
         "doc_id", "text_key", F.posexplode(F.split("text", "\n")).alias("pos", "line")
     )
-    return rows.filter(F.char_length("line") >= rule.least).withColumns(
+    return rows.filter(F.btrim("line", F.lit(" \t\x0b\x0c\r")) != "").withColumns(
         {"a": F.xxhash64("line"), "b": F.xxhash64(F.lit(1), "line")}
     )
 
@@ -61,21 +74,38 @@ def _segment(length: Column, n: int, k: int) -> tuple[Column, Column]:
     return begin, base + F.when(F.lit(k) >= F.lit(n) - longer, 1).otherwise(0)
 
 
-def segment_keys(line: Column, max_edits: int) -> list[Column]:
-    """Keys under which a line is indexed (the first ones) and those that it probes."""
-    length, n = F.char_length(line), max_edits + 1
-    own, probes = [], []
-    for shorter in range(max_edits + 1):
+def segment_keys(line: Column, rule: Rule) -> list[Column]:
+    """Keys under which a line is indexed and those that it probes; null where it has fewer.
+
+    A key is that of a segment of a shorter line with one segment more than the edits that this
+    one is allowed.
+    """
+    length, keys = F.char_length(line), []
+    for shorter in range(rule.max_edits + 1):
         other = length - shorter
-        for k in range(n):
-            begin, size = _segment(other, n, k)
-            low = max(-k, shorter - (n - 1 - k))
-            high = min(k, shorter + (n - 1 - k))
-            for shift in range(low, high + 1):
-                text = F.substr(line, begin + shift, size)
-                key = F.xxhash64(other, F.lit(k), text)
-                (own if shorter == 0 and shift == 0 else probes).append(key)
-    return own + probes
+        for edits in range(max(1, shorter), rule.max_edits + 1):
+            n = edits + 1
+            for k in range(n):
+                begin, size = _segment(other, n, k)
+                low = max(-k, shorter - (n - 1 - k))
+                high = min(k, shorter + (n - 1 - k))
+                for shift in range(low, high + 1):
+                    text = F.substr(line, begin + shift, size)
+                    keys.append(F.when(rule.allowed(other) == edits, F.xxhash64(other, F.lit(k), text)))
+    return keys
+
+
+def _blocks(max_edits: int) -> list[int]:
+    """Masks of so many blocks of bits that ``max_edits`` edits leave two of them as they are."""
+    n = 2 * max_edits + 2
+    cuts = [64 * k // n for k in range(n + 1)]
+    return [(1 << b) - (1 << a) for a, b in zip(cuts, cuts[1:])]
+
+
+def _masks(max_edits: int) -> list[Column]:
+    """For each pair of blocks the bits of both."""
+    pairs = (a | b for a, b in combinations(_blocks(max_edits), 2))
+    return [F.lit(m - (1 << 64) if m >> 63 else m).cast("bigint") for m in pairs]
 
 
 def parity(line: Column) -> Column:
@@ -142,28 +172,29 @@ def banded_distance(short: Column, long: Column, band: int) -> Column:
     return F.when(n == 0, m).otherwise(F.aggregate(F.sequence(F.lit(1), n), start, step)["d"])
 
 
-def _maybe(x: Column, y: Column, max_edits: int) -> Column:
+def _maybe(x: Column, y: Column, rule: Rule) -> Column:
     """What two near lines (structs with size and parity) have in common, for next to no work."""
-    return (F.abs(x["size"] - y["size"]) <= max_edits) & (
-        F.bit_count(x["parity"].bitwiseXOR(y["parity"])) <= 2 * max_edits
+    allowed = rule.allowed(F.least(x["size"], y["size"]))
+    return (F.abs(x["size"] - y["size"]) <= allowed) & (
+        F.bit_count(x["parity"].bitwiseXOR(y["parity"])) <= 2 * allowed
     )
 
 
-def _linked(x: Column, y: Column, max_edits: int) -> Column:
+def _linked(x: Column, y: Column, rule: Rule) -> Column:
     """Whether two lines are near, by their distance."""
     swap = x["size"] > y["size"]
     short, long = F.when(swap, y["line"]).otherwise(x["line"]), F.when(swap, x["line"]).otherwise(y["line"])
     both = F.struct(_characters(short).alias("short"), _characters(long).alias("long"))
     # An array of one keeps the characters from being cut again at every step.
-    distance = F.transform(F.array(both), lambda p: banded_distance(p["short"], p["long"], max_edits))[0]
-    return distance <= max_edits
+    distance = F.transform(F.array(both), lambda p: banded_distance(p["short"], p["long"], rule.max_edits))[0]
+    return distance <= rule.allowed(F.least(x["size"], y["size"]))
 
 
 def _classes(docs: DataFrame, rule: Rule) -> DataFrame:
     """One row for each different line: its numbers, first place, number of rows, and keys."""
-    keys = segment_keys(F.col("line"), rule.max_edits)
+    keys = segment_keys(F.col("line"), rule)
     named = {f"k{i}": key for i, key in enumerate(keys)}
-    rows = lines_of(docs, rule).withColumn("place", _place()).select(
+    rows = lines_of(docs).withColumn("place", _place()).select(
         "a", "b", "place", *[c.alias(n) for n, c in named.items()]
     )
     # The keys follow from the line, so that any of them will do; a minimum needs no sorting.
@@ -176,12 +207,44 @@ def _classes(docs: DataFrame, rule: Rule) -> DataFrame:
 
 
 def _met(classes: DataFrame) -> DataFrame:
-    """Pairs (key, line) of the keys that different lines share."""
+    """``key, a, n`` of the keys that different lines share, and how many do.
+
+    What is counted is summed up in the map tasks, and lines find their keys by a join whose
+    partitions can be divided, so that the lines of a key need not meet in one task.
+    """
     keys = [c for c in classes.columns if c[0] == "k"]
-    rows = classes.select("a", F.explode(F.array_distinct(F.array(*keys))).alias("key"))
-    w = Window.partitionBy("key").orderBy("a")
-    near = rows.select("key", "a", F.lag("a").over(w).alias("before"), F.lead("a").over(w).alias("after"))
-    return materialize(near.filter("before != a or after != a").select("key", "a").distinct(), "met")
+    some = F.array_distinct(F.array_compact(F.array(*keys)))
+    rows = classes.select("a", F.explode(some).alias("key"))
+    counted = rows.groupBy("key").agg(F.count("*").alias("n"), F.min("a").alias("low"), F.max("a").alias("high"))
+    shared = materialize(counted.filter("low != high").select("key", "n"), "shared")
+    if shared.count() <= BROADCAST_IDS:
+        shared = F.broadcast(shared)
+    return materialize(rows.join(shared, "key").select("key", "a", "n").distinct(), "met")
+
+
+def _tiled(met: DataFrame, items: DataFrame, rule: Rule) -> DataFrame:
+    """``key, pair, bits, tiles, tile, items``: the lines of each key, or finer key, in tiles."""
+    masks = _masks(rule.max_edits)
+    finer = F.array(
+        *[F.struct(F.lit(k).alias("pair"), F.col("item.parity").bitwiseAND(m).alias("bits")) for k, m in enumerate(masks)]
+    )
+    whole = F.array(F.struct(F.lit(-1).alias("pair"), F.lit(0).cast("bigint").alias("bits")))
+    crowded = F.col("n") > CROWD
+    sub = F.explode(F.when(crowded, finer).otherwise(whole))
+    by = ["key", "pair", "bits"]
+    places = materialize(
+        met.join(items.select("a", F.struct("item.parity").alias("item")), "a")
+        .select("key", "a", sub.alias("sub"))
+        .select("key", "a", "sub.pair", "sub.bits"),
+        "places",
+    )
+    tiles = places.groupBy(*by).agg(F.ceil(F.count("*") / TILE).cast("int").alias("tiles"), F.count("*").alias("held"))
+    dealt = places.join(tiles.filter("held > 1").drop("held"), by).withColumn(
+        "tile", F.pmod(F.xxhash64("a", *by), "tiles").cast("int")
+    )
+    return materialize(
+        dealt.join(items, "a").groupBy(*by, "tiles", "tile").agg(F.collect_list("item").alias("items")), "tiles"
+    )
 
 
 def line_links(docs: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
@@ -190,9 +253,9 @@ def line_links(docs: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
     wanted = met.select("a").distinct()
     if wanted.count() <= BROADCAST_IDS:
         wanted = F.broadcast(wanted)
-    lines = lines_of(docs, rule).join(wanted, "a").withColumn("place", _place())
+    lines = lines_of(docs).join(wanted, "a").withColumn("place", _place())
     items = lines.groupBy("a", "b").agg(F.first("line").alias("line"), F.min("place").alias("first"))
-    keys = F.array_distinct(F.array(*segment_keys(F.col("line"), rule.max_edits)))
+    keys = F.array_distinct(F.array_compact(F.array(*segment_keys(F.col("line"), rule))))
     item = F.struct(
         "a",
         "b",
@@ -202,24 +265,27 @@ def line_links(docs: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
         "first",
         keys.alias("keys"),
     )
-    items = items.select("a", item.alias("item"))
-    tiles = met.groupBy("key").agg(F.ceil(F.count("*") / TILE).cast("int").alias("tiles"))
-    dealt = met.join(tiles, "key").withColumn("tile", F.pmod(F.xxhash64("a", "key"), "tiles").cast("int"))
-    tiled = materialize(
-        dealt.join(items, "a").groupBy("key", "tiles", "tile").agg(F.collect_list("item").alias("items")),
-        "tiles",
-    )
-    alone = tiled.filter("tiles = 1").select("key", "items", F.col("items").alias("others"))
+    items = materialize(items.select("a", item.alias("item")), "items")
+    tiled = _tiled(met, items, rule)
+    by = ["key", "pair", "bits"]
+    alone = tiled.filter("tiles = 1").select("key", "pair", "items", F.col("items").alias("others"))
     many = tiled.filter("tiles > 1")
-    ahead = many.select("key", "items", F.explode(F.expr("sequence(0, tiles - 1)")).alias("tile"))
-    across = ahead.join(many.select("key", "tile", F.col("items").alias("others")), ["key", "tile"])
-    pairs = alone.unionByName(across.select("key", "items", "others"))
+    ahead = many.select(*by, "items", F.explode(F.expr("sequence(0, tiles - 1)")).alias("tile"))
+    across = ahead.join(many.select(*by, "tile", F.col("items").alias("others")), [*by, "tile"])
+    pairs = alone.unionByName(across.select("key", "pair", "items", "others"))
+
+    def first_pair(diff: Column) -> Column:
+        found = F.lit(-1)
+        for k, mask in reversed(list(enumerate(_masks(rule.max_edits)))):
+            found = F.when(diff.bitwiseAND(mask) == 0, F.lit(k)).otherwise(found)
+        return found
 
     def found(x: Column) -> Column:
         def near(y: Column) -> Column:
             other = (x["a"] != y["a"]) | (x["b"] != y["b"])
             smallest = F.array_min(F.array_intersect(x["keys"], y["keys"])) == F.col("key")
-            return _maybe(x, y, rule.max_edits) & other & smallest & _linked(x, y, rule.max_edits)
+            finest = (F.col("pair") < 0) | (first_pair(x["parity"].bitwiseXOR(y["parity"])) == F.col("pair"))
+            return _maybe(x, y, rule) & other & finest & smallest & _linked(x, y, rule)
 
         return F.struct(
             x["a"].alias("a"),
@@ -236,9 +302,9 @@ def line_links(docs: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
 def decide(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     """``doc_id, text_key, pos, first, n_links, kept`` of each line that takes part.
 
-    Lines are what ``\\n`` separates; a null text has none that takes part. ``first`` is the place
-    of the first equal line, in the order of ids (rows without an id last) and positions: the class
-    of the line. ``n_links`` counts the different lines at most ``max_edits`` edits away. A line is
+    Lines are what ``\\n`` separates; those without a word, and null texts, take no part. ``first`` is
+    the place of the first equal line, in the order of ids (rows without an id last) and positions:
+    the class of the line. ``n_links`` counts the different lines that are near by ``rule``. A line is
     kept if it is the first of its class and no near line has its first place before it. Rows that
     agree in id and text share their places, so they are treated alike. An empty table gives no
     rows; other columns are not read.
@@ -253,7 +319,7 @@ def decide(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
         .select("a", "b", "first", F.coalesce("n_links", F.lit(0)).alias("n_links"), "earliest")
     )
     told = materialize(told, "classes")
-    lines = lines_of(docs, rule).select("doc_id", "text_key", "pos", "a", "b", _place().alias("place"))
+    lines = lines_of(docs).select("doc_id", "text_key", "pos", "a", "b", _place().alias("place"))
     first = F.coalesce("first", "place")
     kept = (first == F.col("place")) & (F.col("earliest").isNull() | (F.col("earliest") > F.col("place")))
     return lines.join(told, ["a", "b"], "left").select(

@@ -46,7 +46,7 @@ WITH split AS (
         generate_subscripts(string_split(text, chr(10)), 1) - 1 AS pos
     FROM documents
 ), lines AS (
-    SELECT doc_id, line, pos::INTEGER AS pos FROM split WHERE length(line) >= {rule.least}
+    SELECT doc_id, line, pos::INTEGER AS pos FROM split WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]')
 ), odd AS (
     SELECT DISTINCT unnest(regexp_extract_all(line, '[^\\x00-\\x7F]')) AS letter FROM lines
 ), numbered AS (
@@ -64,7 +64,8 @@ WITH split AS (
 ), links AS (
     SELECT a.line, count(*) AS n_links, min(b.first) AS earliest
     FROM near a JOIN classes b ON b.size = a.other_size
-    WHERE a.line <> b.line AND levenshtein(a.plain, b.plain) <= {rule.max_edits}
+    WHERE a.line <> b.line
+        AND levenshtein(a.plain, b.plain) <= least({rule.max_edits}, least(a.size, b.size) // {rule.per_edit})
     GROUP BY a.line
 )
 SELECT doc_id, pos AS line, c.first.doc AS first_doc, c.first.pos AS first_line,
