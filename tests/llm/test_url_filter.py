@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import random
+
+import duckdb
+from check_oracle import difference
 from conftest_llm import SF
+from pyspark.sql import functions as F
 
-from textpipe.llm import url_filter
+from textpipe.llm.oracle import url_filter_sql
 from textpipe.llm.queries import QUERIES, URL_RULES
-from textpipe.llm.url_filter import Tree, filter_urls, judged
+from textpipe.llm.url_filter import filter_urls, judged
 
 
 def plain_parts(url: str | None) -> tuple[str, str]:
@@ -78,7 +83,7 @@ def test_tree(spark):
     assert got["h.net", "/rare"].template == "h.net/*"
     assert 0.2 < got["other.net", "/shop/1"].purity < 0.8
     # a0 and a1 do not differ in their shares: both have that of all of them.
-    assert got["h.net", "/mix/a0/0"].template.startswith("h.net/mix/a0")
+    assert got["h.net", "/mix/a0/0"].template == "h.net/mix/{a0|a1}/*"
     assert abs(got["h.net", "/mix/a0/0"].purity - got["h.net", "/mix/a1/1"].purity) < 1e-9
 
 
@@ -87,8 +92,52 @@ def test_similar_branches_are_pooled(spark):
     rows += [("h.net", f"/b/{k}", k % 3 == 0 and k > 5) for k in range(90)]
     rows += [("h.net", f"/c/{k}", True) for k in range(90)]
     urls = spark.createDataFrame(rows, "host string, path string, blocked boolean")
-    got = {r.path: r.purity for r in judged(urls, Tree(depth=1)).collect()}
-    assert got["/a/1"] == got["/b/1"] < 0.4 < 0.95 < got["/c/1"]
+    got = {r.path: r.purity for r in judged(urls).collect()}
+    assert got["/a/1"] == got["/b/1"] < 0.45 < 0.95 < got["/c/1"]
+
+
+def test_deep_paths(spark):
+    """What differs in the fifth segment alone is told apart, and so it is in the twelfth."""
+    rows = [("h.net", f"/a/b/c/{w}/{k}", w == "bad") for w in ("bad", "good") for k in range(30)]
+    deep = "/".join(f"s{k}" for k in range(11))
+    rows += [("d.net", f"/{deep}/{w}/x", w == "bad") for w in ("bad", "good") for _ in range(30)]
+    got = {(r.host, r.path): r for r in judged(spark.createDataFrame(rows, "host string, path string, blocked boolean")).collect()}
+    assert got["h.net", "/a/b/c/bad/1"].template == "h.net/a/b/c/bad/*"
+    assert got["h.net", "/a/b/c/bad/1"].purity > 0.9 > 0.1 > got["h.net", "/a/b/c/good/1"].purity
+    assert got["d.net", f"/{deep}/bad/x"].purity > 0.9 > 0.1 > got["d.net", f"/{deep}/good/x"].purity
+
+
+def test_merged_branches_go_on_together(spark):
+    """Under each of ten like branches a segment has four URLs: enough for all of them together."""
+    rows = [("h.net", f"/p{b}/{'bad' if k < 4 else k}/", k < 4) for b in range(10) for k in range(8)]
+    got = {r.path: r for r in judged(spark.createDataFrame(rows, "host string, path string, blocked boolean")).collect()}
+    merged = "{" + "|".join(f"p{b}" for b in range(10)) + "}"
+    assert got["/p3/bad/"].template == f"h.net/{merged}/bad" and got["/p3/bad/"].purity > 0.9
+    assert got["/p3/5/"].template == f"h.net/{merged}/{{4|5|6|7}}" and got["/p3/5/"].purity < 0.1
+
+
+def test_few_urls_are_not_divided(spark):
+    rows = [("h.net", f"/a/{k}/{'z' * k}/y", True) for k in range(4)] + [("m.net", "/*/{x|y}/", False)] * 6
+    got = {r.path: r for r in judged(spark.createDataFrame(rows, "host string, path string, blocked boolean")).collect()}
+    assert {got[f"/a/{k}/{'z' * k}/y"].template for k in range(4)} == {"h.net"}
+    assert got["/*/{x|y}/"].template == r"m.net/\*/\{x\|y\}"
+
+
+def test_same_as_sql_on_deeper_paths(spark, tmp_path):
+    rng = random.Random(4)
+    names = ["a", "b", "c*", "news", "{x", "y|"]
+    urls = [
+        f"http://{rng.choice(['h', 'h', 'h', 'sub.h', 'k'])}.{rng.choice(['com', 'org', 'net'])}/"
+        + "/".join(rng.choice([*names, str(rng.randrange(500))]) for _ in range(rng.randrange(7)))
+        for _ in range(1500)
+    ]
+    urls = [u.replace(".com/a", ".com/fr").replace(".com/b", ".com/de") for u in urls]
+    spark.createDataFrame(list(enumerate(urls)), "page_id bigint, url string").toPandas().to_parquet(tmp_path / "pages.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet'")
+    got = filter_urls(spark.read.parquet(f"{tmp_path}/pages.parquet"), URL_RULES).withColumn("purity", F.round("purity", 6))
+    assert difference(got.toPandas(), con.sql(url_filter_sql(URL_RULES, levels=8)).df()) is None
+    assert got.select("template").distinct().count() > 50
 
 
 def test_odd_rows(spark):

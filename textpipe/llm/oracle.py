@@ -75,8 +75,9 @@ FROM lines l JOIN classes c ON c.line = l.line LEFT JOIN links k ON k.line = l.l
 """
 
 
-def url_filter_sql(rules: list[tuple[str, str, str]], how: Tree = Tree()) -> str:
-    """The tree of templates, one group of tables for each level."""
+def url_filter_sql(rules: list[tuple[str, str, str]], how: Tree = Tree(), levels: int = 4) -> str:
+    """The tree of templates, one group of tables for each level; ``levels`` must be as many as the
+    paths have."""
     upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
     said, found = ["CASE"], ["CASE"]
     for host, path, verdict in sorted(rules, key=lambda r: -len(r[0] + r[1])):
@@ -105,51 +106,64 @@ parts AS (
     SELECT urls.*, host AS node, purity FROM urls JOIN nodes0 ON node = host
 )"""
     ]
-    for k in range(how.depth):
+    for k in range(levels):
         parts.append(
             f"""
-counts{k} AS (
-    SELECT node, segments[{k + 1}] AS segment, count(*) AS urls, count(blocked) AS n,
+totals{k} AS (
+    SELECT node, count(*) AS urls, count(blocked) AS n, count(*) FILTER (blocked) AS block, any_value(purity) AS purity
+    FROM at{k} WHERE len(segments) > {k} GROUP BY node HAVING count(*) >= {how.support}
+), counts{k} AS (
+    SELECT a.node, segments[{k + 1}] AS segment, count(*) AS urls, count(blocked) AS n,
         count(*) FILTER (blocked) AS block
-    FROM at{k} WHERE len(segments) > {k} GROUP BY ALL
-), shares{k} AS (
-    SELECT *, sum(urls) OVER (PARTITION BY node) AS total FROM counts{k}
-), grouped{k} AS (
-    SELECT node, CASE WHEN urls >= {how.support} AND urls >= {how.share} * total THEN segment END AS segment,
-        sum(n) AS n, sum(block) AS block
-    FROM shares{k} GROUP BY ALL
-), judged{k} AS (
-    SELECT *, segment IS NOT NULL AND n > 0 AS judged,
-        CASE WHEN segment IS NOT NULL AND n > 0 THEN block / n END AS rate
-    FROM grouped{k}
+    FROM at{k} a JOIN totals{k} t ON t.node = a.node WHERE len(segments) > {k} GROUP BY a.node, segments[{k + 1}], t.urls
+    HAVING count(*) >= {how.support} AND count(*) >= {how.share} * t.urls
+), rated{k} AS (
+    SELECT *, CASE WHEN n > 0 THEN block / n END AS rate FROM counts{k}
 ), lagged{k} AS (
     SELECT *, lag(rate) OVER w AS last_rate, lag(n) OVER w AS last_n
-    FROM judged{k} WINDOW w AS (PARTITION BY node, judged ORDER BY rate, segment)
+    FROM rated{k} WINDOW w AS (PARTITION BY node, n > 0 ORDER BY rate, segment)
 ), pooled{k} AS (
     SELECT *, (rate * n + last_rate * last_n) / (n + last_n) AS pool FROM lagged{k}
 ), apart{k} AS (
-    SELECT *, CASE WHEN judged AND rate - last_rate
-            > {how.similar} * sqrt(pool * (1 - pool) * (1 / n + 1 / last_n)) THEN 1 ELSE 0 END AS apart
+    SELECT *, CASE WHEN rate - last_rate > {how.similar} * sqrt(pool * (1 - pool) * (1 / n + 1 / last_n))
+        THEN 1 ELSE 0 END AS apart
     FROM pooled{k}
+), numbered{k} AS (
+    SELECT *, CASE WHEN n > 0
+        THEN (sum(apart) OVER (PARTITION BY node, n > 0 ORDER BY rate, segment))::VARCHAR
+        ELSE '/' || segment END AS number
+    FROM apart{k}
 ), sets{k} AS (
-    SELECT *, sum(apart) OVER (PARTITION BY node, judged ORDER BY rate, segment) AS number FROM apart{k}
+    SELECT node, sum(urls) AS urls, sum(n) AS n, sum(block) AS block, list(segment) AS members,
+        string_agg(regexp_replace(segment, '([*{{|}}\\\\])', '\\\\\\1', 'g'), '|'
+            ORDER BY regexp_replace(segment, '([*{{|}}\\\\])', '\\\\\\1', 'g')) AS name
+    FROM numbered{k} GROUP BY node, number
+), taken{k} AS (
+    SELECT node, sum(urls) AS urls, sum(n) AS n, sum(block) AS block FROM sets{k} GROUP BY node
 ), branches{k} AS (
-    SELECT b.node, segment, b.node || '/' || coalesce(segment, '*') AS child,
-        ((CASE WHEN judged THEN sum(block) OVER (PARTITION BY b.node, judged, number) ELSE block END)
-            + {s} * purity)
-        / ((CASE WHEN judged THEN sum(n) OVER (PARTITION BY b.node, judged, number) ELSE n END) + {s})
-            AS child_purity
-    FROM sets{k} b JOIN nodes{k} USING (node)
-), nodes{k + 1} AS (
-    SELECT child AS node, child_purity AS purity FROM branches{k}
+    SELECT node, n, block, members, CASE WHEN len(members) > 1 THEN '{{' || name || '}}' ELSE name END AS name
+    FROM sets{k}
+    UNION ALL
+    SELECT t.node, t.n - coalesce(s.n, 0), t.block - coalesce(s.block, 0), NULL, '*'
+    FROM totals{k} t LEFT JOIN taken{k} s ON s.node = t.node WHERE t.urls > coalesce(s.urls, 0)
+), judged{k} AS (
+    SELECT b.node, members, b.node || '/' || name AS child,
+        (b.block + {s} * t.purity) / (b.n + {s}) AS child_purity
+    FROM branches{k} b JOIN totals{k} t ON t.node = b.node
+), literal{k} AS (
+    SELECT node, unnest(members) AS segment, child, child_purity FROM judged{k} WHERE members IS NOT NULL
+), wild{k} AS (
+    SELECT node, child, child_purity FROM judged{k} WHERE members IS NULL
 ), at{k + 1} AS (
     SELECT a.* EXCLUDE (node, purity),
-        CASE WHEN len(segments) <= {k} THEN a.node ELSE coalesce(l.child, w.child) END AS node,
-        CASE WHEN len(segments) <= {k} THEN a.purity ELSE coalesce(l.child_purity, w.child_purity) END
+        CASE WHEN len(segments) <= {k} THEN a.node ELSE coalesce(l.child, w.child, a.node) END AS node,
+        CASE WHEN len(segments) <= {k} THEN a.purity ELSE coalesce(l.child_purity, w.child_purity, a.purity) END
             AS purity
-    FROM at{k} a
-    LEFT JOIN branches{k} l ON l.node = a.node AND l.segment = a.segments[{k + 1}]
-    LEFT JOIN branches{k} w ON w.node = a.node AND w.segment IS NULL
+    FROM (SELECT * FROM at{k} WHERE len(segments) > {k}) a
+    LEFT JOIN literal{k} l ON l.node = a.node AND l.segment = a.segments[{k + 1}]
+    LEFT JOIN wild{k} w ON w.node = a.node
+    UNION ALL
+    SELECT * EXCLUDE (node, purity), node, purity FROM at{k} WHERE len(segments) <= {k}
 )"""
         )
     return (
@@ -159,7 +173,7 @@ counts{k} AS (
 SELECT page_id, host, path, rule,
     coalesce(said, CASE WHEN purity >= {how.reject} THEN 'block' ELSE 'allow' END) AS verdict,
     node AS template, round(purity, 6) AS purity
-FROM at{how.depth}
+FROM at{levels}
 """
     )
 

@@ -2,13 +2,15 @@
 
 The tree of a host is grown level by level. Below a node, path segments that many of its URLs share
 stay literal; all others are one wildcard. Literal branches whose labelled shares do not differ
-significantly are merged. The purity of a branch is its labelled share of blocked URLs, smoothed
-towards that of its parent; a root is smoothed towards all labelled URLs. A URL goes down the tree
-as far as its path, and is blocked if the template where it ends is pure enough.
-
-A level is two aggregations of URLs by node and segment, summed up in the map tasks, so that a host
-with a third of all URLs is no more work than others. What a level keeps is small by its rule: a
-literal segment has a minimum share of its node. Everything is made of DataFrame functions.
+significantly become one node, whose URLs are counted together from there on. The purity of a branch
+is its labelled share of blocked URLs, smoothed towards that of its parent; a root is smoothed towards
+all labelled URLs. A URL goes down the tree as far as its path, or until too few others go on with
+it, and is blocked if the template where it ends is pure enough.
+
+A level is two aggregations of URLs, by node and by node and segment, summed up in the map tasks, so
+that a host with a third of all URLs is no more work than others. Segments with few URLs never meet:
+the counts of a wildcard are those of its node less those of the literal branches, and of these a
+node has few, since each has a minimum share. Everything is made of DataFrame functions.
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from textpipe.llm.common import materialize
+from textpipe.llm.common import BROADCAST_BYTES, broadcast_if, materialize
 
 # (host, path, verdict)
 Rule = tuple[str, str, str]
@@ -27,11 +29,11 @@ Rule = tuple[str, str, str]
 
 @dataclass(frozen=True)
 class Tree:
-    """``support`` URLs and ``share`` of its node keep a segment literal; ``smoothing`` counts for
-    so many labels; branches within ``similar`` standard errors merge; ``reject`` is the purity
-    from which a template is blocked; ``depth`` levels of the path are looked at."""
+    """``support`` URLs and ``share`` of its node keep a segment literal, and a node of which fewer
+    than ``support`` URLs go on is not divided; ``smoothing`` counts for so many labels; branches
+    within ``similar`` standard errors merge; ``reject`` is the purity from which a template is
+    blocked. All levels of a path are looked at."""
 
-    depth: int = 3
     support: int = 5
     share: float = 0.02
     smoothing: float = 2.0
@@ -71,100 +73,143 @@ def _purity(block: str, n: str, towards: Column, smoothing: float) -> Column:
     return (F.col(block) + smoothing * towards) / (F.col(n) + smoothing)
 
 
-def _branches(urls: DataFrame, nodes: DataFrame, level: int, how: Tree) -> DataFrame:
-    """``node, child, literal, template, purity`` of the branches below the nodes of a level."""
-    segment = F.get("segments", level).alias("segment")
-    counts = urls.select("node", segment, "blocked").filter("segment is not null").groupBy("node", "segment").agg(
-        F.count("*").alias("urls"),
-        F.count("blocked").alias("n"),
-        F.count_if("blocked").alias("block"),
-    )
-    counts = materialize(counts, "segments")
-    totals = counts.groupBy("node").agg(F.sum("urls").alias("total"))
-    literal = (F.col("urls") >= how.support) & (F.col("urls") >= how.share * F.col("total"))
-    branches = (
-        counts.join(totals, "node")
-        .groupBy("node", F.when(literal, F.col("segment")).alias("segment"))
-        .agg(F.sum("n").alias("n"), F.sum("block").alias("block"))
-        .join(nodes, "node")
-    )
-    # Of the literal branches with labels, neighbours by share that do not differ are merged. A
-    # node has at most 1 / share literal branches.
-    one = Window.partitionBy("node", "judged").orderBy("rate", "segment")
+# Characters that stand for something in a template.
+_MARKS = r"([*{|}\\])"
+
+
+def _pooled(literal: DataFrame, how: Tree) -> DataFrame:
+    """The literal branches with ``set``: neighbours by labelled share that do not differ have one.
+
+    A node has at most 1 / share of them, so that a window over a node is small.
+    """
+    one = Window.partitionBy("node").orderBy("rate", "segment")
     rate, n = F.col("rate"), F.col("n")
     last_rate, last_n = F.lag("rate").over(one), F.lag("n").over(one)
     pooled = (rate * n + last_rate * last_n) / (n + last_n)
     error = F.sqrt(pooled * (1 - pooled) * (1 / n + 1 / last_n))
-    apart = F.coalesce((rate - last_rate) > how.similar * error, F.lit(False))
-    merged = (
-        branches.withColumn("judged", F.col("segment").isNotNull() & (F.col("n") > 0))
-        .withColumn("rate", F.when(F.col("judged"), F.col("block") / F.col("n")))
-        .withColumn("apart", F.when(F.col("judged"), apart.cast("int")).otherwise(0))
-        .withColumn("set", F.sum("apart").over(one))
+    apart = F.coalesce(((rate - last_rate) > how.similar * error).cast("int"), F.lit(0))
+    known = literal.filter("n > 0").withColumn("rate", F.col("block") / F.col("n"))
+    numbered = known.withColumn("apart", apart).withColumn("number", F.sum("apart").over(one))
+    known = numbered.select("node", "segment", "urls", "n", "block", F.col("number").cast("string").alias("set"))
+    # Without labels nothing says that branches are alike.
+    unknown = literal.filter("n = 0").select("node", "segment", "urls", "n", "block", F.concat(F.lit("/"), "segment").alias("set"))
+    return known.unionByName(unknown)
+
+
+def _branches(going: DataFrame, level: int, how: Tree) -> DataFrame | None:
+    """``node, segments, child, child_purity`` of the nodes that are divided; the wildcard of a node
+    has no segments. None if no node is."""
+    totals = (
+        going.groupBy("node")
+        .agg(
+            F.count("*").alias("urls"),
+            F.count("blocked").alias("n"),
+            F.count_if("blocked").alias("block"),
+            # One node has one purity.
+            F.min("purity").alias("purity"),
+        )
+        .filter(F.col("urls") >= how.support)
+    )
+    totals = materialize(totals, "nodes")
+    if totals.isEmpty():
+        return None
+    small = broadcast_if(totals, 200)
+    every = small.select("node", F.col("urls").alias("total"))
+    counts = going.groupBy("node", F.get("segments", level).alias("segment")).agg(
+        F.count("*").alias("urls"), F.count("blocked").alias("n"), F.count_if("blocked").alias("block")
     )
-    of_set = Window.partitionBy("node", "judged", "set")
-    pooled_counts = merged.withColumns(
-        {
-            "set_n": F.when(F.col("judged"), F.sum("n").over(of_set)).otherwise(F.col("n")),
-            "set_block": F.when(F.col("judged"), F.sum("block").over(of_set)).otherwise(F.col("block")),
-        }
+    literal = counts.filter(F.col("urls") >= how.support).join(every, "node")
+    literal = literal.filter(F.col("urls") >= how.share * F.col("total")).drop("total")
+    escaped = F.regexp_replace("segment", _MARKS, r"\\$1")
+    sets = _pooled(materialize(literal, "segments"), how).groupBy("node", "set").agg(
+        F.sum("urls").alias("urls"),
+        F.sum("n").alias("n"),
+        F.sum("block").alias("block"),
+        F.sort_array(F.collect_list("segment")).alias("segments"),
+        F.sort_array(F.collect_list(escaped)).alias("names"),
     )
+    sets = materialize(sets.drop("set"), "sets")
+    taken = sets.groupBy("node").agg(*[F.sum(c).alias(f"of_{c}") for c in ("urls", "n", "block")])
+    rest = totals.join(taken, "node", "left")
+    for c in ("urls", "n", "block"):
+        rest = rest.withColumn(c, F.col(c) - F.coalesce(f"of_{c}", F.lit(0)))
+    nothing = F.lit(None).cast("array<string>")
+    wild = rest.filter("urls > 0").select("node", "n", "block", nothing.alias("segments"), F.lit("*").alias("name"))
+    names = F.array_join("names", "|")
+    name = F.when(F.size("segments") > 1, F.concat(F.lit("{"), names, F.lit("}"))).otherwise(names)
+    branches = sets.select("node", "n", "block", "segments", name.alias("name")).unionByName(wild)
     return materialize(
-        pooled_counts.select(
+        branches.join(small.select("node", "purity"), "node").select(
             "node",
-            "segment",
-            F.concat("node", F.lit("/"), F.coalesce("segment", F.lit("*"))).alias("child"),
-            _purity("set_block", "set_n", F.col("purity"), how.smoothing).alias("child_purity"),
+            "segments",
+            F.concat("node", F.lit("/"), "name").alias("child"),
+            _purity("block", "n", F.col("purity"), how.smoothing).alias("child_purity"),
         ),
         "branches",
     )
 
 
-def judged(
-    urls: DataFrame, how: Tree = Tree()
-) -> DataFrame:
+def judged(urls: DataFrame, how: Tree = Tree()) -> DataFrame:
     """``urls`` with ``template`` (host and path template where each URL ends) and ``purity``.
 
     ``urls`` has ``host``, ``path`` and ``blocked``: true or false where a URL is labelled, else
-    null. A ``*`` in a template is a wildcard. Empty segments are passed over, so that a slash at
-    the end makes no difference. Without any label every purity is 0.
+    null. In a template ``*`` is a wildcard and ``{a|b}`` a merged branch; a backslash stands before
+    such characters of a path. Empty segments are passed over, so that a slash at the end makes no
+    difference. Without any label every purity is 0. There are as many rounds as segments in the
+    longest path that ``support`` URLs go along.
     """
+    columns = [c for c in urls.columns if c not in ("template", "purity")]
+    kept = urls.select(*[F.col(c).alias(f"url_{c}") for c in columns], "host", "blocked", "path")
     segments = F.filter(F.split("path", "/"), lambda x: x != "")
-    at = urls.withColumns({"segments": segments, "node": F.col("host")})
     every = urls.agg(F.count_if("blocked").alias("block"), F.count("blocked").alias("n")).select(
         F.when(F.col("n") > 0, F.col("block") / F.col("n")).otherwise(0.0).alias("prior")
     )
     prior = every.first()["prior"]
-    nodes = materialize(
-        urls.groupBy(F.col("host").alias("node"))
-        .agg(F.count("blocked").alias("n"), F.count_if("blocked").alias("block"))
-        .select("node", _purity("block", "n", F.lit(prior), how.smoothing).alias("purity")),
-        "hosts",
+    roots = urls.groupBy(F.col("host").alias("node")).agg(
+        F.count("blocked").alias("n"), F.count_if("blocked").alias("block")
+    )
+    roots = materialize(
+        roots.select("node", _purity("block", "n", F.lit(prior), how.smoothing).alias("purity")), "hosts"
     )
-    at = at.join(nodes, "node", "left")
-    for level in range(how.depth):
-        branches = _branches(at.select("node", "segments", "blocked"), nodes, level, how)
-        literal = branches.filter("segment is not null").select(
-            "node", "segment", F.col("child").alias("named"), F.col("child_purity").alias("named_purity")
+    at = kept.withColumns({"segments": segments, "node": F.col("host")}).drop("host", "path")
+    at = materialize(at.join(broadcast_if(roots, 200), "node"), "urls")
+    done, level = [], 0
+    while True:
+        more = F.size("segments") > level
+        branches = _branches(at.filter(more), level, how)
+        if branches is None:
+            done.append(at)
+            break
+        literal = branches.select(
+            "node", F.explode("segments").alias("segment"), F.col("child").alias("named"), F.col("child_purity").alias("named_purity")
         )
-        wild = branches.filter("segment is null").select(
+        wild = branches.filter("segments is null").select(
             "node", F.col("child").alias("other"), F.col("child_purity").alias("other_purity")
         )
-        here = F.get("segments", level)
+        few = branches.count() * 300 <= BROADCAST_BYTES
+        # A node has at most 1 / share literal segments.
+        literal, wild = (F.broadcast(x) if few else x for x in (literal, wild))
         moved = (
-            at.withColumn("segment", here)
+            at.withColumn("segment", F.get("segments", level))
             .join(literal, ["node", "segment"], "left")
             .join(wild, "node", "left")
         )
-        ends = F.col("segment").isNull()
-        at = moved.select(
-            *urls.columns,
-            "segments",
-            F.when(ends, F.col("node")).otherwise(F.coalesce("named", "other")).alias("node"),
-            F.when(ends, F.col("purity")).otherwise(F.coalesce("named_purity", "other_purity")).alias("purity"),
+        child, purity = F.coalesce("named", "other"), F.coalesce("named_purity", "other_purity")
+        # Nodes without a branch are not divided: their URLs end there.
+        goes = F.col("segment").isNotNull() & child.isNotNull()
+        moved = moved.select(
+            *[c for c in at.columns if c not in ("node", "purity")],
+            F.when(goes, child).otherwise(F.col("node")).alias("node"),
+            F.when(goes, purity).otherwise(F.col("purity")).alias("purity"),
+            goes.alias("goes"),
         )
-        nodes = branches.select(F.col("child").alias("node"), F.col("child_purity").alias("purity"))
-    return at.select(*urls.columns, F.col("node").alias("template"), "purity")
+        moved = materialize(moved, "urls")
+        done.append(moved.filter("not goes").drop("goes"))
+        at, level = moved.filter("goes").drop("goes"), level + 1
+    whole = done[0]
+    for part in done[1:]:
+        whole = whole.unionByName(part)
+    return whole.select(*[F.col(f"url_{c}").alias(c) for c in columns], F.col("node").alias("template"), "purity")
 
 
 def filter_urls(pages: DataFrame, rules: Sequence[Rule], how: Tree = Tree()) -> DataFrame:
