@@ -66,6 +66,8 @@ class PipelineConfig:
     runs_name: str = "runs.parquet"
 
     max_features: int = 5000
+    # Whether a sketch chooses the terms to count; the vocabulary is the same.
+    sketch_vocabulary: bool = False
     stop_words: str | tuple[str, ...] | None = "english"
     test_size: float = 0.2
     seed: int = 42

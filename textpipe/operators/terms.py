@@ -9,10 +9,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 from pyspark.sql.window import Window
 
 from textpipe.functions.text import tokens
-from textpipe.sources.local import broadcast_if_small, measured_bytes
+from textpipe.sources.local import broadcast_if_small, local_table, measured_bytes, small_table
 
 
 def _sorted_tokens(docs: DataFrame, text: str, *keep: str) -> DataFrame:
@@ -59,16 +60,23 @@ def term_frequency(
     )
 
 
-def term_statistics(docs: DataFrame, stop_words: list[str], text: str = "text") -> DataFrame:
-    """``(term, corpus_tf, df)``: occurrences of a term and documents with it, in one pass."""
+def term_statistics(
+    docs: DataFrame, stop_words: list[str], text: str = "text", only: DataFrame | None = None
+) -> DataFrame:
+    """``(term, corpus_tf, df)``: occurrences of a term and documents with it, in one pass.
+
+    ``only`` is a small table of the terms to count, if not all are.
+    """
     occurrences = (
         _sorted_tokens(docs, text)
         .select(F.inline(_neighbours()))
         .filter(F.col("term").isNotNull())
     )
+    kept = _keep_terms(occurrences, stop_words)
+    if only is not None:
+        kept = kept.join(only, "term", "left_semi")
     return (
-        _keep_terms(occurrences, stop_words)
-        .groupBy("term")
+        kept.groupBy("term")
         .agg(
             F.count(F.lit(1)).alias("corpus_tf"),
             F.count_if(F.col("term") != F.col("before")).alias("df"),
@@ -76,6 +84,42 @@ def term_statistics(docs: DataFrame, stop_words: list[str], text: str = "text")
     )
 
 
+def frequent_terms(
+    docs: DataFrame, stop_words: list[str], max_features: int, text: str = "text", tracked: int = 200_000
+) -> DataFrame | None:
+    """What ``top_terms`` of ``term_statistics`` gives, without a shuffle of all terms; or None.
+
+    A sketch of frequent items, merged from those of the tasks, names twice as many candidates as
+    are wanted, and a second pass counts these exactly. Other terms cannot be among the most
+    frequent if the last of these occurs more often than the sketch can be wrong: by its bound of
+    3.5 occurrences for each of the items that it tracks, or by its estimate for the last
+    candidate, which is no lower than the true count. Where that is not so, the answer is None:
+    the terms have to be counted in full. Of equally frequent terms at the cut all must be known,
+    so the last one has to be above the bound.
+    """
+    spark = docs.sparkSession
+    occurrences = _keep_terms(docs.select(F.explode(tokens(text)).alias("term")), stop_words)
+    wanted = min(2 * max_features, tracked)
+    found = occurrences.agg(
+        F.call_function("approx_top_k", F.col("term"), F.lit(wanted), F.lit(tracked)).alias("top"),
+        F.count(F.lit(1)).alias("n"),
+    ).first()
+    if not found.n:
+        return None
+    bound = 3.5 * found.n / tracked
+    if len(found.top) == wanted:
+        bound = max(bound, found.top[-1]["count"])
+    rows = [(item["item"],) for item in found.top]
+    # At most twice as many rows as the vocabulary.
+    candidates = small_table(spark, rows, StructType([StructField("term", StringType())]))
+    counted = term_statistics(docs, stop_words, text, candidates)
+    top = top_terms(counted, max_features).collect()
+    distinct_known = len(found.top) < wanted and found.n <= tracked
+    if not distinct_known and (len(top) < max_features or top[-1].corpus_tf <= bound):
+        return None
+    return local_table(spark, top, counted.schema)
+
+
 def top_terms(statistics: DataFrame, max_features: int) -> DataFrame:
     """The terms that occur most; of equally frequent ones the alphabetically first."""
     return statistics.orderBy(F.desc("corpus_tf"), "term").limit(max_features)

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from textpipe.functions.stopwords import resolve
 from textpipe.functions.text import TOKEN_PATTERN
-from textpipe.operators.terms import index_terms, term_statistics, top_terms
+from textpipe.operators.terms import frequent_terms, index_terms, term_statistics, top_terms
 from textpipe.operators.validate import require_text
 from textpipe.sources.local import broadcast_if_small, local_table, measured_bytes
 
@@ -61,16 +61,23 @@ def fit_vocabulary(
     stop_words: str | Iterable[str] | None = "english",
     text: str = "text",
     n_docs: int | None = None,
+    sketch: bool = False,
 ) -> DataFrame:
     """The vocabulary table of the train documents, with at most ``max_features`` rows.
 
+    With ``sketch`` a sketch of frequent items chooses the terms that are counted: the texts are cut
+    twice, but the terms of the corpus are not shuffled. The table is the same.
+
     The table is fetched and kept as a local relation: whatever joins or reloads it later
     does not count the corpus again.
     """
     require_text(train, text)
     n_docs = train.count() if n_docs is None else n_docs
-    statistics = term_statistics(train, resolve(stop_words), text)
-    vocabulary = weigh_terms(top_terms(statistics, max_features), n_docs)
+    words = resolve(stop_words)
+    top = frequent_terms(train, words, max_features, text) if sketch else None
+    if top is None:
+        top = top_terms(term_statistics(train, words, text), max_features)
+    vocabulary = weigh_terms(top, n_docs)
     rows = vocabulary.collect()
     if not rows:
         raise ValueError("Empty vocabulary: the documents hold only stop words or no tokens")
@@ -104,9 +111,11 @@ def fit_vectorizer(
     stop_words: str | Iterable[str] | None = "english",
     text: str = "text",
     n_docs: int | None = None,
+    sketch: bool = False,
 ) -> Vectorizer:
     """Fit vocabulary and weights on the train documents."""
-    return build_vectorizer(fit_vocabulary(train, max_features, stop_words, text, n_docs), text)
+    vocabulary = fit_vocabulary(train, max_features, stop_words, text, n_docs, sketch)
+    return build_vectorizer(vocabulary, text)
 
 
 def weights_table(vectors: DataFrame, vocabulary: DataFrame, key: str = "doc_id") -> DataFrame:

@@ -173,6 +173,13 @@ ORACLE: dict[str, str] = {
     "corpus_term_count": f"WITH {_TERMS} SELECT term, corpus_tf FROM stats",
     "document_frequency": f"WITH {_TERMS} SELECT term, df FROM stats",
     "vocabulary_topk": f"WITH {_TERMS} SELECT term, corpus_tf FROM top",
+    "vocabulary_sketch": f"""WITH {_TERMS}
+        SELECT term, corpus_tf, df FROM stats ORDER BY corpus_tf DESC, term LIMIT 500""",
+    "resumed_stages": """SELECT change, stage, place >= first_place AS reran
+        FROM (VALUES ('nothing', 9), ('max_iter', 4), ('max_features', 3), ('seed', 2)) AS c(change, first_place),
+            (VALUES ('land', 1), ('prepare', 2), ('featurize', 3), ('train', 4), ('evaluate', 5)) AS s(stage, place)
+        WHERE (SELECT count(*) FROM documents) > 0""",
+    "former_run_kept": f"WITH {_SPLIT} SELECT doc_id, label, split FROM sides",
     "vocabulary_index": f"WITH {_TERMS} SELECT term, idx FROM vocabulary",
     "vocab_join_oov_drop": f"""WITH {_TERMS} SELECT tf.doc_id, tf.term, v.idx, tf.tf
         FROM tf JOIN vocabulary v ON tf.term = v.term WHERE tf.split = 'test'""",
@@ -193,7 +200,7 @@ ORACLE: dict[str, str] = {
         round(recall, 6) AS recall, round(f1_score, 6) AS f1_score,
         CAST(support AS BIGINT) AS support FROM report""",
     "predicted_rows": f"""WITH {_SPLIT}
-        SELECT doc_id, label, TRUE AS known_label FROM sides WHERE split = 'test'""",
+        SELECT doc_id, label, TRUE AS known_label, TRUE AS largest_margin FROM sides WHERE split = 'test'""",
     "train_class_mass": f"WITH {_ALLOCATION} SELECT label, n_train FROM allocation",
     "train_gradient": f"""WITH {_TERMS}
         SELECT label, idx, CAST(0 AS DOUBLE) AS gradient FROM vocabulary CROSS JOIN classes""",

@@ -8,13 +8,15 @@ label 2 is never a true label.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
+from pyspark.ml import PipelineModel
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from textpipe.config import PipelineConfig
+from textpipe.config import STAGES, PipelineConfig
 from textpipe.functions.labels import label_name
 from textpipe.functions.stopwords import ENGLISH
 from textpipe.functions.text import NA_TOKENS, tokens, without_stop_words
@@ -27,7 +29,7 @@ from textpipe.operators.vectorize import (
     weights_table,
 )
 from textpipe.plans import stages
-from textpipe.plans.run import run
+from textpipe.plans.run import resume, run
 from textpipe.sources.corpus import (
     COLUMN_TYPES,
     land_corpus,
@@ -43,6 +45,8 @@ from textpipe.sources.scratch import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 MAX_FEATURES = 5000
+# So many terms are frequent enough in the smaller test tables for a sketch to tell.
+SKETCHED_FEATURES = 500
 
 LANGUAGE_LABEL = "CASE lang WHEN 'en' THEN 0 WHEN 'fr' THEN 1 WHEN 'de' THEN 2 WHEN 'es' THEN 3 END"
 RULE = "CASE WHEN n_chars > 500 THEN 1 WHEN n_chars < 60 THEN 2 ELSE 0 END"
@@ -346,6 +350,15 @@ def vocabulary_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top.select("term", "corpus_tf")
 
 
+def vocabulary_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same vocabulary with candidates from a sketch, or counted in full where it cannot tell."""
+    train = side(spark, sf_dir, "train")
+    found = terms.frequent_terms(train, ENGLISH, SKETCHED_FEATURES)
+    if found is None:
+        found = terms.top_terms(terms.term_statistics(train, ENGLISH), SKETCHED_FEATURES)
+    return found.select("term", "corpus_tf", "df")
+
+
 def vocabulary_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     top = terms.top_terms(_train_statistics(spark, sf_dir), MAX_FEATURES)
     return terms.index_terms(top).select("term", "idx")
@@ -436,36 +449,56 @@ def train_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def predicted_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every test document has a prediction, and it is one of the labels."""
-    predictions = train_predict(spark, sf_dir)
+    """Every test document has a prediction, it is one of the labels, and of all labels it has the
+    largest margin, worked out from coefficients and vectors by joins."""
+    train, test = _vectors(spark, sf_dir)
+    model = classify.train_classifier(train)
+    predictions = classify.predict(model, test).select("doc_id", "label", "prediction")
+    _, _, margins = _margins(model, test)
+    largest = margins.groupBy("doc_id").agg(
+        F.max("m").alias("most"), F.map_from_entries(F.collect_list(F.struct("class", "m"))).alias("of")
+    )
     known = F.coalesce(F.col("prediction").isin([0, 1, 2, 3]), F.lit(False))
-    return predictions.select("doc_id", "label", known.alias("known_label"))
-
+    # Classes are numbered as the labels are. Equal margins differ by their last bits.
+    chosen = F.coalesce(F.try_element_at("of", "prediction") >= F.col("most") - 1e-9, F.lit(False))
+    return predictions.join(largest, "doc_id").select(
+        "doc_id", "label", known.alias("known_label"), chosen.alias("largest_margin")
+    )
 
-def _residuals(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame, int]:
-    """What tells whether a trained model is the optimum, worked out from its coefficients.
 
-    Coefficients ``(class, idx, w)``, entries ``(doc_id, idx, x)`` of the train vectors, and for each
-    document and class ``p`` and ``p - y``; the number of documents.
-    """
-    train, _ = _vectors(spark, sf_dir)
-    model = classify.train_classifier(train).stages[0]
-    n_docs = train.count()
-    matrix = model.coefficientMatrix.toArray().tolist()
+def _margins(model: PipelineModel, vectors: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Coefficients ``(class, idx, w)``, entries ``(doc_id, idx, x)`` of the vectors, and the margin
+    ``m`` of each document and class."""
+    solved = model.stages[0]
+    matrix = solved.coefficientMatrix.toArray().tolist()
     weights = [(c, i, float(w)) for c, row in enumerate(matrix) for i, w in enumerate(row) if w]
     # At most classes times max_features rows.
     coefficients = small_table(
-        spark, weights, T.StructType().add("class", "integer").add("idx", "integer").add("w", "double")
+        vectors.sparkSession,
+        weights,
+        T.StructType().add("class", "integer").add("idx", "integer").add("w", "double"),
     )
-    intercepts = F.lit([float(b) for b in model.interceptVector])
+    intercepts = F.lit([float(b) for b in solved.interceptVector])
     vector = F.unwrap_udt("features")
     pairs = F.arrays_zip(vector["indices"].alias("idx"), vector["values"].alias("x"))
-    entries = train.select("doc_id", F.inline(pairs))
+    entries = vectors.select("doc_id", F.inline(pairs))
     sums = entries.join(coefficients, "idx").groupBy("doc_id", "class").agg(F.sum(F.col("w") * F.col("x")).alias("m"))
-    classes = train.select("doc_id", "label", F.explode(F.lit(list(range(len(matrix))))).alias("class"))
+    classes = vectors.select("doc_id", "label", F.explode(F.lit(list(range(len(matrix))))).alias("class"))
     margins = classes.join(sums, ["doc_id", "class"], "left").select(
         "doc_id", "label", "class", (F.coalesce("m", F.lit(0.0)) + F.get(intercepts, F.col("class"))).alias("m")
     )
+    return coefficients, entries, margins
+
+
+def _residuals(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame, int]:
+    """What tells whether a trained model is the optimum, worked out from its coefficients.
+
+    Coefficients and entries of the train vectors, and for each document and class ``p`` and
+    ``p - y``; the number of documents.
+    """
+    train, _ = _vectors(spark, sf_dir)
+    coefficients, entries, margins = _margins(classify.train_classifier(train), train)
+    n_docs = train.count()
     document = Window.partitionBy("doc_id")
     odds = F.exp(F.col("m") - F.max("m").over(document))
     p = (odds / F.sum(odds).over(document)).alias("p")
@@ -561,6 +594,35 @@ def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def resumed_stages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which stages a resumed run does again after a change of the settings."""
+    cfg = PipelineConfig(base=scratch_path(spark, "run"), max_iter=5)
+    run(spark, corpus(spark, sf_dir), cfg)
+    changes: dict[str, dict] = {
+        "nothing": {}, "max_iter": {"max_iter": 6}, "max_features": {"max_features": 100}, "seed": {"seed": 7},
+    }
+    found = []
+    for name, change in changes.items():
+        cfg, before = replace(cfg, **change), published(spark, cfg).versions
+        resume(spark, cfg)
+        after = published(spark, cfg).versions
+        found += [(name, stage, before[stage] != after[stage]) for stage in STAGES]
+    return spark.createDataFrame(found, "change string, stage string, reran boolean")
+
+
+def former_run_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The split that counts after another run, with another seed, has failed in its third stage."""
+    cfg = PipelineConfig(base=scratch_path(spark, "run"), max_iter=5)
+    run(spark, corpus(spark, sf_dir), cfg)
+    try:
+        run(spark, corpus(spark, sf_dir), replace(cfg, seed=7, min_test_rows=1 << 60))
+    except ValueError:
+        pass
+    path = published(spark, cfg).split_path
+    sides = [read_split(spark, path, name).withColumn("split", F.lit(name)) for name in ("train", "test")]
+    return sides[0].unionByName(sides[1]).select("doc_id", "label", "split")
+
+
 QUERIES: dict[str, Query] = {
     "corpus_scan": corpus_scan,
     "csv_round_trip": csv_round_trip,
@@ -578,6 +640,7 @@ QUERIES: dict[str, Query] = {
     "feature_shape": feature_shape,
     "confusion_counts": _confusion,
     "vocabulary_topk": vocabulary_topk,
+    "vocabulary_sketch": vocabulary_sketch,
     "vocabulary_index": vocabulary_index,
     "report_label_set": report_label_set,
     "split_is_partition": split_is_partition,
@@ -604,4 +667,6 @@ QUERIES: dict[str, Query] = {
     "score_from_artifacts": score_from_artifacts,
     "end_to_end_run": end_to_end_run,
     "run_summary": run_summary,
+    "resumed_stages": resumed_stages,
+    "former_run_kept": former_run_kept,
 }

@@ -102,7 +102,9 @@ def featurize(spark: SparkSession, cfg: PipelineConfig) -> tuple[Vectorizer, Dat
     require_text(test)
     # Counting the rows of a stored table reads the footers of its files.
     n_train, n_test = train.count(), test.count()
-    vectorizer = fit_vectorizer(train, cfg.max_features, cfg.stop_words, n_docs=n_train)
+    vectorizer = fit_vectorizer(
+        train, cfg.max_features, cfg.stop_words, n_docs=n_train, sketch=cfg.sketch_vocabulary
+    )
     vectorizer.save(cfg.vectorizer_path, cfg.vocabulary_path)
     n_terms = vectorizer.n_features
     logger.info(
