@@ -10,7 +10,8 @@ import numpy as np
 import pytest
 
 from textpipe.llm import phrases
-from textpipe.llm.phrases import Filter, Mining, Words, collocations, filter_of, mined
+from textpipe.llm.bloom import Filter, filter_of
+from textpipe.llm.phrases import Mining, Words, collocations, mined
 
 
 def lower(text: str) -> str:

@@ -7,6 +7,7 @@ import hashlib
 import re
 from pathlib import Path
 
+import pytest
 from conftest_llm import SF
 from pyspark.sql import functions as F
 
@@ -89,6 +90,39 @@ def test_hot_payload(spark, tmp_path):
     assert rows_of(warc.deduplicate(pages, str(tmp_path / "a"))) == plain(rows)
 
 
+def test_filter_of_repeated_digests(spark, tmp_path):
+    """More repeated digests than may be broadcast: the same records, and only payloads that repeat
+    are shuffled."""
+    rows = [*ROWS, *[(100 + k, f"own page {k} " * 100) for k in range(200)], *[(400 + k, LONG + str(k // 3)) for k in range(90)]]
+    pages = spark.createDataFrame([(i, f"http://h/{i}", h) for i, h in rows], "page_id bigint, url string, html string")
+    records = warc.records_of(pages)
+    found = warc.resolved(records, broadcast_bytes=0)
+    warc.write_archives(found, str(tmp_path / "a"))
+    assert rows_of(warc.read_archives(spark, str(tmp_path / "a"))) == plain(rows)
+    full = warc.read_archives(spark, str(tmp_path / "a"), with_payload=True)
+    assert sorted((r.page_id or 0, r.payload) for r in full.collect()) == sorted((i or 0, h or "") for i, h in rows)
+    first = found._jdf.queryExecution().optimizedPlan().toString()
+    assert first.count("Join LeftSemi") == 1 and "Join Inner" not in first
+
+
+def test_text_ids(spark, tmp_path):
+    rows = [("a b", LONG), ("é:\r\nx", LONG), ("b", "short"), (None, None)]
+    pages = spark.createDataFrame([(i, "u", h) for i, h in rows], "page_id string, url string, html string")
+    assert rows_of(warc.deduplicate(pages, str(tmp_path / "a"))) == plain(rows)
+
+
+def test_stream_of_parts():
+    """Blocks with record ends inside and at their ends, and no line break too many or few."""
+    blocks = [b"", b"a", b"x\r\n", b"\r\n\r\n", b"\r\n\r\n\r\n\r", b"WARC/1.1\r\n\r\n", b"\r\n\r\nb" * 50]
+    whole = b"".join(b"WARC/1.1\r\nContent-Length: %d\r\n\r\n" % len(b) + b + b"\r\n\r\n" for b in blocks)
+    parts = whole.split(b"\r\n\r\n")
+    assert [b for _, b in warc._parsed(iter(parts[:-1] if not parts[-1] else parts))] == blocks
+    with pytest.raises(ValueError, match="ends within"):
+        list(warc._parsed(iter([b"WARC/1.1\r\nContent-Length: 50", b"short"])))
+    with pytest.raises(ValueError, match="Not the start"):
+        list(warc._parsed(iter([b"HTTP/1.1"])))
+
+
 def test_odd_rows(spark, tmp_path):
     pages = spark.createDataFrame(
         [(1, None, LONG, "a", 1), (1, None, LONG, "a", 1), (2, "u", None, None, 2)],
