@@ -146,6 +146,41 @@ def test_short_items_and_blocks(spark, monkeypatch):
     assert decontaminate.clean(docs, items.limit(0)).count() == 4
 
 
+def test_items_that_begin_alike():
+    """The beginning that many items share finds none of them; what follows finds each, edited too."""
+    rng = random.Random(5)
+    words = ["".join(rng.choice("etaoinshrdlu") for _ in range(rng.randrange(2, 9))) for _ in range(3000)]
+    text = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    stem = text(14)
+    items = [(k, f"{stem} {text(45)}") for k in range(600)]
+    index = decontaminate.Index(items, Search())
+    begun = [f"{text(20)} {stem} {text(25)}" for _ in range(20)]
+    symbols, starts = (lambda c: (decontaminate._symbols(c), decontaminate.word_starts(c)))(
+        decontaminate.code_points(begun, 41)[0]
+    )
+    assert len(list(index.hits(symbols, starts))) < 200 and not list(decontaminate.search(index, begun))
+    held = [f"{text(10)} {edited(items[k][1], len(items[k][1]) // 10, rng)} {text(10)}" for k in range(150)]
+    found = {(d, item) for d, item, _, _ in decontaminate.search(index, held)}
+    truth = {k for k in range(150) if substring_distance(normal(items[k][1]), normal(held[k])) <= index.limits[k]}
+    assert len(truth) > 100 and sum((k, k) in found for k in truth) >= 0.99 * len(truth)
+
+
+def test_many_items_that_are_alike():
+    """Items that differ in a few places: their common windows have to serve, and all are found."""
+    rng = random.Random(6)
+    words = ["".join(rng.choice("etaoinshrdlu") for _ in range(rng.randrange(2, 9))) for _ in range(300)]
+    base = " ".join(rng.choice(words) for _ in range(40))
+    items = [(k, edited(base, 6, rng)) for k in range(60)]
+    index = decontaminate.Index(items, Search())
+    text = f"some words before {base} and some after"
+    expected = {
+        (k, substring_distance(normal(t), normal(text))) for k, t in items
+        if substring_distance(normal(t), normal(text)) <= index.limits[k]
+    }
+    assert len(expected) > 50
+    assert {(item, d) for _, item, d, _ in decontaminate.search(index, [text])} == expected
+
+
 def test_odd_rows(spark, odd):
     items = spark.createDataFrame(
         [(1, "word5 word6 word7 word8 word9 word10 word11 word12 word13 word14 word15")], "item_id bigint, text string"

@@ -13,6 +13,11 @@ edit can only spoil the windows that begin shortly before it. Each walk and samp
 repetition; ``repetitions`` and ``samples`` set the recall. A window of the search is given up as
 soon as no window of the index begins with what it has written.
 
+Windows that many items have, such as the beginning that the questions of a benchmark share, say little:
+an item is looked up by its rarer windows, if it has enough of them, so that a document with such a
+beginning does not meet all of these items. Of many items that a document meets all the same, those
+go on of whose short substrings the document has as many as the allowed edits leave.
+
 Items with few windows would often lose all of them to edits. They are cut into one segment more
 than the edits they are allowed, so that one at least is in the document as it is: none is lost.
 
@@ -26,25 +31,28 @@ bounded by ``BLOCK_CHARACTERS`` and sent to every task. Only hits leave the map
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 from functools import partial, reduce
 
 import ahocorasick
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from textpipe.llm.common import chunks, code_points, documents_of
+from textpipe.llm.common import chunks, code_points, documents_of, give_back
 
 BLOCK_CHARACTERS = 2_000_000
 _CHARACTERS_AT_ONCE = 1 << 20
 _WINDOWS_AT_ONCE = 1 << 16
 _FILTER_BITS = 22
+# From so many items on a window is common; an item needs so many rarer ones to do without it.
+_COMMON, _ENOUGH = 16, 24
+# From so many items on they are sifted all at once.
+_MANY = 16
 # After how many samples a window of the search may be given up, and bits of these filters.
 _SIEVES = (4, 6, 8)
 _SIEVE_BITS = 18
@@ -194,12 +202,42 @@ class Index:
         self.begun: dict[tuple[int, int], np.ndarray] = {}
         keys = np.concatenate([self.walks.keys(symbols, at, r, self._begin)[0] for r in range(how.repetitions)])
         entry = np.tile(np.arange(len(at)), how.repetitions)
+        told = self._told(keys, owner[entry], len(items))
+        keys, entry = keys[told], entry[told]
         order = np.argsort(keys, kind="stable")
         self.keys, entry = keys[order], entry[order]
         self.item, self.offset = owner[entry], (at - begin[owner])[entry]
+        self.all_grams = np.concatenate([*self.grams, np.zeros(0, dtype=np.uint32)])
+        sizes = np.array([len(g) for g in self.grams], dtype=np.int64)
+        self.gram_sizes, self.gram_begin = sizes, np.cumsum(sizes) - sizes
         self.filter = np.zeros(1 << _FILTER_BITS, dtype=bool)
         self.filter[self.keys >> np.uint64(64 - _FILTER_BITS)] = True
 
+    def _told(self, keys: np.ndarray, item: np.ndarray, n_items: int) -> np.ndarray:
+        """The windows by which items are looked up: rare ones, or all of an item with few of these."""
+        order = np.lexsort((item, keys))
+        k, i = keys[order], item[order]
+        new_key = np.concatenate((np.ones(min(len(k), 1), dtype=bool), k[1:] != k[:-1]))
+        new_item = new_key.copy()
+        new_item[1:] |= i[1:] != i[:-1]
+        group = np.cumsum(new_key) - 1
+        shared = np.bincount(group, new_item, minlength=1)[group]
+        rare = np.empty(len(keys), dtype=bool)
+        rare[order] = shared < _COMMON
+        enough = np.bincount(item[rare], minlength=n_items) >= _ENOUGH * self.how.repetitions
+        return rare | ~enough[item]
+
+    def _likely(self, codes: np.ndarray, items: np.ndarray) -> np.ndarray:
+        """Those of the items that the text has enough short substrings of."""
+        there = np.zeros(1 << 16, dtype=bool)
+        there[_grams(codes)] = True
+        sizes = self.gram_sizes[items]
+        ends = np.cumsum(sizes)
+        at = np.repeat(self.gram_begin[items] - (ends - sizes), sizes) + np.arange(ends[-1])
+        found = np.concatenate(([0], np.cumsum(there[self.all_grams[at]])))
+        needed = np.array([self.needed[k] for k in items])
+        return items[found[ends] - found[ends - sizes] >= needed]
+
     def _begin(self, repetition: int, taken: int, keys: np.ndarray) -> np.ndarray:
         """Note how windows of the index begin; all of them go on."""
         begun = self.begun.setdefault((repetition, taken), np.zeros(1 << _SIEVE_BITS, dtype=bool))
@@ -260,6 +298,9 @@ class Index:
         self, codes: np.ndarray, first: int, last: int, guesses: dict[int, list[int]]
     ) -> Iterator[tuple[int, int, int]]:
         """(item, distance, place of its end) of the items that the text really contains."""
+        if len(guesses) >= _MANY:
+            likely = self._likely(codes[first:last], np.array(sorted(guesses)))
+            guesses = {k: guesses[k] for k in likely.tolist()}
         for item, places in guesses.items():
             text, limit = self.texts[item], self.limits[item]
             places = sorted(places)
@@ -312,7 +353,7 @@ def _search(index: Index, texts: list[str]) -> Iterator[tuple[int, int, int, int
             yield owner, item, 0, end
 
 
-def search(index: Index, texts: list[str]) -> Iterator[tuple[int, int, int, int]]:
+def search(index: Index, texts: Iterable) -> Iterator[tuple[int, int, int, int]]:
     """(text, item_id, distance, place of the end), some texts at a time."""
     for first, part in chunks(texts, _CHARACTERS_AT_ONCE):
         for owner, item, distance, end in _search(index, part):
@@ -361,7 +402,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, how: Search = Search()) -> Da
         def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             index = block()
             for batch in rows:
-                hits = list(search(index, batch.column("text").to_pylist()))
+                hits = list(search(index, batch.column("text")))
                 owner, item, distance, end = (list(c) for c in zip(*hits)) if hits else ([],) * 4
                 at = pa.array(owner, pa.int64())
                 yield pa.record_batch(
@@ -373,6 +414,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, how: Search = Search()) -> Da
                         "end_char": pa.array(end, pa.int64()),
                     }
                 )
+            give_back()
 
         return batches
 
@@ -389,12 +431,13 @@ def clean(docs: DataFrame, benchmark: DataFrame, how: Search = Search()) -> Data
 
 
 def _contains(block: Callable[[], Index]):
-    @F.pandas_udf("boolean")
-    def contains(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("boolean")
+    def contains(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         index = block()
         for texts in batches:
             held = np.zeros(len(texts), dtype=bool)
-            held[[hit[0] for hit in search(index, texts.tolist())]] = True
-            yield pd.Series(held)
+            held[[hit[0] for hit in search(index, texts)]] = True
+            yield pa.array(held)
+        give_back()
 
     return contains
