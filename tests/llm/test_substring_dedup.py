@@ -58,9 +58,6 @@ def test_passages_are_found_in_differing_contexts(spark):
             words, other, third = (rng.choice(texts) for _ in range(3))
             at = rng.randrange(len(words) - 51)
             passage = words[at : at + 51]
-            # Three sentences of one or two words are no run, by the rule of ten words.
-            if sum(x[-1] in ".!?" for x in passage) > 10:
-                continue
             contexts = [" ".join([*c[:n], *passage, *c[n : n + 30]]) for c, n in ((other, rng.randrange(30)), (third, rng.randrange(30)))]
             # Runs of the passage itself, so that what the contexts share does not count.
             inside = set(runs([" ".join(passage)])[2].tolist())
@@ -81,14 +78,17 @@ def brute(texts: dict[int, str], how: Spans) -> dict[int, str]:
         s = sentences([texts[i]], how)
         parts = [texts[i][a:b] for a, b in zip(s.begin, s.end)]
         gone = set()
-        for k in range(max(1, len(parts) - how.span + 1) if parts else 0):
-            words = [w for p in parts[k : k + how.span] for w in p.lower().split()]
-            if len(words) < how.least:
+        words = [tuple(p.lower().split()) for p in parts]
+        for k in range(len(parts)):
+            end = k + how.span
+            while sum(map(len, words[k:end])) < how.least and end < len(parts):
+                end += 1
+            if sum(map(len, words[k:end])) < how.least or (end > len(parts) and k):
                 continue
             # Sentences are compared one by one, as they are hashed.
-            run = tuple(tuple(p.lower().split()) for p in parts[k : k + how.span])
+            run = tuple(words[k:end])
             if run in seen:
-                gone |= set(range(k, min(k + how.span, len(parts))))
+                gone |= set(range(k, min(end, len(parts))))
             seen.add(run)
         out[i] = "".join(p for k, p in enumerate(parts) if k not in gone) if parts else texts[i]
     return out
@@ -108,6 +108,23 @@ def test_query_against_brute_force(spark):
         assert "".join([*left, text[done:]]) == r.text
 
 
+def test_short_sentences(spark):
+    """Passages of sentences with one or two words, which three sentences do not make long enough."""
+    steps = "Go on. Stop. Turn left. Wait. Look up. Breathe. Sit. Stand up. Run. Walk. Jump high. Rest."
+    docs = [(1, f"One text begins here. {steps} Then it goes on."), (2, f"Another one starts. {steps} It ends otherwise.")]
+    got = {r.doc_id: r.text for r in substring_dedup.deduplicate(spark.createDataFrame(docs, "doc_id int, text string")).collect()}
+    # A run that has ten words only with what follows the passage is not the same in both.
+    assert got == {1: docs[0][1], 2: "Another one starts. Rest. It ends otherwise."}
+    assert got == brute(dict(docs), Spans())
+
+
+def test_text_ids(spark, odd):
+    named = odd.withColumn("doc_id", F.concat(F.lit("id "), F.col("doc_id").cast("string")))
+    by_number = {r.doc_id: r.text for r in substring_dedup.deduplicate(odd, Spans(least=3)).filter("doc_id > 1").collect()}
+    by_text = {r.doc_id: r.text for r in substring_dedup.deduplicate(named, Spans(least=3)).collect()}
+    assert {f"id {i}": t for i, t in by_number.items()}.items() <= by_text.items()
+
+
 def test_odd_rows(spark, odd):
     got = substring_dedup.deduplicate(odd, Spans(least=3))
     assert got.columns == [*odd.columns, "n_sentences", "n_removed", "removed"]

@@ -3,7 +3,7 @@
 A text is cut into sentences; a long one is cut again before the word of the least hash of every
 few words in a row. So no piece is long, and a passage is cut alike wherever it stands: from the
 least of its first few words to the least of its last. Every run of ``span`` sentences has a 128-bit hash of its
-lower-case words. A run that occurs in several documents is kept in the one with the smallest id;
+lower-case words; where they have few words, a run has more. A run that occurs in several documents is kept in the one with the smallest id;
 within a document its first place counts. Sentences that any other occurrence covers are removed.
 
 Map tasks give each different run of a document once. Runs are summed up by hash before they are
@@ -21,6 +21,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from textpipe.llm.common import (
     chunks,
@@ -40,8 +41,9 @@ _APART = 4
 
 @dataclass(frozen=True)
 class Spans:
-    """Runs of ``span`` sentences with ``least`` words or more; a sentence of more than ``longest``
-    words is cut before the word of the least hash of every ``within`` words in a row."""
+    """Runs of ``span`` sentences, and of as many more as it takes for ``least`` words; a sentence of
+    more than ``longest`` words is cut before the word of the least hash of every ``within`` words in
+    a row."""
 
     span: int = 3
     least: int = 10
@@ -145,24 +147,34 @@ def sentences(texts: list[str], how: Spans = Spans()) -> Sentences:
     return Sentences(mine, begin - text_begins[mine], end - text_begins[mine], words, tuple(hashes))
 
 
+def _extents(s: Sentences, n_texts: int, how: Spans) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each sentence its place in its text, the sentences of the run that it begins, and whether
+    there is one."""
+    every = np.arange(len(s.owner))
+    bounds = np.searchsorted(s.owner, np.arange(n_texts + 1))
+    place, last = every - bounds[s.owner], bounds[s.owner + 1]
+    words = np.concatenate(([0], np.cumsum(s.words)))
+    end = np.maximum(every + how.span, np.searchsorted(words, words[:-1] + how.least))
+    # A text with fewer sentences than a run is one run.
+    there = (end <= last) | (place == 0)
+    end = np.minimum(end, last)
+    return place, end - every, there & (words[end] - words[:-1] >= how.least)
+
+
 def runs(texts: list[str], how: Spans = Spans()) -> tuple[np.ndarray, ...]:
     """Text, number of the first sentence, two hashes, and whether the text had the run before.
 
     A text with fewer sentences than a run has one run of all of them.
     """
     s = sentences(texts, how)
-    n = len(s.owner)
-    bounds = np.searchsorted(s.owner, np.arange(len(texts) + 1))
-    place = np.arange(n) - bounds[s.owner]
-    left = bounds[s.owner + 1] - np.arange(n)
-    words = np.zeros(n, dtype=np.int64)
-    hashes = [np.zeros(n, dtype=np.uint64) for _ in s.hashes]
-    for k in range(how.span):
-        there = np.flatnonzero(left > k)
-        words[there] += s.words[there + k]
+    place, size, there = _extents(s, len(texts), how)
+    hashes = [np.zeros(len(place), dtype=np.uint64) for _ in s.hashes]
+    most = max(how.span, how.least)
+    for k in range(int(size.max(initial=0))):
+        more = np.flatnonzero(size > k)
         for half, (total, one) in enumerate(zip(hashes, s.hashes)):
-            total[there] += one[there + k] * _powers(half + 5, how.span)[k]
-    use = np.flatnonzero(((left >= how.span) | (place == 0)) & (words >= how.least))
+            total[more] += one[more + k] * _powers(half + 5, most)[k]
+    use = np.flatnonzero(there)
     owner, at, (a, b) = s.owner[use], place[use], (finished(h[use]).view(np.int64) for h in hashes)
     order = np.lexsort((at, b, a, owner))
     same = np.ones(len(order), dtype=bool)
@@ -202,7 +214,11 @@ def _runs(docs: DataFrame, how: Spans) -> DataFrame:
 
 def covered(docs: DataFrame, how: Spans = Spans()) -> DataFrame:
     """``doc_id, text_key, at`` of the runs that are not the first of their kind."""
-    last = F.coalesce(F.col("doc_id").cast("bigint"), F.lit((1 << 63) - 1)).alias("id")
+    # Without an id last. Numbers are summed up faster than structs are.
+    if isinstance(docs.schema["doc_id"].dataType, IntegralType):
+        last = F.coalesce(F.col("doc_id").cast("bigint"), F.lit((1 << 63) - 1)).alias("id")
+    else:
+        last = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id").alias("id")
     runs = _runs(docs, how).select("doc_id", "text_key", last, "at", "a", "b", "again")
     held = runs.groupBy("a", "b").agg(F.min("id").alias("first"), F.max("id").alias("last"))
     shared = materialize(held.filter("first < last").select("a", "b", "first"), "shared")
@@ -216,6 +232,7 @@ def _cut(texts: list[str | None], places: list, how: Spans) -> Iterator[tuple]:
     whole = [t or "" for t in texts]
     for first, part in chunks(whole, _CHARACTERS_AT_ONCE):
         s = sentences(part, how)
+        size = _extents(s, len(part), how)[1]
         bounds = np.searchsorted(s.owner, np.arange(len(part) + 1)).tolist()
         for k, (a, b) in enumerate(zip(bounds, bounds[1:]), first):
             at = places[k]
@@ -223,8 +240,8 @@ def _cut(texts: list[str | None], places: list, how: Spans) -> Iterator[tuple]:
                 yield texts[k], b - a, 0, []
                 continue
             gone = np.zeros(b - a, dtype=bool)
-            for i in range(how.span):
-                gone[np.minimum(np.asarray(at) + i, b - a - 1)] = True
+            for i in at:
+                gone[i : i + size[a + i]] = True
             edges = np.flatnonzero(np.diff(gone, prepend=False, append=False)).reshape(-1, 2)
             stretches = [[int(s.begin[a + x]), int(s.end[a + y - 1])] for x, y in edges]
             kept, done = [], 0
