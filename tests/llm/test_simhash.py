@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from itertools import combinations
+
 import numpy as np
+import pytest
 from conftest_llm import brute_components
 from xxhash import xxh64_intdigest
 
@@ -86,3 +89,35 @@ def test_odd_rows(spark, odd):
     assert [i for i, _ in ids] == [-1, 1, 1, 2, 5, 8, 9]
     none = odd.limit(0)
     assert simhash.near_duplicates(none).count() == simhash.keep_one(none).count() == 0
+
+
+def test_more_blocks_for_more_fingerprints():
+    """What meets by chance does not grow with the number of fingerprints."""
+    for max_bits in (1, 3, 4, 8):
+        agree = [simhash.untouched_blocks(10**k, max_bits) for k in range(2, 13)]
+        assert agree == sorted(agree) and agree[0] == 2 and agree[-1] <= 12
+        keys = [len(list(combinations(range(max_bits + a), a))) * 10**k / 2 ** (64 * a // (max_bits + a)) for k, a in zip(range(2, 13), agree)]
+        assert max(keys) <= simhash.MET_BY_CHANCE or agree[-1] == 12
+    rng = np.random.default_rng(5)
+    fps = rng.integers(1 << 64, size=3000, dtype=np.uint64)
+    met = {}
+    for agree in (2, 3, 4):
+        keys = simhash.coordinate_keys(fps, 4, 24, agree)
+        met[agree] = sum(len(fps) - len(np.unique(k)) for k in keys.T)
+    assert met[4] <= met[3] < 10 < met[2]
+
+
+@pytest.mark.parametrize("agree", [2, 3, 5])
+def test_links_whatever_the_blocks(spark, monkeypatch, agree):
+    monkeypatch.setattr(simhash, "untouched_blocks", lambda n, max_bits: agree)
+    rng = np.random.default_rng(agree)
+    base = rng.integers(1 << 64, size=40, dtype=np.uint64)
+    fps = np.unique(np.concatenate([base, *[base ^ (np.uint64(1) << rng.integers(64, size=40, dtype=np.uint64)) for _ in range(5)]]))
+    for _ in range(2):
+        fps = np.unique(np.concatenate([fps, fps[::3] ^ (np.uint64(1) << rng.integers(64, size=len(fps[::3]), dtype=np.uint64))]))
+    nodes = spark.createDataFrame([(int(x),) for x in fps.view(np.int64)], "fp bigint")
+    roots = {r.node: r.root for r in simhash.connected_components(simhash.links(nodes)).collect()}
+    signed = fps.view(np.int64).tolist()
+    near = np.bitwise_count(fps[:, None] ^ fps[None, :]) <= 4
+    expected = brute_components(signed, near)
+    assert {x: roots.get(x, x) for x in signed} == expected

@@ -49,7 +49,7 @@ def test_log_count_ratios():
     import pandas as pd
 
     counts = pd.DataFrame({"bucket": [1, 2, 3], "clean": [90, 10, 50], "toxic": [0, 40, 25]})
-    buckets, ratios = toxicity._clearest(counts, 100, 50)
+    buckets, ratios = toxicity._clearest(counts, 100, 50, 1024)
     expected = {
         b: math.log(((t + 1) / (65 + 3)) / ((c + 1) / (150 + 3)))
         for b, c, t in zip((1, 2, 3), (90, 10, 50), (0, 40, 25))
@@ -106,3 +106,15 @@ def test_odd_rows(spark, odd):
     nothing = toxicity.fit(odd.limit(0), labels.limit(0))
     assert odd.filter(nothing.score() < 0.5).count() == odd.count()
     assert odd.limit(0).filter(model.score() < 0.5).count() == 0
+
+
+def test_sample_is_bounded(spark):
+    """The bound holds for rows, also where ids or whole rows repeat."""
+    rows = [(1, f"text {k % 50} of one id") for k in range(400)] + [(k, f"own text {k}") for k in range(2, 40)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    labels = docs.select("doc_id").distinct().selectExpr("doc_id", "cast(doc_id % 2 as int) toxic")
+    sample, totals = toxicity._sample(docs, labels, 10)
+    assert {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()} == {0: 10, 1: 10}
+    assert totals == {0: 19, 1: 419}
+    whole, _ = toxicity._sample(docs, labels, 1000)
+    assert {r["toxic"]: r["count"] for r in whole.groupBy("toxic").count().collect()} == {0: 19, 1: 69}

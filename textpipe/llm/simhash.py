@@ -1,10 +1,11 @@
 """SimHash near-duplicates, found through tables of distances to reference fingerprints.
 
-A fingerprint is cut into six blocks of bits. For each block the distances to a set of reference
+A fingerprint is cut into blocks of bits. For each block the distances to a set of reference
 fingerprints (the pivots) form a row of coordinates. By the triangle inequality no coordinate can
-differ by more than the distance itself. Four differing bits leave two of six blocks untouched, so
-linked fingerprints share the whole coordinate rows of two blocks at least: these rows are what
-is joined. A pair that met goes on if over all blocks its coordinates differ by at most four at
+differ by more than the distance itself. Four differing bits leave two of six blocks untouched (three
+of seven, and so on), so linked fingerprints share the whole coordinate rows of so many blocks at
+least: these rows are what is joined. The more fingerprints there are, the more blocks have to
+agree, so that the pairs which meet by chance do not grow faster than the fingerprints. A pair that met goes on if over all blocks its coordinates differ by at most four at
 every pivot, and the survivors are verified bit by bit. Nothing is lost on the way, for any data.
 
 Equal fingerprints are one node from the start. Where many fingerprints meet, they are cut into
@@ -16,6 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from itertools import combinations
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +33,8 @@ MAX_BITS = 4
 SEED = 42
 PIVOTS = 24
 TILE = 256
+# Pairs of a fingerprint that may meet without being near, on average.
+MET_BY_CHANCE = 2.0
 _SHINGLES_AT_ONCE = 1 << 16
 _PAIRS_AT_ONCE = 1 << 20
 
@@ -72,42 +76,57 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE_WORDS) -> DataFrame:
     return rows.mapInArrow(batches, f"doc_id {kind}, text_key bigint, fp bigint")
 
 
-def blocks(max_bits: int) -> list[int]:
-    """Masks of ``max_bits + 2`` blocks, so that two are untouched by ``max_bits`` bits."""
-    cuts = np.linspace(0, 64, max_bits + 3).round().astype(int)
+def blocks(max_bits: int, untouched: int = 2) -> list[int]:
+    """Masks of so many blocks that ``untouched`` ones are left by ``max_bits`` bits."""
+    cuts = np.linspace(0, 64, max_bits + untouched + 1).round().astype(int)
     return [(1 << int(b)) - (1 << int(a)) for a, b in zip(cuts, cuts[1:])]
 
 
+def untouched_blocks(n: int, max_bits: int) -> int:
+    """How many blocks have to agree for ``MET_BY_CHANCE`` pairs at most for each of ``n`` fingerprints."""
+    agree = 2
+    while agree < 12:
+        keys, bits = comb(max_bits + agree, agree), 64 * agree // (max_bits + agree)
+        if keys * n <= MET_BY_CHANCE * 2.0**bits:
+            break
+        agree += 1
+    return agree
+
+
 def pivots(n: int = PIVOTS) -> list[int]:
     """Reference fingerprints: hashes of 0, 1, 2, ..."""
     return [xxh64_intdigest(b"%d" % k, SEED) for k in range(n)]
 
 
-def coordinate_keys(fps: np.ndarray, max_bits: int = MAX_BITS, n_pivots: int = PIVOTS) -> np.ndarray:
-    """For each fingerprint a row with one number for each pair of blocks.
+def coordinate_keys(
+    fps: np.ndarray, max_bits: int = MAX_BITS, n_pivots: int = PIVOTS, untouched: int = 2
+) -> np.ndarray:
+    """For each fingerprint a row with one number for each choice of ``untouched`` blocks.
 
-    It is equal wherever the coordinates of both blocks are: the distances within the block to
+    It is equal wherever the coordinates of these blocks are: the distances within a block to
     every pivot, summed up with odd multipliers.
     """
     reference = np.array(pivots(n_pivots), dtype=np.uint64)
     weights = np.array([xxh64_intdigest(b"weight %d" % k, SEED) | 1 for k in range(n_pivots)], np.uint64)
     rows = []
-    for mask in map(np.uint64, blocks(max_bits)):
+    for mask in map(np.uint64, blocks(max_bits, untouched)):
         distances = np.bitwise_count((fps & mask)[:, None] ^ (reference & mask)[None, :])
         rows.append((distances.astype(np.uint64) * weights).sum(axis=1, dtype=np.uint64))
-    keys = [
-        (rows[a] * np.uint64(2 * k + 3) ^ (rows[b] >> np.uint64(7)) ^ (rows[b] << np.uint64(57)))
-        * np.uint64(xxh64_intdigest(b"pair %d" % k, SEED) | 1)
-        for k, (a, b) in enumerate(combinations(range(len(rows)), 2))
-    ]
+    keys = []
+    for k, chosen in enumerate(combinations(rows, untouched)):
+        key = np.full(len(fps), xxh64_intdigest(b"choice %d" % k, SEED), dtype=np.uint64)
+        for row in chosen:
+            key = (key ^ row) * np.uint64(0x9E3779B97F4A7C15)
+            key ^= key >> np.uint64(29)
+        keys.append(key)
     return np.stack(keys, axis=1).view(np.int64)
 
 
-def _keyed(max_bits: int, n_pivots: int):
+def _keyed(max_bits: int, n_pivots: int, untouched: int):
     def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows:
             fps = np.array(batch.column("fp").to_numpy(zero_copy_only=False), dtype=np.int64)
-            keys = coordinate_keys(fps.view(np.uint64), max_bits, n_pivots)
+            keys = coordinate_keys(fps.view(np.uint64), max_bits, n_pivots, untouched)
             yield pa.record_batch(
                 {"fp": pa.array(np.repeat(fps, keys.shape[1])), "key": pa.array(keys.ravel())}
             )
@@ -191,8 +210,9 @@ def _links(max_bits: int, n_pivots: int):
 
 def links(nodes: DataFrame, max_bits: int = MAX_BITS, n_pivots: int = PIVOTS) -> DataFrame:
     """Pairs ``x``, ``y`` that connect all fingerprints ``fp`` at most ``max_bits`` bits apart."""
+    untouched = untouched_blocks(nodes.count(), max_bits)
     met = materialize(
-        nodes.select("fp").mapInArrow(_keyed(max_bits, n_pivots), "fp bigint, key bigint"),
+        nodes.select("fp").mapInArrow(_keyed(max_bits, n_pivots, untouched), "fp bigint, key bigint"),
         "keys",
     )
     size = met.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")

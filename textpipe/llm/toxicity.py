@@ -7,7 +7,7 @@ most clearly (log-likelihood ratio) stay. A text has the ratio of each of its bu
 and a logistic regression is fitted on these.
 
 The fit reads a bounded sample of labelled rows (``max_rows`` of each class, those with the
-smallest hash of the id); the score of a text is one sum over all of it, in the map tasks.
+smallest hash of id and text); the score of a text is one sum over all of it, in the map tasks.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct
@@ -90,21 +91,27 @@ class Model:
 
 
 def _sample(docs: DataFrame, labels: DataFrame, max_rows: int) -> tuple[DataFrame, dict[int, int]]:
-    """Labelled texts of the sample, and how many labelled rows each class has in all."""
+    """Labelled texts of the sample, and how many labelled rows each class has in all.
+
+    Rows are chosen by a hash of id and text; rows that agree in both are one row of the sample.
+    """
     known = (
         labels.filter("doc_id is not null and toxic in (0, 1)")
         .groupBy("doc_id")
         .agg(F.max("toxic").cast("int").alias("toxic"))
     )
-    totals = {r.toxic: r.n for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    order = F.xxhash64("doc_id"), F.col("doc_id")
-    chosen = [known.filter(F.col("toxic") == c).orderBy(*order).limit(max_rows) for c in (0, 1)]
-    # At most 2 * max_rows ids and labels, so a broadcast is bounded by the parameter.
-    ids = F.broadcast(chosen[0].union(chosen[1]))
-    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(ids, "doc_id")
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    keyed = texts.withColumn("row", F.xxhash64("doc_id", "text"))
+    rows = materialize(keyed.select("doc_id", "row").join(known, "doc_id").select("row", "toxic"), "labelled")
+    totals = {r.toxic: r.n for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    each = rows.distinct()
+    chosen = [each.filter(F.col("toxic") == c).orderBy("row").limit(max_rows) for c in (0, 1)]
+    # At most 2 * max_rows numbers and labels, so a broadcast is bounded by the parameter.
+    wanted = F.broadcast(materialize(chosen[0].union(chosen[1]), "chosen"))
+    held = keyed.join(wanted, "row").select("row", "toxic", "text").dropDuplicates(["row"])
     # Spread over tasks: the rows are few, but cutting texts takes time.
     tasks = docs.sparkSession.sparkContext.defaultParallelism
-    return materialize(texts.select("toxic", "text").repartition(2 * tasks), "sample"), totals
+    return materialize(held.select("toxic", "text").repartition(2 * tasks), "sample"), totals
 
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -122,7 +129,7 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     )
 
 
-def _clearest(counts: pd.DataFrame, n_clean: int, n_toxic: int) -> tuple[np.ndarray, np.ndarray]:
+def _clearest(counts: pd.DataFrame, n_clean: int, n_toxic: int, most: int) -> tuple[np.ndarray, np.ndarray]:
     """Buckets whose presence depends on the class most clearly, and their log-count ratios."""
     clean, toxic = counts.clean.to_numpy(float), counts.toxic.to_numpy(float)
     every, n = clean + toxic, n_clean + n_toxic
@@ -138,16 +145,19 @@ def _clearest(counts: pd.DataFrame, n_clean: int, n_toxic: int) -> tuple[np.ndar
     )
     p, q = toxic + SMOOTHING, clean + SMOOTHING
     log_ratio = np.log((p / p.sum()) / (q / q.sum()))
-    best = np.lexsort((counts.bucket, -np.where(every >= LEAST_COUNT, ratio, -1)))[:MAX_FEATURES]
+    best = np.lexsort((counts.bucket, -np.where(every >= LEAST_COUNT, ratio, -1)))[:most]
     best = best[(every[best] >= LEAST_COUNT) & (log_ratio[best] != 0)]
     return counts.bucket.to_numpy()[best], log_ratio[best]
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Model:
+def fit(
+    docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, max_features: int = MAX_FEATURES
+) -> Model:
     """Fit on the rows of ``docs`` whose id has a label ``toxic`` of 0 or 1.
 
-    ``max_rows`` bounds the sampled labelled rows of each class. An id with both labels counts as
-    toxic; rows with a null id or label are not labelled. Without rows of both classes the model
+    ``max_rows`` bounds the sampled labelled rows of each class, ``max_features`` the buckets that
+    stay. An id with both labels counts as toxic; rows with a null id or label are not labelled; a
+    row that repeats counts once; columns of other names are not read. Without rows of both classes the model
     is the smoothed share of toxic rows (none at all: every score is 0.5 / 1.5).
     """
     sample, totals = _sample(docs, labels, max_rows)
@@ -164,7 +174,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Model:
         .filter(F.col("clean") + F.col("toxic") >= LEAST_COUNT)
         .toPandas()
     )
-    buckets, ratios = _clearest(counts, n_clean, n_toxic)
+    buckets, ratios = _clearest(counts, n_clean, n_toxic, max_features)
     if not len(buckets):
         return Model(float(np.log((n_toxic + 0.5) / (n_clean + 0.5))))
     wanted = np.zeros(1 << BUCKET_BITS, dtype=bool)
