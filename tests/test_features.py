@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from textpipe.functions.stopwords import ENGLISH
 from textpipe.operators.terms import (
+    frequent_terms,
     index_terms,
     lookup_terms,
     term_frequency,
@@ -203,3 +204,28 @@ def test_column_names_are_parameters(spark):
     df = docs(spark, TRAIN).withColumnRenamed("text", "the body")
     fitted = fit_vectorizer(df, text="the body")
     assert fitted.transform(df).select(F.count("features")).first()[0] == len(TRAIN)
+
+
+@pytest.mark.parametrize("tracked", [200_000, 40, 8])
+def test_sketched_vocabulary(spark, tracked):
+    """The sketch gives the full counts or says that it cannot tell."""
+    rows = [(f"w{k:03d} " * (200 // (k + 1)) + f"rare{k}",) for k in range(60)]
+    docs = spark.createDataFrame(rows, "text string")
+    full = [tuple(r) for r in top_terms(term_statistics(docs, []), 5).collect()]
+    found = frequent_terms(docs, [], 5, tracked=tracked)
+    if tracked > 100:
+        assert found is not None
+    if found is not None:
+        assert [tuple(r) for r in found.collect()] == full
+    assert [tuple(r) for r in fit_vocabulary(docs, 5, None, sketch=True).collect()] == [
+        tuple(r) for r in fit_vocabulary(docs, 5, None).collect()
+    ]
+
+
+def test_sketch_of_equal_counts(spark):
+    """Equally frequent terms at the cut are all known, or the terms are counted in full."""
+    docs = spark.createDataFrame([(" ".join(f"t{k:04d}" for k in range(500)),)] * 3, "text string")
+    found = frequent_terms(docs, [], 5, tracked=1000)
+    assert found is None
+    assert fit_vocabulary(docs, 5, None, sketch=True).count() == 5
+    assert frequent_terms(docs.limit(0), [], 5) is None
