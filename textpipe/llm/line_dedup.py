@@ -74,25 +74,38 @@ def _segment(length: Column, n: int, k: int) -> tuple[Column, Column]:
     return begin, base + F.when(F.lit(k) >= F.lit(n) - longer, 1).otherwise(0)
 
 
-def segment_keys(line: Column, rule: Rule) -> list[Column]:
-    """Keys under which a line is indexed and those that it probes; null where it has fewer.
+def _sized(lines: DataFrame, rule: Rule) -> DataFrame:
+    """``lines`` with their length, and the edits that lines as long or a little shorter are allowed.
+
+    In a projection of its own, so that no key counts the characters again.
+    """
+    size = F.char_length("line").alias("size")
+    return lines.select("*", size).select(
+        "*", *[rule.allowed(F.col("size") - d).alias(f"allowed{d}") for d in range(rule.max_edits + 1)]
+    )
+
+
+def segment_keys(rule: Rule) -> Column:
+    """Keys under which a line of ``_sized`` is indexed and those that it probes.
 
     A key is that of a segment of a shorter line with one segment more than the edits that this
     one is allowed.
     """
-    length, keys = F.char_length(line), []
+    keys = []
     for shorter in range(rule.max_edits + 1):
-        other = length - shorter
+        other = F.col("size") - shorter
         for edits in range(max(1, shorter), rule.max_edits + 1):
-            n = edits + 1
+            n, some = edits + 1, []
             for k in range(n):
                 begin, size = _segment(other, n, k)
                 low = max(-k, shorter - (n - 1 - k))
                 high = min(k, shorter + (n - 1 - k))
                 for shift in range(low, high + 1):
-                    text = F.substr(line, begin + shift, size)
-                    keys.append(F.when(rule.allowed(other) == edits, F.xxhash64(other, F.lit(k), text)))
-    return keys
+                    text = F.substr("line", begin + shift, size)
+                    some.append(F.xxhash64(other, F.lit(k), text))
+            nothing = F.array().cast("array<bigint>")
+            keys.append(F.when(F.col(f"allowed{shorter}") == edits, F.array(*some)).otherwise(nothing))
+    return F.array_distinct(F.concat(*keys))
 
 
 def _blocks(max_edits: int) -> list[int]:
@@ -192,15 +205,11 @@ def _linked(x: Column, y: Column, rule: Rule) -> Column:
 
 def _classes(docs: DataFrame, rule: Rule) -> DataFrame:
     """One row for each different line: its numbers, first place, number of rows, and keys."""
-    keys = segment_keys(F.col("line"), rule)
-    named = {f"k{i}": key for i, key in enumerate(keys)}
-    rows = lines_of(docs).withColumn("place", _place()).select(
-        "a", "b", "place", *[c.alias(n) for n, c in named.items()]
-    )
-    # The keys follow from the line, so that any of them will do; a minimum needs no sorting.
+    rows = _sized(lines_of(docs), rule).select("a", "b", _place().alias("place"), segment_keys(rule).alias("keys"))
+    # The keys follow from the line, so that any of them will do.
     return materialize(
         rows.groupBy("a", "b").agg(
-            F.min("place").alias("first"), F.count("*").alias("n"), *[F.min(n).alias(n) for n in named]
+            F.min("place").alias("first"), F.count("*").alias("n"), F.any_value("keys").alias("keys")
         ),
         "lines",
     )
@@ -209,17 +218,19 @@ def _classes(docs: DataFrame, rule: Rule) -> DataFrame:
 def _met(classes: DataFrame) -> DataFrame:
     """``key, a, n`` of the keys that different lines share, and how many do.
 
-    What is counted is summed up in the map tasks, and lines find their keys by a join whose
+    What is found out about a key is summed up in the map tasks, and lines find their keys by a join whose
     partitions can be divided, so that the lines of a key need not meet in one task.
     """
-    keys = [c for c in classes.columns if c[0] == "k"]
-    some = F.array_distinct(F.array_compact(F.array(*keys)))
-    rows = classes.select("a", F.explode(some).alias("key"))
-    counted = rows.groupBy("key").agg(F.count("*").alias("n"), F.min("a").alias("low"), F.max("a").alias("high"))
-    shared = materialize(counted.filter("low != high").select("key", "n"), "shared")
+    rows = classes.select("a", F.explode("keys").alias("key"))
+    ends = rows.groupBy("key").agg(F.min("a").alias("low"), F.max("a").alias("high"))
+    shared = materialize(ends.filter("low != high").select("key"), "shared")
     if shared.count() <= BROADCAST_IDS:
         shared = F.broadcast(shared)
-    return materialize(rows.join(shared, "key").select("key", "a", "n").distinct(), "met")
+    met = materialize(rows.join(shared, "key").distinct(), "met")
+    sizes = materialize(met.groupBy("key").agg(F.count("*").alias("n")), "sizes")
+    if sizes.count() <= BROADCAST_IDS:
+        sizes = F.broadcast(sizes)
+    return met.join(sizes, "key")
 
 
 def _tiled(met: DataFrame, items: DataFrame, rule: Rule) -> DataFrame:
@@ -250,22 +261,15 @@ def _tiled(met: DataFrame, items: DataFrame, rule: Rule) -> DataFrame:
 def line_links(docs: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
     """``a, b, n_links, earliest`` of each line with a near line: how many, and the first place."""
     met = _met(classes)
-    wanted = met.select("a").distinct()
+    wanted = materialize(met.select("a").distinct(), "wanted")
     if wanted.count() <= BROADCAST_IDS:
         wanted = F.broadcast(wanted)
     lines = lines_of(docs).join(wanted, "a").withColumn("place", _place())
     items = lines.groupBy("a", "b").agg(F.first("line").alias("line"), F.min("place").alias("first"))
-    keys = F.array_distinct(F.array_compact(F.array(*segment_keys(F.col("line"), rule))))
     item = F.struct(
-        "a",
-        "b",
-        "line",
-        F.char_length("line").alias("size"),
-        parity(F.col("line")).alias("parity"),
-        "first",
-        keys.alias("keys"),
+        "a", "b", "line", "size", parity(F.col("line")).alias("parity"), "first", segment_keys(rule).alias("keys")
     )
-    items = materialize(items.select("a", item.alias("item")), "items")
+    items = materialize(_sized(items, rule).select("a", item.alias("item")), "items")
     tiled = _tiled(met, items, rule)
     by = ["key", "pair", "bits"]
     alone = tiled.filter("tiles = 1").select("key", "pair", "items", F.col("items").alias("others"))
