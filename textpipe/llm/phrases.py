@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from textpipe.llm.bloom import Filter, filter_of
-from textpipe.llm.common import finished, give_back, materialize
+from textpipe.llm.common import broadcast_if, finished, give_back, materialize
 
 UNKNOWN = "und"
 PIECE_ENDS, WORD_ENDS = b".,;:!?\n\x0b\x0c\r", b" \t"
@@ -77,7 +77,7 @@ def _tables(size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _stretches(text: bytes) -> Iterator[bytes]:
-    """A long text in parts that end with a piece."""
+    """A long text in parts that end with a piece; a piece is never divided."""
     start = 0
     while len(text) - start > _BYTES_AT_ONCE:
         end = _PIECE_END.search(text, start + _BYTES_AT_ONCE // 2)
@@ -388,7 +388,8 @@ def scored(counts: DataFrame) -> DataFrame:
     smallest. Products are decimal numbers of 38 digits, counts may have 16.
     """
     phrases = counts.filter("phrase is not null")
-    every = counts.filter("phrase is null").select("lang", F.col("f").alias("n"))
+    # One row for each language: joined by shuffle, all phrases of a language would meet in one task.
+    every = broadcast_if(materialize(counts.filter("phrase is null").select("lang", F.col("f").alias("n")), "languages"), 64)
     part = F.split("phrase", " ")
     k = F.col("k")
     cuts = phrases.filter("words > 1").select(
