@@ -74,38 +74,33 @@ def _segment(length: Column, n: int, k: int) -> tuple[Column, Column]:
     return begin, base + F.when(F.lit(k) >= F.lit(n) - longer, 1).otherwise(0)
 
 
-def _sized(lines: DataFrame, rule: Rule) -> DataFrame:
-    """``lines`` with their length, and the edits that lines as long or a little shorter are allowed.
-
-    In a projection of its own, so that no key counts the characters again.
-    """
-    size = F.char_length("line").alias("size")
-    return lines.select("*", size).select(
-        "*", *[rule.allowed(F.col("size") - d).alias(f"allowed{d}") for d in range(rule.max_edits + 1)]
-    )
-
-
-def segment_keys(rule: Rule) -> Column:
-    """Keys under which a line of ``_sized`` is indexed and those that it probes.
+def with_keys(lines: DataFrame, rule: Rule) -> DataFrame:
+    """``lines`` with ``size``, their length, and ``keys``: those under which a line is indexed and
+    those that it probes.
 
     A key is that of a segment of a shorter line with one segment more than the edits that this
     one is allowed.
     """
-    keys = []
+    parts, chosen = {}, []
     for shorter in range(rule.max_edits + 1):
         other = F.col("size") - shorter
         for edits in range(max(1, shorter), rule.max_edits + 1):
-            n, some = edits + 1, []
+            n, keys = edits + 1, []
             for k in range(n):
                 begin, size = _segment(other, n, k)
                 low = max(-k, shorter - (n - 1 - k))
                 high = min(k, shorter + (n - 1 - k))
                 for shift in range(low, high + 1):
                     text = F.substr("line", begin + shift, size)
-                    some.append(F.xxhash64(other, F.lit(k), text))
-            nothing = F.array().cast("array<bigint>")
-            keys.append(F.when(F.col(f"allowed{shorter}") == edits, F.array(*some)).otherwise(nothing))
-    return F.array_distinct(F.concat(*keys))
+                    keys.append(F.xxhash64(other, F.lit(k), text))
+            name = f"part{len(parts)}"
+            parts[name] = F.array(*keys)
+            # Keys are made for all lines in a projection before, where what they have in common is
+            # worked out once; naming a part twice keeps it there.
+            fits = rule.allowed(other) == edits
+            chosen.append(F.when(fits, F.col(name)).otherwise(F.slice(name, 1, 0)))
+    sized = lines.select("*", F.char_length("line").alias("size"))
+    return sized.withColumns(parts).withColumn("keys", F.array_distinct(F.concat(*chosen))).drop(*parts)
 
 
 def _blocks(max_edits: int) -> list[int]:
@@ -205,7 +200,7 @@ def _linked(x: Column, y: Column, rule: Rule) -> Column:
 
 def _classes(docs: DataFrame, rule: Rule) -> DataFrame:
     """One row for each different line: its numbers, first place, number of rows, and keys."""
-    rows = _sized(lines_of(docs), rule).select("a", "b", _place().alias("place"), segment_keys(rule).alias("keys"))
+    rows = with_keys(lines_of(docs), rule).select("a", "b", _place().alias("place"), "keys")
     # The keys follow from the line, so that any of them will do.
     return materialize(
         rows.groupBy("a", "b").agg(
@@ -266,10 +261,8 @@ def line_links(docs: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
         wanted = F.broadcast(wanted)
     lines = lines_of(docs).join(wanted, "a").withColumn("place", _place())
     items = lines.groupBy("a", "b").agg(F.first("line").alias("line"), F.min("place").alias("first"))
-    item = F.struct(
-        "a", "b", "line", "size", parity(F.col("line")).alias("parity"), "first", segment_keys(rule).alias("keys")
-    )
-    items = materialize(_sized(items, rule).select("a", item.alias("item")), "items")
+    item = F.struct("a", "b", "line", "size", parity(F.col("line")).alias("parity"), "first", "keys")
+    items = materialize(with_keys(items, rule).select("a", item.alias("item")), "items")
     tiled = _tiled(met, items, rule)
     by = ["key", "pair", "bits"]
     alone = tiled.filter("tiles = 1").select("key", "pair", "items", F.col("items").alias("others"))
