@@ -182,9 +182,8 @@ def banded_distance(short: Column, long: Column, band: int) -> Column:
 
 def _maybe(x: Column, y: Column, rule: Rule) -> Column:
     """What two near lines (structs with size and parity) have in common, for next to no work."""
-    allowed = rule.allowed(F.least(x["size"], y["size"]))
-    return (F.abs(x["size"] - y["size"]) <= allowed) & (
-        F.bit_count(x["parity"].bitwiseXOR(y["parity"])) <= 2 * allowed
+    return (F.abs(x["size"] - y["size"]) <= rule.max_edits) & (
+        F.bit_count(x["parity"].bitwiseXOR(y["parity"])) <= 2 * rule.max_edits
     )
 
 
@@ -195,7 +194,8 @@ def _linked(x: Column, y: Column, rule: Rule) -> Column:
     both = F.struct(_characters(short).alias("short"), _characters(long).alias("long"))
     # An array of one keeps the characters from being cut again at every step.
     distance = F.transform(F.array(both), lambda p: banded_distance(p["short"], p["long"], rule.max_edits))[0]
-    return distance <= rule.allowed(F.least(x["size"], y["size"]))
+    # The shorter line is the one that is allowed fewer edits.
+    return distance <= F.least(x["edits"], y["edits"])
 
 
 def _classes(docs: DataFrame, rule: Rule) -> DataFrame:
@@ -261,7 +261,8 @@ def line_links(docs: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
         wanted = F.broadcast(wanted)
     lines = lines_of(docs).join(wanted, "a").withColumn("place", _place())
     items = lines.groupBy("a", "b").agg(F.first("line").alias("line"), F.min("place").alias("first"))
-    item = F.struct("a", "b", "line", "size", parity(F.col("line")).alias("parity"), "first", "keys")
+    edits = rule.allowed(F.col("size")).alias("edits")
+    item = F.struct("a", "b", "line", "size", edits, parity(F.col("line")).alias("parity"), "first", "keys")
     items = materialize(with_keys(items, rule).select("a", item.alias("item")), "items")
     tiled = _tiled(met, items, rule)
     by = ["key", "pair", "bits"]
