@@ -139,3 +139,34 @@ def test_no_python_in_the_plan(spark, documents):
     for df in (line_dedup.decide(documents), line_dedup.clean(documents)):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert not any(x in plan for x in ("Python", "Pandas", "Arrow", "Cartesian", "NestedLoop"))
+
+
+def test_parts_are_cut_from_the_lines_that_need_them(spark):
+    """Keys of a line, cut in Python; no part is cut from the line itself, whatever its length."""
+    rows = [("x" * 3 + "abcdefghijklmnopqrstuvwxyz"[:n],) for n in (0, 5, 7, 8, 9, 14, 17, 18, 19, 26)] + [("é😀" * 13,)]
+    keyed = line_dedup.with_keys(spark.createDataFrame(rows, "line string"), Rule())
+    plan = keyed._jdf.queryExecution().optimizedPlan().toString()
+    assert "substr(text" in plan and "substr(line" not in plan
+
+    def cut(line: str) -> set[tuple]:
+        found = set()
+        for shorter in range(3):
+            other = len(line) - shorter
+            edits = min(2, other // 10)
+            n = edits + 1
+            if edits < max(1, shorter):
+                continue
+            ends = [0]
+            for k in range(n):
+                ends.append(ends[-1] + other // n + (k >= n - other % n))
+            for k in range(n):
+                for shift in range(max(-k, shorter - (n - 1 - k)), min(k, shorter + (n - 1 - k)) + 1):
+                    found.add((other, k, line[ends[k] + shift : ends[k + 1] + shift]))
+        return found
+
+    expected = [(line, *part) for (line,) in rows for part in cut(line)]
+    hashed = spark.createDataFrame(expected, "line string, other int, k int, part string").select(
+        "line", F.xxhash64("other", "k", "part").alias("key")
+    )
+    want = {(r.line, r.key) for r in hashed.collect()}
+    assert {(r.line, k) for r in keyed.collect() for k in r["keys"]} == want and len(want) > 60

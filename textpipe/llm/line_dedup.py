@@ -25,7 +25,9 @@ Everything is made of DataFrame functions.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 from itertools import combinations
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -81,7 +83,11 @@ def with_keys(lines: DataFrame, rule: Rule) -> DataFrame:
     A key is that of a segment of a shorter line with one segment more than the edits that this
     one is allowed.
     """
-    parts, chosen = {}, []
+    parts, chosen, texts = {}, [], {}
+    for edits in range(1, rule.max_edits + 1):
+        # Parts that are not chosen are cut from nothing: most lines are long, and need one kind only.
+        needed = [rule.allowed(F.col("size") - shorter) == edits for shorter in range(edits + 1)]
+        texts[f"text{edits}"] = F.when(reduce(or_, needed), F.col("line")).otherwise("")
     for shorter in range(rule.max_edits + 1):
         other = F.col("size") - shorter
         for edits in range(max(1, shorter), rule.max_edits + 1):
@@ -91,7 +97,7 @@ def with_keys(lines: DataFrame, rule: Rule) -> DataFrame:
                 low = max(-k, shorter - (n - 1 - k))
                 high = min(k, shorter + (n - 1 - k))
                 for shift in range(low, high + 1):
-                    text = F.substr("line", begin + shift, size)
+                    text = F.substr(F.col(f"text{edits}"), begin + shift, size)
                     keys.append(F.xxhash64(other, F.lit(k), text))
             name = f"part{len(parts)}"
             parts[name] = F.array(*keys)
@@ -100,7 +106,8 @@ def with_keys(lines: DataFrame, rule: Rule) -> DataFrame:
             fits = rule.allowed(other) == edits
             chosen.append(F.when(fits, F.col(name)).otherwise(F.slice(name, 1, 0)))
     sized = lines.select("*", F.char_length("line").alias("size"))
-    return sized.withColumns(parts).withColumn("keys", F.array_distinct(F.concat(*chosen))).drop(*parts)
+    cut = sized.withColumns(texts).withColumns(parts)
+    return cut.withColumn("keys", F.array_distinct(F.concat(*chosen))).drop(*texts, *parts)
 
 
 def _blocks(max_edits: int) -> list[int]:
