@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import numpy as np
 import pytest
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
+from textpipe.operators import classify
 from textpipe.operators.classify import (
     load_classifier,
     predict,
@@ -121,3 +123,18 @@ def test_null_label(spark):
     df, *_ = dense(spark, 50, 4, [0, 1, 2])
     with pytest.raises(ValueError, match="null labels"):
         train_classifier(df.withColumn("label", F.when(F.col("label") > 0, F.col("label"))))
+
+
+def test_solver_gets_large_blocks(spark, monkeypatch):
+    """Every block costs a dense gradient, so that the default of 1 MB is too small for sparse rows."""
+    given = {}
+
+    class Solver(LogisticRegression):
+        def __init__(self, **settings):
+            given.update(settings)
+            super().__init__(**settings)
+
+    monkeypatch.setattr(classify, "LogisticRegression", Solver)
+    rows = [(i % 2, Vectors.dense([float(i % 2), 1.0])) for i in range(20)]
+    classify.train_classifier(spark.createDataFrame(rows, ["label", "features"]))
+    assert given["maxBlockSizeInMB"] == classify.BLOCK_MB >= 16

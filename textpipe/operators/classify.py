@@ -25,6 +25,8 @@ MOST_BYTES = 512 << 20
 LEAST_BYTES = 4 << 20
 # Partial gradients that one task adds up.
 GRADIENTS = 64
+# MB of a block of rows in the solver, each of which has a dense gradient of its own.
+BLOCK_MB = 16.0
 
 
 def train_classifier(
@@ -64,6 +66,7 @@ def train_classifier(
         fitIntercept=True,
         maxIter=max_iter,
         tol=tol,
+        maxBlockSizeInMB=BLOCK_MB,
         aggregationDepth=max(2, math.ceil(math.log(partitions, GRADIENTS))),
     ).fit(numbered.coalesce(partitions))
     logger.info(
