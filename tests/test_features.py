@@ -11,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from textpipe.functions.stopwords import ENGLISH
+from textpipe.operators import vectorize
 from textpipe.operators.terms import (
     frequent_terms,
     index_terms,
@@ -229,3 +230,30 @@ def test_sketch_of_equal_counts(spark):
     assert found is None
     assert fit_vocabulary(docs, 5, None, sketch=True).count() == 5
     assert frequent_terms(docs.limit(0), [], 5) is None
+
+
+@pytest.mark.parametrize("stop_words", ["english", None, ("tie",)])
+def test_fit_with_stored_counts(spark, tmp_path, stop_words):
+    """The vocabulary, to the last bit, and the vectors are those of ``fit_vectorizer``."""
+    rows = [(i, f"the Tie of {'wool ' * (i % 3)}é{i % 5} and x ÉTÉ_{i % 7}", i % 2, "test" if i % 4 == 0 else "train")
+            for i in range(60)]
+    rows += [(60, "", 0, "train"), (61, "the", 1, "train"), (62, "the", 1, "test")]
+    docs = spark.createDataFrame(rows, "doc_id int, text string, label int, split string")
+    train = docs.filter("split = 'train'")
+    for n in (3, 100):
+        path = str(tmp_path / f"counts{n}")
+        got = vectorize.fit_counted(docs, path, n, stop_words)
+        want = vectorize.fit_vectorizer(train, n, stop_words)
+        assert got.vocabulary.orderBy("idx").collect() == want.vocabulary.orderBy("idx").collect()
+        assert got.vocabulary.dtypes == want.vocabulary.dtypes
+        weighed = got.weigh(spark.read.parquet(path)).select("doc_id", "label", "split", "features")
+        cut = want.transform(docs).select("doc_id", "label", "split", "features")
+        assert sorted(map(str, weighed.collect())) == sorted(map(str, cut.collect()))
+        counted = want.count(docs).select("doc_id", vectorize.COUNTS).collect()
+        assert sorted(map(str, counted)) == sorted(
+            map(str, spark.read.parquet(path).select("doc_id", vectorize.COUNTS).collect())
+        )
+    with pytest.raises(ValueError, match="Empty vocabulary"):
+        vectorize.fit_counted(docs.withColumn("text", F.lit("!")), str(tmp_path / "none"))
+    with pytest.raises(ValueError, match="Null documents"):
+        vectorize.fit_counted(docs.withColumn("text", F.lit(None).cast("string")), str(tmp_path / "none"))

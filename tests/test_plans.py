@@ -395,3 +395,49 @@ def test_sizes_and_results_are_logged(spark, tmp_path, caplog):
     assert "Train with 96 rows and test with 24 rows" in log
     assert "Train matrix 96 x " in log and "test matrix 24 x " in log
     assert "Trained on 96 rows x " in log and "Accuracy: 1.0000" in log
+
+
+def test_texts_are_cut_once_for_a_split(spark, tmp_path, monkeypatch):
+    """After a change of the solver nothing reads texts, after one of the vocabulary no terms are counted."""
+    cfg = PipelineConfig(base=str(tmp_path))
+    first = collected(run(spark, news(spark), cfg))
+
+    def fail(*args, **kwargs):
+        raise AssertionError("texts are cut again")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(stages, "load_vectors", fail)
+        patched.setattr(stages, "count_terms", fail)
+        assert accuracy(resume(spark, replace(cfg, max_iter=20))) == 1.0
+        resume(spark, replace(cfg, max_features=12))
+        assert spark.read.parquet(published(spark, cfg).vocabulary_path).count() == 12
+        assert collected(resume(spark, cfg)) == first
+    with monkeypatch.context() as patched:
+        patched.setattr(stages, "count_terms", fail)
+        with pytest.raises(AssertionError, match="cut again"):
+            resume(spark, replace(cfg, seed=7))
+
+
+@pytest.mark.parametrize("sketch", [False, True])
+def test_stored_counts_give_the_vectors_of_the_texts(spark, tmp_path, sketch):
+    cfg = PipelineConfig(base=str(tmp_path), sketch_vocabulary=sketch)
+    run(spark, news(spark), cfg)
+    cfg = published(spark, cfg)
+    for split in ("train", "test"):
+        stored, cut = (f(spark, cfg, split).collect() for f in (stages.stored_vectors, stages.load_vectors))
+        assert sorted(map(str, stored)) == sorted(map(str, cut)) and len(cut) in (96, 24)
+    # A run of before has stored no counts.
+    held = replace(cfg, counts_name="none.parquet")
+    assert stages.stored_vectors(spark, held, "test").count() == 24
+
+
+def test_another_split_counts_its_own_terms(spark, tmp_path):
+    """In a folder without versions, counts of the former split do not stay."""
+    cfg = PipelineConfig(base=str(tmp_path))
+    for label, n in ((0, 40), (1, 80)):
+        words = [(f"term{label}{i % 4} other", i % 4) for i in range(120 + n)]
+        stages.land(spark.createDataFrame(words, "text string, label int"), cfg)
+        stages.prepare(spark, cfg)
+        vectorizer, *_ = stages.featurize(spark, cfg)
+        terms = {r.term for r in vectorizer.vocabulary.collect()}
+        assert terms >= {f"term{label}{k}" for k in range(4)} and not any(t.startswith(f"term{1 - label}") for t in terms)

@@ -24,6 +24,7 @@ STAGE_SETTINGS: Mapping[str, tuple[str, ...]] = MappingProxyType(
         "featurize": (
             "max_features", "stop_words", "min_train_rows", "min_test_rows",
             "models_dir", "vectorizer_name", "vocabulary_name",
+            "processed_dir", "term_counts_name", "counts_name",
         ),
         "train": ("inverse_regularization", "max_iter", "tol", "models_dir", "model_name", "vectors_name"),
         "evaluate": ("reports_dir", "metrics_name", "metrics_table_name"),
@@ -56,6 +57,9 @@ class PipelineConfig:
     keyed_name: str = "keyed.parquet"
     numbered_name: str = "numbered.parquet"
     split_name: str = "split.parquet"
+    # Counts of the terms of the train side, and of those of each document.
+    term_counts_name: str = "term_counts.parquet"
+    counts_name: str = "counts.parquet"
     vectors_name: str = "vectors.parquet"
     vectorizer_name: str = "vectorizer"
     vocabulary_name: str = "vocabulary.parquet"
@@ -106,6 +110,14 @@ class PipelineConfig:
     def split_path(self) -> str:
         return self._of("prepare", self.processed_dir, self.split_name)
 
+    @property
+    def term_counts_path(self) -> str:
+        return self._of("prepare", self.processed_dir, self.term_counts_name)
+
+    @property
+    def counts_path(self) -> str:
+        return self._of("featurize", self.processed_dir, self.counts_name)
+
     @property
     def vectors_path(self) -> str:
         return self._of("train", self.processed_dir, self.vectors_name)

@@ -32,7 +32,7 @@ def _neighbours(**extra: Column) -> Column:
     )
 
 
-def _keep_terms(df: DataFrame, stop_words: list[str]) -> DataFrame:
+def keep_terms(df: DataFrame, stop_words: list[str]) -> DataFrame:
     return df.filter(~F.col("term").isin(*stop_words)) if stop_words else df
 
 
@@ -50,7 +50,7 @@ def term_frequency(
     counted = runs.select(
         key, F.inline(F.arrays_zip(F.col("starts").alias("run"), ends.alias("next")))
     ).filter(F.col("run.term").isNotNull())
-    return _keep_terms(
+    return keep_terms(
         counted.select(
             key,
             F.col("run.term").alias("term"),
@@ -72,7 +72,7 @@ def term_statistics(
         .select(F.inline(_neighbours()))
         .filter(F.col("term").isNotNull())
     )
-    kept = _keep_terms(occurrences, stop_words)
+    kept = keep_terms(occurrences, stop_words)
     if only is not None:
         kept = kept.join(only, "term", "left_semi")
     return (
@@ -84,6 +84,18 @@ def term_statistics(
     )
 
 
+def count_terms(docs: DataFrame, text: str = "text") -> DataFrame:
+    """``(term, corpus_tf)`` of all terms, stop words too. Nothing is sorted inside the documents."""
+    occurrences = docs.select(F.explode(tokens(text)).alias("term"))
+    return occurrences.groupBy("term").agg(F.count(F.lit(1)).alias("corpus_tf"))
+
+
+def document_counts(counted: DataFrame, vector: str) -> DataFrame:
+    """``(idx, df)``: documents in whose vector of counts a term occurs."""
+    found = counted.select(F.explode(F.unwrap_udt(vector)["indices"]).alias("idx"))
+    return found.groupBy("idx").agg(F.count(F.lit(1)).alias("df"))
+
+
 def frequent_terms(
     docs: DataFrame, stop_words: list[str], max_features: int, text: str = "text", tracked: int = 200_000
 ) -> DataFrame | None:
@@ -98,7 +110,7 @@ def frequent_terms(
     so the last one has to be above the bound.
     """
     spark = docs.sparkSession
-    occurrences = _keep_terms(docs.select(F.explode(tokens(text)).alias("term")), stop_words)
+    occurrences = keep_terms(docs.select(F.explode(tokens(text)).alias("term")), stop_words)
     wanted = min(2 * max_features, tracked)
     found = occurrences.agg(
         F.call_function("approx_top_k", F.col("term"), F.lit(wanted), F.lit(tracked)).alias("top"),

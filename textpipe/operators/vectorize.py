@@ -6,7 +6,7 @@ vectors come from Spark ML stages, which work row by row in the JVM and can be s
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
@@ -14,15 +14,27 @@ from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normali
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from textpipe.functions.stopwords import resolve
 from textpipe.functions.text import TOKEN_PATTERN
-from textpipe.operators.terms import frequent_terms, index_terms, term_statistics, top_terms
+from textpipe.operators.terms import (
+    count_terms,
+    document_counts,
+    frequent_terms,
+    index_terms,
+    keep_terms,
+    term_statistics,
+    top_terms,
+)
 from textpipe.operators.validate import require_text
 from textpipe.sources.local import broadcast_if_small, local_table, measured_bytes
 
 FEATURES = "features"
 _STEPS = ("_tokens", "_tf", "_weighted")
+COUNTS = _STEPS[1]
+NO_TERMS = "Empty vocabulary: the documents hold only stop words or no tokens"
+STATISTICS = StructType().add("term", "string").add("corpus_tf", "long").add("df", "long")
 
 
 @dataclass(frozen=True)
@@ -40,6 +52,14 @@ class Vectorizer:
         """Add ``features``. Tokens outside the vocabulary are dropped."""
         return self.model.transform(docs).drop(*_STEPS)
 
+    def count(self, docs: DataFrame) -> DataFrame:
+        """Add ``COUNTS``, the vector of how often each term occurs: the work on the texts."""
+        return PipelineModel(self.model.stages[:2]).transform(docs).drop(_STEPS[0])
+
+    def weigh(self, counted: DataFrame) -> DataFrame:
+        """Turn ``COUNTS`` into ``features``."""
+        return PipelineModel(self.model.stages[2:]).transform(counted).drop(*_STEPS)
+
     def save(self, model_path: str, vocabulary_path: str) -> None:
         self.model.write().overwrite().save(model_path)
         self.vocabulary.coalesce(1).write.mode("overwrite").parquet(vocabulary_path)
@@ -80,7 +100,7 @@ def fit_vocabulary(
     vocabulary = weigh_terms(top, n_docs)
     rows = vocabulary.collect()
     if not rows:
-        raise ValueError("Empty vocabulary: the documents hold only stop words or no tokens")
+        raise ValueError(NO_TERMS)
     return local_table(train.sparkSession, rows, vocabulary.schema)
 
 
@@ -90,14 +110,8 @@ def build_vectorizer(vocabulary: DataFrame, text: str = "text") -> Vectorizer:
     Stop words need no stage of their own: they are not in the vocabulary.
     """
     rows = vocabulary.orderBy("idx").select("term", "idf").collect()
-    tokens, tf, weighted = _STEPS
-    cut = SQLTransformer(
-        statement=f"SELECT *, regexp_extract_all(lower(`{text}`), r'{TOKEN_PATTERN}', 0) "
-        f"AS {tokens} FROM __THIS__"
-    )
-    count = CountVectorizerModel.from_vocabulary(
-        [row.term for row in rows], inputCol=tokens, outputCol=tf
-    )
+    _, tf, weighted = _STEPS
+    cut, count = _counting([row.term for row in rows], text)
     weigh = ElementwiseProduct(
         scalingVec=Vectors.dense([row.idf for row in rows]), inputCol=tf, outputCol=weighted
     )
@@ -105,6 +119,51 @@ def build_vectorizer(vocabulary: DataFrame, text: str = "text") -> Vectorizer:
     return Vectorizer(PipelineModel([cut, count, weigh, scale]), vocabulary)
 
 
+def _counting(terms: Sequence[str], text: str) -> tuple[SQLTransformer, CountVectorizerModel]:
+    """The stages that cut texts and count the terms of a vocabulary."""
+    tokens, tf, _ = _STEPS
+    cut = SQLTransformer(
+        statement=f"SELECT *, regexp_extract_all(lower(`{text}`), r'{TOKEN_PATTERN}', 0) "
+        f"AS {tokens} FROM __THIS__"
+    )
+    return cut, CountVectorizerModel.from_vocabulary(terms, inputCol=tokens, outputCol=tf)
+
+
+def fit_counted(
+    docs: DataFrame,
+    path: str,
+    max_features: int = 5000,
+    stop_words: str | Iterable[str] | None = "english",
+    text: str = "text",
+    n_docs: int | None = None,
+    term_counts: DataFrame | None = None,
+) -> Vectorizer:
+    """``fit_vectorizer`` on the train rows of ``docs``, and the vectors of counts of all its rows,
+    stored at ``path`` with ``doc_id``, ``label`` and ``split``.
+
+    What it costs beside cutting the texts is less: the terms of the train side are only counted, and
+    the documents that hold a term follow from the stored vectors, which know no other terms.
+    ``n_docs`` is the number of train rows and ``term_counts`` what ``count_terms`` gives for them,
+    where they are known.
+    """
+    train = docs.filter("split = 'train'")
+    require_text(train, text)
+    n_docs = train.count() if n_docs is None else n_docs
+    counts = count_terms(train, text) if term_counts is None else term_counts
+    top = index_terms(top_terms(keep_terms(counts, resolve(stop_words)), max_features)).collect()
+    if not top:
+        raise ValueError(NO_TERMS)
+    cut, count = _counting([row.term for row in sorted(top, key=lambda row: row.idx)], text)
+    counted = PipelineModel([cut, count]).transform(docs)
+    counted.select("doc_id", "label", "split", COUNTS).write.mode("overwrite").partitionBy("split").parquet(path)
+    spark = docs.sparkSession
+    stored = spark.read.parquet(path).filter("split = 'train'")
+    held = {row.idx: row.df for row in document_counts(stored, COUNTS).collect()}
+    rows = [(row.term, row.corpus_tf, held[row.idx]) for row in top]
+    vocabulary = weigh_terms(local_table(spark, rows, STATISTICS), n_docs)
+    return build_vectorizer(local_table(spark, vocabulary.collect(), vocabulary.schema), text)
+
+
 def fit_vectorizer(
     train: DataFrame,
     max_features: int = 5000,

@@ -36,15 +36,13 @@ class _Work:
         _, self.train_vectors, self.test_vectors = stages.featurize(self.spark, cfg)
 
     def train(self, cfg: PipelineConfig) -> None:
-        vectors = self.train_vectors or stages.load_vectors(self.spark, cfg, "train")
+        vectors = self.train_vectors or stages.stored_vectors(self.spark, cfg, "train")
         self.model = stages.train(vectors, cfg)
 
     def evaluate(self, cfg: PipelineConfig) -> None:
-        if self.model and self.test_vectors:
-            predictions = classify.predict(self.model, self.test_vectors)
-        else:
-            predictions = stages.score(self.spark, cfg)
-        self.report = stages.evaluate(predictions, cfg)
+        model = self.model or stages.load_model(self.spark, cfg)
+        vectors = self.test_vectors or stages.stored_vectors(self.spark, cfg, "test")
+        self.report = stages.evaluate(classify.predict(model, vectors), cfg)
 
     def inputs(self, stage: str) -> list | None:
         """The files that a stage reads from elsewhere, where it does and they are known."""

@@ -22,7 +22,9 @@ from textpipe.operators.validate import (
     validate_table,
     warn_about_text,
 )
-from textpipe.operators.vectorize import Vectorizer, fit_vectorizer
+from textpipe.operators.terms import count_terms
+from textpipe.operators.vectorize import COUNTS, Vectorizer, fit_counted, fit_vectorizer
+from textpipe.sources import manifest
 from textpipe.sources.corpus import land_corpus, read_split, read_table, scan_corpus, write_split
 
 logger = logging.getLogger(__name__)
@@ -66,6 +68,8 @@ def prepare(spark: SparkSession, cfg: PipelineConfig, raw_path: str | None = Non
     assigned = assign_split(raw, cuts, key, seed=cfg.seed)
     # The text check only warns, so it rides on the pass that writes the texts.
     observed, quality = observe_text(assigned.select("doc_id", "text", "label", "split"))
+    # Terms that were counted for a former split in this place count no more.
+    manifest.delete(spark, cfg.term_counts_path)
     write_split(observed, cfg.split_path)
     warn_about_text(quality.get)
     n_train = sum(c.n_train for c in cuts)
@@ -94,7 +98,10 @@ def named_labels(split: DataFrame, cfg: PipelineConfig) -> DataFrame:
 
 
 def featurize(spark: SparkSession, cfg: PipelineConfig) -> tuple[Vectorizer, DataFrame, DataFrame]:
-    """Fit the vectorizer on train, save it, and give the vectors of both sides."""
+    """Fit the vectorizer on train, save it, and give the vectors of both sides.
+
+    The texts are not cut again by later stages: counts of both sides are stored.
+    """
     train = read_split(spark, cfg.split_path, "train")
     test = read_split(spark, cfg.split_path, "test")
     validate_table(train, REQUIRED, cfg.min_train_rows)
@@ -102,16 +109,50 @@ def featurize(spark: SparkSession, cfg: PipelineConfig) -> tuple[Vectorizer, Dat
     require_text(test)
     # Counting the rows of a stored table reads the footers of its files.
     n_train, n_test = train.count(), test.count()
-    vectorizer = fit_vectorizer(
-        train, cfg.max_features, cfg.stop_words, n_docs=n_train, sketch=cfg.sketch_vocabulary
-    )
+    docs = read_table(spark, cfg.split_path)
+    if cfg.sketch_vocabulary:
+        vectorizer = fit_vectorizer(train, cfg.max_features, cfg.stop_words, n_docs=n_train, sketch=True)
+        counted = vectorizer.count(docs).select("doc_id", "label", "split", COUNTS)
+        counted.write.mode("overwrite").partitionBy("split").parquet(cfg.counts_path)
+    else:
+        require_text(train)
+        vectorizer = fit_counted(
+            docs, cfg.counts_path, cfg.max_features, cfg.stop_words,
+            n_docs=n_train, term_counts=_term_counts(train, cfg),
+        )
     vectorizer.save(cfg.vectorizer_path, cfg.vocabulary_path)
     n_terms = vectorizer.n_features
     logger.info(
         "Train matrix %d x %d, test matrix %d x %d; vectorizer saved to %s",
         n_train, n_terms, n_test, n_terms, cfg.vectorizer_path,
     )
-    return vectorizer, _vectors(vectorizer, train), _vectors(vectorizer, test)
+    return vectorizer, *(_counted(spark, vectorizer, cfg, split) for split in ("train", "test"))
+
+
+def _term_counts(train: DataFrame, cfg: PipelineConfig) -> DataFrame:
+    """The stored counts of the terms of the train side, made once for a split: they depend on
+    nothing else."""
+    spark, path = train.sparkSession, cfg.term_counts_path
+    # The mark of a finished write: a killed one is done again.
+    if not _exists(spark, f"{path}/_SUCCESS"):
+        count_terms(train).write.mode("overwrite").parquet(path)
+    return read_table(spark, path)
+
+
+def _counted(spark: SparkSession, vectorizer: Vectorizer, cfg: PipelineConfig, split: str) -> DataFrame:
+    """Vectors of one side, from its stored counts."""
+    counts = read_split(spark, cfg.counts_path, split)
+    return vectorizer.weigh(counts).select("doc_id", "label", "features")
+
+
+def stored_vectors(spark: SparkSession, cfg: PipelineConfig, split: str) -> DataFrame:
+    """Vectors of one side, from the counts that ``featurize`` has stored and the saved vectorizer;
+    from the texts where an older run has stored none."""
+    if not _exists(spark, cfg.counts_path):
+        return load_vectors(spark, cfg, split)
+    for path in (cfg.vectorizer_path, cfg.vocabulary_path):
+        require_artifact(spark, path)
+    return _counted(spark, Vectorizer.load(spark, cfg.vectorizer_path, cfg.vocabulary_path), cfg, split)
 
 
 def _vectors(vectorizer: Vectorizer, docs: DataFrame) -> DataFrame:
@@ -120,12 +161,15 @@ def _vectors(vectorizer: Vectorizer, docs: DataFrame) -> DataFrame:
 
 def require_artifact(spark: SparkSession, path: str) -> None:
     """Raise ``FileNotFoundError`` where a saved stage or table is missing."""
-    jvm = spark.sparkContext._jvm
-    at = jvm.org.apache.hadoop.fs.Path(path)
-    if not at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at):
+    if not _exists(spark, path):
         raise FileNotFoundError(f"File not found: {path}")
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
+
+
 def load_vectors(spark: SparkSession, cfg: PipelineConfig, split: str) -> DataFrame:
     """Vectors of one side, from the stored split and the saved vectorizer."""
     docs = read_split(spark, cfg.split_path, split)
@@ -168,10 +212,15 @@ def evaluate(predictions: DataFrame, cfg: PipelineConfig) -> DataFrame:
     return stored
 
 
+def load_model(spark: SparkSession, cfg: PipelineConfig) -> PipelineModel:
+    """The saved classifier."""
+    require_artifact(spark, cfg.model_path)
+    return classify.load_classifier(cfg.model_path)
+
+
 def score(spark: SparkSession, cfg: PipelineConfig, split: str = "test") -> DataFrame:
     """Predictions for one side, from saved artifacts alone."""
-    require_artifact(spark, cfg.model_path)
-    model = classify.load_classifier(cfg.model_path)
+    model = load_model(spark, cfg)
     return classify.predict(model, load_vectors(spark, cfg, split)).drop("features")
 
 
