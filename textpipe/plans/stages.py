@@ -185,7 +185,9 @@ def train(vectors: DataFrame, cfg: PipelineConfig) -> PipelineModel:
     The vectors are written to the processed zone first: the solver reads them more than once, and
     a lost executor then costs a few files read again, not texts cut again.
     """
-    vectors.write.mode("overwrite").parquet(cfg.vectors_path)
+    # Stored counts are few files; the solver's tasks get equal shares of these.
+    files = 4 * vectors.sparkSession.sparkContext.defaultParallelism
+    vectors.repartition(files).write.mode("overwrite").parquet(cfg.vectors_path)
     stored = read_table(vectors.sparkSession, cfg.vectors_path)
     model = classify.train_classifier(
         stored,
